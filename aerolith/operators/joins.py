@@ -1,0 +1,36 @@
+"""Dimension joins with a checked broadcast.
+
+A dimension is broadcast only after a bounded row count proves it small
+(``limit(max_rows + 1).count()`` stops reading after ``max_rows + 1`` rows,
+so the check is cheap even when the dimension turns out to be large).
+Beyond the bound the join is left to the planner: a sort-merge join whose
+skewed partitions AQE splits at run time.
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows. Airport-like dimensions are bounded by the 26**3 possible IATA codes.
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, derived: bool = False) -> DataFrame:
+    """Return ``broadcast(dim)`` when it has at most ``max_rows`` rows, else
+    ``dim`` unchanged.
+
+    ``derived=True`` marks a dimension computed from a large input (e.g. an
+    aggregate): it is persisted first so the size check and the join share
+    one computation. Persisted blocks lost with an executor are recomputed
+    from lineage, so this is safe under executor loss.
+    """
+    if max_rows <= 0:
+        return dim
+    if derived:
+        dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
+    small = dim.limit(max_rows + 1).count() <= max_rows
+    if not small and derived:
+        dim.unpersist()
+    return F.broadcast(dim) if small else dim
