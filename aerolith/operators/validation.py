@@ -41,17 +41,36 @@ def parse_records(raw: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 class _Value:
-    """Accessors for one top-level field of the parsed record."""
+    """Accessors for one top-level field of the parsed record. ``extract``
+    materialises the field's presence, JSON type and text once as columns;
+    the rules then read those columns instead of re-walking the VARIANT."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, extracted: bool = True):
         self.name = name
-        self.variant = F.try_variant_get(F.col(DOC), f"$.{name}", "variant")
-        self.text = F.try_variant_get(F.col(DOC), f"$.{name}", "string")
-        self.json_type = F.schema_of_variant(self.variant)
+        if extracted:
+            self._present = F.col(f"_p_{name}")
+            self._null = F.col(f"_n_{name}")
+            self.json_type = F.col(f"_t_{name}")
+            self.text = F.col(f"_x_{name}")
+        else:
+            variant = F.try_variant_get(F.col(DOC), f"$.{name}", "variant")
+            self._present = variant.isNotNull()
+            self._null = F.is_variant_null(variant)
+            self.json_type = F.schema_of_variant(variant)
+            self.text = F.try_variant_get(F.col(DOC), f"$.{name}", "string")
+
+    def columns(self) -> list[Column]:
+        variant = F.try_variant_get(F.col(DOC), f"$.{self.name}", "variant")
+        return [
+            variant.isNotNull().alias(f"_p_{self.name}"),
+            F.coalesce(F.is_variant_null(variant), F.lit(False)).alias(f"_n_{self.name}"),
+            F.schema_of_variant(variant).alias(f"_t_{self.name}"),
+            F.try_variant_get(F.col(DOC), f"$.{self.name}", "string").alias(f"_x_{self.name}"),
+        ]
 
     @property
     def present(self) -> Column:
-        return self.variant.isNotNull()
+        return self._present
 
     @property
     def is_string(self) -> Column:
@@ -60,9 +79,7 @@ class _Value:
     @property
     def blank(self) -> Column:
         """Present and JSON null, or a whitespace-only string."""
-        return self.present & (
-            F.is_variant_null(self.variant) | (self.is_string & self.text.rlike(BLANK_PATTERN))
-        )
+        return self.present & (self._null | (self.is_string & self.text.rlike(BLANK_PATTERN)))
 
     @property
     def filled(self) -> Column:
@@ -185,12 +202,20 @@ def validate(source: str, raw: DataFrame, text_col: str = "value", ref_col: str
     ``ref_col`` names the column used as record reference in messages (the
     record's position for array files); when absent, the business key is
     used."""
-    contracts.fields(source)  # unknown source → ValueError
+    names = contracts.field_names(source)  # unknown source → ValueError
     parsed = parse_records(raw, text_col)
-    if ref_col not in parsed.columns:
+    base = parsed.columns
+    extracted = parsed.select(*base, *[c for n in names for c in _Value(n, extracted=False).columns()])
+    if ref_col not in extracted.columns:
         keys = contracts.BUSINESS_KEYS[source]
-        parsed = parsed.withColumn(ref_col, F.concat_ws(",", *[_Value(k).text for k in keys]))
-    return parsed.withColumn("errors", record_errors(source, F.col(ref_col)))
+        extracted = extracted.withColumn(ref_col, F.concat_ws(",", *[_Value(k).text for k in keys]))
+        base = base + [ref_col]
+    # The rule expression is produced by a one-row ``inline`` rather than a
+    # projection: predicate pushdown would otherwise substitute it into every
+    # filter on ``errors`` below (down to the scan or a join condition) and
+    # evaluate the whole rule set, parse included, several times per record.
+    row = F.struct(*[F.col(c) for c in base], record_errors(source, F.col(ref_col)).alias("errors"))
+    return extracted.select(F.inline(F.array(row)))
 
 
 def error_messages(source: str, validated: DataFrame, ref_col: str = RECORD_REF) -> DataFrame:
@@ -257,6 +282,8 @@ def typed_records(source: str, validated: DataFrame, keep: tuple[str, ...] = ())
     """Contract-typed columns from the parsed records (bronze reader for
     text-validated sources). Timestamps go through the same normaliser as
     V4, numbers accept numeric strings, so nothing valid is silently nulled."""
+    names = contracts.field_names(source)
+    extracted = validated.select(*[c for n in names for c in _Value(n, extracted=False).columns()], *keep)
     cols = []
     for spec in contracts.fields(source):
         v = _Value(spec.name)
@@ -265,6 +292,6 @@ def typed_records(source: str, validated: DataFrame, keep: tuple[str, ...] = ())
         elif spec.dtype == "float":
             c = numeric_value(v)
         else:
-            c = F.when(~F.is_variant_null(v.variant), v.text)
+            c = F.when(~v._null, v.text)
         cols.append(c.alias(spec.name))
-    return validated.select(*cols, *keep)
+    return extracted.select(*cols, *keep)

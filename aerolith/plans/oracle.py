@@ -80,6 +80,34 @@ t_bronze AS (
     JOIN supplier ON l_suppkey = s_suppkey
     JOIN customer ON o_custkey = c_custkey
 ),
+t_raw_flights AS (
+    SELECT flight_id,
+           CASE WHEN o_orderstatus <> 'P' THEN 'FL' || CAST(l_orderkey AS VARCHAR) END AS flight_number,
+           {_code('s_nationkey')} AS origin_airport,
+           {_code('c_nationkey')} AS destination_airport,
+           make_timestamp({_SCHED} * 1000000) AS scheduled_departure_utc,
+           CASE WHEN l_tax = 0 THEN NULL
+                ELSE make_timestamp(({_SCHED} + (CAST(l_quantity AS BIGINT) - 20) * 60 + l_partkey % 60) * 1000000)
+           END AS actual_departure_utc,
+           CASE WHEN l_discount >= CAST(0.1 AS DOUBLE) THEN 'CANCELLED'
+                WHEN l_tax = 0 THEN 'scheduled'
+                WHEN l_quantity > 35 THEN 'DELAYED'
+                ELSE 'departed' END AS status
+    FROM (SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS flight_id FROM lineitem)
+    JOIN orders ON l_orderkey = o_orderkey
+    JOIN supplier ON l_suppkey = s_suppkey
+    JOIN customer ON o_custkey = c_custkey
+),
+t_flight_errors AS (
+    SELECT 'flights' AS source, flight_id AS record_ref, 'V1' AS rule, CAST(NULL AS VARCHAR) AS field,
+           'flights[' || flight_id || '] missing required field(s): flight_number' AS message
+    FROM t_raw_flights WHERE flight_number IS NULL
+    UNION ALL
+    SELECT 'flights', flight_id, 'V3', 'status',
+           'flights[' || flight_id || '] invalid value for status: ' || status
+           || '. Allowed values: cancelled, delayed, departed, scheduled'
+    FROM t_raw_flights WHERE status NOT IN ('scheduled', 'departed', 'delayed', 'cancelled')
+),
 t_ranked AS (
     SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY {_FLIGHT_ORDER}) AS rn FROM t_bronze
 ),
@@ -153,6 +181,15 @@ t_events AS (
                      event_timestamp_utc ASC NULLS FIRST, channel ASC NULLS FIRST) AS rn
         FROM t_events_raw) WHERE rn = 1
 ),
+t_event_errors AS (
+    SELECT 'passenger_events' AS source, event_id AS record_ref, 'V3' AS rule, 'event_type' AS field,
+           'passenger_events[' || event_id || '] invalid value for event_type: ' || event_type
+           || '. Allowed values: boarding_pass_viewed, delay_notification_sent, mobile_check_in, '
+           || 'rebooking_offer_viewed' AS message
+    FROM t_events_raw
+    WHERE event_type NOT IN ('mobile_check_in', 'delay_notification_sent', 'boarding_pass_viewed',
+                             'rebooking_offer_viewed')
+),
 t_gold AS (
     SELECT f.origin_airport, f.flight_id, f.flight_number, f.destination_airport,
            f.scheduled_departure_utc, f.actual_departure_utc, f.status,
@@ -347,5 +384,59 @@ UNION ALL SELECT 'mean', {_mean2('departure_delay_minutes')} FROM t_gold
     ),
 }
 
+
+_FLIGHT_ERRS = (
+    "CAST(flight_number IS NULL AS INTEGER)"
+    " + CAST(status NOT IN ('scheduled', 'departed', 'delayed', 'cancelled') AS INTEGER)"
+)
+_EVENT_ERRS = (
+    "CAST(event_type NOT IN ('mobile_check_in', 'delay_notification_sent', 'boarding_pass_viewed',"
+    " 'rebooking_offer_viewed') AS INTEGER)"
+)
+
+
+def _gate_rows(source: str, table: str, errs: str, mode: str) -> str:
+    if mode == "dataset":
+        accepted = "CASE WHEN count_if(n_err > 0) > 0 THEN 0 ELSE count(*) END"
+    else:
+        accepted = "count(*) - count_if(n_err > 0)"
+    return (
+        f"SELECT '{source}' AS source, count(*) AS records, CAST({accepted} AS BIGINT) AS accepted_records,"
+        f" CAST(count(*) - ({accepted}) AS BIGINT) AS rejected_records,"
+        f" CAST(coalesce(sum(n_err), 0) AS BIGINT) AS error_count"
+        f" FROM (SELECT {errs} AS n_err FROM {table})"
+    )
+
+
+def _gate_all(mode: str) -> str:
+    return _q(
+        "\nUNION ALL\n".join(
+            [
+                _gate_rows("flights", "t_raw_flights", _FLIGHT_ERRS, mode),
+                _gate_rows("airports", "t_airports", "0", mode),
+                _gate_rows("weather", "t_weather_raw", "0", mode),
+                _gate_rows("passenger_events", "t_events_raw", _EVENT_ERRS, mode),
+            ]
+        )
+    )
+
+
+ORACLE["contract_gate_summary"] = _gate_all("dataset")
+ORACLE["contract_gate_summary_record_mode"] = _gate_all("record")
+ORACLE["contract_quarantine_flights"] = _q(
+    f"SELECT flight_id, flight_number, origin_airport, destination_airport, scheduled_departure_utc,"
+    f" actual_departure_utc, status, CAST({_FLIGHT_ERRS} AS INTEGER) AS error_count"
+    f" FROM t_raw_flights WHERE {_FLIGHT_ERRS} > 0"
+)
+ORACLE["contract_accepted_passenger_events"] = _q(
+    f"SELECT event_id, flight_id, event_type, event_timestamp_utc, channel FROM t_events_raw WHERE {_EVENT_ERRS} = 0"
+)
+ORACLE["contract_errors_flights"] = _q("SELECT * FROM t_flight_errors")
+ORACLE["contract_errors_passenger_events"] = _q("SELECT * FROM t_event_errors")
+ORACLE["contract_errors_weather"] = _q(
+    "SELECT CAST(NULL AS VARCHAR) AS source, CAST(NULL AS VARCHAR) AS record_ref, CAST(NULL AS VARCHAR) AS rule,"
+    " CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS message FROM t_weather_raw WHERE false"
+)
+
 for _name, _order in _TOP.items():
     ORACLE[_name] = _q(f"SELECT * FROM t_route ORDER BY {_order}, route ASC NULLS LAST LIMIT 10")

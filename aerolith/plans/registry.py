@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from aerolith import contracts
 from aerolith.operators import gold, insights
+from aerolith.operators import validation as V
 from aerolith.operators.dedupe import deduplicate, duplicates_for_review
 from aerolith.plans import reports
 from aerolith.session import ensure_utc
@@ -78,6 +81,40 @@ def _selected_routes(spark: SparkSession, sf: str) -> DataFrame:
     return insights.filter_tables_by_routes(tables, SELECTED_ROUTES)["route_performance"]
 
 
+def _validated(spark: SparkSession, sf: str, source: str) -> DataFrame:
+    ensure_utc(spark)
+    return V.validate(source, tm.raw_records(spark, sf, source))
+
+
+def _contract_errors(source: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return V.error_messages(source, _validated(spark, sf, source)).drop("phase", "position")
+
+    return run
+
+
+def _gate_summary(mode: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        frames = [V.validation_summary(s, _validated(spark, sf, s), mode) for s in contracts.SOURCES]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    return run
+
+
+def _quarantine_flights(spark: SparkSession, sf: str) -> DataFrame:
+    _, quarantined = V.gate(_validated(spark, sf, contracts.FLIGHTS), "record")
+    typed = V.typed_records(contracts.FLIGHTS, quarantined, keep=("errors",))
+    return typed.select(*contracts.field_names(contracts.FLIGHTS), F.size("errors").alias("error_count"))
+
+
+def _accepted_events(spark: SparkSession, sf: str) -> DataFrame:
+    accepted, _ = V.gate(_validated(spark, sf, contracts.PASSENGER_EVENTS), "record")
+    return V.typed_records(contracts.PASSENGER_EVENTS, accepted)
+
+
 QUERIES: dict[str, Query] = {
     "silver_dedupe_flights": _dedupe,
     "silver_duplicate_review": _duplicates,
@@ -115,4 +152,11 @@ QUERIES: dict[str, Query] = {
     "filter_routes_selected": _selected_routes,
     "route_options": lambda spark, sf: insights.route_options(_gold_flights(spark, sf)),
     "wind_speed_bounds": lambda spark, sf: insights.wind_speed_bounds(_gold_flights(spark, sf)),
+    "contract_errors_flights": _contract_errors(contracts.FLIGHTS),
+    "contract_errors_passenger_events": _contract_errors(contracts.PASSENGER_EVENTS),
+    "contract_errors_weather": _contract_errors(contracts.WEATHER),
+    "contract_gate_summary": _gate_summary("dataset"),
+    "contract_gate_summary_record_mode": _gate_summary("record"),
+    "contract_quarantine_flights": _quarantine_flights,
+    "contract_accepted_passenger_events": _accepted_events,
 }

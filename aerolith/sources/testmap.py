@@ -61,11 +61,12 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Flights in bronze shape; ``extra`` carries lineage columns along."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"
     )
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = (
@@ -93,6 +94,7 @@ def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.timestamp_seconds(actual_s))
         .alias("actual_departure_utc"),
         status.alias("status"),
+        *extra,
     )
 
 
@@ -149,3 +151,49 @@ def silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_passenger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_source(contracts.PASSENGER_EVENTS, passenger_events(spark, sf_dir))
+
+
+# Raw JSON records (the landing format validation reads) over the same mapping.
+
+UTC_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+UTC_TEXT_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def _raw(df: DataFrame, ref: str) -> DataFrame:
+    """JSON text per record; null fields are left out of the object (absent
+    keys), as ``to_json`` does."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias("value"), F.col(ref).alias("_record_ref"))
+
+
+def raw_records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Raw records of ``source``. Flights of orders in status ``P`` (pending)
+    arrive without a flight number, and raw statuses keep the upper-case
+    spellings, so the flight source carries real contract violations."""
+    if source == contracts.FLIGHTS:
+        f = bronze_flights(spark, sf_dir, extra=("o_orderstatus",))
+        return _raw(
+            f.select(
+                "flight_id",
+                F.when(F.col("o_orderstatus") != F.lit("P"), F.col("flight_number")).alias("flight_number"),
+                "origin_airport",
+                "destination_airport",
+                F.date_format("scheduled_departure_utc", UTC_TEXT).alias("scheduled_departure_utc"),
+                F.date_format("actual_departure_utc", UTC_TEXT).alias("actual_departure_utc"),
+                "status",
+            ),
+            "flight_id",
+        )
+    if source == contracts.PASSENGER_EVENTS:
+        e = passenger_events(spark, sf_dir)
+        return _raw(
+            e.withColumn("event_timestamp_utc", F.date_format("event_timestamp_utc", UTC_TEXT_MICROS)), "event_id"
+        )
+    if source == contracts.WEATHER:
+        w = weather(spark, sf_dir).withColumn("observed_at_utc", F.date_format("observed_at_utc", UTC_TEXT_MICROS))
+        return w.select(
+            F.to_json(F.struct(*w.columns)).alias("value"),
+            F.concat_ws(",", "airport_code", "observed_at_utc").alias("_record_ref"),
+        )
+    if source == contracts.AIRPORTS:
+        return _raw(airports(spark, sf_dir), "airport_code")
+    raise ValueError(f"Unsupported source: {source}")
