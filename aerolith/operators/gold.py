@@ -112,6 +112,19 @@ def route_performance(flights: DataFrame, with_load_time: bool = False) -> DataF
     return add_load_time(out, "_gold_loaded_at_utc") if with_load_time else out
 
 
+def route_performance_daily(flights: DataFrame) -> DataFrame:
+    """Route rollup per UTC departure date (same measures as A1)."""
+    slim = with_route(flights).select(
+        "route",
+        F.to_date("scheduled_departure_utc").alias("flight_date"),
+        "flight_id",
+        "is_delayed",
+        "is_cancelled",
+        "departure_delay_minutes",
+    )
+    return disruption_metrics(slim, ["route", "flight_date"])
+
+
 AIRPORT_METRIC_NAMES = {
     "total": "total_departures",
     "delayed": "delayed_departures",

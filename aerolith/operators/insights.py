@@ -273,3 +273,41 @@ def sort_and_limit_routes(routes: DataFrame, sort_by: str, top_n: int) -> DataFr
         raise ValueError(f"Unknown sort mode: {sort_by}") from None
     order = [F.col(c).desc_nulls_last() for c in columns] + [F.col("route").asc_nulls_last()]
     return routes.orderBy(*order).limit(top_n)
+
+
+# --- passenger communication follow-up ------------------------------------------
+
+
+def notification_coverage(flights: DataFrame, events: DataFrame) -> DataFrame:
+    """Per route, how many delayed flights received a delay notification
+    and how long after the scheduled departure the first one was sent.
+
+    Notifications are reduced to the first one per flight before the join
+    (one row per flight id), so the join never multiplies flights."""
+    first = (
+        events.where(F.col("event_type") == F.lit("delay_notification_sent"))
+        .groupBy("flight_id")
+        .agg(F.min("event_timestamp_utc").alias("first_notification_utc"))
+    )
+    delayed = flights.where(F.col("is_delayed")).select(
+        "flight_id",
+        F.concat_ws("-", "origin_airport", "destination_airport").alias("route")
+        if "route" not in flights.columns
+        else F.col("route"),
+        "scheduled_departure_utc",
+    )
+    joined = delayed.join(first, "flight_id", "left").withColumn(
+        "_minutes",
+        F.round(
+            (F.unix_timestamp("first_notification_utc") - F.unix_timestamp("scheduled_departure_utc")) / F.lit(60.0), 2
+        ),
+    )
+    return (
+        joined.groupBy("route")
+        .agg(
+            F.count(F.lit(1)).alias("delayed_flights"),
+            F.count("first_notification_utc").alias("notified_delayed_flights"),
+            mean_of_hundredths("_minutes").alias("average_minutes_to_first_notification"),
+        )
+        .withColumn("notification_coverage", safe_rate("notified_delayed_flights", "delayed_flights"))
+    )

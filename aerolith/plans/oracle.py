@@ -440,3 +440,210 @@ ORACLE["contract_errors_weather"] = _q(
 
 for _name, _order in _TOP.items():
     ORACLE[_name] = _q(f"SELECT * FROM t_route ORDER BY {_order}, route ASC NULLS LAST LIMIT 10")
+
+
+# --- quality, referential checks and documented extras ------------------------
+
+_SILVER_FLIGHT_COLS = (
+    "flight_id flight_number origin_airport destination_airport scheduled_departure_utc actual_departure_utc"
+    " status departure_delay_minutes is_cancelled is_delayed"
+).split()
+_AIRPORT_COLS = "airport_code airport_name city country timezone latitude_deg longitude_deg".split()
+_WEATHER_COLS = "airport_code observed_at_utc temperature_c wind_speed_kmh precipitation_mm".split()
+_EVENT_COLS = "event_id flight_id event_type event_timestamp_utc channel".split()
+_GOLD_COLS = (
+    ["origin_airport"]
+    + [c for c in _SILVER_FLIGHT_COLS if c != "origin_airport"]
+    + [f"origin_{c}" for c in _AIRPORT_COLS]
+    + [f"destination_{c}" for c in _AIRPORT_COLS]
+    + ["origin_temperature_c", "origin_wind_speed_kmh", "origin_precipitation_mm", "route"]
+)
+_ROUTE_COLS = (
+    "route total_flights delayed_flights cancelled_flights average_departure_delay_minutes delay_rate".split()
+)
+_AIRPORT_AGG_COLS = (
+    "origin_airport total_departures delayed_departures cancelled_departures average_departure_delay_minutes"
+    " delay_rate".split()
+    + _AIRPORT_COLS
+)
+_COMM_COLS = "event_type channel route event_count delayed_flight_events cancelled_flight_events".split()
+
+_DATASETS = {
+    ("silver", "flights"): ("t_flights", _SILVER_FLIGHT_COLS),
+    ("silver", "airports"): ("t_airports", _AIRPORT_COLS),
+    ("silver", "weather"): ("t_weather", _WEATHER_COLS),
+    ("silver", "passenger_events"): ("t_events", _EVENT_COLS),
+    ("gold", "flight_performance"): ("t_gold", _GOLD_COLS),
+    ("gold", "route_performance"): ("t_route", _ROUTE_COLS),
+    ("gold", "airport_disruption"): ("t_airport", _AIRPORT_AGG_COLS),
+    ("gold", "passenger_communication"): ("t_comm", _COMM_COLS),
+}
+
+
+def _profile_row(layer: str, dataset: str, cte: str, cols: list[str]) -> str:
+    missing = " + ".join(f"count_if({c} IS NULL)" for c in cols)
+    n = len(cols)
+    return f"""
+SELECT '{layer}' AS layer, '{dataset}' AS dataset, count(*) AS "rows",
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {cte})) AS BIGINT) AS duplicate_rows,
+       CAST({missing} AS BIGINT) AS missing_values,
+       CAST({missing} AS DOUBLE) / NULLIF(count(*) * {n}, 0) AS missing_value_rate
+FROM {cte}
+"""
+
+
+ORACLE["quality_profile"] = _q(
+    "\nUNION ALL\n".join(_profile_row(layer, ds, cte, cols) for (layer, ds), (cte, cols) in _DATASETS.items())
+)
+ORACLE["dataset_inventory"] = _q(
+    "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, '{ds}' AS dataset, count(*) AS \"rows\", {len(cols)} AS columns FROM {cte}"
+        for (layer, ds), (cte, cols) in _DATASETS.items()
+    )
+)
+ORACLE["duplicate_flight_keys"] = _q(
+    "SELECT flight_id, count(*) AS occurrences FROM t_bronze GROUP BY flight_id HAVING count(*) > 1"
+)
+
+
+def _orphan(check: str, table: str, key: str, ref_table: str, ref_key: str) -> str:
+    return (
+        f"SELECT '{check}' AS \"check\", count(*) AS orphan_records FROM {table} x"
+        f" WHERE NOT EXISTS (SELECT 1 FROM {ref_table} r WHERE r.{ref_key} = x.{key})"
+    )
+
+
+ORACLE["referential_orphans"] = _q(
+    "\nUNION ALL\n".join(
+        [
+            _orphan("flights.origin_airport -> airports", "t_flights", "origin_airport", "t_airports", "airport_code"),
+            _orphan(
+                "flights.destination_airport -> airports",
+                "t_flights",
+                "destination_airport",
+                "t_airports",
+                "airport_code",
+            ),
+            _orphan("weather.airport_code -> airports", "t_weather", "airport_code", "t_airports", "airport_code"),
+            _orphan("passenger_events.flight_id -> flights", "t_events", "flight_id", "t_flights", "flight_id"),
+        ]
+    )
+)
+ORACLE["enrichment_gaps"] = _q(
+    """
+SELECT count(*) AS flights,
+       count_if(origin_airport_name IS NULL) AS missing_origin_airport,
+       count_if(destination_airport_name IS NULL) AS missing_destination_airport,
+       count_if(origin_wind_speed_kmh IS NULL) AS missing_origin_weather
+FROM t_gold
+"""
+)
+
+_TOL_US = 6 * 3600 * 1_000_000
+_FLIGHT_COLS = (
+    "f.flight_id, f.flight_number, f.origin_airport, f.destination_airport, f.scheduled_departure_utc,"
+    " f.actual_departure_utc, f.status, f.departure_delay_minutes, f.is_cancelled, f.is_delayed"
+)
+
+_ASOF_BACKWARD = f"""
+, t_back AS (
+    SELECT {_FLIGHT_COLS}, w.observed_at_utc AS obs, w.temperature_c AS t, w.wind_speed_kmh AS w,
+           w.precipitation_mm AS p
+    FROM t_flights f ASOF LEFT JOIN t_weather w
+      ON f.origin_airport = w.airport_code AND f.scheduled_departure_utc >= w.observed_at_utc
+), t_asof AS (
+    SELECT * EXCLUDE (obs, t, w, p, ok),
+           CASE WHEN ok THEN obs END AS origin_observed_at_utc,
+           CASE WHEN ok THEN t END AS origin_temperature_c,
+           CASE WHEN ok THEN w END AS origin_wind_speed_kmh,
+           CASE WHEN ok THEN p END AS origin_precipitation_mm
+    FROM (SELECT *, epoch_us(scheduled_departure_utc) - epoch_us(obs) <= {_TOL_US} AS ok FROM t_back)
+)
+"""
+
+ORACLE["weather_asof"] = _q(_ASOF_BACKWARD + "SELECT * FROM t_asof")
+ORACLE["weather_asof_nearest"] = _q(
+    f"""
+, t_back AS (
+    SELECT {_FLIGHT_COLS}, w.observed_at_utc AS obs, w.temperature_c AS t, w.wind_speed_kmh AS w,
+           w.precipitation_mm AS p
+    FROM t_flights f ASOF LEFT JOIN t_weather w
+      ON f.origin_airport = w.airport_code AND f.scheduled_departure_utc >= w.observed_at_utc
+), t_fwd AS (
+    SELECT f.flight_id, w.observed_at_utc AS obs, w.temperature_c AS t, w.wind_speed_kmh AS w,
+           w.precipitation_mm AS p
+    FROM t_flights f ASOF LEFT JOIN t_weather w
+      ON f.origin_airport = w.airport_code AND f.scheduled_departure_utc <= w.observed_at_utc
+), t_pair AS (
+    SELECT b.*, fw.obs AS fobs, fw.t AS ft, fw.w AS fw_, fw.p AS fp,
+           epoch_us(b.scheduled_departure_utc) - epoch_us(b.obs) AS gb,
+           epoch_us(fw.obs) - epoch_us(b.scheduled_departure_utc) AS gf
+    FROM t_back b JOIN t_fwd fw USING (flight_id)
+), t_pick AS (
+    SELECT *,
+           CASE WHEN gb IS NOT NULL AND gb <= {_TOL_US} AND (gf IS NULL OR gf > {_TOL_US} OR gb <= gf) THEN 'b'
+                WHEN gf IS NOT NULL AND gf <= {_TOL_US} THEN 'f' END AS pick
+    FROM t_pair
+)
+SELECT flight_id, flight_number, origin_airport, destination_airport, scheduled_departure_utc,
+       actual_departure_utc, status, departure_delay_minutes, is_cancelled, is_delayed,
+       CASE pick WHEN 'b' THEN obs WHEN 'f' THEN fobs END AS origin_observed_at_utc,
+       CASE pick WHEN 'b' THEN t WHEN 'f' THEN ft END AS origin_temperature_c,
+       CASE pick WHEN 'b' THEN w WHEN 'f' THEN fw_ END AS origin_wind_speed_kmh,
+       CASE pick WHEN 'b' THEN p WHEN 'f' THEN fp END AS origin_precipitation_mm
+FROM t_pick
+"""
+)
+ORACLE["weather_delay_view_asof"] = _q(
+    _ASOF_BACKWARD
+    + f"""
+, t_b AS (
+    SELECT *,
+           CASE WHEN origin_wind_speed_kmh >= 0 AND origin_wind_speed_kmh <= 15 THEN '0-15 km/h'
+                WHEN origin_wind_speed_kmh > 15 AND origin_wind_speed_kmh <= 25 THEN '15-25 km/h'
+                WHEN origin_wind_speed_kmh > 25 AND origin_wind_speed_kmh <= 35 THEN '25-35 km/h'
+                WHEN origin_wind_speed_kmh > 35 AND origin_wind_speed_kmh <= 100 THEN '35+ km/h'
+           END AS wind_bucket
+    FROM t_asof
+)
+SELECT wind_bucket,
+       count(flight_id) AS total_flights,
+       {_isum('is_delayed')} AS delayed_flights,
+       {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
+       avg(origin_wind_speed_kmh) AS average_wind_speed_kmh,
+       CAST({_isum('is_delayed')} AS DOUBLE) / count(flight_id) AS delay_rate
+FROM t_b
+WHERE flight_id IS NOT NULL AND origin_wind_speed_kmh IS NOT NULL
+  AND departure_delay_minutes IS NOT NULL AND is_delayed IS NOT NULL AND wind_bucket IS NOT NULL
+GROUP BY wind_bucket
+"""
+)
+_MINUTES = "round((floor(epoch(n.first_notification_utc)) - epoch(f.scheduled_departure_utc)) / 60.0, 2)"
+ORACLE["notification_coverage"] = _q(
+    f"""
+, t_first AS (
+    SELECT flight_id, min(event_timestamp_utc) AS first_notification_utc
+    FROM t_events WHERE event_type = 'delay_notification_sent' GROUP BY flight_id
+)
+SELECT f.route,
+       count(*) AS delayed_flights,
+       count(n.first_notification_utc) AS notified_delayed_flights,
+       CAST(sum(CAST(round({_MINUTES} * 100) AS BIGINT)) AS DOUBLE) / 100.0
+           / NULLIF(count({_MINUTES}), 0) AS average_minutes_to_first_notification,
+       CAST(count(n.first_notification_utc) AS DOUBLE) / count(*) AS notification_coverage
+FROM t_flights_r f LEFT JOIN t_first n ON f.flight_id = n.flight_id
+WHERE f.is_delayed
+GROUP BY f.route
+"""
+)
+ORACLE["route_performance_daily"] = _q(
+    f"""
+SELECT route, CAST(scheduled_departure_utc AS DATE) AS flight_date,
+       count(flight_id) AS total_flights,
+       {_isum('is_delayed')} AS delayed_flights,
+       {_isum('is_cancelled')} AS cancelled_flights,
+       {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
+       CAST({_isum('is_delayed')} AS DOUBLE) / NULLIF(count(flight_id), 0) AS delay_rate
+FROM t_flights_r GROUP BY route, CAST(scheduled_departure_utc AS DATE)
+"""
+)

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import contracts
-from aerolith.operators import gold, insights
+from aerolith.operators import gold, insights, quality
+from aerolith.operators.asof import weather_asof
 from aerolith.operators import validation as V
 from aerolith.operators.dedupe import deduplicate, duplicates_for_review
 from aerolith.plans import reports
@@ -115,6 +116,50 @@ def _accepted_events(spark: SparkSession, sf: str) -> DataFrame:
     return V.typed_records(contracts.PASSENGER_EVENTS, accepted)
 
 
+ASOF_TOLERANCE_SECONDS = 6 * 3600
+
+
+def _layers(spark: SparkSession, sf: str) -> dict[str, dict[str, DataFrame]]:
+    ensure_utc(spark)
+    flights, airports = tm.silver_flights(spark, sf), tm.silver_airports(spark, sf)
+    weather, events = tm.silver_weather(spark, sf), tm.silver_passenger_events(spark, sf)
+    return {
+        "silver": {"flights": flights, "airports": airports, "weather": weather, "passenger_events": events},
+        "gold": {
+            "flight_performance": gold.enrich_flights(flights, airports, weather),
+            "route_performance": gold.route_performance(flights),
+            "airport_disruption": gold.airport_disruption(flights, airports),
+            "passenger_communication": gold.passenger_communication(events, flights),
+        },
+    }
+
+
+def _orphans(spark: SparkSession, sf: str) -> DataFrame:
+    ensure_utc(spark)
+    return quality.referential_orphans(
+        tm.silver_flights(spark, sf),
+        tm.silver_airports(spark, sf),
+        tm.silver_weather(spark, sf),
+        tm.silver_passenger_events(spark, sf),
+    )
+
+
+def _asof(direction: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ensure_utc(spark)
+        return weather_asof(_flights(spark, sf), tm.silver_weather(spark, sf), ASOF_TOLERANCE_SECONDS, direction)
+
+    return run
+
+
+def _weather_view_asof(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.build_weather_delay_view(_asof("backward")(spark, sf))
+
+
+def _coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return insights.notification_coverage(_flights(spark, sf), tm.silver_passenger_events(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "silver_dedupe_flights": _dedupe,
     "silver_duplicate_review": _duplicates,
@@ -159,4 +204,14 @@ QUERIES: dict[str, Query] = {
     "contract_gate_summary_record_mode": _gate_summary("record"),
     "contract_quarantine_flights": _quarantine_flights,
     "contract_accepted_passenger_events": _accepted_events,
+    "quality_profile": lambda spark, sf: quality.profile_layers(_layers(spark, sf)),
+    "dataset_inventory": lambda spark, sf: quality.inventory_layers(_layers(spark, sf)),
+    "duplicate_flight_keys": lambda spark, sf: quality.duplicate_keys(tm.bronze_flights(spark, sf), ["flight_id"]),
+    "referential_orphans": _orphans,
+    "enrichment_gaps": lambda spark, sf: quality.enrichment_gaps(_gold_flights(spark, sf)),
+    "weather_asof": _asof("backward"),
+    "weather_asof_nearest": _asof("nearest"),
+    "weather_delay_view_asof": _weather_view_asof,
+    "notification_coverage": _coverage,
+    "route_performance_daily": lambda spark, sf: gold.route_performance_daily(_flights(spark, sf)),
 }
