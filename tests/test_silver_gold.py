@@ -1,0 +1,155 @@
+"""Silver and gold semantics on hand-made rows."""
+
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from aerolith import contracts
+from aerolith.operators import gold
+from aerolith.operators.dedupe import deduplicate, duplicates_for_review
+from aerolith.operators.silver import clean_flights, clean_source
+
+UTC = timezone.utc
+
+
+def ts(text):
+    return None if text is None else datetime.fromisoformat(text).replace(tzinfo=UTC)
+
+
+def flights_df(spark, rows):
+    data = [
+        (fid, num, o, d, ts(s), ts(a), st)
+        for fid, num, o, d, s, a, st in rows
+    ]
+    return spark.createDataFrame(data, contracts.spark_schema(contracts.FLIGHTS))
+
+
+def flight(fid="F1", scheduled="2026-05-06T06:30:00", actual="2026-05-06T07:10:00", status="delayed", o="GDN", d="FRA"):
+    return (fid, "LH001", o, d, scheduled, actual, status)
+
+
+def by_id(df):
+    return {r.flight_id: r for r in df.collect()}
+
+
+def test_identical_duplicates_collapse_and_delay_is_40(spark):
+    out = clean_flights(flights_df(spark, [flight(), flight()])).collect()
+    assert len(out) == 1
+    assert out[0].departure_delay_minutes == 40.0 and out[0].is_delayed is True
+
+
+def test_missing_actual_time_modes(spark):
+    df = flights_df(spark, [flight(actual=None, status="scheduled")])
+    zero = clean_flights(df).collect()[0]
+    null = clean_flights(df, missing_delay="null").collect()[0]
+    assert (zero.departure_delay_minutes, zero.is_delayed) == (0.0, False)
+    assert (null.departure_delay_minutes, null.is_delayed) == (None, False)
+
+
+def test_threshold_and_floor(spark):
+    rows = [
+        flight("A", actual="2026-05-06T06:45:00"),  # 15 min 0 s
+        flight("B", actual="2026-05-06T06:45:01"),  # 15 min 1 s
+        flight("C", actual="2026-05-06T06:27:00"),  # 3 min early
+        flight("D", actual="2026-05-06T06:35:00", status="delayed"),  # D15
+    ]
+    got = by_id(clean_flights(flights_df(spark, rows)))
+    assert (got["A"].departure_delay_minutes, got["A"].is_delayed) == (15.0, False)
+    assert (got["B"].departure_delay_minutes, got["B"].is_delayed) == (15.02, True)
+    assert got["C"].departure_delay_minutes == 0.0
+    assert got["D"].is_delayed is False
+
+
+def test_cancelled_flight_modes_and_status_case(spark):
+    df = flights_df(spark, [flight(status="CANCELLED", actual="2026-05-06T07:10:00")])
+    keep = clean_flights(df).collect()[0]
+    null = clean_flights(df, cancelled_delay="null").collect()[0]
+    assert keep.status == "cancelled"
+    assert (keep.is_cancelled, keep.is_delayed, keep.departure_delay_minutes) == (True, True, 40.0)
+    assert (null.is_cancelled, null.is_delayed, null.departure_delay_minutes) == (True, False, None)
+
+
+def test_null_status_gives_null_cancel_flag(spark):
+    out = clean_flights(flights_df(spark, [flight(status=None)])).collect()[0]
+    assert out.is_cancelled is None
+
+
+def test_dedup_survivor_independent_of_partitioning(spark):
+    rows = [flight("K", actual=f"2026-05-06T07:{m:02d}:00", status=s) for m, s in [(10, "delayed"), (5, "departed"), (20, "delayed")]]
+    rows += [flight(f"X{i}") for i in range(30)]
+    df = flights_df(spark, rows)
+    a = sorted(map(tuple, deduplicate(df, ["flight_id"]).collect()))
+    b = sorted(map(tuple, deduplicate(df.repartition(7), ["flight_id"]).collect()))
+    assert a == b
+    survivor = [r for r in a if r[0] == "K"][0]
+    assert survivor[5] == datetime(2026, 5, 6, 7, 5)  # collected as naive UTC
+    review = duplicates_for_review(df, ["flight_id"]).where(F.col("flight_id") == "K").count()
+    assert review == 2
+
+
+def airports_df(spark, codes):
+    return spark.createDataFrame(
+        [(c, f"{c} airport", c.title(), "Country", "UTC", 1.0, 2.0) for c in codes],
+        contracts.spark_schema(contracts.AIRPORTS),
+    )
+
+
+def weather_df(spark, rows):
+    return spark.createDataFrame(
+        [(c, ts(t), 10.0, w, 0.0) for c, t, w in rows], contracts.spark_schema(contracts.WEATHER)
+    )
+
+
+def test_first_weather_observation_is_earliest(spark):
+    w = weather_df(spark, [("GDN", "2026-05-06T08:00:00", 30.0), ("GDN", "2026-05-06T06:00:00", 10.0)])
+    first = gold.first_observation(w.repartition(3)).collect()
+    assert len(first) == 1 and first[0].wind_speed_kmh == 10.0
+
+
+def test_enrich_keeps_every_flight_and_prefixes(spark):
+    f = clean_flights(flights_df(spark, [flight("F1"), flight("F2", o="XXX"), flight("F3", d=None)]))
+    a = airports_df(spark, ["GDN", "FRA"])
+    w = weather_df(spark, [("GDN", "2026-05-06T06:00:00", 22.0)])
+    out = gold.enrich_flights(f, a, w)
+    assert out.columns[0] == "origin_airport"
+    assert "origin_airport_code" in out.columns and "destination_city" in out.columns
+    got = by_id(out)
+    assert len(got) == 3
+    assert got["F1"].origin_wind_speed_kmh == 22.0 and got["F1"].destination_airport_name == "FRA airport"
+    assert got["F2"].origin_airport_name is None and got["F2"].route == "XXX-FRA"
+    assert got["F3"].route == "GDN"  # D6: concat_ws skips the null side
+    assert got["F3"].destination_airport_code is None  # D9: null key never matches
+
+
+def test_rollups_and_unknown_flight_events(spark):
+    f = clean_flights(flights_df(spark, [flight("F1"), flight("F2", actual="2026-05-06T06:31:00", status="departed")]))
+    ev = spark.createDataFrame(
+        [
+            ("e1", "F1", "delay_notification_sent", ts("2026-05-06T06:36:00"), "sms"),
+            ("e2", "F1", "delay_notification_sent", ts("2026-05-06T06:37:00"), "sms"),
+            ("e3", "NOPE", "mobile_check_in", ts("2026-05-06T06:00:00"), "web"),
+        ],
+        contracts.spark_schema(contracts.PASSENGER_EVENTS),
+    )
+    routes = gold.route_performance(f).collect()
+    assert len(routes) == 1
+    r = routes[0]
+    assert (r.total_flights, r.delayed_flights, r.cancelled_flights) == (2, 1, 0)
+    assert r.average_departure_delay_minutes == pytest.approx(20.5) and r.delay_rate == 0.5
+    comm = {(c.event_type, c.route): c for c in gold.passenger_communication(ev, f).collect()}
+    hit = comm[("delay_notification_sent", "GDN-FRA")]
+    assert (hit.event_count, hit.delayed_flight_events, hit.cancelled_flight_events) == (2, 2, 0)
+    miss = comm[("mobile_check_in", None)]
+    assert (miss.event_count, miss.delayed_flight_events, miss.cancelled_flight_events) == (1, None, None)  # D7
+    airports = gold.airport_disruption(f, airports_df(spark, ["GDN"])).collect()[0]
+    assert (airports.origin_airport, airports.total_departures, airports.airport_name) == ("GDN", 2, "GDN airport")
+
+
+def test_clean_source_dispatch(spark):
+    a = airports_df(spark, ["GDN", "GDN", "FRA"])
+    assert clean_source("airports", a).count() == 2
+    with pytest.raises(ValueError):
+        clean_source("nope", a)
