@@ -120,6 +120,9 @@ ASOF_TOLERANCE_SECONDS = 6 * 3600
 
 
 def _layers(spark: SparkSession, sf: str) -> dict[str, dict[str, DataFrame]]:
+    """Silver and gold tables for the profile and inventory reports, derived
+    lazily. (Staging the silver frames as written tables was measured: at
+    sf0.1 the writes cost more than the recomputation they save.)"""
     ensure_utc(spark)
     flights, airports = tm.silver_flights(spark, sf), tm.silver_airports(spark, sf)
     weather, events = tm.silver_weather(spark, sf), tm.silver_passenger_events(spark, sf)

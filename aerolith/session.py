@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on. The time zone is pinned to UTC because
 # every contract timestamp is a UTC instant.
@@ -66,3 +67,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="aerolith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` once as a Parquet table in the shared
+    checkpoint folder and reading it back. Unlike ``Dataset.checkpoint``, the
+    plan is evaluated once, and readers get column pruning and pushdown."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/aerolith-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

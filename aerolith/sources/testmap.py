@@ -37,6 +37,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster when it yields fewer partitions
+    than the default parallelism (a single-row-group file is read by one
+    task, and every narrow step after it would stay in that task). On large
+    inputs the scan already has enough splits and this is a no-op. The
+    round-robin repartition sorts before distributing, so a retried task
+    reproduces its rows."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def airport_code(key: str | Column) -> Column:
     k = F.col(key) if isinstance(key, str) else key
     return F.concat(
@@ -63,8 +74,10 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Flights in bronze shape; ``extra`` carries lineage columns along."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"
+    li = spread(
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"
+        )
     )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -99,7 +112,7 @@ def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
+    return spread(read_table(spark, sf_dir, "events"))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
