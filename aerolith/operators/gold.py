@@ -71,7 +71,7 @@ def enrich_flights(
             *[F.col(m).alias(f"origin_{m}") for m in WEATHER_MEASURES],
         ),
         max_broadcast_rows,
-        derived=True,
+        probe=weather.select("airport_code").distinct(),
     )
     out = (
         flights.join(origin, flights["origin_airport"] == origin["origin_airport_code"], "left")

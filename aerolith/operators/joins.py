@@ -9,7 +9,6 @@ skewed partitions AQE splits at run time.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,20 +16,16 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, derived: bool = False) -> DataFrame:
+def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, probe: DataFrame | None = None) -> DataFrame:
     """Return ``broadcast(dim)`` when it has at most ``max_rows`` rows, else
     ``dim`` unchanged.
 
-    ``derived=True`` marks a dimension computed from a large input (e.g. an
-    aggregate): it is persisted first so the size check and the join share
-    one computation. Persisted blocks lost with an executor are recomputed
-    from lineage, so this is safe under executor loss.
+    ``probe`` is a cheaper frame with at least as many rows as ``dim`` (for an
+    aggregate: its distinct grouping keys, read from one pruned column), used
+    when counting ``dim`` itself would evaluate a large plan twice.
     """
     if max_rows <= 0:
         return dim
-    if derived:
-        dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    if not small and derived:
-        dim.unpersist()
+    bound = probe if probe is not None else dim
+    small = bound.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(dim) if small else dim

@@ -14,39 +14,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _missing(df: DataFrame, name: str) -> Column:
-    """Null (and, for floating columns, NaN) cells of one column."""
+def _missing_flag(df: DataFrame, name: str) -> Column:
+    """1 when the cell is null (or NaN for floating columns), else 0."""
     c = F.col(name)
     dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.count_if(c.isNull() | F.isnan(c))
-    return F.count_if(c.isNull())
+    missing = c.isNull() | F.isnan(c) if isinstance(dtype, (T.DoubleType, T.FloatType)) else c.isNull()
+    return missing.cast("int")
 
 
 def quality_profile(df: DataFrame, layer: str, dataset: str) -> DataFrame:
     """Rows, duplicate rows (rows equal to an earlier row, nulls equal),
     missing cells and the mean per-column missing rate.
 
-    Duplicates are counted as Σ(count − 1) over a group-by of all columns;
-    the group-by is partially aggregated map-side, so a heavily repeated row
-    costs one shuffled row per map task."""
+    One group-by over all columns yields everything: a group's rows share
+    their null pattern, so missing cells are the group's nulls times its
+    size. The group-by is partially aggregated map-side, so a heavily
+    repeated row costs one shuffled row per map task."""
     cols = df.columns
     n_cols = len(cols)
-    cells = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        sum((_missing(df, c) for c in cols), F.lit(0).cast("bigint")).alias("missing_values"),
+    nulls = sum((_missing_flag(df, c) for c in cols), F.lit(0))
+    groups = df.groupBy(*[F.col(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n")).withColumn("_nulls", nulls)
+    totals = groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+        F.coalesce(F.sum(F.col("_nulls") * F.col("_n")), F.lit(0)).cast("bigint").alias("missing_values"),
     )
-    dupes = (
-        df.groupBy(*[F.col(c) for c in cols])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
-    )
-    return cells.crossJoin(dupes).select(
+    return totals.select(
         F.lit(layer).alias("layer"),
         F.lit(dataset).alias("dataset"),
-        F.col("rows"),
-        F.col("duplicate_rows"),
-        F.col("missing_values").cast("bigint").alias("missing_values"),
+        "rows",
+        "duplicate_rows",
+        "missing_values",
         F.try_divide(F.col("missing_values").cast("double"), (F.col("rows") * F.lit(n_cols)).cast("double")).alias(
             "missing_value_rate"
         ),
