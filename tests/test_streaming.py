@@ -1,0 +1,35 @@
+"""Incremental bronze: two landings, each processed once."""
+
+from __future__ import annotations
+
+import json
+from pathlib import Path
+
+from aerolith.streaming.incremental import start_bronze_stream
+
+GOOD = {
+    "flight_id": "LH-1", "flight_number": "LH001", "origin_airport": "GDN", "destination_airport": "FRA",
+    "scheduled_departure_utc": "2026-05-06T06:30:00Z", "actual_departure_utc": "2026-05-06T07:10Z",
+    "status": "delayed",
+}
+
+
+def land(folder: Path, name: str, records) -> None:
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(json.dumps(r) for r in records) + "\n")
+
+
+def test_incremental_bronze_exactly_once(spark, scratch):
+    raw, bronze, ckpt = Path(scratch) / "raw", Path(scratch) / "bronze", Path(scratch) / "ckpt"
+    land(raw / "flights", "a.json", [GOOD, dict(GOOD, flight_id="LH-2", status="boarding")])
+    q = start_bronze_stream(spark, str(raw), str(bronze), "flights", str(ckpt))
+    q.awaitTermination(120)
+    land(raw / "flights", "b.json", [dict(GOOD, flight_id="LH-3")])
+    q = start_bronze_stream(spark, str(raw), str(bronze), "flights", str(ckpt))
+    q.awaitTermination(120)
+    out = spark.read.parquet(str(bronze / "flights"))
+    assert sorted(r.flight_id for r in out.collect()) == ["LH-1", "LH-3"]
+    actual = [r.actual_departure_utc for r in out.collect() if r.flight_id == "LH-1"][0]
+    assert actual.minute == 10  # minute-only text kept its instant
+    quarantine = spark.read.parquet(str(bronze / "_quarantine" / "flights")).collect()
+    assert len(quarantine) == 1 and "invalid value for status" in quarantine[0].errors[0].message
