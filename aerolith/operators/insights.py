@@ -311,3 +311,48 @@ def notification_coverage(flights: DataFrame, events: DataFrame) -> DataFrame:
         )
         .withColumn("notification_coverage", safe_rate("notified_delayed_flights", "delayed_flights"))
     )
+
+
+# --- notebook / dashboard views (P12 with O3, O4) --------------------------------
+
+ROUTE_VIEW_COLUMNS = (
+    "route", "total_flights", "delayed_flights", "cancelled_flights", "delay_rate", "average_departure_delay_minutes",
+)
+AIRPORT_VIEW_COLUMNS = (
+    "origin_airport", "airport_name", "city", "country", "total_departures", "delayed_departures",
+    "cancelled_departures", "delay_rate",
+)
+COMMUNICATION_VIEW_COLUMNS = (
+    "route", "event_type", "channel", "event_count", "delayed_flight_events", "cancelled_flight_events",
+)
+
+
+def route_view(routes: DataFrame) -> DataFrame:
+    """Route columns ordered by delay rate, then mean delay (desc)."""
+    return routes.select(*ROUTE_VIEW_COLUMNS).orderBy(
+        F.col("delay_rate").desc_nulls_last(), F.col("average_departure_delay_minutes").desc_nulls_last(), "route"
+    )
+
+
+def airport_view(airports: DataFrame) -> DataFrame:
+    """P12 + O3: airport ranking by rate, cancellations, mean delay (desc),
+    code (asc)."""
+    return airports.orderBy(
+        F.col("delay_rate").desc_nulls_last(),
+        F.col("cancelled_departures").desc_nulls_last(),
+        F.col("average_departure_delay_minutes").desc_nulls_last(),
+        F.col("origin_airport").asc_nulls_last(),
+    ).select(*AIRPORT_VIEW_COLUMNS)
+
+
+def communication_view(communication: DataFrame) -> DataFrame:
+    """P12 + O4: delayed, cancelled, event count (desc), then route, type,
+    channel (asc, nulls last as in the notebook)."""
+    return communication.select(*COMMUNICATION_VIEW_COLUMNS).orderBy(
+        F.col("delayed_flight_events").desc_nulls_last(),
+        F.col("cancelled_flight_events").desc_nulls_last(),
+        F.col("event_count").desc_nulls_last(),
+        F.col("route").asc_nulls_last(),
+        F.col("event_type").asc_nulls_last(),
+        F.col("channel").asc_nulls_last(),
+    )

@@ -120,3 +120,22 @@ def enrichment_gaps(flight_performance: DataFrame) -> DataFrame:
         F.count_if(F.col("destination_airport_name").isNull()).alias("missing_destination_airport"),
         F.count_if(F.col("origin_wind_speed_kmh").isNull()).alias("missing_origin_weather"),
     )
+
+
+def future_events(events: DataFrame) -> DataFrame:
+    """Events stamped after the processing time."""
+    return events.where(F.col("event_timestamp_utc") > F.current_timestamp())
+
+
+def known_time_zones(spark) -> DataFrame:
+    """IANA zone names known to the Python runtime (about 600 rows: a fixed,
+    bounded reference list, safe to broadcast)."""
+    import zoneinfo
+
+    return spark.createDataFrame([(z,) for z in sorted(zoneinfo.available_timezones())], "timezone string")
+
+
+def invalid_time_zones(airports: DataFrame) -> DataFrame:
+    """Airports whose non-null time zone is not a known zone name."""
+    zones = F.broadcast(known_time_zones(airports.sparkSession))
+    return airports.where(F.col("timezone").isNotNull()).join(zones, "timezone", "left_anti")

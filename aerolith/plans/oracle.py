@@ -647,3 +647,15 @@ SELECT route, CAST(scheduled_departure_utc AS DATE) AS flight_date,
 FROM t_flights_r GROUP BY route, CAST(scheduled_departure_utc AS DATE)
 """
 )
+
+ORACLE["notebook_route_view"] = _q(
+    "SELECT route, total_flights, delayed_flights, cancelled_flights, delay_rate, average_departure_delay_minutes"
+    " FROM t_route"
+)
+ORACLE["notebook_airport_view"] = _q(
+    "SELECT origin_airport, airport_name, city, country, total_departures, delayed_departures,"
+    " cancelled_departures, delay_rate FROM t_airport"
+)
+ORACLE["notebook_communication_view"] = _q(
+    "SELECT route, event_type, channel, event_count, delayed_flight_events, cancelled_flight_events FROM t_comm"
+)

@@ -217,4 +217,7 @@ QUERIES: dict[str, Query] = {
     "weather_delay_view_asof": _weather_view_asof,
     "notification_coverage": _coverage,
     "route_performance_daily": lambda spark, sf: gold.route_performance_daily(_flights(spark, sf)),
+    "notebook_route_view": lambda spark, sf: insights.route_view(_route_perf(spark, sf)),
+    "notebook_airport_view": lambda spark, sf: insights.airport_view(_airport_disruption(spark, sf)),
+    "notebook_communication_view": lambda spark, sf: insights.communication_view(_communication(spark, sf)),
 }

@@ -123,3 +123,18 @@ def test_weather_asof_backward_and_nearest(spark):
     near = {r.flight_id: r for r in weather_asof(flights, weather, 6 * 3600, "nearest").collect()}
     assert near["F1"].origin_wind_speed_kmh == 20.0  # 30 min after beats 60 min before
     assert len(near) == 3
+
+
+def test_future_events_and_time_zones(spark):
+    from aerolith.operators import quality
+
+    u = timezone.utc
+    ev = spark.createDataFrame(
+        [("e1", datetime(2020, 1, 1, tzinfo=u)), ("e2", datetime(2999, 1, 1, tzinfo=u))],
+        "event_id string, event_timestamp_utc timestamp",
+    )
+    assert [r.event_id for r in quality.future_events(ev).collect()] == ["e2"]
+    airports = spark.createDataFrame(
+        [("GDN", "Europe/Warsaw"), ("XXX", "Mars/Olympus"), ("YYY", None)], "airport_code string, timezone string"
+    )
+    assert [r.airport_code for r in quality.invalid_time_zones(airports).collect()] == ["XXX"]
