@@ -44,8 +44,12 @@ def spread(df: DataFrame) -> DataFrame:
     inputs the scan already has enough splits and this is a no-op. The
     round-robin repartition sorts before distributing, so a retried task
     reproduces its rows."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect)
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def airport_code(key: str | Column) -> Column:

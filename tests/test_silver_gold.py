@@ -153,3 +153,19 @@ def test_clean_source_dispatch(spark):
     assert clean_source("airports", a).count() == 2
     with pytest.raises(ValueError):
         clean_source("nope", a)
+
+
+def test_gold_results_do_not_depend_on_partitioning(spark):
+    from aerolith.sources import testmap as tm
+
+    sf = "/root/testdata/sf0.001"
+    f = tm.silver_flights(spark, sf)
+    ev = tm.silver_passenger_events(spark, sf)
+    for build in (
+        lambda fl, e: gold.route_performance(fl),
+        lambda fl, e: gold.passenger_communication(e, fl),
+        lambda fl, e: gold.route_performance_daily(fl),
+    ):
+        a = sorted(map(tuple, build(f, ev).collect()), key=repr)
+        b = sorted(map(tuple, build(f.repartition(7), ev.repartition(5)).collect()), key=repr)
+        assert a == b  # bit-identical, means included

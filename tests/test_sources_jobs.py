@@ -157,3 +157,15 @@ def test_source_fallback_and_demo_tables(spark, scratch):
     assert recs[contracts.AIRPORTS].count() == 5  # fell back to the synthetic airports
     tables, demo = catalog.load_dashboard_tables(spark, str(Path(scratch) / "no-gold"))
     assert demo is True and tables["flight_performance"].count() == 720
+
+
+def test_date_partitioned_layers(spark, scratch):
+    raw, bronze, silver, gold = (str(Path(scratch) / d) for d in ("raw", "bronze", "silver", "gold"))
+    jobs.ingest(raw, spark=spark)
+    jobs.build_bronze(raw, bronze, spark=spark)
+    jobs.build_silver(bronze, silver, spark=spark, partition_by_date=True)
+    assert any(p.name.startswith("flight_date=") for p in Path(f"{silver}/flights").iterdir())
+    g = {r["table"]: r["row_count"] for r in jobs.build_gold(silver, gold, spark=spark, partition_by_date=True)}
+    assert g["gold_flight_performance"] == 720
+    one_day = spark.read.parquet(f"{gold}/gold_flight_performance").where(F.col("flight_date") == "2026-05-02")
+    assert one_day.count() == 12
