@@ -9,7 +9,7 @@ Every rule is a column expression; a record's ``errors`` column is an array
 of ``struct<rule, field, message>`` in the rule order V1, V2 (fields sorted),
 V3, V4 (contract order), then the source rule (V5/V6/V7). Nothing is
 collected: the messages of a source are a distributed long-form DataFrame,
-and the dataset-level gate is a one-row flag joined back to the records.
+and the dataset-level gate is a scalar subquery used as a filter constant.
 """
 
 from __future__ import annotations
@@ -239,22 +239,18 @@ def gate(validated: DataFrame, mode: str = "dataset") -> tuple[DataFrame, DataFr
     """Split validated records into (accepted, rejected).
 
     ``mode="dataset"`` (V10): any error rejects the whole source. The flag is
-    a one-row global aggregate joined back to every record, so nothing goes
-    through the driver. ``mode="record"`` (X1): invalid records go to the
-    quarantine side, valid ones are accepted.
+    a scalar subquery (a global aggregate, partially aggregated per task),
+    evaluated once and used as a constant in the filter, so nothing goes
+    through the driver and no join is needed. ``mode="record"`` (X1):
+    invalid records go to the quarantine side, valid ones are accepted.
     """
     has_errors = F.size("errors") > 0
     if mode == "record":
         return validated.where(~has_errors), validated.where(has_errors)
     if mode != "dataset":
         raise ValueError(f"mode must be 'dataset' or 'record', got {mode!r}")
-    flag = validated.agg(F.coalesce(F.max(has_errors.cast("int")), F.lit(0)).alias("_source_rejected"))
-    flagged = validated.crossJoin(F.broadcast(flag))
-    rejected_source = F.col("_source_rejected") == 1
-    return (
-        flagged.where(~rejected_source).drop("_source_rejected"),
-        flagged.where(rejected_source).drop("_source_rejected"),
-    )
+    rejected_source = validated.agg(F.coalesce(F.max(has_errors.cast("int")), F.lit(0))).scalar() == F.lit(1)
+    return validated.where(~rejected_source), validated.where(rejected_source)
 
 
 def validation_summary(source: str, validated: DataFrame, mode: str = "dataset") -> DataFrame:
@@ -278,6 +274,14 @@ def validation_summary(source: str, validated: DataFrame, mode: str = "dataset")
     )
 
 
+def validation_totals(summary: DataFrame) -> DataFrame:
+    """V11 totals: accepted and rejected records over all sources."""
+    return summary.agg(
+        F.coalesce(F.sum("accepted_records"), F.lit(0)).cast("bigint").alias("total_accepted_records"),
+        F.coalesce(F.sum("rejected_records"), F.lit(0)).cast("bigint").alias("total_rejected_records"),
+    )
+
+
 def typed_records(source: str, validated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Contract-typed columns from the parsed records (bronze reader for
     text-validated sources). Timestamps go through the same normaliser as

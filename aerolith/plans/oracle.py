@@ -659,3 +659,9 @@ ORACLE["notebook_airport_view"] = _q(
 ORACLE["notebook_communication_view"] = _q(
     "SELECT route, event_type, channel, event_count, delayed_flight_events, cancelled_flight_events FROM t_comm"
 )
+ORACLE["contract_gate_totals"] = _q(
+    "SELECT CAST(sum(accepted_records) AS BIGINT) AS total_accepted_records,"
+    " CAST(sum(rejected_records) AS BIGINT) AS total_rejected_records FROM ("
+    + _gate_all("dataset").removeprefix("WITH " + PRELUDE.strip() + "\n")
+    + ")"
+)

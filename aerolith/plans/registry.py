@@ -205,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "contract_errors_weather": _contract_errors(contracts.WEATHER),
     "contract_gate_summary": _gate_summary("dataset"),
     "contract_gate_summary_record_mode": _gate_summary("record"),
+    "contract_gate_totals": lambda spark, sf: V.validation_totals(_gate_summary("dataset")(spark, sf)),
     "contract_quarantine_flights": _quarantine_flights,
     "contract_accepted_passenger_events": _accepted_events,
     "quality_profile": lambda spark, sf: quality.profile_layers(_layers(spark, sf)),

@@ -169,3 +169,27 @@ def test_gold_results_do_not_depend_on_partitioning(spark):
         a = sorted(map(tuple, build(f, ev).collect()), key=repr)
         b = sorted(map(tuple, build(f.repartition(7), ev.repartition(5)).collect()), key=repr)
         assert a == b  # bit-identical, means included
+
+
+def test_sub_second_times_truncate_to_whole_seconds(spark):
+    rows = [(None, "LH001", "GDN", "FRA", datetime(2026, 5, 6, 6, 30, 0, 900000, tzinfo=UTC),
+             datetime(2026, 5, 6, 6, 46, 0, 100000, tzinfo=UTC), "delayed")]
+    df = spark.createDataFrame([("D2",) + r[1:] for r in rows], contracts.spark_schema(contracts.FLIGHTS))
+    out = clean_flights(df).collect()[0]
+    assert out.departure_delay_minutes == 16.0  # 06:46:00 - 06:30:00, fractions dropped per side (D2)
+
+
+def test_null_group_keys_kept_and_null_ids_not_counted(spark):
+    f = clean_flights(flights_df(spark, [flight("F1"), flight("F2", o=None, d=None), flight(None)]))
+    routes = {r.route: r for r in gold.route_performance(f).collect()}
+    assert "" in routes  # both airports null: concat_ws gives an empty key, kept (D8)
+    a = {r.origin_airport: r for r in gold.airport_disruption(f, airports_df(spark, ["GDN"])).collect()}
+    assert None in a and a[None].total_departures == 1  # null key kept as its own group (D8)
+    # a null flight id is a row but not counted (D10); its group still has the other flight
+    assert routes["GDN-FRA"].total_flights == 1
+
+
+def test_rate_is_null_when_no_flight_ids(spark):
+    f = clean_flights(flights_df(spark, [flight(None)]))
+    r = gold.route_performance(f).collect()[0]
+    assert (r.total_flights, r.delay_rate) == (0, None)  # no division error under ANSI (D10)
