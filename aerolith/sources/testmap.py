@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import contracts
+from aerolith.operators.joins import checked_broadcast
 from aerolith.operators.silver import clean_flights, clean_source
 
 # Fixed values of the mapping (mirrored in the oracle SQL).
@@ -65,7 +66,8 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     k = F.col("n_nationkey").cast("double")
-    return nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+    region = checked_broadcast(region.select("r_regionkey", "r_name"))
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
         airport_code("n_nationkey").alias("airport_code"),
         F.col("n_name").alias("airport_name"),
         F.col("n_name").alias("city"),
