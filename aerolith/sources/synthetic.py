@@ -28,7 +28,11 @@ AIRPORTS = (
 )
 # Demo routes (origin, destination), used round-robin.
 ROUTES = (("GDN", "FRA"), ("FRA", "GDN"), ("GDN", "MUC"), ("MUC", "GDN"), ("WAW", "FRA"), ("ZRH", "MUC"))
-# Delay minutes of on-time flights, by index % 5.
+# The demo data's defining cycles, so the generated data equals
+# the reference demo data (720 flights → 142 delayed, 8 cancelled):
+# cancelled when i % 97 == 0; delayed when i % 10 is 0 or 1; delayed flights
+# are 18 + (i * 7) % 73 minutes late, others by ON_TIME_DELAYS[i % 5];
+# flights every 2 hours; events 14 h / 2 h before, 5 / 10 min after departure.
 ON_TIME_DELAYS = (0, 4, 7, 9, 12)
 
 UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
