@@ -193,3 +193,23 @@ def test_rate_is_null_when_no_flight_ids(spark):
     f = clean_flights(flights_df(spark, [flight(None)]))
     r = gold.route_performance(f).collect()[0]
     assert (r.total_flights, r.delay_rate) == (0, None)  # no division error under ANSI (D10)
+
+
+def test_gold_weather_is_narrowed_to_three_measures(spark):
+    f = clean_flights(flights_df(spark, [flight("F1")]))
+    out = gold.enrich_flights(f, airports_df(spark, ["GDN", "FRA"]), weather_df(spark, [("GDN", "2026-05-06T06:00:00", 5.0)]))
+    weather_cols = [c for c in out.columns if c.startswith("origin_") and not c.startswith("origin_airport")]
+    airport_cols = {"origin_city", "origin_country", "origin_timezone", "origin_latitude_deg", "origin_longitude_deg"}
+    assert set(weather_cols) - airport_cols == {"origin_temperature_c", "origin_wind_speed_kmh", "origin_precipitation_mm"}  # D11
+    assert "observed_at_utc" not in out.columns and "airport_code" not in out.columns
+
+
+def test_upper_case_status_is_rejected_at_ingest_but_lowered_in_silver(spark):
+    from aerolith.operators import validation as V
+    from aerolith.sources.raw import records_frame
+
+    rec = {"flight_id": "F", "flight_number": "N", "origin_airport": "GDN", "destination_airport": "FRA",
+           "scheduled_departure_utc": "2026-05-06T06:30:00Z", "status": "DELAYED"}
+    errors = V.validate("flights", records_frame(spark, [rec])).collect()[0].errors
+    assert [e.rule for e in errors] == ["V3"]  # D13: case-sensitive vocabulary at the gate
+    assert clean_flights(flights_df(spark, [flight(status="DELAYED")])).collect()[0].status == "delayed"
