@@ -25,7 +25,7 @@ from aerolith.operators import validation as V
 from aerolith.operators.silver import clean_source
 from aerolith.session import build_session, ensure_utc
 from aerolith.sources import landed, synthetic
-from aerolith.sources.raw import read_json_lines, require_path
+from aerolith.sources.raw import read_json_array_file, read_json_lines, require_path
 
 GOLD_TABLES = (
     "gold_flight_performance",
@@ -129,6 +129,16 @@ def source_records(
     return raw
 
 
+def landed_records(spark: SparkSession, landing_dir: str, fmt: str = "jsonl") -> dict[str, DataFrame]:
+    """Raw records of every source from ``landing_dir/<source>``: JSON Lines
+    (``fmt="jsonl"``, splittable) or files holding one JSON array each
+    (``fmt="array"``, messages cite the record index)."""
+    if fmt not in ("jsonl", "array"):
+        raise ValueError(f"fmt must be 'jsonl' or 'array', got {fmt!r}")
+    reader = read_json_lines if fmt == "jsonl" else read_json_array_file
+    return {source: reader(spark, _join(landing_dir, source)) for source in contracts.SOURCES}
+
+
 def ingest(
     output_dir: str,
     records: Mapping[str, DataFrame] | None = None,
@@ -256,8 +266,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--weather-source", default="synthetic")
     parser.add_argument("--airport-csv")
     parser.add_argument("--weather-payloads")
+    parser.add_argument("--landing", help="ingest: folder with one sub-folder of raw files per source")
+    parser.add_argument("--format", default="jsonl", choices=["jsonl", "array"])
     args = parser.parse_args(argv)
-    if args.layer == "ingest":
+    if args.layer == "ingest" and args.landing:
+        with _Session(None) as s:
+            result = ingest(args.output, records=landed_records(s, args.landing, args.format), spark=s, mode=args.mode)
+    elif args.layer == "ingest":
         result = ingest(
             args.output,
             mode=args.mode,
