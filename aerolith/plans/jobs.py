@@ -67,6 +67,11 @@ def write_summary(spark: SparkSession, rows: list[dict], output_dir: str, name:
         spark.createDataFrame(rows).coalesce(1).write.mode("overwrite").json(_join(output_dir, name))
 
 
+def total_records(rows: list[dict]) -> int:
+    """Total written rows of a job summary (all sources / tables)."""
+    return sum(int(r.get("row_count", 0)) for r in rows)
+
+
 class _Session:
     def __init__(self, spark: SparkSession | None):
         self.owned = spark is None
