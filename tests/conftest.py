@@ -17,7 +17,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from aerolith.session import build_session, checkpoint_dir
 
-    session = build_session("aerolith-tests", master="local[4]", shuffle_partitions=4)
+    session = build_session(
+        "aerolith-tests", master="local[4]", shuffle_partitions=4, extra_conf={"spark.driver.memory": "6g"}
+    )
     checkpoint_dir(session)
     yield session
     session.stop()
