@@ -25,7 +25,7 @@ from aerolith.operators import validation as V
 from aerolith.operators.silver import clean_source
 from aerolith.session import build_session, ensure_utc
 from aerolith.sources import landed, synthetic
-from aerolith.sources.raw import read_json_array_file, read_json_lines, require_path
+from aerolith.sources.raw import path_exists, read_json_array_file, read_json_lines, require_path
 
 GOLD_TABLES = (
     "gold_flight_performance",
@@ -179,9 +179,21 @@ def ingest(
 # --- K2 bronze -------------------------------------------------------------------
 
 
+def raw_source_path(spark: SparkSession, raw_dir: str, source: str) -> tuple[str, bool]:
+    """``raw_dir/<source>`` (JSON Lines, as landed by ``ingest``) or, for raw
+    folders in the batch pipeline's layout, ``raw_dir/<source>.json`` holding
+    one JSON array. Returns (path, is_array_file)."""
+    lines = _join(raw_dir, source)
+    array_file = _join(raw_dir, f"{source}.json")
+    if not path_exists(spark, lines) and path_exists(spark, array_file):
+        return array_file, True
+    return lines, False
+
+
 def bronze_frame(spark: SparkSession, raw_dir: str, source: str) -> DataFrame:
     """S1 + S3: contract-typed records with load time and source file."""
-    raw = read_json_lines(spark, _join(raw_dir, source))
+    path, is_array = raw_source_path(spark, raw_dir, source)
+    raw = read_json_array_file(spark, path) if is_array else read_json_lines(spark, path)
     typed = V.typed_records(source, V.parse_records(raw), keep=("_source_file",))
     return typed.select(*contracts.field_names(source), F.current_timestamp().alias("_bronze_loaded_at_utc"), "_source_file")
 
@@ -190,12 +202,14 @@ def build_bronze(raw_dir: str, output_dir: str, spark: SparkSession | None = Non
     _distinct_paths(raw_dir, output_dir)
     with _Session(spark) as s:
         for source in contracts.SOURCES:
-            require_path(s, _join(raw_dir, source), "raw")
+            require_path(s, raw_source_path(s, raw_dir, source)[0], "raw")
         rows = []
         for source in contracts.SOURCES:
             out = _join(output_dir, source)
             n = write_observed(bronze_frame(s, raw_dir, source), out)
-            rows.append({"source": source, "input_path": _join(raw_dir, source), "output_path": out, "row_count": n})
+            rows.append(
+                {"source": source, "input_path": raw_source_path(s, raw_dir, source)[0], "output_path": out, "row_count": n}
+            )
         write_summary(s, rows, output_dir)
         return rows
 

@@ -52,11 +52,14 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path))
+
+
 def require_path(spark: SparkSession, path: str, layer: str) -> None:
     """Fail fast, naming the layer and dataset, when an input is missing.
     Uses the Hadoop file system of the path, so it works on object stores."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"Missing {layer} input dataset: {path}")
