@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions import bool_count, mean_of_hundredths, route_key, safe_rate
-from aerolith.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from aerolith.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, has_at_most
 from aerolith.operators.silver import add_load_time
 
 WEATHER_MEASURES = ("temperature_c", "wind_speed_kmh", "precipitation_mm")
@@ -63,8 +63,11 @@ def enrich_flights(
 ) -> DataFrame:
     """gold_flight_performance: flights ⟕ origin airport ⟕ destination airport
     ⟕ origin's first weather row, plus ``route``. One row per flight."""
-    origin = checked_broadcast(prefixed(airports, "origin_"), max_broadcast_rows)
-    destination = checked_broadcast(prefixed(airports, "destination_"), max_broadcast_rows)
+    # One size check for the airport dimension, used for both of its roles.
+    small = has_at_most(airports, max_broadcast_rows)
+    origin, destination = prefixed(airports, "origin_"), prefixed(airports, "destination_")
+    if small:
+        origin, destination = F.broadcast(origin), F.broadcast(destination)
     weather_first = checked_broadcast(
         first_observation(weather).select(
             F.col("airport_code").alias("origin_airport"),

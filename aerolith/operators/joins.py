@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Bounded row count: reads at most ``max_rows + 1`` rows."""
+    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, probe: DataFrame | None = None) -> DataFrame:
     """Return ``broadcast(dim)`` when it has at most ``max_rows`` rows, else
     ``dim`` unchanged.
@@ -24,8 +29,5 @@ def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     aggregate: its distinct grouping keys, read from one pruned column), used
     when counting ``dim`` itself would evaluate a large plan twice.
     """
-    if max_rows <= 0:
-        return dim
-    bound = probe if probe is not None else dim
-    small = bound.limit(max_rows + 1).count() <= max_rows
+    small = has_at_most(probe if probe is not None else dim, max_rows)
     return F.broadcast(dim) if small else dim
