@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, has_at_most
+from aerolith.session import materialize
+
 
 def _missing_flag(df: DataFrame, name: str) -> Column:
     """1 when the cell is null (or NaN for floating columns), else 0."""
@@ -22,28 +25,92 @@ def _missing_flag(df: DataFrame, name: str) -> Column:
     return missing.cast("int")
 
 
-def quality_profile(df: DataFrame, layer: str, dataset: str) -> DataFrame:
+def _normalised(df: DataFrame, name: str) -> Column:
+    """Column value as group-by equality sees it: -0.0 equals 0.0 and every
+    NaN equals every other NaN, so equal rows get equal signatures."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(F.isnan(c), F.lit(float("nan"))).when(c == 0, F.lit(0.0)).otherwise(c)
+    return c
+
+
+def _exact_duplicates(df: DataFrame) -> DataFrame:
+    """Σ(count − 1) over a group-by of all columns (one row)."""
+    return (
+        df.groupBy(*[F.col(c) for c in df.columns])
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    )
+
+
+def duplicate_rows(df: DataFrame, max_suspects: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Rows equal to an earlier row (nulls equal), exactly, without shuffling
+    full rows.
+
+    Stage 1 groups rows by a 96-bit signature (xxhash64 and murmur3 over all
+    columns): about 12 bytes per row are shuffled, partially aggregated
+    map-side. A row whose signature occurs once cannot have a duplicate.
+    Stage 2 groups only the suspect rows (signature seen more than once) by
+    all columns, so hash collisions cannot inflate the count. The suspect
+    signatures are written once to the checkpoint folder; when they are few
+    they are broadcast into a semi join, otherwise stage 2 falls back to
+    grouping every row by all columns."""
+    cols = [_normalised(df, c) for c in df.columns]
+    signed = df.select(F.xxhash64(*cols).alias("_s1"), F.hash(*cols).alias("_s2"))
+    suspects = materialize(
+        signed.groupBy("_s1", "_s2").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_s1", "_s2"),
+        "duplicate-suspects",
+    )
+    if not has_at_most(suspects, max_suspects):
+        return _exact_duplicates(df)
+    flagged = (
+        df.withColumn("_s1", F.xxhash64(*cols))
+        .withColumn("_s2", F.hash(*cols))
+        .join(F.broadcast(suspects), ["_s1", "_s2"], "left_semi")
+        .drop("_s1", "_s2")
+    )
+    return _exact_duplicates(flagged)
+
+
+def quality_profile(df: DataFrame, layer: str, dataset: str, duplicates: str = "signature") -> DataFrame:
     """Rows, duplicate rows (rows equal to an earlier row, nulls equal),
     missing cells and the mean per-column missing rate.
 
-    One group-by over all columns yields everything: a group's rows share
-    their null pattern, so missing cells are the group's nulls times its
-    size. The group-by is partially aggregated map-side, so a heavily
-    repeated row costs one shuffled row per map task."""
+    ``duplicates="signature"`` (for stored tables, where reading the input
+    again is a scan): rows and missing cells are one global aggregate and the
+    duplicate count comes from ``duplicate_rows`` as a scalar subquery, so no
+    full row is shuffled unless many rows are suspect.
+
+    ``duplicates="group"`` (for inputs that are expensive plans, where
+    reading the input twice costs more than shuffling it once): one group-by
+    over all columns yields everything, because a group's rows share their
+    null pattern (missing cells = the group's nulls × its size); it is
+    partially aggregated map-side.
+    """
     cols = df.columns
     n_cols = len(cols)
     nulls = sum((_missing_flag(df, c) for c in cols), F.lit(0))
-    groups = df.groupBy(*[F.col(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n")).withColumn("_nulls", nulls)
-    totals = groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
-        F.coalesce(F.sum(F.col("_nulls") * F.col("_n")), F.lit(0)).cast("bigint").alias("missing_values"),
-    )
+    if duplicates == "group":
+        groups = df.groupBy(*[F.col(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n")).withColumn("_nulls", nulls)
+        totals = groups.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
+            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+            F.coalesce(F.sum(F.col("_nulls") * F.col("_n")), F.lit(0)).cast("bigint").alias("missing_values"),
+        )
+        dupes = F.col("duplicate_rows")
+    elif duplicates == "signature":
+        totals = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(nulls), F.lit(0)).cast("bigint").alias("missing_values"),
+        )
+        dupes = duplicate_rows(df).scalar()
+    else:
+        raise ValueError(f"duplicates must be 'signature' or 'group', got {duplicates!r}")
     return totals.select(
         F.lit(layer).alias("layer"),
         F.lit(dataset).alias("dataset"),
         "rows",
-        "duplicate_rows",
+        dupes.alias("duplicate_rows"),
         "missing_values",
         F.try_divide(F.col("missing_values").cast("double"), (F.col("rows") * F.lit(n_cols)).cast("double")).alias(
             "missing_value_rate"
@@ -69,8 +136,10 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def profile_layers(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
-    return union_all([quality_profile(df, layer, name) for layer, tables in layers.items() for name, df in tables.items()])
+def profile_layers(layers: Mapping[str, Mapping[str, DataFrame]], duplicates: str = "signature") -> DataFrame:
+    return union_all(
+        [quality_profile(df, layer, name, duplicates) for layer, tables in layers.items() for name, df in tables.items()]
+    )
 
 
 def inventory_layers(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:

@@ -275,9 +275,37 @@ def build_gold(
         return rows
 
 
+# --- data-quality profile of the written layers (A11, A12) ----------------------
+
+
+def build_profile(silver_dir: str, gold_dir: str, output_dir: str, spark: SparkSession | None = None) -> list[dict]:
+    """Profile (A11) and inventory (A12) of the written silver and gold
+    tables, written under ``output_dir/quality_profile`` and
+    ``output_dir/dataset_inventory``. Inputs are stored tables, so duplicates
+    use the signature method (no full-row shuffle)."""
+    from aerolith.operators import quality
+    from aerolith.sources.catalog import load_gold_tables
+
+    with _Session(spark) as s:
+        for source in contracts.SOURCES:
+            require_path(s, _join(silver_dir, source), "silver")
+        layers = {
+            "silver": {src: s.read.parquet(_join(silver_dir, src)) for src in contracts.SOURCES},
+            "gold": load_gold_tables(s, gold_dir),
+        }
+        profile = quality.profile_layers(layers, duplicates="signature")
+        n = write_observed(profile.coalesce(1), _join(output_dir, "quality_profile"))
+        m = write_observed(quality.inventory_layers(layers).coalesce(1), _join(output_dir, "dataset_inventory"))
+        return [
+            {"table": "quality_profile", "row_count": n},
+            {"table": "dataset_inventory", "row_count": m},
+        ]
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one layer of the batch build.")
-    parser.add_argument("layer", choices=["ingest", "bronze", "silver", "gold"])
+    parser.add_argument("layer", choices=["ingest", "bronze", "silver", "gold", "profile"])
+    parser.add_argument("--gold", help="profile: gold directory (--input is the silver directory)")
     parser.add_argument("--input", help="input directory (bronze/silver/gold)")
     parser.add_argument("--output", required=True)
     parser.add_argument("--mode", default="dataset", choices=["dataset", "record"])
@@ -300,6 +328,8 @@ def main(argv: list[str] | None = None) -> None:
             airport_csv=args.airport_csv,
             weather_payloads=args.weather_payloads,
         )
+    elif args.layer == "profile":
+        result = build_profile(args.input, args.gold, args.output)
     else:
         job = {"bronze": build_bronze, "silver": build_silver, "gold": build_gold}[args.layer]
         result = job(args.input, args.output)

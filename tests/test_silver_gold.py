@@ -213,3 +213,20 @@ def test_upper_case_status_is_rejected_at_ingest_but_lowered_in_silver(spark):
     errors = V.validate("flights", records_frame(spark, [rec])).collect()[0].errors
     assert [e.rule for e in errors] == ["V3"]  # D13: case-sensitive vocabulary at the gate
     assert clean_flights(flights_df(spark, [flight(status="DELAYED")])).collect()[0].status == "delayed"
+
+
+def test_duplicate_rows_exact_with_nulls_and_signed_zero(spark):
+    from aerolith.operators import quality
+
+    df = spark.createDataFrame(
+        [("a", 1.0, None), ("a", 1.0, None), ("a", -0.0, "x"), ("a", 0.0, "x"), ("b", float("nan"), "y"),
+         ("b", float("nan"), "y"), ("b", float("nan"), "y"), ("c", 2.0, "z")],
+        "k string, v double, s string",
+    )
+    expected = df.count() - df.distinct().count()
+    assert expected == 4
+    assert quality.duplicate_rows(df).collect()[0].duplicate_rows == expected
+    assert quality.duplicate_rows(df, max_suspects=1).collect()[0].duplicate_rows == expected  # fallback path
+    for method in ("signature", "group"):
+        prof = quality.quality_profile(df, "t", "d", method).collect()[0]
+        assert (prof.rows, prof.duplicate_rows, prof.missing_values) == (8, 4, 5)  # NaN counts as missing

@@ -119,6 +119,12 @@ def test_layers_round_trip(spark, scratch):
     report = run_report(spark, "route_delay", tables["route_performance"]).collect()
     assert len(report) == 6 and report[0].disruption_rank == 1
     assert Path(f"{gold}/_build_summary").exists()
+    prof_dir = str(Path(scratch) / "profile")
+    assert {r["table"]: r["row_count"] for r in jobs.build_profile(silver, gold, prof_dir, spark=spark)} == {
+        "quality_profile": 8, "dataset_inventory": 8
+    }
+    prof = {(r.layer, r.dataset): r for r in spark.read.parquet(f"{prof_dir}/quality_profile").collect()}
+    assert prof[("silver", "flights")].rows == 720 and prof[("silver", "flights")].duplicate_rows == 0
 
 
 def test_golden_duplicate_flight_and_rejected_source(spark, scratch):
