@@ -356,3 +356,37 @@ def communication_view(communication: DataFrame) -> DataFrame:
         F.col("event_type").asc_nulls_last(),
         F.col("channel").asc_nulls_last(),
     )
+
+
+# --- dashboard interaction chain (entry point 3) ---------------------------------
+
+
+def dashboard_views(
+    tables: dict[str, DataFrame],
+    selected_routes: Sequence[str] = (),
+    delayed_only: bool = False,
+    cancelled_only: bool = False,
+    wind_speed_range: tuple[float, float] | None = None,
+    minimum_delay_rate: float = 0.0,
+    sort_by: str = "Delay rate",
+    top_n: int = 10,
+    minimum_segment_flights: int = 5,
+) -> dict[str, DataFrame]:
+    """Every view of one dashboard state, as lazy DataFrames: route filter
+    (F1) → flight filters (F2) → KPIs, weather summary, weather view and risk
+    matrix over the filtered flights; route table (F3 → O1), airport ranking
+    (O3) and communication ranking (O4) over the route-filtered gold tables,
+    which are not recomputed from the filtered flights."""
+    routed = filter_tables_by_routes(tables, selected_routes)
+    flights = filter_flight_performance(routed["flight_performance"], delayed_only, cancelled_only, wind_speed_range)
+    return {
+        "kpis": calculate_kpis(flights),
+        "weather_summary": calculate_weather_delay_summary(flights),
+        "weather_view": build_weather_delay_view(flights),
+        "risk_matrix": build_delay_risk_heatmap(flights, minimum_segment_flights),
+        "routes": sort_and_limit_routes(
+            filter_route_performance(routed["route_performance"], minimum_delay_rate), sort_by, top_n
+        ),
+        "airports": airport_view(routed["airport_disruption"]),
+        "communication": communication_view(routed["passenger_communication"]),
+    }

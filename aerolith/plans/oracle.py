@@ -665,3 +665,20 @@ ORACLE["contract_gate_totals"] = _q(
     + _gate_all("dataset").removeprefix("WITH " + PRELUDE.strip() + "\n")
     + ")"
 )
+ORACLE["dashboard_filtered_kpis"] = _q(
+    f"""
+, t_sel AS (
+    SELECT * FROM t_gold
+    WHERE route IN ('AAA-AAB', 'ABC-ADE', 'AEE-AAA', 'ACA-ACA')
+      AND is_delayed AND origin_wind_speed_kmh BETWEEN 10.0 AND 60.0
+)
+SELECT count(*) AS total_flights,
+       CAST(coalesce({_isum('is_delayed')}, 0) AS BIGINT) AS delayed_flights,
+       CAST(coalesce({_isum('is_cancelled')}, 0) AS BIGINT) AS cancelled_flights,
+       CASE WHEN count(*) = 0 THEN CAST(0 AS DOUBLE)
+            ELSE CAST(coalesce({_isum('is_delayed')}, 0) AS DOUBLE) / count(*) END AS delay_rate,
+       CASE WHEN count(*) = 0 THEN CAST(0 AS DOUBLE)
+            ELSE {_mean2('departure_delay_minutes')} END AS average_departure_delay_minutes
+FROM t_sel
+"""
+)

@@ -163,6 +163,17 @@ def _coverage(spark: SparkSession, sf: str) -> DataFrame:
     return insights.notification_coverage(_flights(spark, sf), tm.silver_passenger_events(spark, sf))
 
 
+def _dashboard_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    tables = {
+        "flight_performance": _gold_flights(spark, sf),
+        "route_performance": _route_perf(spark, sf),
+        "airport_disruption": _airport_disruption(spark, sf),
+        "passenger_communication": _communication(spark, sf),
+    }
+    views = insights.dashboard_views(tables, SELECTED_ROUTES, delayed_only=True, wind_speed_range=WIND_RANGE)
+    return views["kpis"]
+
+
 QUERIES: dict[str, Query] = {
     "silver_dedupe_flights": _dedupe,
     "silver_duplicate_review": _duplicates,
@@ -223,4 +234,5 @@ QUERIES: dict[str, Query] = {
     "notebook_route_view": lambda spark, sf: insights.route_view(_route_perf(spark, sf)),
     "notebook_airport_view": lambda spark, sf: insights.airport_view(_airport_disruption(spark, sf)),
     "notebook_communication_view": lambda spark, sf: insights.communication_view(_communication(spark, sf)),
+    "dashboard_filtered_kpis": _dashboard_kpis,
 }

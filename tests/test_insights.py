@@ -138,3 +138,28 @@ def test_future_events_and_time_zones(spark):
         [("GDN", "Europe/Warsaw"), ("XXX", "Mars/Olympus"), ("YYY", None)], "airport_code string, timezone string"
     )
     assert [r.airport_code for r in quality.invalid_time_zones(airports).collect()] == ["XXX"]
+
+
+def test_dashboard_views_chain(spark):
+    flights = perf(spark, [("A", "R1", True, False, 20.0, 30.0), ("B", "R2", False, True, 0.0, 10.0), ("C", "R1", False, False, 3.0, 50.0)])
+    routes = spark.createDataFrame(
+        [("R1", 2, 1, 0, 11.5, 0.5), ("R2", 1, 0, 1, 0.0, 0.0)],
+        "route string, total_flights long, delayed_flights long, cancelled_flights long, "
+        "average_departure_delay_minutes double, delay_rate double",
+    )
+    airports = spark.createDataFrame(
+        [("GDN", "G", "G", "PL", 3, 1, 1, 0.33, 7.0)],
+        "origin_airport string, airport_name string, city string, country string, total_departures long, "
+        "delayed_departures long, cancelled_departures long, delay_rate double, average_departure_delay_minutes double",
+    )
+    comm = spark.createDataFrame(
+        [("R1", "mobile_check_in", "web", 2, 1, 0), ("R2", "mobile_check_in", "web", 1, 0, 1)],
+        "route string, event_type string, channel string, event_count long, delayed_flight_events long, "
+        "cancelled_flight_events long",
+    )
+    tables = {"flight_performance": flights, "route_performance": routes, "airport_disruption": airports,
+              "passenger_communication": comm}
+    views = insights.dashboard_views(tables, ["R1"], delayed_only=True)
+    assert tuple(views["kpis"].collect()[0])[:3] == (1, 1, 0)
+    assert [r.route for r in views["routes"].collect()] == ["R1"]
+    assert views["airports"].count() == 1 and views["communication"].count() == 1
