@@ -31,6 +31,7 @@ BLANK_PATTERN = r"(?U)\A[\s\x1c-\x1f]*\z"
 UTC_TIMESTAMP_PATTERN = (
     r"\A(\d{4}-\d{2}-\d{2})[T ](\d{2})(?::(\d{2})(?::(\d{2})(\.\d{1,6})?)?)?(?:Z|\+00:00)\z"
 )
+UTC_TIMESTAMP_FORMAT = "yyyy-MM-dd['T'][' ']HH[:mm[:ss[.SSSSSS]]]XXX"
 NUMERIC_TEXT_PATTERN = r"(?U)\A\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*\z"
 NUMERIC_VARIANT_TYPES = r"\A(?:TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)\z"
 
@@ -86,23 +87,13 @@ class _Value:
         return self.present & ~self.blank
 
 
-def utc_timestamp_text(text: Column) -> Column:
-    """Canonical ``yyyy-MM-ddTHH:mm:ss[.f]Z`` text of an accepted UTC
-    timestamp, or null when the text is not one. One anchored regex decides
-    acceptance; the rest is plain string slicing (the shape is known)."""
-    ok = text.rlike(UTC_TIMESTAMP_PATTERN)
-    n = F.length(text)
-    body = F.when(text.endswith("Z"), text.substr(F.lit(1), n - 1)).otherwise(text.substr(F.lit(1), n - 6))
-    body = F.concat(body.substr(1, 10), F.lit("T"), body.substr(12, 64))  # space separator → T
-    m = F.length(body)
-    full = F.when(m == 13, F.concat(body, F.lit(":00:00"))).when(m == 16, F.concat(body, F.lit(":00"))).otherwise(body)
-    return F.when(ok, F.concat(full, F.lit("Z")))
-
-
 def parse_utc_timestamp(text: Column) -> Column:
     """Timestamp of an accepted UTC text; null when rejected or invalid
-    (e.g. month 13)."""
-    return utc_timestamp_text(text).try_cast("timestamp")
+    (e.g. month 13, 30 February, hour 24). The anchored regex decides the
+    accepted shapes; one pattern with optional sections parses all of them
+    (minute-only and hour-only text included), so the text is read twice,
+    not once per shape."""
+    return F.when(text.rlike(UTC_TIMESTAMP_PATTERN), F.try_to_timestamp(text, F.lit(UTC_TIMESTAMP_FORMAT)))
 
 
 def _timestamp_ok(v: _Value) -> Column:
