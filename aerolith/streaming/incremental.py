@@ -27,6 +27,15 @@ def _join(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
+def _write_batch(df: DataFrame, path: str) -> None:
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_batch_id")
+        .parquet(path)
+    )
+
+
 def validated_stream(spark: SparkSession, raw_dir: str, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming raw records of ``source`` with the ``errors`` column."""
     reader = spark.readStream.format("text")
@@ -46,28 +55,36 @@ def start_bronze_stream(
     checkpoint_location: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append valid records to ``bronze_dir/<source>`` (contract types, load
+    """Write valid records to ``bronze_dir/<source>`` (contract types, load
     time, source file) and invalid ones, with their messages, to
-    ``bronze_dir/_quarantine/<source>``. One micro-batch writes both sinks
+    ``bronze_dir/_quarantine/<source>``, one ``_batch_id`` partition per
+    micro-batch (idempotent on retry). One micro-batch writes both sinks
     through ``foreachBatch``; the validated batch is staged once."""
     contracts.fields(source)
     location = checkpoint_location or _join(checkpoint_dir(spark), "streams", f"bronze-{source}")
     stream = validated_stream(spark, raw_dir, source)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # foreachBatch is at-least-once: a retried batch must replace, not
+        # append to, its own output. Each batch owns the ``_batch_id``
+        # partition and overwrites only that partition.
         staged = batch.drop(V.DOC).persist()
         try:
             accepted, rejected = V.gate(staged, "record")
             typed = V.typed_records(source, V.parse_records(accepted), keep=("_source_file",))
-            typed.select(
-                *contracts.field_names(source),
-                F.current_timestamp().alias("_bronze_loaded_at_utc"),
-                "_source_file",
-                F.lit(batch_id).alias("_batch_id"),
-            ).write.mode("append").parquet(_join(bronze_dir, source))
-            rejected.select("value", "_source_file", "errors", F.lit(batch_id).alias("_batch_id")).write.mode(
-                "append"
-            ).parquet(_join(bronze_dir, "_quarantine", source))
+            _write_batch(
+                typed.select(
+                    *contracts.field_names(source),
+                    F.current_timestamp().alias("_bronze_loaded_at_utc"),
+                    "_source_file",
+                    F.lit(batch_id).alias("_batch_id"),
+                ),
+                _join(bronze_dir, source),
+            )
+            _write_batch(
+                rejected.select("value", "_source_file", "errors", F.lit(batch_id).alias("_batch_id")),
+                _join(bronze_dir, "_quarantine", source),
+            )
         finally:
             staged.unpersist()
 

@@ -33,3 +33,15 @@ def test_incremental_bronze_exactly_once(spark, scratch):
     assert actual.minute == 10  # minute-only text kept its instant
     quarantine = spark.read.parquet(str(bronze / "_quarantine" / "flights")).collect()
     assert len(quarantine) == 1 and "invalid value for status" in quarantine[0].errors[0].message
+
+
+def test_batch_rewrite_is_idempotent(spark, scratch):
+    from aerolith.streaming.incremental import _write_batch
+    from pyspark.sql import functions as F
+
+    path = str(Path(scratch) / "out")
+    df = spark.createDataFrame([("a",), ("b",)], "v string")
+    _write_batch(df.withColumn("_batch_id", F.lit(0)), path)
+    _write_batch(df.withColumn("_batch_id", F.lit(1)), path)
+    _write_batch(df.withColumn("_batch_id", F.lit(1)), path)  # retried batch 1
+    assert spark.read.parquet(path).count() == 4
