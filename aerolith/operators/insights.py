@@ -229,18 +229,26 @@ def build_delay_risk_heatmap(flights: DataFrame, minimum_segment_flights: int) -
     return per_route.where(qualifies).select("route", *cells)
 
 
-def delay_distribution(flights: DataFrame) -> DataFrame:
+def delay_distribution(flights: DataFrame, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Min, p50, p90, max and mean delay, long form (metric, value).
 
-    ``percentile`` is exact with linear interpolation; its state is a map of
-    distinct values to counts, and delays are rounded to hundredths of a
-    minute, so the state stays small however many flights there are.
+    ``exact=True``: ``percentile`` with linear interpolation (numpy's
+    default). Its state is a map of distinct values to counts; delays are
+    hundredths of a minute, so it stays small however many flights there
+    are. ``exact=False``: ``percentile_approx`` (a quantile sketch of fixed
+    size, relative rank error about 1/``accuracy``) for value domains
+    without such a bound.
     """
     delay = F.col("departure_delay_minutes")
+    if exact:
+        p50, p90 = F.percentile(delay, F.lit(0.5)), F.percentile(delay, F.lit(0.9))
+    else:
+        p50 = F.percentile_approx(delay, 0.5, accuracy).cast("double")
+        p90 = F.percentile_approx(delay, 0.9, accuracy).cast("double")
     stats = flights.agg(
         F.min(delay).alias("min"),
-        F.percentile(delay, F.lit(0.5)).alias("p50"),
-        F.percentile(delay, F.lit(0.9)).alias("p90"),
+        p50.alias("p50"),
+        p90.alias("p90"),
         F.max(delay).alias("max"),
         mean_of_hundredths(delay).alias("mean"),
     )

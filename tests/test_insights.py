@@ -163,3 +163,11 @@ def test_dashboard_views_chain(spark):
     assert tuple(views["kpis"].collect()[0])[:3] == (1, 1, 0)
     assert [r.route for r in views["routes"].collect()] == ["R1"]
     assert views["airports"].count() == 1 and views["communication"].count() == 1
+
+
+def test_delay_distribution_approximate_option(spark):
+    df = spark.range(10_000).selectExpr("cast(id % 997 as double) / 10 as departure_delay_minutes")
+    exact = {r.metric: r.departure_delay_minutes for r in insights.delay_distribution(df).collect()}
+    approx = {r.metric: r.departure_delay_minutes for r in insights.delay_distribution(df, exact=False).collect()}
+    assert approx["min"] == exact["min"] and approx["max"] == exact["max"]
+    assert abs(approx["p90"] - exact["p90"]) <= 0.2 and abs(approx["p50"] - exact["p50"]) <= 0.2
