@@ -162,20 +162,25 @@ def referential_orphans(
     codes = airports.select(F.col("airport_code").alias("_code")).distinct()
     flight_ids = flights.select(F.col("flight_id").alias("_fid")).distinct()
 
-    def orphans(check: str, df: DataFrame, key: str, ref: DataFrame, ref_key: str) -> DataFrame:
+    def orphans(check: str, df: DataFrame, key: str, ref: DataFrame, ref_key: str, pre_aggregate: bool) -> DataFrame:
+        if pre_aggregate:
+            # Both sides grow with the data: count records per key first
+            # (map-side combine), so a hot key is one row in the join.
+            side = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        else:
+            side = df.select(key, F.lit(1).alias("_n"))
         return (
-            df.select(key)
-            .join(ref, F.col(key) == F.col(ref_key), "left_anti")
-            .agg(F.count(F.lit(1)).alias("orphan_records"))
+            side.join(ref, F.col(key) == F.col(ref_key), "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_records"))
             .select(F.lit(check).alias("check"), "orphan_records")
         )
 
     return union_all(
         [
-            orphans("flights.origin_airport -> airports", flights, "origin_airport", codes, "_code"),
-            orphans("flights.destination_airport -> airports", flights, "destination_airport", codes, "_code"),
-            orphans("weather.airport_code -> airports", weather, "airport_code", codes, "_code"),
-            orphans("passenger_events.flight_id -> flights", events, "flight_id", flight_ids, "_fid"),
+            orphans("flights.origin_airport -> airports", flights, "origin_airport", codes, "_code", False),
+            orphans("flights.destination_airport -> airports", flights, "destination_airport", codes, "_code", False),
+            orphans("weather.airport_code -> airports", weather, "airport_code", codes, "_code", False),
+            orphans("passenger_events.flight_id -> flights", events, "flight_id", flight_ids, "_fid", True),
         ]
     )
 
