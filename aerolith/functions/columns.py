@@ -82,10 +82,16 @@ def mean_of_hundredths(c: str | Column) -> Column:
     """Mean of a column whose values have at most two decimals (delay minutes
     are rounded to hundredths). The sum is taken over exact integer
     hundredths, so the result does not depend on partitioning or summation
-    order, unlike a floating-point ``avg``; null when there are no values."""
+    order, unlike a floating-point ``avg``; null when there are no values.
+
+    The precondition is checked in the same aggregate: if any value is not a
+    hundredth (beyond floating-point noise), the plain ``avg`` is returned."""
     c = _col(c)
-    hundredths = F.sum(F.round(c * F.lit(100)).cast("bigint"))
-    return F.try_divide(hundredths.cast("double") / F.lit(100.0), F.count(c).cast("double"))
+    scaled = c * F.lit(100)
+    hundredths = F.sum(F.round(scaled).cast("bigint"))
+    exact = F.try_divide(hundredths.cast("double") / F.lit(100.0), F.count(c).cast("double"))
+    off_grid = F.max(F.abs(scaled - F.round(scaled)))
+    return F.when(F.coalesce(off_grid, F.lit(0.0)) <= F.lit(1e-6), exact).otherwise(F.avg(c))
 
 
 def pearson(x: str | Column, y: str | Column) -> Column:

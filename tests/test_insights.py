@@ -171,3 +171,14 @@ def test_delay_distribution_approximate_option(spark):
     approx = {r.metric: r.departure_delay_minutes for r in insights.delay_distribution(df, exact=False).collect()}
     assert approx["min"] == exact["min"] and approx["max"] == exact["max"]
     assert abs(approx["p90"] - exact["p90"]) <= 0.2 and abs(approx["p50"] - exact["p50"]) <= 0.2
+
+
+def test_mean_of_hundredths_falls_back_for_other_values(spark):
+    from aerolith.functions import mean_of_hundredths
+
+    on_grid = spark.createDataFrame([(15.28,), (0.01,), (3.0,)], "x double")
+    off_grid = spark.createDataFrame([(1.0 / 3,), (2.0 / 3,)], "x double")
+    assert on_grid.agg(mean_of_hundredths("x")).collect()[0][0] == pytest.approx((15.28 + 0.01 + 3.0) / 3)
+    assert off_grid.agg(mean_of_hundredths("x")).collect()[0][0] == pytest.approx(0.5)
+    empty = spark.createDataFrame([], "x double")
+    assert empty.agg(mean_of_hundredths("x")).collect()[0][0] is None
