@@ -154,12 +154,14 @@ def ingest(
     """K1: validate every source, land accepted records as JSON Lines under
     ``output_dir/<source>``, rejected records under ``_quarantine`` (record
     mode), every message under ``_errors`` and the per-source summary under
-    ``_validation_summary``. Returns the summary rows (one per source)."""
+    ``_validation_summary``. Every record with its ``errors`` is kept under
+    ``_validated`` (the one evaluation of the rules that all other outputs
+    read, and an audit trail). Returns the summary rows (one per source)."""
     with _Session(spark) as s:
         recs = dict(records) if records is not None else source_records(s, **source_options)
         summaries = []
         for source, raw in recs.items():
-            staged_path = _join(output_dir, "_staging", source)
+            staged_path = _join(output_dir, "_validated", source)
             validated = V.validate(source, raw).drop(V.DOC)
             validated.write.mode("overwrite").parquet(staged_path)
             staged = s.read.parquet(staged_path)
