@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import contracts
-from aerolith.operators.joins import checked_broadcast
 from aerolith.operators.silver import clean_flights, clean_source
 
 # Fixed values of the mapping (mirrored in the oracle SQL).
@@ -38,19 +37,41 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Bytes of input below which spreading a scan costs more than it saves.
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Total size of the files behind a scan (file-system metadata only)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it yields fewer partitions
-    than the default parallelism (a single-row-group file is read by one
-    task, and every narrow step after it would stay in that task). On large
-    inputs the scan already has enough splits and this is a no-op. The
-    round-robin repartition sorts before distributing, so a retried task
-    reproduces its rows."""
+    """Round-robin a scan over the cluster when its input is big enough to
+    matter (``SPREAD_MIN_BYTES``) but too small to be cut into
+    ``defaultParallelism`` splits by size (the supplied files hold one row
+    group each, which one task reads, and every narrow step after it would
+    stay in that task). Decided from file metadata only. On large inputs the
+    scan already has enough splits and this is a no-op. The round-robin
+    repartition sorts before distributing, so a retried task reproduces its
+    rows."""
     try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect)
+        spark = df.sparkSession
+        target = spark.sparkContext.defaultParallelism
+        split_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
+        size = _input_bytes(df)
+    except Exception:  # sessions without JVM access (e.g. Spark Connect)
+        return df
+    if size < SPREAD_MIN_BYTES or size >= target * split_bytes:
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target)
 
 
 def airport_code(key: str | Column) -> Column:
@@ -66,7 +87,7 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     k = F.col("n_nationkey").cast("double")
-    region = checked_broadcast(region.select("r_regionkey", "r_name"))
+    # Both are file scans: Spark's file-size statistics decide the broadcast.
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
         airport_code("n_nationkey").alias("airport_code"),
         F.col("n_name").alias("airport_name"),
