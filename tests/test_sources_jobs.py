@@ -220,3 +220,26 @@ def test_bronze_reads_array_file_layout(spark, scratch):
     assert rows == {"flights": 1, "airports": 1, "weather": 0, "passenger_events": 0}
     got = spark.read.parquet(str(Path(scratch) / "bronze" / "flights")).collect()[0]
     assert got.flight_id == "F1" and got.actual_departure_utc is not None
+
+
+def test_ingest_with_landed_public_sources(spark, scratch):
+    csv = Path(scratch) / "airports.csv"
+    csv.write_text(AIRPORT_CSV)
+    payloads = Path(scratch) / "hourly"
+    payloads.mkdir()
+    lines = [
+        json.dumps({"airport_code": "GDN", "payload": HOURLY}),
+        json.dumps({"airport_code": "FRA", "payload": HOURLY}),
+        json.dumps({"airport_code": "IGN", "payload": HOURLY}),  # not a chosen airport
+    ]
+    (payloads / "part.json").write_text("\n".join(lines) + "\n")
+    recs = jobs.source_records(
+        spark, airport_source="csv", weather_source="hourly", airport_csv=str(csv), weather_payloads=str(payloads)
+    )
+    airports = [json.loads(r.value)["airport_code"] for r in recs["airports"].collect()]
+    weather = [json.loads(r.value) for r in recs["weather"].collect()]
+    assert sorted(airports) == ["FRA", "GDN"]
+    assert sorted({w["airport_code"] for w in weather}) == ["FRA", "GDN"] and len(weather) == 4
+    raw = str(Path(scratch) / "raw")
+    summary = {r["source"]: r for r in jobs.ingest(raw, records=recs, spark=spark)}
+    assert summary["weather"]["accepted_records"] == 4 and summary["airports"]["accepted_records"] == 2
