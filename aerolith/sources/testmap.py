@@ -38,7 +38,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Bytes of input below which spreading a scan costs more than it saves.
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
+SPREAD_MIN_BYTES = 1024 * 1024
 
 
 def _input_bytes(df: DataFrame) -> int:
