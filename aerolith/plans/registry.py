@@ -236,3 +236,17 @@ QUERIES: dict[str, Query] = {
     "notebook_communication_view": lambda spark, sf: insights.communication_view(_communication(spark, sf)),
     "dashboard_filtered_kpis": _dashboard_kpis,
 }
+
+
+def _pinned_to_utc(fn: Query) -> Query:
+    """Pin the session zone before any frame is built: casts resolve their
+    time zone when the DataFrame is created."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ensure_utc(spark)
+        return fn(spark, sf)
+
+    return run
+
+
+QUERIES = {name: _pinned_to_utc(fn) for name, fn in QUERIES.items()}

@@ -27,3 +27,15 @@ def test_lineitem_scan_is_pruned(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     lineitem = [s for s in schemas if "l_orderkey" in s]
     assert lineitem and all("l_extendedprice" not in s and "l_shipdate" not in s for s in lineitem)
+
+
+def test_queries_are_independent_of_the_callers_time_zone(spark):
+    names = ["gold_passenger_communication", "notification_coverage", "weather_first_observation"]
+    expected = {n: sorted(map(tuple, QUERIES[n](spark, "/root/testdata/sf0.001").collect()), key=repr) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for n in names:
+            got = sorted(map(tuple, QUERIES[n](spark, "/root/testdata/sf0.001").collect()), key=repr)
+            assert got == expected[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
