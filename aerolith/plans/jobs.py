@@ -304,9 +304,32 @@ def build_profile(silver_dir: str, gold_dir: str, output_dir: str, spark: SparkS
         ]
 
 
+# --- SQL reports over a written gold folder (R1–R3) -------------------------------
+
+
+def build_report(gold_dir: str, name: str, output_dir: str, spark: SparkSession | None = None) -> list[dict]:
+    """Run report ``name`` (route_delay, airport_disruption,
+    passenger_communication) over the written gold tables and write its
+    rows, in report order, as one JSON file under ``output_dir/<name>``."""
+    from aerolith.plans.reports import REPORTS, run_report
+
+    if name not in REPORTS:
+        raise ValueError(f"Unknown report: {name}")
+    with _Session(spark) as s:
+        _, table = REPORTS[name]
+        path = _join(gold_dir, table)
+        require_path(s, path, "gold")
+        result = run_report(s, name, s.read.parquet(path))
+        # A report is one row per route / airport / segment: small, so one
+        # ordered file is written (coalesce keeps the sort order).
+        n = write_observed(result.coalesce(1), _join(output_dir, name), fmt="json")
+        return [{"report": name, "row_count": n}]
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one layer of the batch build.")
-    parser.add_argument("layer", choices=["ingest", "bronze", "silver", "gold", "profile"])
+    parser.add_argument("layer", choices=["ingest", "bronze", "silver", "gold", "profile", "report"])
+    parser.add_argument("--name", help="report: route_delay | airport_disruption | passenger_communication")
     parser.add_argument("--gold", help="profile: gold directory (--input is the silver directory)")
     parser.add_argument("--input", help="input directory (bronze/silver/gold)")
     parser.add_argument("--output", required=True)
@@ -332,6 +355,8 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.layer == "profile":
         result = build_profile(args.input, args.gold, args.output)
+    elif args.layer == "report":
+        result = build_report(args.input, args.name, args.output)
     else:
         job = {"bronze": build_bronze, "silver": build_silver, "gold": build_gold}[args.layer]
         result = job(args.input, args.output)

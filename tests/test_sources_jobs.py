@@ -119,6 +119,10 @@ def test_layers_round_trip(spark, scratch):
     report = run_report(spark, "route_delay", tables["route_performance"]).collect()
     assert len(report) == 6 and report[0].disruption_rank == 1
     assert Path(f"{gold}/_build_summary").exists()
+    rep = jobs.build_report(gold, "route_delay", str(Path(scratch) / "reports"), spark=spark)
+    assert rep == [{"report": "route_delay", "row_count": 6}]
+    ranks = [r.disruption_rank for r in spark.read.json(str(Path(scratch) / "reports" / "route_delay")).collect()]
+    assert ranks == sorted(ranks) and ranks[0] == 1
     prof_dir = str(Path(scratch) / "profile")
     assert {r["table"]: r["row_count"] for r in jobs.build_profile(silver, gold, prof_dir, spark=spark)} == {
         "quality_profile": 8, "dataset_inventory": 8
