@@ -60,28 +60,42 @@ def enrich_flights(
     weather: DataFrame,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     with_load_time: bool = False,
+    weather_mode: str = "first",
+    asof_tolerance_seconds: int = 6 * 3600,
 ) -> DataFrame:
     """gold_flight_performance: flights ⟕ origin airport ⟕ destination airport
-    ⟕ origin's first weather row, plus ``route``. One row per flight."""
+    ⟕ origin weather, plus ``route``. One row per flight.
+
+    ``weather_mode="first"`` (the batch pipeline's choice): the airport's
+    earliest observation. ``"asof"``: the latest observation at or before the
+    scheduled departure within ``asof_tolerance_seconds`` (X3)."""
+    if weather_mode not in ("first", "asof"):
+        raise ValueError(f"weather_mode must be 'first' or 'asof', got {weather_mode!r}")
     # One size check for the airport dimension, used for both of its roles.
     small = has_at_most(airports, max_broadcast_rows)
     origin, destination = prefixed(airports, "origin_"), prefixed(airports, "destination_")
     if small:
         origin, destination = F.broadcast(origin), F.broadcast(destination)
-    weather_first = checked_broadcast(
-        first_observation(weather).select(
-            F.col("airport_code").alias("origin_airport"),
-            *[F.col(m).alias(f"origin_{m}") for m in WEATHER_MEASURES],
-        ),
-        max_broadcast_rows,
-        probe=weather.select("airport_code").distinct(),
-    )
-    out = (
-        flights.join(origin, flights["origin_airport"] == origin["origin_airport_code"], "left")
-        .join(destination, flights["destination_airport"] == destination["destination_airport_code"], "left")
-        .join(weather_first, on="origin_airport", how="left")
-        .withColumn("route", route_key("origin_airport", "destination_airport"))
+    enriched = flights.join(origin, flights["origin_airport"] == origin["origin_airport_code"], "left").join(
+        destination, flights["destination_airport"] == destination["destination_airport_code"], "left"
     )
+    if weather_mode == "asof":
+        from aerolith.operators.asof import weather_asof
+
+        asof = weather_asof(enriched, weather, asof_tolerance_seconds, "backward").drop("origin_observed_at_utc")
+        # Same column order as the first-observation join (USING puts the key first).
+        with_weather = asof.select("origin_airport", *[c for c in asof.columns if c != "origin_airport"])
+    else:
+        weather_first = checked_broadcast(
+            first_observation(weather).select(
+                F.col("airport_code").alias("origin_airport"),
+                *[F.col(m).alias(f"origin_{m}") for m in WEATHER_MEASURES],
+            ),
+            max_broadcast_rows,
+            probe=weather.select("airport_code").distinct(),
+        )
+        with_weather = enriched.join(weather_first, on="origin_airport", how="left")
+    out = with_weather.withColumn("route", route_key("origin_airport", "destination_airport"))
     return add_load_time(out, "_gold_loaded_at_utc") if with_load_time else out
 
 
@@ -176,10 +190,13 @@ def build_gold_tables(
     events: DataFrame,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     with_load_time: bool = False,
+    weather_mode: str = "first",
 ) -> dict[str, DataFrame]:
     """All four gold tables from silver inputs (lazy)."""
     return {
-        "gold_flight_performance": enrich_flights(flights, airports, weather, max_broadcast_rows, with_load_time),
+        "gold_flight_performance": enrich_flights(
+            flights, airports, weather, max_broadcast_rows, with_load_time, weather_mode
+        ),
         "gold_route_performance": route_performance(flights, with_load_time),
         "gold_airport_disruption": airport_disruption(flights, airports, max_broadcast_rows, with_load_time),
         "gold_passenger_communication": passenger_communication(events, flights, with_load_time),

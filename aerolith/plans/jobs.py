@@ -251,10 +251,15 @@ def build_silver(
 
 
 def build_gold(
-    silver_dir: str, output_dir: str, spark: SparkSession | None = None, partition_by_date: bool = False
+    silver_dir: str,
+    output_dir: str,
+    spark: SparkSession | None = None,
+    partition_by_date: bool = False,
+    weather_mode: str = "first",
 ) -> list[dict]:
     """K4. ``partition_by_date`` writes gold_flight_performance partitioned by
-    ``flight_date``."""
+    ``flight_date``; ``weather_mode="asof"`` enriches each flight with the
+    weather as of its departure instead of the airport's first observation."""
     _distinct_paths(silver_dir, output_dir)
     with _Session(spark) as s:
         for source in contracts.SOURCES:
@@ -265,7 +270,9 @@ def build_gold(
         airports = read[contracts.AIRPORTS]
         weather = read[contracts.WEATHER]
         events = read[contracts.PASSENGER_EVENTS].drop(*technical)
-        tables = gold_ops.build_gold_tables(flights, airports, weather, events, with_load_time=True)
+        tables = gold_ops.build_gold_tables(
+            flights, airports, weather, events, with_load_time=True, weather_mode=weather_mode
+        )
         rows = []
         for name in GOLD_TABLES:
             out = _join(output_dir, name)
@@ -330,6 +337,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one layer of the batch build.")
     parser.add_argument("layer", choices=["ingest", "bronze", "silver", "gold", "profile", "report"])
     parser.add_argument("--name", help="report: route_delay | airport_disruption | passenger_communication")
+    parser.add_argument("--weather-mode", default="first", choices=["first", "asof"], help="gold: weather enrichment")
     parser.add_argument("--gold", help="profile: gold directory (--input is the silver directory)")
     parser.add_argument("--input", help="input directory (bronze/silver/gold)")
     parser.add_argument("--output", required=True)
@@ -357,8 +365,10 @@ def main(argv: list[str] | None = None) -> None:
         result = build_profile(args.input, args.gold, args.output)
     elif args.layer == "report":
         result = build_report(args.input, args.name, args.output)
+    elif args.layer == "gold":
+        result = build_gold(args.input, args.output, weather_mode=args.weather_mode)
     else:
-        job = {"bronze": build_bronze, "silver": build_silver, "gold": build_gold}[args.layer]
+        job = {"bronze": build_bronze, "silver": build_silver}[args.layer]
         result = job(args.input, args.output)
     for row in result:
         print(row)

@@ -230,3 +230,15 @@ def test_duplicate_rows_exact_with_nulls_and_signed_zero(spark):
     for method in ("signature", "group"):
         prof = quality.quality_profile(df, "t", "d", method).collect()[0]
         assert (prof.rows, prof.duplicate_rows, prof.missing_values) == (8, 4, 5)  # NaN counts as missing
+
+
+def test_enrich_with_asof_weather(spark):
+    f = clean_flights(flights_df(spark, [flight("F1", scheduled="2026-05-06T09:00:00"), flight("F2", scheduled="2026-05-06T23:00:00")]))
+    w = weather_df(spark, [("GDN", "2026-05-06T06:00:00", 11.0), ("GDN", "2026-05-06T08:30:00", 12.0)])
+    out = gold.enrich_flights(f, airports_df(spark, ["GDN", "FRA"]), w, weather_mode="asof")
+    first = gold.enrich_flights(f, airports_df(spark, ["GDN", "FRA"]), w)
+    assert out.columns == first.columns
+    got = by_id(out)
+    assert got["F1"].origin_wind_speed_kmh == 12.0  # latest at or before 09:00
+    assert got["F2"].origin_wind_speed_kmh is None  # nothing within 6 h before 23:00
+    assert by_id(first)["F2"].origin_wind_speed_kmh == 11.0  # first observation regardless of time
