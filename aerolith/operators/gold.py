@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions import bool_count, mean_of_hundredths, route_key, safe_rate
+from aerolith.operators.asof import weather_asof
 from aerolith.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, has_at_most
 from aerolith.operators.silver import add_load_time
 
@@ -80,8 +81,6 @@ def enrich_flights(
         destination, flights["destination_airport"] == destination["destination_airport_code"], "left"
     )
     if weather_mode == "asof":
-        from aerolith.operators.asof import weather_asof
-
         asof = weather_asof(enriched, weather, asof_tolerance_seconds, "backward").drop("origin_observed_at_utc")
         # Same column order as the first-observation join (USING puts the key first).
         with_weather = asof.select("origin_airport", *[c for c in asof.columns if c != "origin_airport"])
@@ -100,7 +99,7 @@ def enrich_flights(
 
 
 def disruption_metrics(flights: DataFrame, keys: Sequence[str], names: dict[str, str] | None = None) -> DataFrame:
-    """Shared measure set of A1/A2 (and A7's date variant): count of flight
+    """Shared measure set of A1/A2 (and X7's daily variant): count of flight
     ids, delayed and cancelled counts, mean delay and the delay rate."""
     n = {
         "total": "total_flights",
