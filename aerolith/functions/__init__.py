@@ -4,6 +4,7 @@ from aerolith.functions.columns import (
     WIND_BUCKET_LABELS,
     bool_count,
     delay_minutes,
+    exact_decimal_mean,
     is_delayed,
     mean_of_hundredths,
     pearson,
@@ -19,6 +20,7 @@ __all__ = [
     "WIND_BUCKET_LABELS",
     "bool_count",
     "delay_minutes",
+    "exact_decimal_mean",
     "is_delayed",
     "mean_of_hundredths",
     "pearson",

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from aerolith.functions import (
     WIND_BUCKET_LABELS,
     bool_count,
+    exact_decimal_mean,
     mean_of_hundredths,
     pearson,
     safe_rate,
@@ -24,6 +25,10 @@ from aerolith.functions import (
     wind_bucket_index,
 )
 
+# Wind speeds are given to at most three decimals (km/h), so their mean is
+# taken on the thousandths grid (exact, order-independent; avg otherwise).
+WIND_DECIMALS = 3
+
 # --- filters -----------------------------------------------------------------
 
 ROUTE_AWARE_TABLES = ("flight_performance", "route_performance", "passenger_communication")
@@ -136,7 +141,7 @@ def calculate_weather_delay_summary(flights: DataFrame) -> DataFrame:
     complete = flights.select(wind, delay).where(F.col(wind).isNotNull() & F.col(delay).isNotNull())
     agg = complete.agg(
         F.count(F.lit(1)).alias("_n"),
-        F.avg(wind).alias("_avg"),
+        exact_decimal_mean(wind, WIND_DECIMALS).alias("_avg"),
         pearson(wind, delay).alias("_corr"),
     )
     enough = F.col("_n") >= 2
@@ -178,7 +183,7 @@ def build_weather_delay_view(flights: DataFrame) -> DataFrame:
             F.count("flight_id").alias("total_flights"),
             bool_count("is_delayed").alias("delayed_flights"),
             mean_of_hundredths("departure_delay_minutes").alias("average_departure_delay_minutes"),
-            F.avg("origin_wind_speed_kmh").alias("average_wind_speed_kmh"),
+            exact_decimal_mean("origin_wind_speed_kmh", WIND_DECIMALS).alias("average_wind_speed_kmh"),
         )
         .withColumn("delay_rate", safe_rate("delayed_flights", "total_flights"))
         .orderBy("_bucket_order")

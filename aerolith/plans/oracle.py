@@ -31,6 +31,10 @@ def _mean2(x: str) -> str:
     return f"CAST(sum(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / 100.0 / NULLIF(count({x}), 0)"
 
 
+def _mean3(x: str) -> str:
+    return f"CAST(sum(CAST(round({x} * 1000) AS BIGINT)) AS DOUBLE) / 1000.0 / NULLIF(count({x}), 0)"
+
+
 def _isum(x: str) -> str:
     return f"CAST(sum(CAST({x} AS INTEGER)) AS BIGINT)"
 
@@ -323,8 +327,8 @@ FROM t_gold
 """
     ),
     "weather_delay_summary": _q(
-        """
-SELECT CASE WHEN count(*) >= 2 THEN avg(origin_wind_speed_kmh) END AS average_wind_speed_kmh,
+        f"""
+SELECT CASE WHEN count(*) >= 2 THEN {_mean3('origin_wind_speed_kmh')} END AS average_wind_speed_kmh,
        CASE WHEN count(*) >= 2 AND stddev_pop(origin_wind_speed_kmh) > 0
                  AND stddev_pop(departure_delay_minutes) > 0
             THEN corr(origin_wind_speed_kmh, departure_delay_minutes) END AS wind_delay_correlation
@@ -338,7 +342,7 @@ SELECT wind_bucket,
        count(flight_id) AS total_flights,
        {_isum('is_delayed')} AS delayed_flights,
        {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
-       avg(origin_wind_speed_kmh) AS average_wind_speed_kmh,
+       {_mean3('origin_wind_speed_kmh')} AS average_wind_speed_kmh,
        CAST({_isum('is_delayed')} AS DOUBLE) / count(flight_id) AS delay_rate
 FROM t_bucketed
 WHERE flight_id IS NOT NULL AND origin_wind_speed_kmh IS NOT NULL
@@ -610,7 +614,7 @@ SELECT wind_bucket,
        count(flight_id) AS total_flights,
        {_isum('is_delayed')} AS delayed_flights,
        {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
-       avg(origin_wind_speed_kmh) AS average_wind_speed_kmh,
+       {_mean3('origin_wind_speed_kmh')} AS average_wind_speed_kmh,
        CAST({_isum('is_delayed')} AS DOUBLE) / count(flight_id) AS delay_rate
 FROM t_b
 WHERE flight_id IS NOT NULL AND origin_wind_speed_kmh IS NOT NULL
