@@ -1,33 +1,52 @@
-"""Count float values that are not bit-identical between each registered query and its
-DuckDB oracle (rows matched after sorting on values rounded to 6 decimals).
+"""Count float values that are not bit-identical between each registered query
+and its DuckDB oracle (rows are matched after sorting on values rounded to six
+decimals).
 
 Usage: python tests/float_identity_check.py [sf_dir]
 """
 
 from __future__ import annotations
 
-import sys; from pathlib import Path
-sys.path.insert(0, str(Path(__file__).resolve().parents[1])); sys.path.insert(0, str(Path(__file__).resolve().parent))
-from oracle_check import duck
-from aerolith.session import build_session
-from aerolith.plans.registry import QUERIES
-from aerolith.plans.oracle import ORACLE
-spark=build_session(master="local[8]", shuffle_partitions=8, extra_conf={"spark.driver.memory":"8g"})
-sf = sys.argv[1] if len(sys.argv) > 1 else '/root/testdata/sf0.01'; con = duck(sf)
-def key(row):
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+def _key(row) -> str:
     return repr(tuple(None if v is None else (round(v, 6) if isinstance(v, float) else v) for v in row))
-tot_f=0; diff_q=[]
-for name, fn in QUERIES.items():
-    sdf=fn(spark,sf); cols=sdf.columns
-    s=sorted([tuple(r) for r in sdf.collect()], key=key)
-    res=con.execute(ORACLE[name]); dcols=[d[0] for d in res.description]
-    idx=[dcols.index(c) for c in cols]
-    d=sorted([tuple(r[i] for i in idx) for r in res.fetchall()], key=key)
-    nd=0
-    for a,b in zip(s,d):
-        for x,y in zip(a,b):
-            if isinstance(x,float) and isinstance(y,float):
-                tot_f+=1
-                if x!=y and not (x!=x and y!=y): nd+=1
-    if nd: diff_q.append((name, nd))
-print("float values compared:", tot_f, "queries with non-identical floats:", diff_q)
+
+
+def main(argv: list[str]) -> None:
+    from oracle_check import duck
+
+    from aerolith.plans.oracle import ORACLE
+    from aerolith.plans.registry import QUERIES
+    from aerolith.session import build_session
+
+    sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra_conf={"spark.driver.memory": "8g"})
+    con = duck(sf)
+    compared, differing = 0, []
+    for name, fn in QUERIES.items():
+        sdf = fn(spark, sf)
+        cols = sdf.columns
+        spark_rows = sorted((tuple(r) for r in sdf.collect()), key=_key)
+        res = con.execute(ORACLE[name])
+        dcols = [d[0] for d in res.description]
+        idx = [dcols.index(c) for c in cols]
+        duck_rows = sorted((tuple(r[i] for i in idx) for r in res.fetchall()), key=_key)
+        n = 0
+        for a, b in zip(spark_rows, duck_rows):
+            for x, y in zip(a, b):
+                if isinstance(x, float) and isinstance(y, float):
+                    compared += 1
+                    n += x != y and not (x != x and y != y)
+        if n:
+            differing.append((name, n))
+    print(f"float values compared: {compared}; queries with non-identical floats: {differing}")
+
+
+if __name__ == "__main__":
+    main(sys.argv)
