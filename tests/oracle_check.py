@@ -49,6 +49,21 @@ def normalise(columns, rows):
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
+def _close(scols, srows, dcols, drows, rel_tol=1e-12):
+    """Rows paired by the 6-digit sort key must also agree to ``rel_tol``."""
+    order_s = sorted(range(len(scols)), key=lambda i: scols[i])
+    order_d = sorted(range(len(dcols)), key=lambda i: dcols[i])
+    key = lambda r: repr(tuple(_norm(v) for v in r))
+    a = sorted((tuple(r[i] for i in order_s) for r in srows), key=key)
+    b = sorted((tuple(r[i] for i in order_d) for r in drows), key=key)
+    for x_row, y_row in zip(a, b):
+        for x, y in zip(x_row, y_row):
+            if isinstance(x, float) and isinstance(y, float):
+                if not (x == y or (x != x and y != y) or math.isclose(x, y, rel_tol=rel_tol, abs_tol=1e-300)):
+                    return False
+    return True
+
+
 def compare(spark, con, name, query, sql, sf_dir):
     t0 = time.time()
     sdf = query(spark, sf_dir)
@@ -59,7 +74,7 @@ def compare(spark, con, name, query, sql, sf_dir):
     drows = res.fetchall()
     scols, s = normalise(sdf.columns, srows)
     dcols, d = normalise(dcols, drows)
-    ok = scols == dcols and s == d
+    ok = scols == dcols and s == d and _close(sdf.columns, srows, [d[0] for d in res.description], drows)
     detail = ""
     if scols != dcols:
         detail = f"cols spark={scols} duck={dcols}"
