@@ -5,6 +5,7 @@ those that SQL can express; the others are tested against brute force."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,20 @@ from aerolith.llm import decontaminate, packing, pii
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def _importable(fn: Query) -> Query:
+    """Let Python workers import this package from where the driver has it,
+    for sessions that were started without it on their path."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,4 +50,6 @@ QUERIES: dict[str, Query] = {
     "op10_pii": op10_pii,
 }
 
+QUERIES = {name: _importable(fn) for name, fn in QUERIES.items()}
+
 ORACLE: dict[str, str] = {}
