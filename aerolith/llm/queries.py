@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import decontaminate, packing, pii
+from aerolith.llm import decontaminate, linededup, packing, pii, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup_report(_table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -46,6 +54,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op6_line_dedup": op6_line_dedup,
+    "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
 }
