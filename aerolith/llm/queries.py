@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import decontaminate, linededup, packing, pii, simhash
+from aerolith.llm import decontaminate, fingerprint, linededup, packing, pii, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_report(_table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup_report(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +62,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_warc": op4_warc,
     "op6_line_dedup": op6_line_dedup,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
