@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import decontaminate, fingerprint, linededup, packing, pii, simhash, warc
+from aerolith.llm import decontaminate, fingerprint, htmltext, linededup, packing, pii, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text_report(_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_warc": op4_warc,
     "op6_line_dedup": op6_line_dedup,
+    "op7_main_text": op7_main_text,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
