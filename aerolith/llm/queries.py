@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import decontaminate, fingerprint, htmltext, linededup, packing, pii, simhash, warc
+from aerolith.llm import decontaminate, fingerprint, htmltext, langid, linededup, packing, pii, quality, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup_report(_table(spark, sf_dir, "documents"))
 
@@ -66,8 +74,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_fingerprints": op3_fingerprints,
     "op4_warc": op4_warc,
+    "op5_language": op5_language,
     "op6_line_dedup": op6_line_dedup,
     "op7_main_text": op7_main_text,
     "op8_simhash": op8_simhash,
