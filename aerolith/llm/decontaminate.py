@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aerolith.llm.textnorm import ascii_lower
+from aerolith.session import materialize
 
 WINDOW_WORDS = 13
 MIN_HIT_SHARE = 0.05
@@ -192,8 +193,10 @@ def decontamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept. Only the keys
-    of contaminated documents are joined back."""
+    of contaminated documents are joined back; they are written first, so the
+    join is planned by their real size."""
     marked = mark_contaminated(docs.select("doc_id", "text"), items).where("contaminated")
-    bad = marked.select(F.col("doc_id").alias("bad_doc"), F.col("text_hash").alias("bad_hash")).distinct()
-    match = F.col("doc_id").eqNullSafe(F.col("bad_doc")) & (F.xxhash64("text") == F.col("bad_hash"))
+    bad = marked.select(F.col("doc_id").alias("__bad_doc"), F.col("text_hash").alias("__bad_hash")).distinct()
+    bad = materialize(bad, "contaminated")
+    match = F.col("doc_id").eqNullSafe(F.col("__bad_doc")) & (F.xxhash64("text") == F.col("__bad_hash"))
     return docs.join(bad, match, "left_anti")

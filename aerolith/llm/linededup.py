@@ -177,6 +177,8 @@ def dedup_lines(
     suspects = materialize(suspected_keys(docs, twice, min_chars, filter_bits), "suspected-lines")
     lost = suspects.join(repeated_keys(suspects, min_docs), "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     per_doc = lost.groupBy(F.col("doc_id").alias("__lost_doc")).agg(F.collect_set("key").alias("__lost_keys"))
+    # Written first, so that the join with the texts is planned by its real size.
+    per_doc = materialize(per_doc, "lost-lines")
     docs = docs.drop("n_lines", "n_dropped")
     joined = docs.join(per_doc, F.col("doc_id").cast("long").eqNullSafe(F.col("__lost_doc")), "left").drop("__lost_doc")
 

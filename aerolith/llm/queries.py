@@ -17,13 +17,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def _importable(fn: Query) -> Query:
+def importable(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """Let Python workers import this package from where the driver has it,
     for sessions that were started without it on their path."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run(spark: SparkSession, *args) -> DataFrame:
         spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-        return fn(spark, sf_dir)
+        return fn(spark, *args)
 
     return run
 
@@ -85,6 +85,6 @@ QUERIES: dict[str, Query] = {
     "op10_pii": op10_pii,
 }
 
-QUERIES = {name: _importable(fn) for name, fn in QUERIES.items()}
+QUERIES = {name: importable(fn) for name, fn in QUERIES.items()}
 
 ORACLE: dict[str, str] = {}

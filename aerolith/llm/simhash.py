@@ -357,7 +357,7 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_di
     without any id all rows stay."""
     found = near_duplicate_components(docs.select("doc_id", "text"), shingle_words, max_distance)
     gone = found.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
+    gone = materialize(gone.select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
     return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
 
 
