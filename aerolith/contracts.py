@@ -83,14 +83,14 @@ NUMERIC_RANGES: dict[str, dict[str, tuple[float, float]]] = {
     },
 }
 
-# Fields that must look like an IATA code, per source.
+# Fields that must look like an IATA code, per source.
 CODE_FIELDS: dict[str, tuple[str, ...]] = {
     FLIGHTS: ("origin_airport", "destination_airport"),
     AIRPORTS: ("airport_code",),
     WEATHER: ("airport_code",),
 }
 
-# Business keys used by the silver deduplication.
+# Business keys used by the silver deduplication.
 BUSINESS_KEYS: dict[str, tuple[str, ...]] = {
     FLIGHTS: ("flight_id",),
     AIRPORTS: ("airport_code",),
@@ -120,8 +120,3 @@ def spark_schema(source: str) -> T.StructType:
     """Contract → StructType. Every field is nullable: required-ness is
     enforced by the validation rules, not by the reader."""
     return T.StructType([T.StructField(f.name, _SPARK_TYPES[f.dtype], True) for f in fields(source)])
-
-
-def text_schema(source: str) -> T.StructType:
-    """All-string view of a contract, used to parse raw records losslessly."""
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in fields(source)])

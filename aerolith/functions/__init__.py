@@ -4,9 +4,8 @@ from aerolith.functions.columns import (
     WIND_BUCKET_LABELS,
     bool_count,
     delay_minutes,
-    exact_decimal_mean,
     is_delayed,
-    mean_of_hundredths,
+    mean_minutes,
     pearson,
     route_key,
     safe_rate,
@@ -20,9 +19,8 @@ __all__ = [
     "WIND_BUCKET_LABELS",
     "bool_count",
     "delay_minutes",
-    "exact_decimal_mean",
     "is_delayed",
-    "mean_of_hundredths",
+    "mean_minutes",
     "pearson",
     "route_key",
     "safe_rate",

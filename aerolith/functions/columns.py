@@ -78,30 +78,12 @@ def bool_count(flag: str | Column) -> Column:
     return F.sum(_col(flag).cast("int")).cast("bigint")
 
 
-def exact_decimal_mean(c: str | Column, decimals: int) -> Column:
-    """Mean of a column whose values have at most ``decimals`` decimals
-    (delay minutes are hundredths, wind speeds at most thousandths). The sum
-    is taken over exact integer units of ``10**-decimals``, so the result does
-    not depend on partitioning or summation order, unlike a floating-point
-    ``avg``; null when there are no values.
-
-    The precondition is checked in the same aggregate: if any value is off
-    that grid (beyond floating-point noise), the plain ``avg`` is returned."""
+def mean_minutes(c: str | Column) -> Column:
+    """Mean of minutes that are rounded to two decimals, as delays are by
+    definition. They are summed as decimals, so the mean does not depend on
+    partitioning, nor does what a report shows after rounding it."""
     c = _col(c)
-    scale = 10**decimals
-    scaled = c * F.lit(scale)
-    # floor(x + 0.5) is the nearest integer for every on-grid value (they sit
-    # within float noise of an integer) and costs plain double arithmetic,
-    # where round() on a double goes through BigDecimal.
-    nearest = F.floor(scaled + F.lit(0.5))
-    exact = F.try_divide(F.sum(nearest).cast("double") / F.lit(float(scale)), F.count(c).cast("double"))
-    off_grid = F.max(F.abs(scaled - nearest))
-    return F.when(F.coalesce(off_grid, F.lit(0.0)) <= F.lit(1e-6), exact).otherwise(F.avg(c))
-
-
-def mean_of_hundredths(c: str | Column) -> Column:
-    """``exact_decimal_mean`` on the hundredths grid (delay minutes)."""
-    return exact_decimal_mean(c, 2)
+    return F.try_divide(F.sum(c.cast("decimal(18,2)")).cast("double"), F.count(c).cast("double"))
 
 
 def pearson(x: str | Column, y: str | Column) -> Column:

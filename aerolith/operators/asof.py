@@ -1,25 +1,24 @@
 """Weather as of the flight time at the origin airport.
 
-A plain ``airport = … AND observed_at <= scheduled`` join pairs every flight
-with every earlier observation of its airport. Instead, time is cut into
-buckets one tolerance wide: a flight in bucket ``b`` can only match
-observations in buckets ``b - 1``, ``b`` (backward) or ``b + 1`` (nearest),
-so each observation is copied into the two or three buckets it can serve and
-the join is an equi-join on (airport, bucket) with the exact time condition
-on top. No candidate is dropped: every observation within the tolerance is
-compared.
+Flights and observations are never paired. Both are laid into time buckets of
+each airport, sorted together, and every flight takes the last observation
+before it (``last`` over a running window) or the first one after it (the same
+over the reverse order), so the work grows with rows, not with pairs.
 
-The best candidate is then chosen per flight by a group-by on
-(airport, bucket, flight), which the join's (airport, bucket) partitioning
-already satisfies, so choosing adds no shuffle.
+A flight's observation may lie in an earlier bucket. Only the last observation
+of each bucket can be wanted by later ones (the first one by earlier ones), so
+exactly these are copied into the buckets that one tolerance reaches:
+``buckets_per_tolerance`` copies per bucket, however many observations it has.
+Narrower buckets split a busy airport over more tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MEASURES = ("temperature_c", "wind_speed_kmh", "precipitation_mm")
+BUCKETS_PER_TOLERANCE = 6
 
 
 def weather_asof(
@@ -28,61 +27,75 @@ def weather_asof(
     tolerance_seconds: int = 6 * 3600,
     direction: str = "backward",
     time_col: str = "scheduled_departure_utc",
-    key_col: str = "flight_id",
+    airport_col: str = "origin_airport",
+    buckets_per_tolerance: int = BUCKETS_PER_TOLERANCE,
 ) -> DataFrame:
-    """Flights (every input row kept) with ``origin_observed_at_utc`` and
-    ``origin_*`` measures of the chosen observation, null when none lies
-    within ``tolerance_seconds``.
+    """Flights (every input row kept, null or repeated ids included) with
+    ``origin_observed_at_utc`` and ``origin_*`` measures of the chosen
+    observation, null when none lies within ``tolerance_seconds``.
 
     ``direction="backward"``: latest observation at or before the flight
     time. ``"nearest"``: smallest absolute gap, the earlier one on a tie.
-    """
+    Observations of equal time are chosen by their measures. Flights without
+    airport or time get no weather and are spread by a hash."""
     if direction not in ("backward", "nearest"):
         raise ValueError(f"direction must be 'backward' or 'nearest', got {direction!r}")
     if tolerance_seconds <= 0:
         raise ValueError("tolerance_seconds must be positive")
-    # Exact integer microseconds for the window test; buckets one tolerance wide.
-    tol = F.lit(int(tolerance_seconds) * 1_000_000)
-    fl = flights.withColumn("_t", F.unix_micros(F.col(time_col))).withColumn("_bucket", F.floor(F.col("_t") / tol))
+    tolerance = int(tolerance_seconds) * 1_000_000
+    width = F.lit(-(-tolerance // buckets_per_tolerance))
+    flight_cols = list(flights.columns)
 
-    shifts = [0, 1] if direction == "backward" else [-1, 0, 1]
-    obs = (
-        weather.select(
-            F.col("airport_code").alias("_airport"),
-            F.col("observed_at_utc").alias("_obs_at"),
-            F.unix_micros("observed_at_utc").alias("_obs_t"),
-            *[F.col(m).alias(f"_obs_{m}") for m in MEASURES],
-        )
-        .where(F.col("_obs_at").isNotNull())
-        .withColumn("_bucket", F.explode(F.array(*[F.floor(F.col("_obs_t") / tol) + s for s in shifts])))
-    )
-    gap = F.col("_t") - F.col("_obs_t")
-    if direction == "backward":
-        in_window = (gap >= 0) & (gap <= tol)
-        # latest observation first
-        rank = F.struct((-F.col("_obs_t")).alias("k1"), F.col("_obs_at").alias("k2"))
-    else:
-        in_window = F.abs(gap) <= tol
-        rank = F.struct(F.abs(gap).alias("k1"), F.col("_obs_t").alias("k2"))
-    joined = fl.join(
-        obs,
-        (fl["origin_airport"] == obs["_airport"]) & (fl["_bucket"] == obs["_bucket"]) & in_window,
-        "left",
-    ).drop(obs["_bucket"])
-    best = F.min_by(
-        F.struct(F.col("_obs_at"), *[F.col(f"_obs_{m}") for m in MEASURES]),
-        F.when(F.col("_obs_at").isNotNull(), rank),
+    def bucket_of(time: Column) -> Column:
+        return F.floor(time / width)
+
+    observed = weather.where(F.col("airport_code").isNotNull() & F.col("observed_at_utc").isNotNull()).select(
+        F.col("airport_code").alias("_airport"),
+        F.unix_micros("observed_at_utc").alias("_t"),
+        F.struct("observed_at_utc", *MEASURES).alias("_obs"),
     )
-    flight_cols = list(flights.columns)
-    others = [c for c in flight_cols if c not in ("origin_airport", key_col)]
-    # Every joined row of a flight carries the same flight columns, so
-    # ``any_value`` is exact; flights must be unique on ``key_col``.
-    chosen = joined.groupBy("origin_airport", "_bucket", key_col).agg(
-        F.any_value(F.struct(*others)).alias("_f"),
-        best.alias("_w"),
+    observed = observed.withColumn("_bucket", bucket_of(F.col("_t")))
+    edge = F.struct("_t", "_obs")
+    edges = observed.groupBy("_airport", "_bucket").agg(F.max(edge).alias("_last"), F.min(edge).alias("_first"))
+
+    def copies(which: str, sign: int) -> DataFrame:
+        reach = F.array(*[F.lit(sign * i) for i in range(1, buckets_per_tolerance + 1)])
+        placed = edges.select("_airport", which, F.col("_bucket").alias("_from"), F.explode(reach).alias("_steps"))
+        return placed.select("_airport", f"{which}._t", f"{which}._obs", (F.col("_from") + F.col("_steps")).alias("_bucket"))
+
+    # A flight after or before its observations of equal time, whichever way they are read.
+    time = F.unix_micros(F.col(time_col))
+    placeless = F.col(airport_col).isNull() | time.isNull()
+    flown = flights.select(
+        F.col(airport_col).alias("_airport"),
+        time.alias("_t"),
+        F.when(placeless, F.xxhash64(*flight_cols)).otherwise(bucket_of(time)).alias("_bucket"),
+        F.struct(*flight_cols).alias("_flight"),
     )
-    return chosen.select(
-        *[F.col(c) if c in ("origin_airport", key_col) else F.col(f"_f.{c}") for c in flight_cols],
-        F.col("_w._obs_at").alias("origin_observed_at_utc"),
-        *[F.col(f"_w._obs_{m}").alias(f"origin_{m}") for m in MEASURES],
+    laid = observed.unionByName(copies("_last", 1))
+    if direction == "nearest":
+        laid = laid.unionByName(copies("_first", -1))
+    laid = laid.unionByName(flown, allowMissingColumns=True)
+    is_flight = F.col("_flight").isNotNull()
+    bucket = Window.partitionBy("_airport", "_bucket")
+
+    def seen(order: list[Column]) -> Column:
+        running = bucket.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return F.last(F.when(~is_flight, F.struct("_t", "_obs")), ignorenulls=True).over(running)
+
+    laid = laid.withColumn("_before", seen([F.col("_t"), is_flight, F.col("_obs")]))
+    if direction == "nearest":
+        laid = laid.withColumn("_after", seen([F.col("_t").desc(), is_flight, F.col("_obs").desc()]))
+    gap = F.col("_t") - F.col("_before._t")
+    chosen = F.when(gap <= tolerance, F.col("_before._obs"))
+    if direction == "nearest":
+        ahead = F.col("_after._t") - F.col("_t")
+        closer = (ahead <= tolerance) & (gap.isNull() | (gap > ahead))
+        chosen = F.when(closer, F.col("_after._obs")).otherwise(chosen)
+    placed = F.col("_airport").isNotNull() & F.col("_t").isNotNull()
+    out = laid.where(is_flight).select("_flight.*", F.when(placed, chosen).alias("_w"))
+    return out.select(
+        *flight_cols,
+        F.col("_w.observed_at_utc").alias("origin_observed_at_utc"),
+        *[F.col(f"_w.{m}").alias(f"origin_{m}") for m in MEASURES],
     )

@@ -46,9 +46,19 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
 
 
 def duplicates_for_review(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
-    """The rows ``deduplicate`` removes, with their rank inside the key."""
+    """The rows ``deduplicate`` removes, with their rank inside the key.
+
+    Equal rows are counted first (map-side combine) and listed again after
+    ranking, so the copies of a hot key cross the shuffle as one row and only
+    its different rows are ranked together."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    window = Window.partitionBy(*keys).orderBy(*survivor_order(df, keys, order_by))
+    before = F.coalesce(F.sum("_copies").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = before + F.col("_copies")
+    # The first row of a key is its survivor.
+    listed = counted.withColumn("_last", last).withColumn("_first", F.greatest(last - F.col("_copies") + 1, F.lit(2)))
     return (
-        _ranked(df, keys, order_by)
-        .where(F.col("_dup_rank") > 1)
-        .withColumnRenamed("_dup_rank", "duplicate_rank")
+        listed.where(F.col("_last") >= 2)
+        .withColumn("duplicate_rank", F.explode(F.sequence("_first", "_last")))
+        .select(*df.columns, F.col("duplicate_rank").cast("int").alias("duplicate_rank"))
     )

@@ -2,9 +2,10 @@
 (A1–A3, J4, J5).
 
 Design notes for scale:
-* The airport dimension and the per-airport first weather row are joined
-  with a checked broadcast, so the flight fact is never shuffled for
-  enrichment.
+* No action runs while a plan is built. The airport dimension and the
+  per-airport first weather row carry no broadcast hint: Spark broadcasts them
+  by their size statistics, or at run time (AQE) once the aggregate's real size
+  is known, and otherwise splits skewed airports of a sort-merge join.
 * Route and airport rollups are computed from the slim flight frame, not
   from the 28-column enriched one: the dimension sides are unique per key,
   so the joins can neither drop nor multiply flights and the results are the
@@ -21,9 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.functions import bool_count, mean_of_hundredths, route_key, safe_rate
+from aerolith.functions import bool_count, mean_minutes, route_key, safe_rate
 from aerolith.operators.asof import weather_asof
-from aerolith.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, has_at_most
 from aerolith.operators.silver import add_load_time
 
 WEATHER_MEASURES = ("temperature_c", "wind_speed_kmh", "precipitation_mm")
@@ -59,7 +59,6 @@ def enrich_flights(
     flights: DataFrame,
     airports: DataFrame,
     weather: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     with_load_time: bool = False,
     weather_mode: str = "first",
     asof_tolerance_seconds: int = 6 * 3600,
@@ -72,11 +71,7 @@ def enrich_flights(
     scheduled departure within ``asof_tolerance_seconds`` (X3)."""
     if weather_mode not in ("first", "asof"):
         raise ValueError(f"weather_mode must be 'first' or 'asof', got {weather_mode!r}")
-    # One size check for the airport dimension, used for both of its roles.
-    small = has_at_most(airports, max_broadcast_rows)
     origin, destination = prefixed(airports, "origin_"), prefixed(airports, "destination_")
-    if small:
-        origin, destination = F.broadcast(origin), F.broadcast(destination)
     enriched = flights.join(origin, flights["origin_airport"] == origin["origin_airport_code"], "left").join(
         destination, flights["destination_airport"] == destination["destination_airport_code"], "left"
     )
@@ -85,13 +80,8 @@ def enrich_flights(
         # Same column order as the first-observation join (USING puts the key first).
         with_weather = asof.select("origin_airport", *[c for c in asof.columns if c != "origin_airport"])
     else:
-        weather_first = checked_broadcast(
-            first_observation(weather).select(
-                F.col("airport_code").alias("origin_airport"),
-                *[F.col(m).alias(f"origin_{m}") for m in WEATHER_MEASURES],
-            ),
-            max_broadcast_rows,
-            probe=weather.select("airport_code").distinct(),
+        weather_first = first_observation(weather).select(
+            F.col("airport_code").alias("origin_airport"), *[F.col(m).alias(f"origin_{m}") for m in WEATHER_MEASURES]
         )
         with_weather = enriched.join(weather_first, on="origin_airport", how="left")
     out = with_weather.withColumn("route", route_key("origin_airport", "destination_airport"))
@@ -115,7 +105,7 @@ def disruption_metrics(flights: DataFrame, keys: Sequence[str], names: dict[str,
             F.count("flight_id").alias(n["total"]),
             bool_count("is_delayed").alias(n["delayed"]),
             bool_count("is_cancelled").alias(n["cancelled"]),
-            mean_of_hundredths("departure_delay_minutes").alias(n["average"]),
+            mean_minutes("departure_delay_minutes").alias(n["average"]),
         )
         .withColumn(n["rate"], safe_rate(n["delayed"], n["total"]))
     )
@@ -151,15 +141,13 @@ AIRPORT_METRIC_NAMES = {
 def airport_disruption(
     flights: DataFrame,
     airports: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     with_load_time: bool = False,
 ) -> DataFrame:
     """gold_airport_disruption (A2 then J4): per origin airport, the shared
     measures plus every airport attribute."""
     slim = flights.select("origin_airport", "flight_id", "is_delayed", "is_cancelled", "departure_delay_minutes")
     grouped = disruption_metrics(slim, ["origin_airport"], AIRPORT_METRIC_NAMES)
-    dim = checked_broadcast(airports, max_broadcast_rows)
-    out = grouped.join(dim, grouped["origin_airport"] == dim["airport_code"], "left")
+    out = grouped.join(airports, grouped["origin_airport"] == airports["airport_code"], "left")
     return add_load_time(out, "_gold_loaded_at_utc") if with_load_time else out
 
 
@@ -187,16 +175,15 @@ def build_gold_tables(
     airports: DataFrame,
     weather: DataFrame,
     events: DataFrame,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     with_load_time: bool = False,
     weather_mode: str = "first",
 ) -> dict[str, DataFrame]:
     """All four gold tables from silver inputs (lazy)."""
     return {
         "gold_flight_performance": enrich_flights(
-            flights, airports, weather, max_broadcast_rows, with_load_time, weather_mode
+            flights, airports, weather, with_load_time, weather_mode
         ),
         "gold_route_performance": route_performance(flights, with_load_time),
-        "gold_airport_disruption": airport_disruption(flights, airports, max_broadcast_rows, with_load_time),
+        "gold_airport_disruption": airport_disruption(flights, airports, with_load_time),
         "gold_passenger_communication": passenger_communication(events, flights, with_load_time),
     }

@@ -17,17 +17,13 @@ from pyspark.sql import types as T
 from aerolith.functions import (
     WIND_BUCKET_LABELS,
     bool_count,
-    exact_decimal_mean,
-    mean_of_hundredths,
+    mean_minutes,
     pearson,
     safe_rate,
     wind_bucket,
     wind_bucket_index,
 )
-
-# Wind speeds are given to at most three decimals (km/h), so their mean is
-# taken on the thousandths grid (exact, order-independent; avg otherwise).
-WIND_DECIMALS = 3
+from aerolith.functions.ordering import ascending, ascending_nulls_last, descending, positioned
 
 # --- filters -----------------------------------------------------------------
 
@@ -111,7 +107,7 @@ def calculate_kpis(flights: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_flights"),
         F.coalesce(bool_count("is_delayed"), F.lit(0).cast("bigint")).alias("delayed_flights"),
         F.coalesce(bool_count("is_cancelled"), F.lit(0).cast("bigint")).alias("cancelled_flights"),
-        mean_of_hundredths("departure_delay_minutes").alias("_avg"),
+        mean_minutes("departure_delay_minutes").alias("_avg"),
     )
     empty = F.col("total_flights") == 0
     return agg.select(
@@ -141,7 +137,7 @@ def calculate_weather_delay_summary(flights: DataFrame) -> DataFrame:
     complete = flights.select(wind, delay).where(F.col(wind).isNotNull() & F.col(delay).isNotNull())
     agg = complete.agg(
         F.count(F.lit(1)).alias("_n"),
-        exact_decimal_mean(wind, WIND_DECIMALS).alias("_avg"),
+        F.avg(wind).alias("_avg"),
         pearson(wind, delay).alias("_corr"),
     )
     enough = F.col("_n") >= 2
@@ -182,8 +178,8 @@ def build_weather_delay_view(flights: DataFrame) -> DataFrame:
         .agg(
             F.count("flight_id").alias("total_flights"),
             bool_count("is_delayed").alias("delayed_flights"),
-            mean_of_hundredths("departure_delay_minutes").alias("average_departure_delay_minutes"),
-            exact_decimal_mean("origin_wind_speed_kmh", WIND_DECIMALS).alias("average_wind_speed_kmh"),
+            mean_minutes("departure_delay_minutes").alias("average_departure_delay_minutes"),
+            F.avg("origin_wind_speed_kmh").alias("average_wind_speed_kmh"),
         )
         .withColumn("delay_rate", safe_rate("delayed_flights", "total_flights"))
         .orderBy("_bucket_order")
@@ -255,7 +251,7 @@ def delay_distribution(flights: DataFrame, exact: bool = True, accuracy: int = 1
         p50.alias("p50"),
         p90.alias("p90"),
         F.max(delay).alias("max"),
-        mean_of_hundredths(delay).alias("mean"),
+        mean_minutes(delay).alias("mean"),
     )
     return stats.select(
         F.expr(
@@ -320,7 +316,7 @@ def notification_coverage(flights: DataFrame, events: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("delayed_flights"),
             F.count("first_notification_utc").alias("notified_delayed_flights"),
-            mean_of_hundredths("_minutes").alias("average_minutes_to_first_notification"),
+            mean_minutes("_minutes").alias("average_minutes_to_first_notification"),
         )
         .withColumn("notification_coverage", safe_rate("notified_delayed_flights", "delayed_flights"))
     )
@@ -341,34 +337,23 @@ COMMUNICATION_VIEW_COLUMNS = (
 
 
 def route_view(routes: DataFrame) -> DataFrame:
-    """Route columns ordered by delay rate, then mean delay (desc)."""
-    return routes.select(*ROUTE_VIEW_COLUMNS).orderBy(
-        F.col("delay_rate").desc_nulls_last(), F.col("average_departure_delay_minutes").desc_nulls_last(), "route"
-    )
+    """Routes by delay rate and mean delay, with their positions."""
+    order = [*descending("delay_rate", "average_departure_delay_minutes"), *ascending("route")]
+    return positioned(routes, order, ROUTE_VIEW_COLUMNS)
 
 
 def airport_view(airports: DataFrame) -> DataFrame:
-    """P12 + O3: airport ranking by rate, cancellations, mean delay (desc),
-    code (asc)."""
-    return airports.orderBy(
-        F.col("delay_rate").desc_nulls_last(),
-        F.col("cancelled_departures").desc_nulls_last(),
-        F.col("average_departure_delay_minutes").desc_nulls_last(),
-        F.col("origin_airport").asc_nulls_last(),
-    ).select(*AIRPORT_VIEW_COLUMNS)
+    """P12 + O3: airports by delay rate, cancellations and mean delay."""
+    worst = descending("delay_rate", "cancelled_departures", "average_departure_delay_minutes")
+    return positioned(airports, [*worst, *ascending_nulls_last("origin_airport")], AIRPORT_VIEW_COLUMNS)
 
 
 def communication_view(communication: DataFrame) -> DataFrame:
-    """P12 + O4: delayed, cancelled, event count (desc), then route, type,
-    channel (asc, nulls last as in the notebook)."""
-    return communication.select(*COMMUNICATION_VIEW_COLUMNS).orderBy(
-        F.col("delayed_flight_events").desc_nulls_last(),
-        F.col("cancelled_flight_events").desc_nulls_last(),
-        F.col("event_count").desc_nulls_last(),
-        F.col("route").asc_nulls_last(),
-        F.col("event_type").asc_nulls_last(),
-        F.col("channel").asc_nulls_last(),
-    )
+    """P12 + O4: segments by delayed, cancelled and all events; null routes
+    last as in the notebook."""
+    most = descending("delayed_flight_events", "cancelled_flight_events", "event_count")
+    order = [*most, *ascending_nulls_last("route", "event_type", "channel")]
+    return positioned(communication, order, COMMUNICATION_VIEW_COLUMNS)
 
 
 # --- dashboard interaction chain (entry point 3) ---------------------------------

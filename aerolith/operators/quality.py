@@ -13,9 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolith.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, has_at_most
-from aerolith.session import materialize
-
 
 def _missing_flag(df: DataFrame, name: str) -> Column:
     """1 when the cell is null (or NaN for floating columns), else 0."""
@@ -34,87 +31,31 @@ def _normalised(df: DataFrame, name: str) -> Column:
     return c
 
 
-def _exact_duplicates(df: DataFrame) -> DataFrame:
-    """Σ(count − 1) over a group-by of all columns (one row)."""
-    return (
-        df.groupBy(*[F.col(c) for c in df.columns])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
-    )
-
-
-def duplicate_rows(df: DataFrame, max_suspects: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Rows equal to an earlier row (nulls equal), exactly, without shuffling
-    full rows.
-
-    Stage 1 groups rows by a 96-bit signature (xxhash64 and murmur3 over all
-    columns): about 12 bytes per row are shuffled, partially aggregated
-    map-side. A row whose signature occurs once cannot have a duplicate.
-    Stage 2 groups only the suspect rows (signature seen more than once) by
-    all columns, so hash collisions cannot inflate the count. The suspect
-    signatures are written once to the checkpoint folder; when they are few
-    they are broadcast into a semi join, otherwise stage 2 falls back to
-    grouping every row by all columns."""
+def _signature(df: DataFrame) -> list[Column]:
+    """128 bits of a row: two differently seeded 64-bit hashes of all columns.
+    Among 10**11 different rows the chance that any two share one is 10**-17."""
     cols = [_normalised(df, c) for c in df.columns]
-    signed = df.select(F.xxhash64(*cols).alias("_s1"), F.hash(*cols).alias("_s2"))
-    suspects = materialize(
-        signed.groupBy("_s1", "_s2").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_s1", "_s2"),
-        "duplicate-suspects",
-    )
-    if not has_at_most(suspects, max_suspects):
-        return _exact_duplicates(df)
-    flagged = (
-        df.withColumn("_s1", F.xxhash64(*cols))
-        .withColumn("_s2", F.hash(*cols))
-        .join(F.broadcast(suspects), ["_s1", "_s2"], "left_semi")
-        .drop("_s1", "_s2")
-    )
-    return _exact_duplicates(flagged)
+    return [F.xxhash64(*cols).alias("_s1"), F.xxhash64(F.lit(1), *cols).alias("_s2")]
 
 
-def quality_profile(df: DataFrame, layer: str, dataset: str, duplicates: str = "signature") -> DataFrame:
+def quality_profile(df: DataFrame, layer: str, dataset: str) -> DataFrame:
     """Rows, duplicate rows (rows equal to an earlier row, nulls equal),
     missing cells and the mean per-column missing rate.
 
-    ``duplicates="signature"`` (for stored tables, where reading the input
-    again is a scan): rows and missing cells are one global aggregate and the
-    duplicate count comes from ``duplicate_rows`` as a scalar subquery, so no
-    full row is shuffled unless many rows are suspect.
-
-    ``duplicates="group"`` (for inputs that are expensive plans, where
-    reading the input twice costs more than shuffling it once): one group-by
-    over all columns yields everything, because a group's rows share their
-    null pattern (missing cells = the group's nulls × its size); it is
-    partially aggregated map-side.
-    """
-    cols = df.columns
-    n_cols = len(cols)
-    nulls = sum((_missing_flag(df, c) for c in cols), F.lit(0))
-    if duplicates == "group":
-        groups = df.groupBy(*[F.col(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n")).withColumn("_nulls", nulls)
-        totals = groups.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
-            F.coalesce(F.sum(F.col("_nulls") * F.col("_n")), F.lit(0)).cast("bigint").alias("missing_values"),
-        )
-        dupes = F.col("duplicate_rows")
-    elif duplicates == "signature":
-        totals = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(nulls), F.lit(0)).cast("bigint").alias("missing_values"),
-        )
-        dupes = duplicate_rows(df).scalar()
-    else:
-        raise ValueError(f"duplicates must be 'signature' or 'group', got {duplicates!r}")
+    The input is evaluated once and no full row is shuffled: rows are grouped
+    by their signature, partially aggregated in each task, so copies of a hot
+    row collapse before the shuffle and 32 bytes per different row cross it."""
+    nulls = sum((_missing_flag(df, c) for c in df.columns), F.lit(0))
+    groups = df.groupBy(*_signature(df)).agg(F.count(F.lit(1)).alias("_n"), F.sum(nulls).alias("_nulls"))
+    totals = groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+        F.coalesce(F.sum("_nulls"), F.lit(0)).cast("bigint").alias("missing_values"),
+    )
+    cells = (F.col("rows") * F.lit(len(df.columns))).cast("double")
+    rate = F.try_divide(F.col("missing_values").cast("double"), cells).alias("missing_value_rate")
     return totals.select(
-        F.lit(layer).alias("layer"),
-        F.lit(dataset).alias("dataset"),
-        "rows",
-        dupes.alias("duplicate_rows"),
-        "missing_values",
-        F.try_divide(F.col("missing_values").cast("double"), (F.col("rows") * F.lit(n_cols)).cast("double")).alias(
-            "missing_value_rate"
-        ),
+        F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "rows", "duplicate_rows", "missing_values", rate
     )
 
 
@@ -136,9 +77,9 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def profile_layers(layers: Mapping[str, Mapping[str, DataFrame]], duplicates: str = "signature") -> DataFrame:
+def profile_layers(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     return union_all(
-        [quality_profile(df, layer, name, duplicates) for layer, tables in layers.items() for name, df in tables.items()]
+        [quality_profile(df, layer, name) for layer, tables in layers.items() for name, df in tables.items()]
     )
 
 
@@ -159,28 +100,24 @@ def referential_orphans(
     """Records whose reference has no match: flight origin / destination
     not in airports, weather airport not in airports, event flight not in
     flights. Anti joins on the key only (null keys never match)."""
-    codes = airports.select(F.col("airport_code").alias("_code")).distinct()
-    flight_ids = flights.select(F.col("flight_id").alias("_fid")).distinct()
-
-    def orphans(check: str, df: DataFrame, key: str, ref: DataFrame, ref_key: str, pre_aggregate: bool) -> DataFrame:
-        if pre_aggregate:
-            # Both sides grow with the data: count records per key first
-            # (map-side combine), so a hot key is one row in the join.
-            side = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        else:
-            side = df.select(key, F.lit(1).alias("_n"))
+    codes = airports.select(F.col("airport_code").alias("_ref")).distinct()
+    flight_ids = flights.select(F.col("flight_id").alias("_ref")).distinct()
+
+    def orphans(check: str, df: DataFrame, key: str, ref: DataFrame) -> DataFrame:
+        # Records are counted per key first (map-side combine), so a hot key is one row in the join.
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         return (
-            side.join(ref, F.col(key) == F.col(ref_key), "left_anti")
+            per_key.join(ref, F.col(key) == F.col("_ref"), "left_anti")
             .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphan_records"))
             .select(F.lit(check).alias("check"), "orphan_records")
         )
 
     return union_all(
         [
-            orphans("flights.origin_airport -> airports", flights, "origin_airport", codes, "_code", False),
-            orphans("flights.destination_airport -> airports", flights, "destination_airport", codes, "_code", False),
-            orphans("weather.airport_code -> airports", weather, "airport_code", codes, "_code", False),
-            orphans("passenger_events.flight_id -> flights", events, "flight_id", flight_ids, "_fid", True),
+            orphans("flights.origin_airport -> airports", flights, "origin_airport", codes),
+            orphans("flights.destination_airport -> airports", flights, "destination_airport", codes),
+            orphans("weather.airport_code -> airports", weather, "airport_code", codes),
+            orphans("passenger_events.flight_id -> flights", events, "flight_id", flight_ids),
         ]
     )
 
@@ -196,9 +133,9 @@ def enrichment_gaps(flight_performance: DataFrame) -> DataFrame:
     )
 
 
-def future_events(events: DataFrame) -> DataFrame:
-    """Events stamped after the processing time."""
-    return events.where(F.col("event_timestamp_utc") > F.current_timestamp())
+def future_events(events: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Events stamped after the processing time (default: now)."""
+    return events.where(F.col("event_timestamp_utc") > (F.current_timestamp() if processed_at is None else processed_at))
 
 
 def known_time_zones(spark) -> DataFrame:

@@ -14,6 +14,8 @@ and the dataset-level gate is a scalar subquery used as a filter constant.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,15 @@ RECORD_REF = "_record_ref"
 IATA_PATTERN = r"\A[A-Z]{3}\z"
 # Python's str.strip() removes Unicode whitespace and the separators 0x1c-0x1f.
 BLANK_PATTERN = r"(?U)\A[\s\x1c-\x1f]*\z"
-# ISO-8601 date-time in UTC: hour, optional minutes / seconds / fraction,
-# ``T`` or space separator, ``Z`` or ``+00:00`` suffix.
-UTC_TIMESTAMP_PATTERN = (
-    r"\A(\d{4}-\d{2}-\d{2})[T ](\d{2})(?::(\d{2})(?::(\d{2})(\.\d{1,6})?)?)?(?:Z|\+00:00)\z"
+# ISO-8601 in UTC (``Z`` or ``+00:00``), each accepted shape with its parser:
+# extended date-time (hour, optional minutes / seconds / fraction, ``T`` or
+# space), the same in basic form, and a date alone (midnight).
+UTC_TIMESTAMP_SHAPES = (
+    (r"\d{4}-\d{2}-\d{2}[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?", "yyyy-MM-dd['T'][' ']HH[:mm[:ss[.SSSSSS]]]XXX"),
+    (r"\d{8}[T ]\d{2}(?:\d{2}(?:\d{2}(?:\.\d{1,6})?)?)?", "yyyyMMdd['T'][' ']HH[mm[ss[.SSSSSS]]]XXX"),
+    (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-ddXXX"),
+    (r"\d{8}", "yyyyMMddXXX"),
 )
-UTC_TIMESTAMP_FORMAT = "yyyy-MM-dd['T'][' ']HH[:mm[:ss[.SSSSSS]]]XXX"
 NUMERIC_TEXT_PATTERN = r"(?U)\A\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*\z"
 NUMERIC_VARIANT_TYPES = r"\A(?:TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)\z"
 
@@ -89,11 +94,15 @@ class _Value:
 
 def parse_utc_timestamp(text: Column) -> Column:
     """Timestamp of an accepted UTC text; null when rejected or invalid
-    (e.g. month 13, 30 February, hour 24). The anchored regex decides the
-    accepted shapes; one pattern with optional sections parses all of them
-    (minute-only and hour-only text included), so the text is read twice,
-    not once per shape."""
-    return F.when(text.rlike(UTC_TIMESTAMP_PATTERN), F.try_to_timestamp(text, F.lit(UTC_TIMESTAMP_FORMAT)))
+    (e.g. month 13, 30 February, hour 24). An anchored regex decides the
+    shape and the shape's pattern parses it; the common shape comes first. Rule
+    and reader share this, so no accepted time is lost. ISO week dates are
+    rejected, which a record's error says."""
+    out = None
+    for shape, layout in UTC_TIMESTAMP_SHAPES:
+        matches, parsed = text.rlike(rf"\A(?:{shape})(?:Z|\+00:00)\z"), F.try_to_timestamp(text, F.lit(layout))
+        out = F.when(matches, parsed) if out is None else out.when(matches, parsed)
+    return out
 
 
 def _timestamp_ok(v: _Value) -> Column:
@@ -122,58 +131,62 @@ def _error(rule: str, field: str | None, message: Column) -> Column:
     return F.struct(F.lit(rule).alias("rule"), F.lit(field).cast("string").alias("field"), message.alias("message"))
 
 
-def record_errors(source: str, ref: Column) -> Column:
-    """``array<struct<rule, field, message>>`` of all rule violations of a
-    record, in rule order; empty when the record is valid."""
+@dataclass(frozen=True)
+class _Check:
+    """One rule on one field (V1: on all): when it is broken and what is said."""
+
+    rule: str
+    field: str | None
+    broken: Column
+    text: Column
+
+
+def _checks(source: str) -> list[_Check]:
+    """All rules of a source in message order: V1, V2 (fields sorted), V3 and
+    V4 (contract order), then airport codes and numeric ranges."""
     specs = contracts.fields(source)
     required = contracts.required_fields(source)
-    prefix = F.concat(F.lit(f"{source}["), ref.cast("string"), F.lit("] "))
-    checks: list[Column] = []
-
-    # V1: required keys absent (names sorted, one message per record).
     missing = F.array_compact(F.array(*[F.when(~_Value(f).present, F.lit(f)) for f in required]))
-    checks.append(
-        F.when(
-            F.size(missing) > 0,
-            _error("V1", None, F.concat(prefix, F.lit("missing required field(s): "), F.array_join(missing, ", "))),
-        )
-    )
-    # V2: required fields present but null or blank (sorted by name).
-    for f in required:
-        checks.append(
-            F.when(_Value(f).blank, _error("V2", f, F.concat(prefix, F.lit(f"required field is empty: {f}"))))
-        )
-    # V3: controlled vocabularies (contract order).
+    said = F.concat(F.lit("missing required field(s): "), F.array_join(missing, ", "))
+    checks = [_Check("V1", None, F.size(missing) > 0, said)]
+    checks += [_Check("V2", f, _Value(f).blank, F.lit(f"required field is empty: {f}")) for f in required]
     for spec in specs:
         allowed = contracts.VOCABULARIES.get(source, {}).get(spec.name)
-        if not allowed:
-            continue
-        v = _Value(spec.name)
-        bad = v.filled & ~F.coalesce(v.text.isin(list(allowed)), F.lit(False))
-        message = F.concat(
-            prefix,
-            F.lit(f"invalid value for {spec.name}: "),
-            v.text,
-            F.lit(". Allowed values: " + ", ".join(sorted(allowed))),
-        )
-        checks.append(F.when(bad, _error("V3", spec.name, message)))
-    # V4: UTC timestamps (contract order).
+        if allowed:
+            v = _Value(spec.name)
+            known = F.coalesce(v.text.isin(list(allowed)), F.lit(False))
+            listed = F.lit(". Allowed values: " + ", ".join(sorted(allowed)))
+            said = F.concat(F.lit(f"invalid value for {spec.name}: "), v.text, listed)
+            checks.append(_Check("V3", spec.name, v.filled & ~known, said))
     for spec in specs:
-        if spec.dtype != "timestamp":
-            continue
-        v = _Value(spec.name)
-        message = F.concat(prefix, F.lit(f"invalid UTC timestamp for {spec.name}: "), v.text)
-        checks.append(F.when(v.filled & ~_timestamp_ok(v), _error("V4", spec.name, message)))
-    # V5–V7: airport codes, then numeric ranges.
+        if spec.dtype == "timestamp":
+            v = _Value(spec.name)
+            said = F.concat(F.lit(f"invalid UTC timestamp for {spec.name}: "), v.text)
+            checks.append(_Check("V4", spec.name, v.filled & ~_timestamp_ok(v), said))
     for name in contracts.CODE_FIELDS.get(source, ()):
         v = _Value(name)
-        message = F.concat(prefix, F.lit(f"invalid IATA airport code for {name}"))
-        checks.append(F.when(v.filled & ~_code_ok(v), _error("V5", name, message)))
+        checks.append(_Check("V5", name, v.filled & ~_code_ok(v), F.lit(f"invalid IATA airport code for {name}")))
     for name, (low, high) in contracts.NUMERIC_RANGES.get(source, {}).items():
         v = _Value(name)
-        message = F.concat(prefix, F.lit(f"invalid numeric range for {name}: "), v.text)
-        checks.append(F.when(v.filled & ~_in_range(v, low, high), _error("V8", name, message)))
-    return F.array_compact(F.array(*checks))
+        said = F.concat(F.lit(f"invalid numeric range for {name}: "), v.text)
+        checks.append(_Check("V8", name, v.filled & ~_in_range(v, low, high), said))
+    return checks
+
+
+def record_errors(source: str, ref: Column) -> Column:
+    """``array<struct<rule, field, message>>`` of all rule violations of a
+    record, in rule order; empty when the record is valid."""
+    prefix = F.concat(F.lit(f"{source}["), ref.cast("string"), F.lit("] "))
+    return F.array_compact(
+        F.array(*[F.when(c.broken, _error(c.rule, c.field, F.concat(prefix, c.text))) for c in _checks(source)])
+    )
+
+
+def _extracted(source: str, raw: DataFrame, text_col: str) -> tuple[DataFrame, list[str]]:
+    """Parsed records with every contract field taken out once."""
+    names = contracts.field_names(source)  # unknown source → ValueError
+    parsed = parse_records(raw, text_col)
+    return parsed.select(*parsed.columns, *[c for n in names for c in _Value(n, extracted=False).columns()]), parsed.columns
 
 
 def validate(source: str, raw: DataFrame, text_col: str = "value", ref_col: str = RECORD_REF) -> DataFrame:
@@ -182,10 +195,7 @@ def validate(source: str, raw: DataFrame, text_col: str = "value", ref_col: str
     ``ref_col`` names the column used as record reference in messages (the
     record's position for array files); when absent, the business key is
     used."""
-    names = contracts.field_names(source)  # unknown source → ValueError
-    parsed = parse_records(raw, text_col)
-    base = parsed.columns
-    extracted = parsed.select(*base, *[c for n in names for c in _Value(n, extracted=False).columns()])
+    extracted, base = _extracted(source, raw, text_col)
     if ref_col not in extracted.columns:
         keys = contracts.BUSINESS_KEYS[source]
         extracted = extracted.withColumn(ref_col, F.concat_ws(",", *[_Value(k).text for k in keys]))
@@ -198,6 +208,14 @@ def validate(source: str, raw: DataFrame, text_col: str = "value", ref_col: str
     return extracted.select(F.inline(F.array(row)))
 
 
+def error_counts(source: str, raw: DataFrame, text_col: str = "value") -> DataFrame:
+    """``error_count`` per raw record: the rules are counted, no message is
+    built. Feeds ``counted_summary``."""
+    extracted, _ = _extracted(source, raw, text_col)
+    count = sum((F.coalesce(c.broken, F.lit(False)).cast("int") for c in _checks(source)), F.lit(0))
+    return extracted.select(count.alias("error_count"))
+
+
 def error_messages(source: str, validated: DataFrame, ref_col: str = RECORD_REF) -> DataFrame:
     """Long form: one row per violation (source, record ref, phase, position
     inside the record, rule, field, message). Ordering by (phase, ref,
@@ -235,11 +253,15 @@ def gate(validated: DataFrame, mode: str = "dataset") -> tuple[DataFrame, DataFr
 
 def validation_summary(source: str, validated: DataFrame, mode: str = "dataset") -> DataFrame:
     """One row per source: records, accepted, rejected, error count."""
-    has_errors = F.size("errors") > 0
-    agg = validated.agg(
+    return counted_summary(source, validated.select(F.size("errors").alias("error_count")), mode)
+
+
+def counted_summary(source: str, counts: DataFrame, mode: str = "dataset") -> DataFrame:
+    """V11 from the error count of every record."""
+    agg = counts.agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if(has_errors).alias("invalid_records"),
-        F.coalesce(F.sum(F.size("errors")), F.lit(0)).cast("bigint").alias("error_count"),
+        F.count_if(F.col("error_count") > 0).alias("invalid_records"),
+        F.coalesce(F.sum("error_count"), F.lit(0)).cast("bigint").alias("errors"),
     )
     if mode == "dataset":
         accepted = F.when(F.col("invalid_records") > 0, F.lit(0)).otherwise(F.col("records"))
@@ -250,7 +272,7 @@ def validation_summary(source: str, validated: DataFrame, mode: str = "dataset")
         F.col("records"),
         accepted.cast("bigint").alias("accepted_records"),
         (F.col("records") - accepted).cast("bigint").alias("rejected_records"),
-        F.col("error_count"),
+        F.col("errors").alias("error_count"),
     )
 
 

@@ -14,7 +14,7 @@ computed from silver flights, not from the written enriched table.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -89,31 +89,21 @@ class _Session:
 # --- K1 ingest -----------------------------------------------------------------
 
 
-def _airports_frame(spark: SparkSession, airport_source: str, airport_csv: str | None) -> DataFrame:
-    if airport_source == "synthetic":
-        return synthetic.airports(spark)
-    if airport_source != "csv":
-        raise ValueError(f"Unsupported airport source: {airport_source}")
+def _or_synthetic(read, synthetic_frame, source: str, allow_synthetic: bool, fallbacks: dict[str, str]) -> DataFrame:
+    """What ``read`` gives; if its path does not exist and that is allowed, the
+    synthetic source, noted in ``fallbacks``. Anything else raises."""
     try:
-        frame = landed.read_airport_csv(spark, airport_csv or "")
-        frame.limit(1).count()  # force the read inside the try (lazy otherwise)
-        return frame
-    except Exception:
-        return synthetic.airports(spark)
-
-
-def _weather_frame(spark: SparkSession, weather_source: str, payloads: str | None, airports: DataFrame) -> DataFrame:
-    if weather_source == "synthetic":
-        return synthetic.weather(spark)
-    if weather_source != "hourly":
-        raise ValueError(f"Unsupported weather source: {weather_source}")
-    try:
-        chosen = landed.weather_airports(airports).select("airport_code")
-        frame = landed.read_hourly_weather(spark, payloads or "").join(F.broadcast(chosen), "airport_code", "left_semi")
-        frame.limit(1).count()
-        return frame
-    except Exception:
-        return synthetic.weather(spark)
+        return read()
+    except FileNotFoundError as missing:
+        if not allow_synthetic:
+            raise
+        fallbacks[source] = str(missing)
+        return synthetic_frame()
+
+
+def _raw_json(frame: DataFrame) -> DataFrame:
+    # Null fields stay in the record: an empty value is not a missing key.
+    return frame.select(F.to_json(F.struct(*frame.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def source_records(
@@ -123,14 +113,42 @@ def source_records(
     airport_csv: str | None = None,
     weather_payloads: str | None = None,
     flight_count: int = synthetic.DEFAULT_FLIGHT_COUNT,
+    airport_codes: Sequence[str] | None = None,
+    max_weather_airports: int | None = None,
+    allow_synthetic: bool = False,
+    fallbacks: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Raw records per source with per-source fallback to the
-    synthetic source; unknown source names raise."""
+    """Raw records per source. ``airport_codes`` and
+    ``max_weather_airports`` narrow the landed sources (default: all). With
+    ``allow_synthetic`` a landed path that does not exist gives the synthetic
+    source instead, and ``fallbacks`` says so. Unknown source names raise."""
+    for name, known in ((airport_source, ("synthetic", "csv")), (weather_source, ("synthetic", "hourly"))):
+        if name not in known:
+            raise ValueError(f"Unsupported source: {name}")
+    noted = {} if fallbacks is None else fallbacks
     raw = synthetic.raw_sources(spark, flight_count)
-    airports = _airports_frame(spark, airport_source, airport_csv)
-    weather = _weather_frame(spark, weather_source, weather_payloads, airports)
-    raw[contracts.AIRPORTS] = airports.select(F.to_json(F.struct(*airports.columns)).alias("value"))
-    raw[contracts.WEATHER] = weather.select(F.to_json(F.struct(*weather.columns)).alias("value"))
+    if airport_source == "csv":
+        airports = _or_synthetic(
+            lambda: landed.read_airport_csv(spark, airport_csv or "airports.csv", airport_codes),
+            lambda: synthetic.airports(spark),
+            contracts.AIRPORTS,
+            allow_synthetic,
+            noted,
+        )
+    else:
+        airports = synthetic.airports(spark)
+    if weather_source == "hourly":
+        chosen = landed.weather_airports(airports, max_weather_airports).select("airport_code")
+        weather = _or_synthetic(
+            lambda: landed.read_hourly_weather(spark, weather_payloads or "weather").join(chosen, "airport_code", "left_semi"),
+            lambda: synthetic.weather(spark),
+            contracts.WEATHER,
+            allow_synthetic,
+            noted,
+        )
+    else:
+        weather = synthetic.weather(spark)
+    raw[contracts.AIRPORTS], raw[contracts.WEATHER] = _raw_json(airports), _raw_json(weather)
     return raw
 
 
@@ -156,9 +174,11 @@ def ingest(
     mode), every message under ``_errors`` and the per-source summary under
     ``_validation_summary``. Every record with its ``errors`` is kept under
     ``_validated`` (the one evaluation of the rules that all other outputs
-    read, and an audit trail). Returns the summary rows (one per source)."""
+    read, and an audit trail). Returns the summary rows (one per source), which
+    say where a synthetic source stood in for a missing landed one."""
     with _Session(spark) as s:
-        recs = dict(records) if records is not None else source_records(s, **source_options)
+        fallbacks: dict[str, str] = {}
+        recs = dict(records) if records is not None else source_records(s, fallbacks=fallbacks, **source_options)
         summaries = []
         for source, raw in recs.items():
             staged_path = _join(output_dir, "_validated", source)
@@ -170,7 +190,8 @@ def ingest(
             if mode == "record":
                 rejected.write.mode("overwrite").parquet(_join(output_dir, "_quarantine", source))
             V.error_messages(source, staged).write.mode("overwrite").json(_join(output_dir, "_errors", source))
-            summaries.append(V.validation_summary(source, staged, mode))
+            summary = V.validation_summary(source, staged, mode)
+            summaries.append(summary.withColumn("synthetic_fallback", F.lit(source in fallbacks)))
         summary = summaries[0]
         for f in summaries[1:]:
             summary = summary.unionByName(f)
@@ -265,13 +286,14 @@ def build_gold(
         for source in contracts.SOURCES:
             require_path(s, _join(silver_dir, source), "silver")
         read = {src: s.read.parquet(_join(silver_dir, src)) for src in contracts.SOURCES}
-        technical = ("_bronze_loaded_at_utc", "_source_file", "_silver_loaded_at_utc")
-        flights = read[contracts.FLIGHTS].drop(*technical, "flight_date")
-        airports = read[contracts.AIRPORTS]
-        weather = read[contracts.WEATHER]
-        events = read[contracts.PASSENGER_EVENTS].drop(*technical)
+        # Flights and both airport roles keep their load columns in the enriched table.
         tables = gold_ops.build_gold_tables(
-            flights, airports, weather, events, with_load_time=True, weather_mode=weather_mode
+            read[contracts.FLIGHTS].drop("flight_date"),
+            read[contracts.AIRPORTS],
+            read[contracts.WEATHER],
+            read[contracts.PASSENGER_EVENTS],
+            with_load_time=True,
+            weather_mode=weather_mode,
         )
         rows = []
         for name in GOLD_TABLES:
@@ -290,8 +312,7 @@ def build_gold(
 def build_profile(silver_dir: str, gold_dir: str, output_dir: str, spark: SparkSession | None = None) -> list[dict]:
     """Profile (A11) and inventory (A12) of the written silver and gold
     tables, written under ``output_dir/quality_profile`` and
-    ``output_dir/dataset_inventory``. Inputs are stored tables, so duplicates
-    use the signature method (no full-row shuffle)."""
+    ``output_dir/dataset_inventory``."""
     from aerolith.operators import quality
     from aerolith.sources.catalog import load_gold_tables
 
@@ -302,7 +323,7 @@ def build_profile(silver_dir: str, gold_dir: str, output_dir: str, spark: SparkS
             "silver": {src: s.read.parquet(_join(silver_dir, src)) for src in contracts.SOURCES},
             "gold": load_gold_tables(s, gold_dir),
         }
-        profile = quality.profile_layers(layers, duplicates="signature")
+        profile = quality.profile_layers(layers)
         n = write_observed(profile.coalesce(1), _join(output_dir, "quality_profile"))
         m = write_observed(quality.inventory_layers(layers).coalesce(1), _join(output_dir, "dataset_inventory"))
         return [
@@ -311,22 +332,20 @@ def build_profile(silver_dir: str, gold_dir: str, output_dir: str, spark: SparkS
         ]
 
 
-# --- SQL reports over a written gold folder (R1–R3) -------------------------------
+# --- reports over a written gold folder (R1–R3) -------------------------------
 
 
 def build_report(gold_dir: str, name: str, output_dir: str, spark: SparkSession | None = None) -> list[dict]:
     """Run report ``name`` (route_delay, airport_disruption,
     passenger_communication) over the written gold tables and write its
     rows, in report order, as one JSON file under ``output_dir/<name>``."""
-    from aerolith.plans.reports import REPORTS, run_report
+    from aerolith.plans.reports import report, run_report
 
-    if name not in REPORTS:
-        raise ValueError(f"Unknown report: {name}")
+    table = report(name).table
     with _Session(spark) as s:
-        _, table = REPORTS[name]
         path = _join(gold_dir, table)
         require_path(s, path, "gold")
-        result = run_report(s, name, s.read.parquet(path))
+        result = run_report(name, s.read.parquet(path))
         # A report is one row per route / airport / segment: small, so one
         # ordered file is written (coalesce keeps the sort order).
         n = write_observed(result.coalesce(1), _join(output_dir, name), fmt="json")
@@ -346,6 +365,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--weather-source", default="synthetic")
     parser.add_argument("--airport-csv")
     parser.add_argument("--weather-payloads")
+    parser.add_argument("--airport-codes", nargs="+", help="ingest: only these airports of the CSV (default: all)")
+    parser.add_argument("--max-weather-airports", type=int, help="ingest: only the first airports by code (default: all)")
+    parser.add_argument("--allow-synthetic", action="store_true", help="ingest: synthetic data for a landed path that is missing")
     parser.add_argument("--landing", help="ingest: folder with one sub-folder of raw files per source")
     parser.add_argument("--format", default="jsonl", choices=["jsonl", "array"])
     args = parser.parse_args(argv)
@@ -360,6 +382,9 @@ def main(argv: list[str] | None = None) -> None:
             weather_source=args.weather_source,
             airport_csv=args.airport_csv,
             weather_payloads=args.weather_payloads,
+            airport_codes=args.airport_codes,
+            max_weather_airports=args.max_weather_airports,
+            allow_synthetic=args.allow_synthetic,
         )
     elif args.layer == "profile":
         result = build_profile(args.input, args.gold, args.output)

@@ -27,12 +27,9 @@ def _round2(x: str) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)"
 
 
-def _mean2(x: str) -> str:
-    return f"CAST(sum(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / 100.0 / NULLIF(count({x}), 0)"
-
-
-def _mean3(x: str) -> str:
-    return f"CAST(sum(CAST(round({x} * 1000) AS BIGINT)) AS DOUBLE) / 1000.0 / NULLIF(count({x}), 0)"
+def _minutes(x: str) -> str:
+    # Minutes have two decimals: a decimal sum is their exact sum.
+    return f"CAST(sum(CAST({x} AS DECIMAL(18, 2))) AS DOUBLE) / NULLIF(count({x}), 0)"
 
 
 def _isum(x: str) -> str:
@@ -84,34 +81,6 @@ t_bronze AS (
     JOIN supplier ON l_suppkey = s_suppkey
     JOIN customer ON o_custkey = c_custkey
 ),
-t_raw_flights AS (
-    SELECT flight_id,
-           CASE WHEN o_orderstatus <> 'P' THEN 'FL' || CAST(l_orderkey AS VARCHAR) END AS flight_number,
-           {_code('s_nationkey')} AS origin_airport,
-           {_code('c_nationkey')} AS destination_airport,
-           make_timestamp({_SCHED} * 1000000) AS scheduled_departure_utc,
-           CASE WHEN l_tax = 0 THEN NULL
-                ELSE make_timestamp(({_SCHED} + (CAST(l_quantity AS BIGINT) - 20) * 60 + l_partkey % 60) * 1000000)
-           END AS actual_departure_utc,
-           CASE WHEN l_discount >= CAST(0.1 AS DOUBLE) THEN 'CANCELLED'
-                WHEN l_tax = 0 THEN 'scheduled'
-                WHEN l_quantity > 35 THEN 'DELAYED'
-                ELSE 'departed' END AS status
-    FROM (SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS flight_id FROM lineitem)
-    JOIN orders ON l_orderkey = o_orderkey
-    JOIN supplier ON l_suppkey = s_suppkey
-    JOIN customer ON o_custkey = c_custkey
-),
-t_flight_errors AS (
-    SELECT 'flights' AS source, flight_id AS record_ref, 'V1' AS rule, CAST(NULL AS VARCHAR) AS field,
-           'flights[' || flight_id || '] missing required field(s): flight_number' AS message
-    FROM t_raw_flights WHERE flight_number IS NULL
-    UNION ALL
-    SELECT 'flights', flight_id, 'V3', 'status',
-           'flights[' || flight_id || '] invalid value for status: ' || status
-           || '. Allowed values: cancelled, delayed, departed, scheduled'
-    FROM t_raw_flights WHERE status NOT IN ('scheduled', 'departed', 'delayed', 'cancelled')
-),
 t_ranked AS (
     SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY {_FLIGHT_ORDER}) AS rn FROM t_bronze
 ),
@@ -167,7 +136,7 @@ t_weather_first AS (
 ),
 t_events_raw AS (
     SELECT 'evt-' || CAST(event_id AS VARCHAR) AS event_id,
-           CAST((event_id * 3) % 20000 AS VARCHAR) || '-' || CAST(1 + event_id % 7 AS VARCHAR) AS flight_id,
+           CAST((event_id * 7919) % ((SELECT max(o_orderkey) FROM orders) + 1) AS VARCHAR) || '-' || CAST(1 + event_id % 7 AS VARCHAR) AS flight_id,
            CASE event_type WHEN 'click' THEN 'mobile_check_in'
                            WHEN 'view' THEN 'boarding_pass_viewed'
                            WHEN 'error' THEN 'delay_notification_sent'
@@ -185,15 +154,6 @@ t_events AS (
                      event_timestamp_utc ASC NULLS FIRST, channel ASC NULLS FIRST) AS rn
         FROM t_events_raw) WHERE rn = 1
 ),
-t_event_errors AS (
-    SELECT 'passenger_events' AS source, event_id AS record_ref, 'V3' AS rule, 'event_type' AS field,
-           'passenger_events[' || event_id || '] invalid value for event_type: ' || event_type
-           || '. Allowed values: boarding_pass_viewed, delay_notification_sent, mobile_check_in, '
-           || 'rebooking_offer_viewed' AS message
-    FROM t_events_raw
-    WHERE event_type NOT IN ('mobile_check_in', 'delay_notification_sent', 'boarding_pass_viewed',
-                             'rebooking_offer_viewed')
-),
 t_gold AS (
     SELECT f.origin_airport, f.flight_id, f.flight_number, f.destination_airport,
            f.scheduled_departure_utc, f.actual_departure_utc, f.status,
@@ -218,7 +178,7 @@ t_route AS (
            count(flight_id) AS total_flights,
            {_isum('is_delayed')} AS delayed_flights,
            {_isum('is_cancelled')} AS cancelled_flights,
-           {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
+           {_minutes('departure_delay_minutes')} AS average_departure_delay_minutes,
            CAST({_isum('is_delayed')} AS DOUBLE) / NULLIF(count(flight_id), 0) AS delay_rate
     FROM t_flights_r GROUP BY route
 ),
@@ -228,7 +188,7 @@ t_airport AS (
                count(flight_id) AS total_departures,
                {_isum('is_delayed')} AS delayed_departures,
                {_isum('is_cancelled')} AS cancelled_departures,
-               {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
+               {_minutes('departure_delay_minutes')} AS average_departure_delay_minutes,
                CAST({_isum('is_delayed')} AS DOUBLE) / NULLIF(count(flight_id), 0) AS delay_rate
         FROM t_flights GROUP BY origin_airport) g
     LEFT JOIN t_airports a ON g.origin_airport = a.airport_code
@@ -289,7 +249,8 @@ ORACLE: dict[str, str] = {
            delay_rate AS dr, average_departure_delay_minutes AS adm
     FROM t_route WHERE total_flights > 0
 )
-SELECT route,
+SELECT CAST(row_number() OVER (ORDER BY dr DESC NULLS LAST, adm DESC NULLS LAST, route NULLS FIRST) AS INTEGER) AS report_position,
+       route,
        CAST(rank() OVER (ORDER BY dr DESC NULLS LAST, adm DESC NULLS LAST) AS INTEGER) AS disruption_rank,
        total_flights, delayed_flights, cancelled_flights,
        {_round2('dr * 100')} AS delay_rate_pct,
@@ -299,7 +260,11 @@ FROM r
     ),
     "report_airport_disruption": _q(
         f"""
-SELECT origin_airport, airport_name, city, country, total_departures, delayed_departures,
+SELECT CAST(row_number() OVER (
+           ORDER BY t_airport.delay_rate DESC NULLS LAST, cancelled_departures DESC NULLS LAST,
+                    t_airport.average_departure_delay_minutes DESC NULLS LAST, origin_airport NULLS FIRST) AS INTEGER)
+           AS report_position,
+       origin_airport, airport_name, city, country, total_departures, delayed_departures,
        cancelled_departures,
        {_round2('delay_rate * 100')} AS delay_rate_pct,
        {_round2('average_departure_delay_minutes')} AS average_departure_delay_minutes
@@ -308,7 +273,11 @@ FROM t_airport WHERE total_departures > 0
     ),
     "report_passenger_communication": _q(
         f"""
-SELECT route, event_type, channel, event_count, delayed_flight_events, cancelled_flight_events,
+SELECT CAST(row_number() OVER (
+           ORDER BY delayed_flight_events DESC NULLS LAST, cancelled_flight_events DESC NULLS LAST,
+                    event_count DESC NULLS LAST, route NULLS FIRST, event_type NULLS FIRST, channel NULLS FIRST) AS INTEGER)
+           AS report_position,
+       route, event_type, channel, event_count, delayed_flight_events, cancelled_flight_events,
        {_round2('delayed_flight_events / NULLIF(event_count, 0) * 100')} AS delayed_event_share_pct,
        {_round2('cancelled_flight_events / NULLIF(event_count, 0) * 100')} AS cancelled_event_share_pct
 FROM t_comm
@@ -322,13 +291,13 @@ SELECT count(*) AS total_flights,
        CASE WHEN count(*) = 0 THEN CAST(0 AS DOUBLE)
             ELSE CAST(coalesce({_isum('is_delayed')}, 0) AS DOUBLE) / count(*) END AS delay_rate,
        CASE WHEN count(*) = 0 THEN CAST(0 AS DOUBLE)
-            ELSE {_mean2('departure_delay_minutes')} END AS average_departure_delay_minutes
+            ELSE {_minutes('departure_delay_minutes')} END AS average_departure_delay_minutes
 FROM t_gold
 """
     ),
     "weather_delay_summary": _q(
         f"""
-SELECT CASE WHEN count(*) >= 2 THEN {_mean3('origin_wind_speed_kmh')} END AS average_wind_speed_kmh,
+SELECT CASE WHEN count(*) >= 2 THEN avg(origin_wind_speed_kmh) END AS average_wind_speed_kmh,
        CASE WHEN count(*) >= 2 AND stddev_pop(origin_wind_speed_kmh) > 0
                  AND stddev_pop(departure_delay_minutes) > 0
             THEN corr(origin_wind_speed_kmh, departure_delay_minutes) END AS wind_delay_correlation
@@ -341,8 +310,8 @@ WHERE origin_wind_speed_kmh IS NOT NULL AND departure_delay_minutes IS NOT NULL
 SELECT wind_bucket,
        count(flight_id) AS total_flights,
        {_isum('is_delayed')} AS delayed_flights,
-       {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
-       {_mean3('origin_wind_speed_kmh')} AS average_wind_speed_kmh,
+       {_minutes('departure_delay_minutes')} AS average_departure_delay_minutes,
+       avg(origin_wind_speed_kmh) AS average_wind_speed_kmh,
        CAST({_isum('is_delayed')} AS DOUBLE) / count(flight_id) AS delay_rate
 FROM t_bucketed
 WHERE flight_id IS NOT NULL AND origin_wind_speed_kmh IS NOT NULL
@@ -371,7 +340,7 @@ SELECT 'min' AS metric, min(departure_delay_minutes) AS departure_delay_minutes
 UNION ALL SELECT 'p50', quantile_cont(departure_delay_minutes, 0.5) FROM t_gold
 UNION ALL SELECT 'p90', quantile_cont(departure_delay_minutes, 0.9) FROM t_gold
 UNION ALL SELECT 'max', max(departure_delay_minutes) FROM t_gold
-UNION ALL SELECT 'mean', {_mean2('departure_delay_minutes')} FROM t_gold
+UNION ALL SELECT 'mean', {_minutes('departure_delay_minutes')} FROM t_gold
 """
     ),
     "filter_flights_delayed_wind": _q(
@@ -389,17 +358,168 @@ UNION ALL SELECT 'mean', {_mean2('departure_delay_minutes')} FROM t_gold
 }
 
 
-_FLIGHT_ERRS = (
-    "CAST(flight_number IS NULL AS INTEGER)"
-    " + CAST(status NOT IN ('scheduled', 'departed', 'delayed', 'cancelled') AS INTEGER)"
-)
-_EVENT_ERRS = (
-    "CAST(event_type NOT IN ('mobile_check_in', 'delay_notification_sent', 'boarding_pass_viewed',"
-    " 'rebooking_offer_viewed') AS INTEGER)"
+# --- contracts: the raw records in SQL and every rule over them ------------------
+#
+# A raw field is its text, or NULL when the key is absent, or the marker below
+# when it is JSON null. Fields in _NOT_TEXT are JSON numbers or booleans in the
+# listed cases, which no text rule accepts.
+
+_JSON_NULL = "chr(1)"
+
+
+def _cases(key: str, n: int, value: str, cases: dict[int, str]) -> str:
+    picked = " ".join(f"WHEN {r} THEN {other}" for r, other in cases.items())
+    return f"CASE ({key}) % {n} {picked} ELSE {value} END"
+
+
+_FK, _WK, _EK = "(l_orderkey * 7 + l_linenumber)", "event_id", "event_id"
+_SCHEDULED_AT = f"make_timestamp({_SCHED} * 1000000)"
+_ISO = "'%Y-%m-%dT%H:%M:%SZ'"
+_ISO_MICROS = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+
+_RAW = f"""
+, r_flights AS (
+    SELECT b.*, o_orderstatus,
+           b.flight_id AS ref,
+           b.flight_id AS f_flight_id,
+           CASE WHEN o_orderstatus <> 'P' THEN {_cases(_FK, 29, "b.flight_number", {1: "''"})} END AS f_flight_number,
+           {_cases(_FK, 29, "b.origin_airport", {2: "'  '", 3: "lower(b.origin_airport)"})} AS f_origin_airport,
+           {_cases(_FK, 29, "b.destination_airport", {4: "b.destination_airport || 'X'", 5: "NULL"})}
+               AS f_destination_airport,
+           {_cases(_FK, 29, f"strftime(b.scheduled_departure_utc, {_ISO})", {
+               6: "'soon'",
+               7: "strftime(b.scheduled_departure_utc, '%Y-%m-%dZ')",
+               8: "strftime(b.scheduled_departure_utc, '%Y%m%dT%H%M%SZ')",
+               9: "strftime(b.scheduled_departure_utc, '%Y-%m-%dT%H:%M:%S+02:00')",
+           })} AS f_scheduled_departure_utc,
+           {_cases(_FK, 29, f"strftime(b.actual_departure_utc, {_ISO})", {10: "''", 11: "'2024-13-01T00:00:00Z'"})}
+               AS f_actual_departure_utc,
+           {_cases(_FK, 29, "b.status", {5: "NULL", 12: _JSON_NULL, 13: "'7'"})} AS f_status,
+           {_cases(_FK, 29, "b.scheduled_departure_utc", {
+               6: "NULL", 7: "date_trunc('day', b.scheduled_departure_utc)", 9: "NULL"})} AS t_scheduled,
+           {_cases(_FK, 29, "b.actual_departure_utc", {10: "NULL", 11: "NULL"})} AS t_actual
+    FROM (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey) x
+    JOIN supplier ON l_suppkey = s_suppkey
+    JOIN customer ON o_custkey = c_custkey
+    CROSS JOIN LATERAL (
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS flight_id,
+               'FL' || CAST(l_orderkey AS VARCHAR) AS flight_number,
+               {_code('s_nationkey')} AS origin_airport,
+               {_code('c_nationkey')} AS destination_airport,
+               {_SCHEDULED_AT} AS scheduled_departure_utc,
+               CASE WHEN l_tax = 0 THEN NULL
+                    ELSE make_timestamp(({_SCHED} + (CAST(l_quantity AS BIGINT) - 20) * 60 + l_partkey % 60) * 1000000)
+               END AS actual_departure_utc,
+               CASE WHEN l_discount >= CAST(0.1 AS DOUBLE) THEN 'CANCELLED'
+                    WHEN l_tax = 0 THEN 'scheduled'
+                    WHEN l_quantity > 35 THEN 'DELAYED'
+                    ELSE 'departed' END AS status) b
+), r_airports AS (
+    SELECT a.airport_code AS ref,
+           {_cases("n_nationkey", 12, "a.airport_code", {3: "lower(a.airport_code)", 9: "'A1C'"})} AS f_airport_code,
+           {_cases("n_nationkey", 12, "airport_name", {2: "' '"})} AS f_airport_name,
+           {_cases("n_nationkey", 12, "city", {1: "NULL"})} AS f_city,
+           {_cases("n_nationkey", 12, "country", {1: "NULL", 7: _JSON_NULL})} AS f_country,
+           timezone AS f_timezone,
+           {_cases("n_nationkey", 12, "CAST(latitude_deg AS VARCHAR)", {4: "'95'", 6: _JSON_NULL})} AS f_latitude_deg,
+           {_cases("n_nationkey", 12, "CAST(longitude_deg AS VARCHAR)", {5: "'west'", 8: "' 12.5 '"})}
+               AS f_longitude_deg
+    FROM t_airports a JOIN nation ON a.airport_name = n_name
+), r_weather AS (
+    SELECT CAST(event_id AS VARCHAR) AS ref,
+           {_cases(_WK, 31, _code('user_id % 23'), {1: f"lower({_code('user_id % 23')})"})} AS f_airport_code,
+           {_cases(_WK, 31, f"strftime(ts, {_ISO_MICROS})", {5: "'noon'", 6: "''"})} AS f_observed_at_utc,
+           {_cases(_WK, 31, "CAST(value / 10.0 - 20.0 AS VARCHAR)", {2: "'120'", 7: _JSON_NULL})} AS f_temperature_c,
+           {_cases(_WK, 31, "CAST(value / 5.0 AS VARCHAR)", {3: "'calm'", 8: "'true'", 10: "'-1'"})} AS f_wind_speed_kmh,
+           {_cases(_WK, 31, "CAST(value / 50.0 AS VARCHAR)", {4: "NULL", 9: "'0.5'"})} AS f_precipitation_mm
+    FROM events
+), r_passenger_events AS (
+    SELECT event_id AS ref, *,
+           event_id AS f_event_id,
+           {_cases("key", 37, "flight_id", {3: "NULL"})} AS f_flight_id,
+           {_cases("key", 37, "event_type", {6: "''"})} AS f_event_type,
+           {_cases("key", 37, f"strftime(event_timestamp_utc, {_ISO_MICROS})", {
+               2: "'later'", 7: "strftime(event_timestamp_utc, '%Y-%m-%dT%HZ')"})} AS f_event_timestamp_utc,
+           {_cases("key", 37, "channel", {1: "'fax'", 5: _JSON_NULL})} AS f_channel,
+           {_cases("key", 37, "event_timestamp_utc", {
+               2: "NULL", 7: "date_trunc('hour', event_timestamp_utc)"})} AS t_event_at
+    FROM (SELECT *, CAST(substr(event_id, 5) AS BIGINT) AS key FROM t_events_raw)
 )
+"""
 
-
-def _gate_rows(source: str, table: str, errs: str, mode: str) -> str:
+# Required fields (sorted), then what each further rule checks.
+_REQUIRED = {
+    "flights": "destination_airport flight_id flight_number origin_airport scheduled_departure_utc status",
+    "airports": "airport_code airport_name city country",
+    "weather": "airport_code observed_at_utc precipitation_mm temperature_c wind_speed_kmh",
+    "passenger_events": "channel event_id event_timestamp_utc event_type flight_id",
+}
+_ALLOWED = {
+    "flights": {"status": "cancelled, delayed, departed, scheduled"},
+    "passenger_events": {
+        "event_type": "boarding_pass_viewed, delay_notification_sent, mobile_check_in, rebooking_offer_viewed",
+        "channel": "email, mobile_app, sms, web",
+    },
+}
+_TIMES = {
+    "flights": ("scheduled_departure_utc", "actual_departure_utc"),
+    "weather": ("observed_at_utc",),
+    "passenger_events": ("event_timestamp_utc",),
+}
+_CODES = {"flights": ("origin_airport", "destination_airport"), "airports": ("airport_code",), "weather": ("airport_code",)}
+_RANGES = {
+    "airports": {"latitude_deg": (-90, 90), "longitude_deg": (-180, 180)},
+    "weather": {"temperature_c": (-80, 60), "wind_speed_kmh": (0, 400), "precipitation_mm": (0, 500)},
+}
+_UTC = (
+    r"(\d{4}-(0\d|1[0-2])-\d\d([T ]\d\d(:\d\d(:\d\d(\.\d{1,6})?)?)?)?"
+    r"|\d{4}(0\d|1[0-2])\d\d([T ]\d\d(\d\d(\d\d(\.\d{1,6})?)?)?)?)(Z|\+00:00)"
+)
+
+
+def _rules(source: str) -> list[tuple[str, str, str, str]]:
+    """``(rule, field, condition, message without prefix)`` of a source."""
+    required = _REQUIRED[source].split()
+    absent = " + ".join(f"CAST(f_{f} IS NULL AS INTEGER)" for f in required)
+    listed = ", ".join(f"CASE WHEN f_{f} IS NULL THEN '{f}' END" for f in required)
+    rules = [("V1", "", f"({absent}) > 0", f"'missing required field(s): ' || concat_ws(', ', {listed})")]
+
+    def filled(f: str) -> str:
+        return f"f_{f} IS NOT NULL AND f_{f} <> {_JSON_NULL} AND trim(f_{f}) <> ''"
+
+    for f in required:
+        rules.append(("V2", f, f"f_{f} = {_JSON_NULL} OR trim(f_{f}) = ''", f"'required field is empty: {f}'"))
+    for f, allowed in _ALLOWED.get(source, {}).items():
+        known = ", ".join(f"'{v}'" for v in allowed.split(", "))
+        said = f"'invalid value for {f}: ' || f_{f} || '. Allowed values: {allowed}'"
+        rules.append(("V3", f, f"{filled(f)} AND f_{f} NOT IN ({known})", said))
+    for f in _TIMES.get(source, ()):
+        wrong = f"NOT regexp_full_match(f_{f}, '{_UTC}')"
+        rules.append(("V4", f, f"{filled(f)} AND {wrong}", f"'invalid UTC timestamp for {f}: ' || f_{f}"))
+    for f in _CODES.get(source, ()):
+        wrong = f"NOT regexp_full_match(f_{f}, '[A-Z]{{3}}')"
+        rules.append(("V5", f, f"{filled(f)} AND {wrong}", f"'invalid IATA airport code for {f}'"))
+    for f, (low, high) in _RANGES.get(source, {}).items():
+        number = f"TRY_CAST(CASE WHEN f_{f} = 'true' THEN NULL ELSE trim(f_{f}) END AS DOUBLE)"
+        wrong = f"NOT coalesce({number} BETWEEN {low} AND {high}, false)"
+        rules.append(("V8", f, f"{filled(f)} AND {wrong}", f"'invalid numeric range for {f}: ' || f_{f}"))
+    return rules
+
+
+def _errors(source: str) -> str:
+    rows = [
+        f"SELECT '{source}' AS source, ref AS record_ref, '{rule}' AS rule, NULLIF('{field}', '') AS field,"
+        f" '{source}[' || ref || '] ' || {said} AS message FROM r_{source} WHERE {broken}"
+        for rule, field, broken, said in _rules(source)
+    ]
+    return _q(_RAW + "\nUNION ALL\n".join(rows))
+
+
+def _error_count(source: str) -> str:
+    return "(" + " + ".join(f"CAST(coalesce({broken}, false) AS INTEGER)" for _, _, broken, _ in _rules(source)) + ")"
+
+
+def _gate_rows(source: str, mode: str) -> str:
     if mode == "dataset":
         accepted = "CASE WHEN count_if(n_err > 0) > 0 THEN 0 ELSE count(*) END"
     else:
@@ -408,39 +528,80 @@ def _gate_rows(source: str, table: str, errs: str, mode: str) -> str:
         f"SELECT '{source}' AS source, count(*) AS records, CAST({accepted} AS BIGINT) AS accepted_records,"
         f" CAST(count(*) - ({accepted}) AS BIGINT) AS rejected_records,"
         f" CAST(coalesce(sum(n_err), 0) AS BIGINT) AS error_count"
-        f" FROM (SELECT {errs} AS n_err FROM {table})"
+        f" FROM (SELECT {_error_count(source)} AS n_err FROM r_{source})"
     )
 
 
 def _gate_all(mode: str) -> str:
-    return _q(
-        "\nUNION ALL\n".join(
-            [
-                _gate_rows("flights", "t_raw_flights", _FLIGHT_ERRS, mode),
-                _gate_rows("airports", "t_airports", "0", mode),
-                _gate_rows("weather", "t_weather_raw", "0", mode),
-                _gate_rows("passenger_events", "t_events_raw", _EVENT_ERRS, mode),
-            ]
-        )
+    return "\nUNION ALL\n".join(_gate_rows(source, mode) for source in _REQUIRED)
+
+
+ORACLE["contract_gate_summary"] = _q(_RAW + _gate_all("dataset"))
+ORACLE["contract_gate_summary_record_mode"] = _q(_RAW + _gate_all("record"))
+ORACLE["contract_gate_totals"] = _q(
+    _RAW + "SELECT CAST(sum(accepted_records) AS BIGINT) AS total_accepted_records,"
+    f" CAST(sum(rejected_records) AS BIGINT) AS total_rejected_records FROM ({_gate_all('dataset')})"
+)
+for _source in _REQUIRED:
+    ORACLE[f"contract_errors_{_source}"] = _errors(_source)
+ORACLE["contract_gate_dataset"] = _q(
+    _RAW
+    + "\nUNION ALL\n".join(
+        f"SELECT '{source}' AS source, 'raw' AS variant,"
+        f" CAST(CASE WHEN count_if(n_err > 0) > 0 THEN 0 ELSE count(*) END AS BIGINT) AS passed,"
+        f" CAST(CASE WHEN count_if(n_err > 0) > 0 THEN count(*) ELSE 0 END AS BIGINT) AS held_back"
+        f" FROM (SELECT {_error_count(source)} AS n_err FROM r_{source})"
+        f" UNION ALL SELECT '{source}', 'clean', CAST(count_if(n_err = 0) AS BIGINT), CAST(0 AS BIGINT)"
+        f" FROM (SELECT {_error_count(source)} AS n_err FROM r_{source})"
+        for source in _REQUIRED
     )
+)
+
+
+def _value(f: str) -> str:
+    return f"NULLIF(f_{f}, {_JSON_NULL}) AS {f}"
 
 
-ORACLE["contract_gate_summary"] = _gate_all("dataset")
-ORACLE["contract_gate_summary_record_mode"] = _gate_all("record")
 ORACLE["contract_quarantine_flights"] = _q(
-    f"SELECT flight_id, flight_number, origin_airport, destination_airport, scheduled_departure_utc,"
-    f" actual_departure_utc, status, CAST({_FLIGHT_ERRS} AS INTEGER) AS error_count"
-    f" FROM t_raw_flights WHERE {_FLIGHT_ERRS} > 0"
+    _RAW
+    + f"SELECT {', '.join(map(_value, 'flight_id flight_number origin_airport destination_airport status'.split()))},"
+    " t_scheduled AS scheduled_departure_utc, t_actual AS actual_departure_utc, error_count FROM ("
+    f"SELECT *, {_error_count('flights')} AS error_count FROM r_flights) WHERE error_count > 0"
 )
 ORACLE["contract_accepted_passenger_events"] = _q(
-    f"SELECT event_id, flight_id, event_type, event_timestamp_utc, channel FROM t_events_raw WHERE {_EVENT_ERRS} = 0"
+    _RAW
+    + f"SELECT {', '.join(map(_value, 'event_id flight_id event_type channel'.split()))},"
+    f" t_event_at AS event_timestamp_utc FROM r_passenger_events WHERE {_error_count('passenger_events')} = 0"
 )
-ORACLE["contract_errors_flights"] = _q("SELECT * FROM t_flight_errors")
-ORACLE["contract_errors_passenger_events"] = _q("SELECT * FROM t_event_errors")
-ORACLE["contract_errors_weather"] = _q(
-    "SELECT CAST(NULL AS VARCHAR) AS source, CAST(NULL AS VARCHAR) AS record_ref, CAST(NULL AS VARCHAR) AS rule,"
-    " CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS message FROM t_weather_raw WHERE false"
+
+# --- landed public sources -----------------------------------------------------------
+
+_CSV_AIRPORTS = f"""
+SELECT {_code('n_nationkey')} AS airport_code, 'The "Big" ' || n_name || ', Airport' AS airport_name, n_name AS city,
+       'C' || CAST(n_regionkey AS VARCHAR) AS country,
+       CASE WHEN n_nationkey % 7 IN (1, 2) THEN NULL ELSE CAST(n_nationkey - 12 AS DOUBLE) END AS latitude_deg,
+       CAST(n_nationkey * 2 AS DOUBLE) AS longitude_deg
+FROM nation WHERE n_nationkey % 9 <> 4
+"""
+ORACLE["airport_csv_parse"] = _CSV_AIRPORTS
+ORACLE["weather_airports"] = f"SELECT * FROM ({_CSV_AIRPORTS}) WHERE latitude_deg IS NOT NULL"
+ORACLE["hourly_weather_explode"] = f"""
+WITH numbered AS (
+    SELECT *, event_id // 4 AS grp, row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id) AS place,
+           min(user_id) OVER (PARTITION BY event_id // 4) AS first_user
+    FROM events
 )
+SELECT {_code('first_user % 23')} AS airport_code,
+       strftime(ts, '%Y-%m-%dT%H:%M') || ':00Z' AS observed_at_utc,
+       CASE event_id % 11 WHEN 3 THEN NULL WHEN 5 THEN 'n/a' WHEN 7 THEN CAST(event_id % 40 AS VARCHAR)
+            ELSE CAST(event_id % 50 AS VARCHAR) END AS temperature_c,
+       CAST(event_id % 90 AS VARCHAR) AS wind_speed_kmh,
+       CAST(event_id % 20 AS VARCHAR) AS precipitation_mm
+FROM numbered
+WHERE grp % 17 <> 6 AND grp % 13 <> 4 AND NOT (grp % 5 = 2 AND place > 2)
+"""
+ORACLE["future_events"] = _q("SELECT * FROM t_events WHERE event_timestamp_utc > TIMESTAMP '2024-01-20 00:00:00'")
+ORACLE["filter_flights_cancelled"] = _q("SELECT * FROM t_gold WHERE is_cancelled")
 
 for _name, _order in _TOP.items():
     ORACLE[_name] = _q(f"SELECT * FROM t_route ORDER BY {_order}, route ASC NULLS LAST LIMIT 10")
@@ -613,8 +774,8 @@ ORACLE["weather_delay_view_asof"] = _q(
 SELECT wind_bucket,
        count(flight_id) AS total_flights,
        {_isum('is_delayed')} AS delayed_flights,
-       {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
-       {_mean3('origin_wind_speed_kmh')} AS average_wind_speed_kmh,
+       {_minutes('departure_delay_minutes')} AS average_departure_delay_minutes,
+       avg(origin_wind_speed_kmh) AS average_wind_speed_kmh,
        CAST({_isum('is_delayed')} AS DOUBLE) / count(flight_id) AS delay_rate
 FROM t_b
 WHERE flight_id IS NOT NULL AND origin_wind_speed_kmh IS NOT NULL
@@ -632,8 +793,7 @@ ORACLE["notification_coverage"] = _q(
 SELECT f.route,
        count(*) AS delayed_flights,
        count(n.first_notification_utc) AS notified_delayed_flights,
-       CAST(sum(CAST(round({_MINUTES} * 100) AS BIGINT)) AS DOUBLE) / 100.0
-           / NULLIF(count({_MINUTES}), 0) AS average_minutes_to_first_notification,
+       {_minutes(_MINUTES)} AS average_minutes_to_first_notification,
        CAST(count(n.first_notification_utc) AS DOUBLE) / count(*) AS notification_coverage
 FROM t_flights_r f LEFT JOIN t_first n ON f.flight_id = n.flight_id
 WHERE f.is_delayed
@@ -646,28 +806,32 @@ SELECT route, CAST(scheduled_departure_utc AS DATE) AS flight_date,
        count(flight_id) AS total_flights,
        {_isum('is_delayed')} AS delayed_flights,
        {_isum('is_cancelled')} AS cancelled_flights,
-       {_mean2('departure_delay_minutes')} AS average_departure_delay_minutes,
+       {_minutes('departure_delay_minutes')} AS average_departure_delay_minutes,
        CAST({_isum('is_delayed')} AS DOUBLE) / NULLIF(count(flight_id), 0) AS delay_rate
 FROM t_flights_r GROUP BY route, CAST(scheduled_departure_utc AS DATE)
 """
 )
 
-ORACLE["notebook_route_view"] = _q(
-    "SELECT route, total_flights, delayed_flights, cancelled_flights, delay_rate, average_departure_delay_minutes"
-    " FROM t_route"
-)
-ORACLE["notebook_airport_view"] = _q(
-    "SELECT origin_airport, airport_name, city, country, total_departures, delayed_departures,"
-    " cancelled_departures, delay_rate FROM t_airport"
+def _view(columns: str, order: str, table: str) -> str:
+    return _q(f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS report_position, {columns} FROM {table}")
+
+
+ORACLE["notebook_route_view"] = _view(
+    "route, total_flights, delayed_flights, cancelled_flights, delay_rate, average_departure_delay_minutes",
+    "delay_rate DESC NULLS LAST, average_departure_delay_minutes DESC NULLS LAST, route NULLS FIRST",
+    "t_route",
 )
-ORACLE["notebook_communication_view"] = _q(
-    "SELECT route, event_type, channel, event_count, delayed_flight_events, cancelled_flight_events FROM t_comm"
+ORACLE["notebook_airport_view"] = _view(
+    "origin_airport, airport_name, city, country, total_departures, delayed_departures, cancelled_departures, delay_rate",
+    "delay_rate DESC NULLS LAST, cancelled_departures DESC NULLS LAST,"
+    " average_departure_delay_minutes DESC NULLS LAST, origin_airport NULLS LAST",
+    "t_airport",
 )
-ORACLE["contract_gate_totals"] = _q(
-    "SELECT CAST(sum(accepted_records) AS BIGINT) AS total_accepted_records,"
-    " CAST(sum(rejected_records) AS BIGINT) AS total_rejected_records FROM ("
-    + _gate_all("dataset").removeprefix("WITH " + PRELUDE.strip() + "\n")
-    + ")"
+ORACLE["notebook_communication_view"] = _view(
+    "route, event_type, channel, event_count, delayed_flight_events, cancelled_flight_events",
+    "delayed_flight_events DESC NULLS LAST, cancelled_flight_events DESC NULLS LAST, event_count DESC NULLS LAST,"
+    " route NULLS LAST, event_type NULLS LAST, channel NULLS LAST",
+    "t_comm",
 )
 ORACLE["dashboard_filtered_kpis"] = _q(
     f"""
@@ -682,7 +846,7 @@ SELECT count(*) AS total_flights,
        CASE WHEN count(*) = 0 THEN CAST(0 AS DOUBLE)
             ELSE CAST(coalesce({_isum('is_delayed')}, 0) AS DOUBLE) / count(*) END AS delay_rate,
        CASE WHEN count(*) = 0 THEN CAST(0 AS DOUBLE)
-            ELSE {_mean2('departure_delay_minutes')} END AS average_departure_delay_minutes
+            ELSE {_minutes('departure_delay_minutes')} END AS average_departure_delay_minutes
 FROM t_sel
 """
 )

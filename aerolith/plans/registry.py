@@ -19,6 +19,7 @@ from aerolith.operators import validation as V
 from aerolith.operators.dedupe import deduplicate, duplicates_for_review
 from aerolith.plans import reports
 from aerolith.session import ensure_utc
+from aerolith.sources import landed
 from aerolith.sources import testmap as tm
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,15 +97,46 @@ def _contract_errors(source: str) -> Query:
 
 def _gate_summary(mode: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        frames = [V.validation_summary(s, _validated(spark, sf, s), mode) for s in contracts.SOURCES]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+        counts = {s: V.error_counts(s, tm.raw_records(spark, sf, s)) for s in contracts.SOURCES}
+        return quality.union_all([V.counted_summary(s, c, mode) for s, c in counts.items()])
 
     return run
 
 
+def _dataset_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """V10 itself: how many records of each source pass the dataset gate, as
+    they are and with the invalid ones left out beforehand."""
+    rows = []
+    for source in contracts.SOURCES:
+        validated = _validated(spark, sf, source)
+        for variant, records in (("raw", validated), ("clean", V.gate(validated, "record")[0])):
+            passed, held = (side.agg(F.count(F.lit(1)).alias("n")) for side in V.gate(records, "dataset"))
+            counts = passed.select(F.col("n").alias("passed"), held.scalar().alias("held_back"))
+            rows.append(counts.select(F.lit(source).alias("source"), F.lit(variant).alias("variant"), "passed", "held_back"))
+    return quality.union_all(rows)
+
+
+def _airport_csv(spark: SparkSession, sf: str) -> DataFrame:
+    return landed.parse_airport_csv(tm.airport_csv_lines(spark, sf))
+
+
+def _weather_airports(spark: SparkSession, sf: str) -> DataFrame:
+    return landed.weather_airports(_airport_csv(spark, sf))
+
+
+def _hourly_weather(spark: SparkSession, sf: str) -> DataFrame:
+    return landed.explode_hourly_weather(tm.hourly_payloads(spark, sf))
+
+
+# X4 of the registered query: events after this time count as not yet due.
+PROCESSED_AT = "2024-01-20T00:00:00Z"
+
+
+def _future_events(spark: SparkSession, sf: str) -> DataFrame:
+    ensure_utc(spark)
+    return quality.future_events(tm.silver_passenger_events(spark, sf), F.lit(PROCESSED_AT).cast("timestamp"))
+
+
 def _quarantine_flights(spark: SparkSession, sf: str) -> DataFrame:
     _, quarantined = V.gate(_validated(spark, sf, contracts.FLIGHTS), "record")
     typed = V.typed_records(contracts.FLIGHTS, quarantined, keep=("errors",))
@@ -184,20 +216,16 @@ QUERIES: dict[str, Query] = {
     "gold_route_performance": _route_perf,
     "gold_airport_disruption": _airport_disruption,
     "gold_passenger_communication": _communication,
-    "report_route_delay": lambda spark, sf: reports.run_report(spark, "route_delay", _route_perf(spark, sf)),
-    "report_airport_disruption": lambda spark, sf: reports.run_report(
-        spark, "airport_disruption", _airport_disruption(spark, sf)
-    ),
-    "report_passenger_communication": lambda spark, sf: reports.run_report(
-        spark, "passenger_communication", _communication(spark, sf)
-    ),
-    "kpi_summary": lambda spark, sf: insights.calculate_kpis(_gold_flights(spark, sf)),
+    "report_route_delay": lambda spark, sf: reports.run_report("route_delay", _route_perf(spark, sf)),
+    "report_airport_disruption": lambda spark, sf: reports.run_report("airport_disruption", _airport_disruption(spark, sf)),
+    "report_passenger_communication": lambda spark, sf: reports.run_report("passenger_communication", _communication(spark, sf)),
+    "kpi_summary": lambda spark, sf: insights.calculate_kpis(_flights(spark, sf)),
     "weather_delay_summary": lambda spark, sf: insights.calculate_weather_delay_summary(_gold_flights(spark, sf)),
     "weather_delay_view": lambda spark, sf: insights.build_weather_delay_view(_gold_flights(spark, sf)),
     "delay_risk_matrix": lambda spark, sf: insights.build_delay_risk_heatmap(
         _gold_flights(spark, sf), MIN_SEGMENT_FLIGHTS
     ),
-    "delay_distribution": lambda spark, sf: insights.delay_distribution(_gold_flights(spark, sf)),
+    "delay_distribution": lambda spark, sf: insights.delay_distribution(_flights(spark, sf)),
     "top_routes_rate": _top("Delay rate"),
     "top_routes_avg": _top("Average delay"),
     "top_routes_cancel": _top("Cancellations"),
@@ -209,19 +237,26 @@ QUERIES: dict[str, Query] = {
         _route_perf(spark, sf), MIN_ROUTE_DELAY_RATE
     ),
     "filter_routes_selected": _selected_routes,
-    "route_options": lambda spark, sf: insights.route_options(_gold_flights(spark, sf)),
+    "route_options": lambda spark, sf: insights.route_options(gold.with_route(_flights(spark, sf))),
     "wind_speed_bounds": lambda spark, sf: insights.wind_speed_bounds(_gold_flights(spark, sf)),
     "contract_errors_flights": _contract_errors(contracts.FLIGHTS),
     "contract_errors_passenger_events": _contract_errors(contracts.PASSENGER_EVENTS),
     "contract_errors_weather": _contract_errors(contracts.WEATHER),
+    "contract_errors_airports": _contract_errors(contracts.AIRPORTS),
+    "contract_gate_dataset": _dataset_gate,
+    "airport_csv_parse": _airport_csv,
+    "weather_airports": _weather_airports,
+    "hourly_weather_explode": _hourly_weather,
+    "future_events": _future_events,
+    "filter_flights_cancelled": lambda spark, sf: insights.filter_flight_performance(
+        _gold_flights(spark, sf), cancelled_only=True
+    ),
     "contract_gate_summary": _gate_summary("dataset"),
     "contract_gate_summary_record_mode": _gate_summary("record"),
     "contract_gate_totals": lambda spark, sf: V.validation_totals(_gate_summary("dataset")(spark, sf)),
     "contract_quarantine_flights": _quarantine_flights,
     "contract_accepted_passenger_events": _accepted_events,
-    # The layers here are lazily derived join plans, not stored tables, so one
-    # all-column group-by beats reading each input twice (quality_profile doc).
-    "quality_profile": lambda spark, sf: quality.profile_layers(_layers(spark, sf), duplicates="group"),
+    "quality_profile": lambda spark, sf: quality.profile_layers(_layers(spark, sf)),
     "dataset_inventory": lambda spark, sf: quality.inventory_layers(_layers(spark, sf)),
     "duplicate_flight_keys": lambda spark, sf: quality.duplicate_keys(tm.bronze_flights(spark, sf), ["flight_id"]),
     "referential_orphans": _orphans,

@@ -31,12 +31,6 @@ def load_gold_tables(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]
     return tables
 
 
-def register_views(tables: dict[str, DataFrame]) -> None:
-    """Expose the tables under their gold names for SQL reports."""
-    for name, frame in tables.items():
-        frame.createOrReplaceTempView(GOLD_TABLE_NAMES.get(name, name))
-
-
 def demo_tables(spark: SparkSession, flight_count: int = synthetic.DEFAULT_FLIGHT_COUNT) -> dict[str, DataFrame]:
     """S16, re-aimed: the gold tables built lazily from the synthetic
     sources with the same operators as the batch jobs."""
@@ -54,13 +48,9 @@ def demo_tables(spark: SparkSession, flight_count: int = synthetic.DEFAULT_FLIGH
 
 
 def load_dashboard_tables(spark: SparkSession, gold_dir: str) -> tuple[dict[str, DataFrame], bool]:
-    """The gold tables, or the demo tables when they cannot be read.
-    Returns ``(tables, using_demo)``. The read is forced inside the ``try``
-    (Spark is lazy) with a one-row probe per table."""
+    """The gold tables, or the demo tables where one is missing. Returns
+    ``(tables, using_demo)``. Tables that exist but cannot be read raise."""
     try:
-        tables = load_gold_tables(spark, gold_dir)
-        for frame in tables.values():
-            frame.limit(1).collect()
-        return tables, False
-    except Exception:
+        return load_gold_tables(spark, gold_dir), False
+    except FileNotFoundError:
         return demo_tables(spark), True

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from aerolith.sources.raw import require_path
 
-# Default airport selection (IATA codes) of the airport source.
-DEFAULT_AIRPORT_CODES = (
+# The batch pipeline's own airport selection (IATA codes), to pass as ``airport_codes``.
+BATCH_AIRPORT_CODES = (
     "GDN", "FRA", "MUC", "ZRH", "VIE", "BRU", "HAM", "DUS", "BER",
     "CPH", "WAW", "KRK", "AMS", "LHR", "CDG", "MAD", "BCN", "FCO",
 )
@@ -31,28 +31,42 @@ def _to_double(c: Column) -> Column:
     return F.when(c.isNull() | (text == F.lit("")), F.lit(None).cast("double")).otherwise(text.try_cast("double"))
 
 
-def read_airport_csv(spark: SparkSession, path: str, airport_codes: Iterable[str] = DEFAULT_AIRPORT_CODES) -> DataFrame:
-    """Airports of the selected IATA codes from an airport master CSV
-    (header row; columns iata_code, name, municipality, iso_country,
-    latitude_deg, longitude_deg …), sorted by code. Blank coordinates are
-    null; non-numeric ones are null too (documented narrowing: the batch
-    parser raised)."""
-    require_path(spark, path, "landed airports")
-    codes = sorted({c.upper() for c in airport_codes})
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+# The columns used, as named in the header of the airport master file.
+AIRPORT_CSV_COLUMNS = ("name", "latitude_deg", "longitude_deg", "iso_country", "municipality", "iata_code")
+# A quote inside a quoted value is written twice.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
+def airports_of(raw: DataFrame, airport_codes: Iterable[str] | None = None) -> DataFrame:
+    """Airports (sorted by code) from the text columns of the airport
+    master, all with a code or only those listed. Blank coordinates are null;
+    non-numeric ones are null too (documented narrowing: the batch parser
+    raised)."""
     code = F.upper(_strip(F.col("iata_code")))
-    return (
-        raw.where(code.isin(codes))
-        .select(
-            code.alias("airport_code"),
-            _strip(F.col("name")).alias("airport_name"),
-            _strip(F.col("municipality")).alias("city"),
-            _strip(F.col("iso_country")).alias("country"),
-            _to_double(F.col("latitude_deg")).alias("latitude_deg"),
-            _to_double(F.col("longitude_deg")).alias("longitude_deg"),
-        )
-        .orderBy("airport_code")
-    )
+    chosen = raw.where(code != F.lit(""))
+    if airport_codes is not None:
+        chosen = chosen.where(code.isin(sorted({c.upper() for c in airport_codes})))
+    return chosen.select(
+        code.alias("airport_code"),
+        _strip(F.col("name")).alias("airport_name"),
+        _strip(F.col("municipality")).alias("city"),
+        _strip(F.col("iso_country")).alias("country"),
+        _to_double(F.col("latitude_deg")).alias("latitude_deg"),
+        _to_double(F.col("longitude_deg")).alias("longitude_deg"),
+    ).orderBy("airport_code")
+
+
+def read_airport_csv(spark: SparkSession, path: str, airport_codes: Iterable[str] | None = None) -> DataFrame:
+    """S8 from an airport master CSV file with a header row. Quoted values may
+    hold separators, doubled quotes and line breaks."""
+    require_path(spark, path, "landed airports")
+    return airports_of(spark.read.options(header=True, multiLine=True, **CSV_OPTIONS).csv(path), airport_codes)
+
+
+def parse_airport_csv(lines: DataFrame, columns: Iterable[str] = AIRPORT_CSV_COLUMNS, airport_codes: Iterable[str] | None = None) -> DataFrame:
+    """S8 from a DataFrame of CSV lines (``value``) whose columns are given."""
+    schema = ", ".join(f"{c} string" for c in columns)
+    return airports_of(lines.select(F.from_csv("value", schema, CSV_OPTIONS).alias("r")).select("r.*"), airport_codes)
 
 
 def utc_text(value: Column) -> Column:
@@ -66,43 +80,31 @@ def utc_text(value: Column) -> Column:
     )
 
 
-_HOURLY_SCHEMA = (
-    "hourly struct<time: array<string>, temperature_2m: array<double>,"
-    " precipitation: array<double>, wind_speed_10m: array<double>>"
-)
+# Values stay text: what is not a number is for the contract (V8) to report.
+_HOURLY_FIELDS = ("time", "temperature_2m", "precipitation", "wind_speed_10m")
 
 
 def explode_hourly_weather(payloads: DataFrame, code_col: str = "airport_code", payload_col: str = "payload") -> DataFrame:
     """One weather record per hour from (airport code, JSON payload)
-    rows. Parallel arrays are cut to the shortest one; an array that is not a
-    list counts as empty; a payload without ``hourly`` yields no rows.
+    rows, its values as the payload's text. Parallel arrays are cut to the
+    shortest one; an array that is not a list counts as empty; a payload
+    without ``hourly`` yields no rows.
 
     ``arrays_zip`` alone pads to the longest array, so every array is sliced
     to the common length first."""
-    parsed = payloads.select(
-        F.upper(_strip(F.col(code_col))).alias("airport_code"),
-        F.from_json(F.col(payload_col), _HOURLY_SCHEMA).alias("p"),
-    )
-    arrays = {
-        "time": F.col("p.hourly.time"),
-        "temperature_2m": F.col("p.hourly.temperature_2m"),
-        "precipitation": F.col("p.hourly.precipitation"),
-        "wind_speed_10m": F.col("p.hourly.wind_speed_10m"),
-    }
-    n = F.least(*[F.coalesce(F.size(a), F.lit(0)) for a in arrays.values()])
-    n = F.when(n < 0, F.lit(0)).otherwise(n)  # size(null) may be -1
-    zipped = F.arrays_zip(*[F.slice(a, 1, n).alias(k) for k, a in arrays.items()])
-    return (
-        parsed.withColumn("_n", n)
-        .where(F.col("_n") > 0)
-        .select("airport_code", F.inline(zipped))
-        .select(
-            "airport_code",
-            utc_text(F.col("time")).alias("observed_at_utc"),
-            F.col("temperature_2m").alias("temperature_c"),
-            F.col("wind_speed_10m").alias("wind_speed_kmh"),
-            F.col("precipitation").alias("precipitation_mm"),
-        )
+    # Each array is parsed on its own, so that one odd array costs no other.
+    arrays = [
+        F.from_json(F.get_json_object(payload_col, f"$.hourly.{name}"), "array<string>").alias(name) for name in _HOURLY_FIELDS
+    ]
+    parsed = payloads.select(F.upper(_strip(F.col(code_col))).alias("airport_code"), *arrays)
+    n = F.greatest(F.least(*[F.coalesce(F.size(name), F.lit(0)) for name in _HOURLY_FIELDS]), F.lit(0))
+    zipped = F.arrays_zip(*[F.slice(name, F.lit(1), n).alias(name) for name in _HOURLY_FIELDS])
+    return parsed.select("airport_code", F.inline(zipped).alias(*_HOURLY_FIELDS)).select(
+        "airport_code",
+        utc_text(F.col("time")).alias("observed_at_utc"),
+        F.col("temperature_2m").alias("temperature_c"),
+        F.col("wind_speed_10m").alias("wind_speed_kmh"),
+        F.col("precipitation").alias("precipitation_mm"),
     )
 
 
@@ -119,11 +121,11 @@ def read_hourly_weather(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def weather_airports(airports: DataFrame, max_airports: int = 5) -> DataFrame:
-    """The first ``max_airports`` airports (by code), then those with a
-    code and both coordinates. The limit comes first, as in the batch
-    extractor, so skipped airports are not replaced."""
-    first = airports.orderBy("airport_code").limit(max_airports)
+def weather_airports(airports: DataFrame, max_airports: int | None = None) -> DataFrame:
+    """The airports with a code and both coordinates. ``max_airports``
+    first takes that many by code, as the batch extractor does to limit its
+    requests; skipped airports are not replaced. Landed payloads need no limit."""
+    first = airports if max_airports is None else airports.orderBy("airport_code").limit(max_airports)
     code = F.upper(_strip(F.col("airport_code")))
     return first.where(
         (code != F.lit("")) & F.col("latitude_deg").isNotNull() & F.col("longitude_deg").isNotNull()

@@ -29,14 +29,18 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_json_array_file(spark: SparkSession, path: str) -> DataFrame:
     """Records of files that each hold one JSON array; ``_record_ref`` is the
-    record's position in its file (what validation messages cite)."""
+    record's position in its file (what validation messages cite). A file that
+    is not one whole JSON array fails the job, naming the file; a file of no
+    bytes holds no records."""
     require_path(spark, path, "raw")
     files = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("_source_file")
     )
+    records = F.from_json("value", "array<string>")
+    broken = F.raise_error(F.concat(F.lit("Not a JSON array of records: "), F.col("_source_file")))
     return files.select(
         "_source_file",
-        F.posexplode(F.from_json("value", "array<string>")).alias(RECORD_REF, "value"),
+        F.posexplode(F.when(records.isNull(), broken.cast("array<string>")).otherwise(records)).alias(RECORD_REF, "value"),
     ).select("value", F.col(RECORD_REF).cast("string").alias(RECORD_REF), "_source_file")
 
 
@@ -47,11 +51,6 @@ def records_frame(spark: SparkSession, records: Iterable[Mapping[str, object]])
     return spark.createDataFrame(rows, f"value string, {RECORD_REF} string")
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """Land records as JSON Lines (overwrite)."""
-    df.write.mode("overwrite").json(path)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

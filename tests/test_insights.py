@@ -125,6 +125,37 @@ def test_weather_asof_backward_and_nearest(spark):
     assert len(near) == 3
 
 
+@pytest.mark.parametrize("direction", ["backward", "nearest"])
+def test_weather_asof_equals_comparing_every_pair(spark, direction):
+    import random
+
+    rng = random.Random(5)
+    base = int(datetime(2026, 1, 1, tzinfo=timezone.utc).timestamp())
+    step = 600
+    flights = [(rng.choice([f"F{i}", None, "same"]), rng.choice("ABC"), base + rng.randrange(0, 400) * step) for i in range(300)]
+    flights += [("N1", None, base), ("N2", "A", None), (None, None, None)]
+    obs = list({(rng.choice("AB"), base + rng.randrange(-50, 450) * step) for _ in range(120)})
+    fdf = spark.createDataFrame(flights, "flight_id string, origin_airport string, s long").selectExpr(
+        "flight_id", "origin_airport", "timestamp_seconds(s) AS scheduled_departure_utc"
+    )
+    wdf = spark.createDataFrame([(a, s, float(s - base)) for a, s in obs] + [(None, base, 0.0), ("A", None, 0.0)], "airport_code string, s long, w double")
+    wdf = wdf.selectExpr("airport_code", "timestamp_seconds(s) AS observed_at_utc", "0D AS temperature_c", "w AS wind_speed_kmh", "0D AS precipitation_mm")
+    tolerance = 7 * step
+
+    def best(airport, t):
+        if airport is None or t is None:
+            return None
+        gaps = [(abs(t - s), s) for a, s in obs if a == airport and abs(t - s) <= tolerance and (direction == "nearest" or s <= t)]
+        return float(min(gaps)[1] - base) if gaps else None
+
+    wanted = sorted(str((f, a, best(a, t))) for f, a, t in flights)
+    for buckets in (1, 4):
+        out = weather_asof(fdf, wdf, tolerance, direction, buckets_per_tolerance=buckets)
+        assert out.columns[:3] == fdf.columns
+        got = sorted(str((r.flight_id, r.origin_airport, r.origin_wind_speed_kmh)) for r in out.collect())
+        assert got == wanted
+
+
 def test_future_events_and_time_zones(spark):
     from aerolith.operators import quality
 
@@ -134,6 +165,7 @@ def test_future_events_and_time_zones(spark):
         "event_id string, event_timestamp_utc timestamp",
     )
     assert [r.event_id for r in quality.future_events(ev).collect()] == ["e2"]
+    assert quality.future_events(ev, F.lit("2000-01-01").cast("timestamp")).count() == 2
     airports = spark.createDataFrame(
         [("GDN", "Europe/Warsaw"), ("XXX", "Mars/Olympus"), ("YYY", None)], "airport_code string, timezone string"
     )
@@ -173,12 +205,9 @@ def test_delay_distribution_approximate_option(spark):
     assert abs(approx["p90"] - exact["p90"]) <= 0.2 and abs(approx["p50"] - exact["p50"]) <= 0.2
 
 
-def test_mean_of_hundredths_falls_back_for_other_values(spark):
-    from aerolith.functions import mean_of_hundredths
+def test_mean_minutes_is_the_plain_mean_of_two_decimal_values(spark):
+    from aerolith.functions import mean_minutes
 
-    on_grid = spark.createDataFrame([(15.28,), (0.01,), (3.0,)], "x double")
-    off_grid = spark.createDataFrame([(1.0 / 3,), (2.0 / 3,)], "x double")
-    assert on_grid.agg(mean_of_hundredths("x")).collect()[0][0] == pytest.approx((15.28 + 0.01 + 3.0) / 3)
-    assert off_grid.agg(mean_of_hundredths("x")).collect()[0][0] == pytest.approx(0.5)
-    empty = spark.createDataFrame([], "x double")
-    assert empty.agg(mean_of_hundredths("x")).collect()[0][0] is None
+    values = spark.createDataFrame([(15.28,), (0.01,), (3.0,), (None,)], "x double")
+    assert values.agg(mean_minutes("x")).first()[0] == pytest.approx((15.28 + 0.01 + 3.0) / 3)
+    assert values.where("x < 0").agg(mean_minutes("x")).first()[0] is None

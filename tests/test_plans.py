@@ -39,3 +39,19 @@ def test_queries_are_independent_of_the_callers_time_zone(spark):
             assert got == expected[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_building_a_query_starts_no_job(spark):
+    """Only schemas are read: a query computes nothing before its result is
+    asked for."""
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    sc.setJobGroup("building", "building registered queries")
+    try:
+        for query in QUERIES.values():
+            query(spark, "/root/testdata/sf0.001")
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("building")]
+        names = {tracker.getStageInfo(s).name.split(" at ")[0] for job in jobs for s in job.stageIds}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert names <= {"parquet"}  # footers

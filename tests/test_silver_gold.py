@@ -225,11 +225,19 @@ def test_duplicate_rows_exact_with_nulls_and_signed_zero(spark):
     )
     expected = df.count() - df.distinct().count()
     assert expected == 4
-    assert quality.duplicate_rows(df).collect()[0].duplicate_rows == expected
-    assert quality.duplicate_rows(df, max_suspects=1).collect()[0].duplicate_rows == expected  # fallback path
-    for method in ("signature", "group"):
-        prof = quality.quality_profile(df, "t", "d", method).collect()[0]
-        assert (prof.rows, prof.duplicate_rows, prof.missing_values) == (8, 4, 5)  # NaN counts as missing
+    prof = quality.quality_profile(df, "t", "d").collect()[0]
+    assert (prof.rows, prof.duplicate_rows, prof.missing_values) == (8, expected, 5)  # NaN counts as missing
+    empty = quality.quality_profile(df.where("k = 'z'"), "t", "d").collect()[0]
+    assert tuple(empty)[2:] == (0, 0, 0, None)
+
+
+def test_duplicate_review_ranks_copies_and_variants(spark):
+    rows = [("F", "b", 1)] * 3 + [("F", "a", 2)] * 2 + [("F", None, 3), ("G", "x", 1), (None, "q", 1), (None, "q", 1)]
+    df = spark.createDataFrame(rows, "flight_id string, v string, n int").repartition(3)
+    got = sorted((str(r.flight_id), str(r.v), r.duplicate_rank) for r in duplicates_for_review(df, ["flight_id"]).collect())
+    # Nulls first: the null variant survives, then "a" twice, then "b" three times.
+    assert got == [("F", "a", 2), ("F", "a", 3), ("F", "b", 4), ("F", "b", 5), ("F", "b", 6), ("None", "q", 2)]
+    assert deduplicate(df, ["flight_id"]).count() + len(got) == len(rows)
 
 
 def test_enrich_with_asof_weather(spark):
