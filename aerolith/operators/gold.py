@@ -55,6 +55,16 @@ def with_route(flights: DataFrame) -> DataFrame:
     return flights.withColumn("route", route_key("origin_airport", "destination_airport"))
 
 
+def with_origin_weather(flights: DataFrame, weather: DataFrame) -> DataFrame:
+    """Flights with the origin's first observation only (J3): what the wind
+    metrics need of the enriched table, with the same values, since the airport
+    sides add attributes but no rows."""
+    first = first_observation(weather).select(
+        F.col("airport_code").alias("origin_airport"), *[F.col(m).alias(f"origin_{m}") for m in WEATHER_MEASURES]
+    )
+    return flights.join(first, on="origin_airport", how="left")
+
+
 def enrich_flights(
     flights: DataFrame,
     airports: DataFrame,
@@ -80,10 +90,7 @@ def enrich_flights(
         # Same column order as the first-observation join (USING puts the key first).
         with_weather = asof.select("origin_airport", *[c for c in asof.columns if c != "origin_airport"])
     else:
-        weather_first = first_observation(weather).select(
-            F.col("airport_code").alias("origin_airport"), *[F.col(m).alias(f"origin_{m}") for m in WEATHER_MEASURES]
-        )
-        with_weather = enriched.join(weather_first, on="origin_airport", how="left")
+        with_weather = with_origin_weather(enriched, weather)
     out = with_weather.withColumn("route", route_key("origin_airport", "destination_airport"))
     return add_load_time(out, "_gold_loaded_at_utc") if with_load_time else out
 

@@ -42,6 +42,10 @@ def _gold_flights(spark: SparkSession, sf: str) -> DataFrame:
     return gold.enrich_flights(_flights(spark, sf), tm.silver_airports(spark, sf), tm.silver_weather(spark, sf))
 
 
+def _weather_flights(spark: SparkSession, sf: str) -> DataFrame:
+    return gold.with_origin_weather(gold.with_route(_flights(spark, sf)), tm.silver_weather(spark, sf))
+
+
 def _route_perf(spark: SparkSession, sf: str) -> DataFrame:
     return gold.route_performance(_flights(spark, sf))
 
@@ -220,10 +224,10 @@ QUERIES: dict[str, Query] = {
     "report_airport_disruption": lambda spark, sf: reports.run_report("airport_disruption", _airport_disruption(spark, sf)),
     "report_passenger_communication": lambda spark, sf: reports.run_report("passenger_communication", _communication(spark, sf)),
     "kpi_summary": lambda spark, sf: insights.calculate_kpis(_flights(spark, sf)),
-    "weather_delay_summary": lambda spark, sf: insights.calculate_weather_delay_summary(_gold_flights(spark, sf)),
-    "weather_delay_view": lambda spark, sf: insights.build_weather_delay_view(_gold_flights(spark, sf)),
+    "weather_delay_summary": lambda spark, sf: insights.calculate_weather_delay_summary(_weather_flights(spark, sf)),
+    "weather_delay_view": lambda spark, sf: insights.build_weather_delay_view(_weather_flights(spark, sf)),
     "delay_risk_matrix": lambda spark, sf: insights.build_delay_risk_heatmap(
-        _gold_flights(spark, sf), MIN_SEGMENT_FLIGHTS
+        _weather_flights(spark, sf), MIN_SEGMENT_FLIGHTS
     ),
     "delay_distribution": lambda spark, sf: insights.delay_distribution(_flights(spark, sf)),
     "top_routes_rate": _top("Delay rate"),
@@ -238,7 +242,7 @@ QUERIES: dict[str, Query] = {
     ),
     "filter_routes_selected": _selected_routes,
     "route_options": lambda spark, sf: insights.route_options(gold.with_route(_flights(spark, sf))),
-    "wind_speed_bounds": lambda spark, sf: insights.wind_speed_bounds(_gold_flights(spark, sf)),
+    "wind_speed_bounds": lambda spark, sf: insights.wind_speed_bounds(_weather_flights(spark, sf)),
     "contract_errors_flights": _contract_errors(contracts.FLIGHTS),
     "contract_errors_passenger_events": _contract_errors(contracts.PASSENGER_EVENTS),
     "contract_errors_weather": _contract_errors(contracts.WEATHER),
