@@ -87,4 +87,57 @@ QUERIES: dict[str, Query] = {
 
 QUERIES = {name: importable(fn) for name, fn in QUERIES.items()}
 
-ORACLE: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op4_warc": """
+SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM (SELECT *, CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first_id
+      FROM pages)
+""",
+    "op6_line_dedup": rf"""
+WITH lines AS (
+    SELECT doc_id, place, line,
+           translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UPPER}', '{LOWER}') AS key
+    FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+          FROM documents)
+), repeated AS (
+    SELECT key, max(doc_id) AS keeper FROM lines
+    WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT l.*, coalesce(r.keeper <> l.doc_id, false) AS dropped FROM lines l LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""",
+    "op9_decontamination": f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+i AS (SELECT item_id, w FROM (SELECT item_id, {WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+item_windows AS (
+    SELECT DISTINCT item_id, w[s : s + least(13, len(w)) - 1] AS win
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS s FROM i)
+),
+sizes AS (SELECT DISTINCT len(win) AS n FROM item_windows),
+doc_windows AS (
+    SELECT doc_id, s, n, w[s : s + n - 1] AS win
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM d CROSS JOIN sizes WHERE len(w) >= n)
+),
+hits AS (SELECT doc_id, s, n, item_id FROM doc_windows JOIN item_windows USING (win)),
+words_hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id
+),
+items_hit AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+""",
+}
