@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.llm.textnorm import lower_ascii
 from aerolith.session import materialize
 
 MIN_CHARS = 20
@@ -43,13 +44,11 @@ MIN_DOCS = 3
 FILTER_BITS = 1 << 27
 SEGMENT_BITS = 1 << 16
 WHITE = " \t\n\x0b\x0c\r"
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 FIRST_BIT = np.array([128, 64, 32, 16, 8, 4, 2, 1], np.uint8)
 
 
 def line_key(line: str) -> str:
-    stripped = line.strip(WHITE)
-    return stripped.lower() if stripped.isascii() else stripped.translate(LOWER)
+    return lower_ascii(line.strip(WHITE))
 
 
 def keys_of(text: str | None, min_chars: int) -> set[str]:

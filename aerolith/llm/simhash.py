@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm.components import component_roots
+from aerolith.llm.textnorm import lower_ascii
 from aerolith.session import materialize
 
 SHINGLE_WORDS = 4
@@ -50,7 +51,6 @@ PARTITION_COUNTS = (4, 5)
 BLOCK = 1024
 MOST_THRESHOLD = 2
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # Roles of a member of a cell.
 STANDS, PROBES = 1, 2
 # What a probe row costs, in comparisons.
@@ -59,8 +59,7 @@ PROBE_COST = 200
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     """64-bit SimHash as a signed long."""
-    lowered = (text or "").lower() if (text or "").isascii() else text.translate(LOWER)
-    words = WORD.findall(lowered)
+    words = WORD.findall(lower_ascii(text or ""))
     if not words:
         return 0
     last = max(len(words) - shingle_words, 0)
