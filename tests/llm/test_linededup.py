@@ -6,6 +6,8 @@ import pytest
 
 from aerolith.llm import linededup as ld
 
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
 LONG = "The Same long line is here"
 ROWS = [
     (None, None),
@@ -25,7 +27,7 @@ ROWS = [
 
 
 def plain_key(line):
-    return line.strip(" \t\n\x0b\x0c\r").translate(ld.LOWER)
+    return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
 
 
 def brute_force(rows):

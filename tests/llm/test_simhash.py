@@ -11,11 +11,13 @@ from hypothesis import strategies as st
 from aerolith.llm import simhash as sh
 from aerolith.llm.components import component_roots
 
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
 MASK = (1 << 64) - 1
 
 
 def plain_fingerprint(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(sh.LOWER))
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     shingles = [" ".join(words[i : i + 4]) for i in range(max(len(words) - 4, 0) + 1)] if words else []
     hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
