@@ -174,7 +174,10 @@ def dedup_lines(
     replaced)."""
     twice = repeat_filter(docs, min_chars, filter_bits)
     suspects = materialize(suspected_keys(docs, twice, min_chars, filter_bits), "suspected-lines")
-    lost = suspects.join(repeated_keys(suspects, min_docs), "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    # Written, so that it is broadcast by its real size or else shuffled by itself,
+    # which lets Spark split the suspects of a hot key.
+    repeated = materialize(repeated_keys(suspects, min_docs), "repeated-lines")
+    lost = suspects.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     per_doc = lost.groupBy(F.col("doc_id").alias("__lost_doc")).agg(F.collect_set("key").alias("__lost_keys"))
     # Written first, so that the join with the texts is planned by its real size.
     per_doc = materialize(per_doc, "lost-lines")
