@@ -22,31 +22,17 @@ def _missing_flag(df: DataFrame, name: str) -> Column:
     return missing.cast("int")
 
 
-def _normalised(df: DataFrame, name: str) -> Column:
-    """Column value as group-by equality sees it: -0.0 equals 0.0 and every
-    NaN equals every other NaN, so equal rows get equal signatures."""
-    c = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.when(F.isnan(c), F.lit(float("nan"))).when(c == 0, F.lit(0.0)).otherwise(c)
-    return c
-
-
-def _signature(df: DataFrame) -> list[Column]:
-    """128 bits of a row: two differently seeded 64-bit hashes of all columns.
-    Among 10**11 different rows the chance that any two share one is 10**-17."""
-    cols = [_normalised(df, c) for c in df.columns]
-    return [F.xxhash64(*cols).alias("_s1"), F.xxhash64(F.lit(1), *cols).alias("_s2")]
-
-
 def quality_profile(df: DataFrame, layer: str, dataset: str) -> DataFrame:
     """Rows, duplicate rows (rows equal to an earlier row, nulls equal),
     missing cells and the mean per-column missing rate.
 
-    The input is evaluated once and no full row is shuffled: rows are grouped
-    by their signature, partially aggregated in each task, so copies of a hot
-    row collapse before the shuffle and 32 bytes per different row cross it."""
+    The input is evaluated once. Rows are grouped by all their columns, so the
+    count is exact, and partially aggregated in each task, so copies of a hot
+    row collapse before the shuffle; each different row crosses it once a task.
+    A group's rows share their missing cells."""
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     nulls = sum((_missing_flag(df, c) for c in df.columns), F.lit(0))
-    groups = df.groupBy(*_signature(df)).agg(F.count(F.lit(1)).alias("_n"), F.sum(nulls).alias("_nulls"))
+    groups = groups.select("_n", (nulls * F.col("_n")).alias("_nulls"))
     totals = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),

@@ -231,6 +231,16 @@ def test_duplicate_rows_exact_with_nulls_and_signed_zero(spark):
     assert tuple(empty)[2:] == (0, 0, 0, None)
 
 
+def test_rows_whose_null_moves_by_one_column_are_no_duplicates(spark):
+    from aerolith.operators import quality
+
+    df = spark.createDataFrame([("a", None, 5.0), ("a", 5.0, None)], "k string, latitude double, longitude double")
+    prof = quality.quality_profile(df, "t", "d").collect()[0]
+    assert (prof.rows, prof.duplicate_rows, prof.missing_values) == (2, 0, 2)
+    nested = spark.createDataFrame([([None, 1],), ([1, None],)], "v array<int>")
+    assert quality.quality_profile(nested, "t", "d").collect()[0].duplicate_rows == 0
+
+
 def test_duplicate_review_ranks_copies_and_variants(spark):
     rows = [("F", "b", 1)] * 3 + [("F", "a", 2)] * 2 + [("F", None, 3), ("G", "x", 1), (None, "q", 1), (None, "q", 1)]
     df = spark.createDataFrame(rows, "flight_id string, v string, n int").repartition(3)
