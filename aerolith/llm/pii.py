@@ -14,7 +14,9 @@ points, end exclusive. They come from the pieces between the matches
 (``split`` with the same pattern), so no text is searched twice from its
 start. Patterns use possessive quantifiers and look-behinds so that a long run
 of name characters or digits is scanned once; the matches are those of the
-plain patterns in the docstring of each kind.
+plain patterns above each kind. An iban is proposed at every head (two letters
+and two digits that begin a word) as the longest run of its characters, and
+its end is the last one that the country's length and mod-97 confirm.
 
 Defined results: null text counts as empty; an empty text has no spans; other
 columns are passed through untouched; repeated rows get the same spans.
@@ -37,7 +39,9 @@ SPAN_TYPE = "array<struct<start:int,kind_order:int,end:int,kind:string,score:dou
 class Kind:
     """One kind of personal data. ``hint`` is a substring every match contains
     (cheap pre-test), ``prior`` the score of a validated match, ``context``
-    the words that raise it."""
+    the words that raise it. A kind that ``looks_ahead`` consumes the first
+    character of a match only: group 1 of its pattern is the proposal, of which
+    a leading part may be confirmed."""
 
     name: str
     pattern: str
@@ -45,6 +49,7 @@ class Kind:
     base: bool
     hint: str = ""
     context: tuple[str, ...] = field(default=())
+    looks_ahead: bool = False
 
 
 KINDS = (
@@ -71,13 +76,15 @@ KINDS = (
     ),
     # \+[0-9][\x20().0-9-]+[0-9]
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.7, True, "+", ("phone", "tel", "call", "mobile", "fax", "whatsapp")),
+    # [A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]){11,30}, and a character that would continue its last word.
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))[A-Z]",
         0.8,
         False,
         "",
         ("iban", "account", "bank", "konto", "compte", "cuenta"),
+        True,
     ),
     Kind(
         "ssn",
@@ -100,6 +107,18 @@ BASE_KINDS = tuple(k.name for k in KINDS if k.base)
 # A decimal number of at most 255, with any leading zeros.
 IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 
+# Characters of an IBAN by country; codes not listed may have 15 to 34.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_LISTED = {n: codes.replace(" ", "|") for n, codes in IBAN_LENGTHS.items()}
+IBAN_SHAPE = (
+    "^(?:" + "|".join(f"(?:{c}).{{{n - 2}}}" for n, c in _LISTED.items()) + f"|(?!{'|'.join(_LISTED.values())}).{{15,34}})$"
+)
+
 
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
@@ -129,16 +148,31 @@ def mod97_valid(iban: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), step) == 1
 
 
-def _validated(kind: str, value: Column) -> Column:
+def _iban_of(run: Column) -> Column:
+    """The longest leading part of a proposed run that ends with a word and is
+    an IBAN, or null."""
+
+    def whole(end: Column) -> Column:
+        compact = F.replace(F.left(run, end), F.lit(" "), F.lit(""))
+        ends = (F.substr(run, end, F.lit(1)) != " ") & F.substr(run, end + 1, F.lit(1)).isin("", " ")
+        return ends & compact.rlike(IBAN_SHAPE) & mod97_valid(compact)
+
+    # A last small letter only continues a word.
+    ends = F.filter(F.sequence(F.length(run), F.lit(15), F.lit(-1)), lambda end: ~F.left(run, end).rlike("[a-z]$") & whole(end))
+    return F.left(run, F.get(ends, F.lit(0)))
+
+
+def _confirmed(kind: str, value: Column) -> Column:
+    """The confirmed text of a proposal, or null."""
     if kind == "ip":
-        return value.rlike(rf"^{IP_PART}(?:\.{IP_PART}){{3}}$")
+        return F.when(value.rlike(rf"^{IP_PART}(?:\.{IP_PART}){{3}}$"), value)
     if kind == "card":
-        return F.length(_digits(value)).between(14, 19) & luhn_valid(_digits(value))
+        return F.when(F.length(_digits(value)).between(14, 19) & luhn_valid(_digits(value)), value)
     if kind == "phone":
-        return F.length(_digits(value)).between(10, 15)
+        return F.when(F.length(_digits(value)).between(10, 15), value)
     if kind == "iban":
-        return mod97_valid(F.regexp_replace(value, " ", ""))
-    return F.lit(True)
+        return _iban_of(value)
+    return value
 
 
 def _context_pattern(words: tuple[str, ...]) -> str:
@@ -150,12 +184,18 @@ def _spans_of(text: Column, kind: Kind, order: int, min_score: float) -> Column:
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     if kind.hint:
         found = F.when(F.contains(text, F.lit(kind.hint)), found).otherwise(F.array().cast("array<string>"))
+    # What is read at each match: the match, or what its look-ahead holds.
+    values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)) if kind.looks_ahead else found
     # Piece i ends where match i starts; the last piece follows the last match.
+    pieces = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))
     proposed = F.zip_with(
-        F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found)),
-        found,
-        lambda piece, value: F.struct(
-            F.char_length(piece).alias("gap"), value.alias("value"), F.right(piece, F.lit(CONTEXT_CHARS)).alias("before")
+        F.zip_with(pieces, found, lambda piece, match: F.struct(piece.alias("piece"), match.alias("match"))),
+        values,
+        lambda at, value: F.struct(
+            F.char_length(at["piece"]).alias("gap"),
+            F.char_length(at["match"]).alias("consumed"),
+            _confirmed(kind.name, value).alias("value"),
+            F.right(at["piece"], F.lit(CONTEXT_CHARS)).alias("before"),
         ),
     )
 
@@ -165,7 +205,7 @@ def _spans_of(text: Column, kind: Kind, order: int, min_score: float) -> Column:
         near = item["before"].rlike(_context_pattern(kind.context))
         score = F.lit(kind.prior) + F.when(near, CONTEXT_BONUS).otherwise(0.0)
         score = F.least(score, F.lit(1.0))
-        keep = _validated(kind.name, item["value"])
+        keep = item["value"].isNotNull() & (start >= state["done"])
         if not kind.base:
             keep = keep & (score >= min_score)
         span = F.struct(
@@ -177,10 +217,11 @@ def _spans_of(text: Column, kind: Kind, order: int, min_score: float) -> Column:
             item["value"].alias("value"),
         )
         kept = F.when(keep, F.concat(state["spans"], F.array(span).cast(SPAN_TYPE))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
+        done = F.when(keep, end).otherwise(state["done"])
+        return F.struct((start + item["consumed"]).alias("at"), done.alias("done"), kept.alias("spans"))
 
     empty = F.array().cast(SPAN_TYPE)
-    start_state = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+    start_state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("done"), empty.alias("spans"))
     placed = F.aggregate(proposed, start_state, place, lambda state: state["spans"])
     return F.when(F.size(found) == 0, empty).otherwise(placed)
 

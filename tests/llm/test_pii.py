@@ -71,6 +71,22 @@ def test_contextual_kinds_need_their_evidence(docs_of):
     assert spans == {0: "iban:8:35", 1: "", 2: "ssn:4:15", 3: "", 4: "local_phone:4:17"}
 
 
+def test_ibans_end_where_their_country_says(docs_of):
+    rests = [" Please pay", " 12 May", " BIC COBADEFF", " Bank", " A", ", thanks", "", " FR14 2004 1010 0505 0001 3M02 606 Rue 5"]
+    cases = [(iban, rest) for iban in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00") for rest in rests]
+    docs = docs_of([(i, f"IBAN GB12 {iban}{rest}") for i, (iban, rest) in enumerate(cases)])
+    spans = {r.doc_id: r.spans.split(",") for r in pii.pii_report(docs).collect()}
+    for i, (iban, rest) in enumerate(cases):
+        second = [f"iban:{11 + len(iban)}:{44 + len(iban)}"] if "FR14" in rest else []
+        assert spans[i] == [f"iban:10:{10 + len(iban)}", *second]
+
+
+def test_words_grown_onto_an_iban_are_none(docs_of):
+    texts = ["IBAN DE89370400440532013000x", "IBAN DE893704004405320130004 5", "xDE89370400440532013000", "IBAN XX08 1234 5678 901 And so"]
+    spans = {r.doc_id: r.spans for r in pii.pii_report(docs_of(list(enumerate(texts)))).collect()}
+    assert spans == {0: "", 1: "", 2: "", 3: "iban:5:23"}
+
+
 def test_redaction_scores_and_foreign_columns(docs_of):
     frame = docs_of([(1, "mail me: a@b.co now"), (2, None), (2, None)]).withColumn("pii", pii.F.lit("mine"))
     found = pii.find_pii(frame)
