@@ -6,9 +6,13 @@ shuffle and runs at scan speed; a document never leaves its task.
 
 Four *base* kinds (email, ip, card, phone) are reported whenever their pattern
 and validator hold. Three *contextual* kinds are added when their score, a
-prior raised by a validator and by context words before the match, reaches
+prior raised by a validator and by context words near the match, reaches
 ``min_score``: iban (mod-97), ssn and local_phone (context words).
 
+Context words are sought in the ``CONTEXT_CHARS`` code points of the text on
+either side of a match, whatever other matches lie there, so the members of a
+list share its words.
+
 Matches of one pattern are leftmost and do not overlap. Positions are code
 points, end exclusive. They come from the pieces between the matches
 (``split`` with the same pattern), so no text is searched twice from its
@@ -30,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CONTEXT_CHARS = 40
+# Most characters of a proposed iban: 34, a space before each but the first four, and one more.
+IBAN_RUN = 65
 DEFAULT_MIN_SCORE = 0.6
 CONTEXT_BONUS = 0.4
 SPAN_TYPE = "array<struct<start:int,kind_order:int,end:int,kind:string,score:double,value:string>>"
@@ -179,30 +185,46 @@ def _context_pattern(words: tuple[str, ...]) -> str:
     return r"(?i)(?<![A-Za-z])(?:" + "|".join(words) + r")(?![A-Za-z])"
 
 
+def _last(text: Column) -> Column:
+    return F.right(text, F.lit(CONTEXT_CHARS))
+
+
 def _spans_of(text: Column, kind: Kind, order: int, min_score: float) -> Column:
     """Array of the kind's confirmed spans, in text order."""
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    if kind.hint:
-        found = F.when(F.contains(text, F.lit(kind.hint)), found).otherwise(F.array().cast("array<string>"))
+
+    def extracted(pattern: str, group: int) -> Column:
+        every = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        return F.when(F.contains(text, F.lit(kind.hint)), every).otherwise(F.array().cast("array<string>")) if kind.hint else every
+
+    found = extracted(kind.pattern, 0)
     # What is read at each match: the match, or what its look-ahead holds.
-    values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1)) if kind.looks_ahead else found
+    values = extracted(kind.pattern, 1) if kind.looks_ahead else found
+    # The text that follows the match, or the first character of what is read.
+    reach = CONTEXT_CHARS + (IBAN_RUN if kind.looks_ahead else 0)
+    followed = extracted(f"(?:{kind.pattern})(?=((?s:.{{0,{reach}}})))", 2 if kind.looks_ahead else 1)
     # Piece i ends where match i starts; the last piece follows the last match.
     pieces = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))
     proposed = F.zip_with(
         F.zip_with(pieces, found, lambda piece, match: F.struct(piece.alias("piece"), match.alias("match"))),
-        values,
-        lambda at, value: F.struct(
+        F.zip_with(values, followed, lambda value, rest: F.struct(_confirmed(kind.name, value).alias("value"), rest.alias("rest"))),
+        lambda at, read: F.struct(
             F.char_length(at["piece"]).alias("gap"),
             F.char_length(at["match"]).alias("consumed"),
-            _confirmed(kind.name, value).alias("value"),
-            F.right(at["piece"], F.lit(CONTEXT_CHARS)).alias("before"),
+            read["value"].alias("value"),
+            read["rest"].alias("rest"),
+            _last(at["piece"]).alias("piece"),
+            _last(at["match"]).alias("match"),
         ),
     )
+    context = _context_pattern(kind.context)
 
     def place(state: Column, item: Column) -> Column:
         start = state["at"] + item["gap"]
         end = start + F.char_length(item["value"])
-        near = item["before"].rlike(_context_pattern(kind.context))
+        before = _last(F.concat(state["before"], item["piece"]))
+        past = F.char_length(item["value"]) - item["consumed"] if kind.looks_ahead else F.lit(0)
+        after = F.substr(item["rest"], past + 1, F.lit(CONTEXT_CHARS))
+        near = before.rlike(context) | after.rlike(context)
         score = F.lit(kind.prior) + F.when(near, CONTEXT_BONUS).otherwise(0.0)
         score = F.least(score, F.lit(1.0))
         keep = item["value"].isNotNull() & (start >= state["done"])
@@ -218,10 +240,13 @@ def _spans_of(text: Column, kind: Kind, order: int, min_score: float) -> Column:
         )
         kept = F.when(keep, F.concat(state["spans"], F.array(span).cast(SPAN_TYPE))).otherwise(state["spans"])
         done = F.when(keep, end).otherwise(state["done"])
-        return F.struct((start + item["consumed"]).alias("at"), done.alias("done"), kept.alias("spans"))
+        passed = _last(F.concat(before, item["match"]))
+        return F.struct(
+            (start + item["consumed"]).alias("at"), done.alias("done"), passed.alias("before"), kept.alias("spans")
+        )
 
     empty = F.array().cast(SPAN_TYPE)
-    start_state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("done"), empty.alias("spans"))
+    start_state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("done"), F.lit("").alias("before"), empty.alias("spans"))
     placed = F.aggregate(proposed, start_state, place, lambda state: state["spans"])
     return F.when(F.size(found) == 0, empty).otherwise(placed)
 

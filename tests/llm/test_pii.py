@@ -87,6 +87,29 @@ def test_words_grown_onto_an_iban_are_none(docs_of):
     assert spans == {0: "", 1: "", 2: "", 3: "iban:5:23"}
 
 
+def test_context_is_taken_from_the_text_on_both_sides(docs_of):
+    far = " " * 40
+    texts = [
+        "SSN: 123-45-6789, 234-56-7891",
+        "tel 0171 555 1234 / 0171 555 1235",
+        "123-45-6789 (SSN)",
+        "é😀 0171 555 1234 mobile",
+        f"SSN{far}123-45-6789{far}SSN",
+        "DE89 3704 0044 0532 0130 00 konto",
+    ]
+    found = pii.find_pii(docs_of(list(enumerate(texts))))
+    spans = {r.doc_id: [(s.kind, s.start, s.end) for s in r.pii] for r in found.collect()}
+    assert spans == {
+        0: [("ssn", 5, 16), ("ssn", 18, 29)],
+        1: [("local_phone", 4, 17), ("local_phone", 20, 33)],
+        2: [("ssn", 0, 11)],
+        3: [("local_phone", 3, 16)],
+        4: [],
+        5: [("iban", 0, 27)],
+    }
+    assert found.where("doc_id = 5").first()["pii"][0]["score"] == pytest.approx(1.0)
+
+
 def test_redaction_scores_and_foreign_columns(docs_of):
     frame = docs_of([(1, "mail me: a@b.co now"), (2, None), (2, None)]).withColumn("pii", pii.F.lit("mine"))
     found = pii.find_pii(frame)
