@@ -24,6 +24,7 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -42,6 +43,11 @@ MAX_SLACK = 8
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 # Pieces leave a task in batches of about this many bytes.
 OUT_BYTES = 4 << 20
+# White space as the tokenizer's pattern has it (Unicode White_Space). Longer
+# runs are encoded apart: past some 10**6 characters the pattern's engine fails.
+LONG_RUN = 100_000
+SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+LONG_SPACE = re.compile(f"(?<![{SPACE}])[{SPACE}]{{{LONG_RUN},}}+")
 
 Piece = tuple[int, int, int]  # document, first token, number of tokens
 Placed = tuple[int, int, int, int, int]  # document, first token, number, sequence, offset
@@ -66,15 +72,29 @@ def _encoding(path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _encode(text: str, path: str) -> list[int]:
+    """Ids of a text. All but the last character of a white space run before
+    other text are one piece of the pattern, as is a run at the end."""
+    encoding = _encoding(path)
+    if len(text) < LONG_RUN:
+        return encoding.encode_ordinary(text)
+    ids, at = [], 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoding.encode_ordinary(text[at : run.start()])
+        ids += encoding._encode_single_piece(text[run.start() : end])
+        at = end
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def token_ids(text: str | None, path: str) -> np.ndarray:
     """Ids of one document, its separator included, as uint16. The one special
     token's text becomes its id, as the tokenizer file defines."""
-    encode = _encoding(path).encode_ordinary
     ids: list[int] = []
     for i, part in enumerate((text or "").split(END_TEXT)):
         if i:
             ids.append(END_TEXT_ID)
-        ids += encode(part)
+        ids += _encode(part, path)
     ids.append(SEPARATOR_ID)
     return np.array(ids, dtype=np.uint16)
 

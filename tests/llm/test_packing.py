@@ -71,6 +71,22 @@ def test_pieces_hold_the_tokenizer_ids(docs_of, table):
         assert at == len(ids)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a" + " " * 2_000_000 + "b",
+        "\n" * 2_000_000,
+        "x\r\n" + " \u3000" * 60_000 + "\ty" + "\t" * 100_001 + "<|endoftext|>z",
+        " " * 100_000 + "'s" + "\xa0" * 99_999 + "1",
+    ],
+)
+def test_long_white_space_gives_the_tokenizer_ids(text):
+    tokenizers = pytest.importorskip("tokenizers")
+    reference = tokenizers.Tokenizer.from_file(pk.vocabulary_path("byte_bpe_50k.json"))
+    wanted = reference.encode(text, add_special_tokens=False).ids + [0]
+    assert pk.token_ids(text, pk.vocabulary_path()).tolist() == wanted
+
+
 def test_blocks_bound_the_state_and_null_ids_stay(docs_of):
     docs = docs_of([(None, "one two three"), (None, "one two three"), (7, "x " * 500)]).withColumn("length", pk.F.lit("mine"))
     rows = pk.pack_documents(docs, window=64, block_tokens=100).collect()
