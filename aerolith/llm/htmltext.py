@@ -5,10 +5,13 @@ collected in blocks; every element is hashed over its tag, class, id, text and
 the hashes of its children when it closes, so depth costs no recursion.
 
 1. *Templates.* The hashes of block elements are counted per host, once per
-   page, pre-aggregated in each task. A subtree found on at least ``min_pages``
-   pages and ``share`` of its host's pages is a template and is deleted. Inside
-   an article only containers (never paragraphs, headings or list items) can be
-   templates, at ``inner_share``: passages that many articles quote stay.
+   distinct page (equal html counts once), pre-aggregated in each task. A
+   container found on at least ``min_pages`` pages and ``share`` of its host's
+   pages is a template and is deleted; a paragraph, heading, list item or other
+   text block must be on ``text_share`` of them. Inside ``article`` or ``main``
+   only containers can be templates, at ``inner_share``: passages that many
+   articles quote stay. Templates below ``text_share`` that together hold more
+   than half of a page's text are its content and stay.
 2. *Rules.* Menus, headers, footers, sidebars, notices, adverts, forms,
    scripts, styles, hidden parts and reader comments go by tag, role, class or
    id. Comments of the markup are no text.
@@ -18,8 +21,7 @@ the hashes of its children when it closes, so depth costs no recursion.
 Character references are decoded, white space within a block becomes one
 space, blocks are trimmed and joined by a line break in page order; ``br``
 counts as white space. Null html is empty and gives an empty text. Pages
-without a host (null or relative url) are judged by the rules alone. Pages that
-repeat count each. Other columns are passed through by ``extract_main_text``.
+without a host (null or relative url) are judged by the rules alone. Other columns are passed through by ``extract_main_text``.
 
 At most ``elements per page / share`` templates exist per host, so the table
 joined to the pages stays small; it is written first, so Spark broadcasts it by
@@ -29,7 +31,7 @@ its file size or shuffles both sides, splitting a busy host.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -37,7 +39,7 @@ from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +48,9 @@ from aerolith.session import materialize
 MIN_PAGES = 3
 SHARE = 0.01
 INNER_SHARE = 0.2
+TEXT_SHARE = 0.5
+# How a template was found: key of a subtree hash inside an article or main, and at text_share.
+INNER, STRONG = 1, 2
 # Distinct (host, subtree) pairs a task holds before it sends its counts.
 HELD_COUNTS = 200_000
 
@@ -234,7 +239,7 @@ class Page:
             self._close_up_to(*CLOSES[tag])
         signature = f"{tag}|{attributes.get('class', '')}|{attributes.get('id', '')}"
         element = Element(tag, len(self.pieces), is_boilerplate(tag, attributes), signature)
-        element.inside = self.depth["article"] > 0
+        element.inside = self.depth["article"] > 0 or self.depth["main"] > 0
         self.open.append(element)
         self.depth[tag] += 1
         self.depth["#ruled"] += element.ruled
@@ -257,7 +262,7 @@ class Page:
             self.open[-1].parts.append(shown)
 
     def candidates(self) -> list[tuple[int, bool]]:
-        """Subtrees that can be templates: ``(hash, inside an article)``."""
+        """Subtrees that can be templates: ``(hash, inside an article or main)``."""
         shown = list(accumulate((bool(p and not p.isspace()) for p in self.pieces), initial=0))
         return [
             (_signed(e.digest), e.inside)
@@ -274,15 +279,30 @@ class Page:
                 steps[e.end] -= 1
         return [depth > 0 for depth in accumulate(steps[:-1])]
 
-    def main_text(self, templates: set[int]) -> str:
-        able = {d for d, _ in self.candidates()} & templates if templates else set()
-        gone = self._covered(lambda e: e.ruled or (bool(able) and e.tag in MAY_REPEAT and _signed(e.digest) in able))
-        kept = [True] * len(self.pieces)
+    def _kept(self, gone: list[bool]) -> list[bool]:
+        """For each piece, whether the main part covers it."""
         for tag in ("article", "main"):
             inside = self._covered(lambda e: e.tag == tag and not e.ruled)
             if any(k and not g for k, g in zip(inside, gone)):
-                kept = inside
-                break
+                return inside
+        return [True] * len(self.pieces)
+
+    def _length(self, gone: list[bool], kept: list[bool]) -> int:
+        return sum(len(p.strip()) for p, g, k in zip(self.pieces, gone, kept) if p and k and not g)
+
+    def main_text(self, templates: set[int]) -> str:
+        """The main text, without ``templates`` (keys of ``site_templates``)."""
+
+        def found(e: Element, strong: int) -> bool:
+            able = e.tag in CONTAINERS if e.inside or not strong else True
+            return able and e.tag in MAY_REPEAT and _signed(e.digest) ^ (INNER * e.inside) ^ strong in templates
+
+        gone = self._covered(lambda e: e.ruled or (bool(templates) and found(e, STRONG)))
+        kept = self._kept(gone)
+        if templates:
+            fewer = self._covered(lambda e: e.ruled or found(e, 0) or found(e, STRONG))
+            if 2 * self._length(fewer, kept) >= self._length(gone, kept):
+                gone, kept = fewer, self._kept(fewer)
         blocks, current = [], []
         for piece, dropped, wanted in zip(self.pieces, gone, kept):
             if piece is None:
@@ -294,13 +314,29 @@ class Page:
         return "\n".join(block for b in blocks if (block := " ".join(b.split())))
 
 
+def _host() -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), HOST.pattern, 1))
+
+
+def _with_copies(pages: DataFrame) -> DataFrame:
+    """``url, html, copies``: how many pages of the host have this html. Only
+    hashes are shuffled to count them; the table of those that repeat is
+    written first, so Spark broadcasts it by its file size."""
+    seen = pages.select(F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    seen = seen.withColumn("__host", _host()).withColumn("__page", F.unhex(F.sha2(F.col("html"), 256)))
+    repeated = seen.groupBy("__host", "__page").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    joined = seen.join(materialize(repeated, "page-copies"), ["__host", "__page"], "left")
+    return joined.select("url", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def template_counts(pages: DataFrame) -> DataFrame:
-    """``host, subtree, inside, n``: on how many pages of its host a subtree
-    is; ``subtree`` null counts the host's pages."""
-    schema = pa.schema([("host", pa.string()), ("subtree", pa.int64()), ("inside", pa.bool_()), ("n", pa.int64())])
+    """``host, subtree, inside, n``: on how many distinct pages of its host a
+    subtree is; ``subtree`` null counts the host's distinct pages. Each of k
+    copies adds 1 / k, which sums to a whole number."""
+    schema = pa.schema([("host", pa.string()), ("subtree", pa.int64()), ("inside", pa.bool_()), ("n", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: defaultdict = defaultdict(float)
 
         def sent() -> pa.RecordBatch:
             columns = list(zip(*(key + (n,) for key, n in held.items()))) or [()] * 4
@@ -308,42 +344,56 @@ def template_counts(pages: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
-            for url, html in zip(batch.column(0), batch.column(1)):
+            for url, html, copies in zip(batch.column(0), batch.column(1), batch.column(2)):
                 host = host_of(url.as_py())
                 if host is None:
                     continue
-                held[host, None, False] += 1
-                held.update((host, digest, inside) for digest, inside in set(Page(html.as_py() or "").candidates()))
+                part = 1 / copies.as_py()
+                held[host, None, False] += part
+                for digest, inside in set(Page(html.as_py()).candidates()):
+                    held[host, digest, inside] += part
                 if len(held) >= HELD_COUNTS:
                     yield sent()
         yield sent()
 
-    seen = pages.select(F.col("url").cast("string"), F.col("html").cast("string"))
-    counted = seen.mapInArrow(run, "host string, subtree long, inside boolean, n long")
-    return counted.groupBy("host", "subtree", "inside").agg(F.sum("n").alias("n"))
+    counted = _with_copies(pages).mapInArrow(run, "host string, subtree long, inside boolean, n double")
+    return counted.groupBy("host", "subtree", "inside").agg(F.round(F.sum("n")).cast("long").alias("n"))
 
 
 def site_templates(
-    pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, inner_share: float = INNER_SHARE
+    pages: DataFrame,
+    min_pages: int = MIN_PAGES,
+    share: float = SHARE,
+    inner_share: float = INNER_SHARE,
+    text_share: float = TEXT_SHARE,
 ) -> DataFrame:
-    """``host, templates`` (array of subtree hashes)."""
+    """``host, templates`` (array of subtree hashes, each combined with
+    ``INNER`` if found inside an article or main, and once more with
+    ``STRONG`` if found on ``text_share`` of the pages)."""
     counts = materialize(template_counts(pages).where(F.col("subtree").isNull() | (F.col("n") >= min_pages)), "subtree-counts")
     totals = counts.where(F.col("subtree").isNull()).select("host", F.col("n").alias("n_pages"))
     needed = F.when(F.col("inside"), F.lit(inner_share)).otherwise(F.lit(share)) * F.col("n_pages")
-    found = counts.where(F.col("subtree").isNotNull()).join(totals, "host").where(F.col("n") >= needed)
-    return found.groupBy("host").agg(F.collect_set("subtree").alias("templates"))
+    strong = F.col("n") >= F.lit(text_share) * F.col("n_pages")
+    key = F.col("subtree").bitwiseXOR(F.when(F.col("inside"), F.lit(INNER).cast("long")).otherwise(F.lit(0).cast("long")))
+    keys = F.array(F.when(F.col("n") >= needed, key), F.when(strong, key.bitwiseXOR(F.lit(STRONG).cast("long"))))
+    found = counts.where(F.col("subtree").isNotNull()).join(totals, "host")
+    found = found.select("host", F.explode(F.array_compact(keys)).alias("key"))
+    return found.groupBy("host").agg(F.collect_set("key").alias("templates"))
 
 
 def extract_main_text(
-    pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, inner_share: float = INNER_SHARE
+    pages: DataFrame,
+    min_pages: int = MIN_PAGES,
+    share: float = SHARE,
+    inner_share: float = INNER_SHARE,
+    text_share: float = TEXT_SHARE,
 ) -> DataFrame:
     """``pages`` (``url, html``) with the main text in ``text`` (a column of
     that name is replaced)."""
-    templates = materialize(site_templates(pages, min_pages, share, inner_share), "site-templates")
+    templates = materialize(site_templates(pages, min_pages, share, inner_share, text_share), "site-templates")
     templates = templates.select(F.col("host").alias("__host"), F.col("templates").alias("__templates"))
     pages = pages.drop("text")
-    host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), HOST.pattern, 1))
-    joined = pages.join(templates, host == F.col("__host"), "left").drop("__host")
+    joined = pages.join(templates, _host() == F.col("__host"), "left").drop("__host")
     names = [*pages.columns, "text"]
     at = names.index("html")
     schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType())])

@@ -65,6 +65,21 @@ def test_site_templates_are_counted_per_host(spark):
     assert got[3000] == "Home of us\nStory # text\nQuote\nBye now" and got[3001] == "a" and got[None] == ""
 
 
+def test_copies_and_shared_passages_are_no_templates(spark):
+    copy = "<div><h1>Title</h1><p>The whole story</p><ul><li>a point</li></ul></div>"
+    inner = "<main><h1>Own</h1><p>Text</p></main><p>Bye now</p>"
+    near = "<div><p>Nearly the same story on each</p></div><p>seen #</p>"
+    own = "<div><p>Only # here</p></div><div>Menu of us</div><p>Quote</p>"
+    rows = site("copies.example", 3, copy) + site("main.example", 3, inner, 10)
+    rows += site("near.example", 3, near, 100) + site("near.example", 30, "<p>other #</p>", 110)
+    rows += site("own.example", 3, own, 200) + site("own.example", 30, "<p>other #</p>", 210)
+    got = {r.page_id: r.text for r in h.extract_main_text(spark.createDataFrame(rows, PAGE_SCHEMA)).collect()}
+    assert [got[i] for i in range(3)] == ["Title\nThe whole story\na point"] * 3
+    assert [got[i] for i in (10, 11, 12)] == ["Own\nText"] * 3
+    assert [got[i] for i in (100, 102)] == ["Nearly the same story on each\nseen 0", "Nearly the same story on each\nseen 2"]
+    assert got[200] == "Only 0 here\nQuote"
+
+
 @pytest.mark.parametrize(
     "page",
     ["<div>" * 20_000 + "x", "<b>" * 20_000 + "x" + "</b>" * 20_000, "<p>a" * 20_000, "<" * 50_000, '<a href="' * 20_000, "<!--" * 20_000 + ">", "&" * 50_000, "<a x='" + "<i>" * 20_000],
