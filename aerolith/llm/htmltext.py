@@ -14,7 +14,9 @@ the hashes of its children when it closes, so depth costs no recursion.
    than half of a page's text are its content and stay.
 2. *Rules.* Menus, headers, footers, sidebars, notices, adverts, forms,
    scripts, styles, hidden parts and reader comments go by tag, role, class or
-   id. Comments of the markup are no text.
+   id. A class or id counts whole or by its first part (``sidebar-left``, not
+   ``has-sidebar``) and never removes what encloses an ``article`` or ``main``
+   or more than half of the page's text. Comments of the markup are no text.
 3. *Main part.* If the page has ``article`` elements, their text is the main
    text; else that of ``main``; else that of the whole page.
 
@@ -31,6 +33,7 @@ its file size or shuffles both sides, splitting a busy host.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -106,6 +109,7 @@ class Element:
     start: int
     ruled: bool
     signature: str
+    named: bool = False
     parts: list[str] = field(default_factory=list)
     end: int = -1
     digest: int = 0
@@ -117,11 +121,13 @@ def _signed(digest: int) -> int:
 
 
 def _names(attributes: dict[str, str]) -> set[str]:
-    return set(re.split(r"[^a-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+    """The words of class and id, whole and their leading parts."""
+    words = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    return {part for word in words for part in (word, re.split(r"[^a-z0-9]+", word, maxsplit=1)[0])}
 
 
 def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
-    """Whether the rules remove an element, judged by its tag and attributes."""
+    """Whether the rules remove an element, judged by its tag, role and state."""
     if tag in ("html", "body"):
         return False
     if tag in DROPPED_TAGS or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
@@ -130,8 +136,13 @@ def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
         return False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
         return True
-    if attributes.get("role", "").lower() in DROPPED_ROLES:
-        return True
+    return attributes.get("role", "").lower() in DROPPED_ROLES
+
+
+def is_named_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element's class or id speaks for removing it."""
+    if tag in ("html", "body") or not ("class" in attributes or "id" in attributes):
+        return False
     return bool(_names(attributes) & (NOT_ARTICLE if tag in ("article", "main") else DROPPED_NAMES))
 
 
@@ -201,11 +212,27 @@ class Page:
                 self._end(value)
         while self.open:
             self._pop()
+        self._rule_named()
+
+    def _rule_named(self) -> None:
+        """Remove what its class or id speaks against, unless it encloses an
+        article or main of the page or most of the page's text."""
+        named = [e for e in self.elements if e.named and not e.ruled]
+        if not named:
+            return
+        gone = self._covered(lambda e: e.ruled)
+        shown = list(accumulate((0 if g or not p else len(p.strip()) for p, g in zip(self.pieces, gone)), initial=0))
+        parts = sorted(e.start for e in self.elements if e.tag in ("article", "main") and not (e.ruled or e.named))
+        for e in named:
+            if e.tag not in ("article", "main"):
+                at = bisect_left(parts, e.start)
+                if at < len(parts) and parts[at] < e.end or 2 * (shown[e.end] - shown[e.start]) > shown[-1]:
+                    continue
+            e.ruled = True
 
     def _pop(self, at: int = -1) -> None:
         element = self.open.pop(at)
         self.depth[element.tag] -= 1
-        self.depth["#ruled"] -= element.ruled
         if element.tag in BLOCKS:
             self.pieces.append(None)
         element.end = len(self.pieces)
@@ -239,10 +266,10 @@ class Page:
             self._close_up_to(*CLOSES[tag])
         signature = f"{tag}|{attributes.get('class', '')}|{attributes.get('id', '')}"
         element = Element(tag, len(self.pieces), is_boilerplate(tag, attributes), signature)
+        element.named = is_named_boilerplate(tag, attributes)
         element.inside = self.depth["article"] > 0 or self.depth["main"] > 0
         self.open.append(element)
         self.depth[tag] += 1
-        self.depth["#ruled"] += element.ruled
 
     def _end(self, tag: str) -> None:
         if tag == "br":

@@ -46,6 +46,15 @@ def test_rules(page, text):
     assert h.Page(page).main_text(set()) == text
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "with-header", "social-layout", "page-with-comments", "sidebar"])
+@pytest.mark.parametrize("inner", ["<article><p>story</article>", "<main><p>story</main>", "<p>story"])
+def test_wrappers_of_the_main_part_stay(name, inner):
+    side = "<div class='sidebar-left'>s</div>"
+    for attribute in ("class", "id"):
+        page = f"<div {attribute}='{name}'>{inner}{'' if name == 'sidebar' else side}</div>{side}"
+        assert h.Page(page).main_text(set()) == "story"
+
+
 def site(host, n, body, first=0):
     return [(first + i, f"https://user@{host}:8080/{i}?q", body.replace("#", str(i))) for i in range(n)]
 
