@@ -9,7 +9,21 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import decontaminate, fingerprint, htmltext, langid, linededup, packing, pii, quality, simhash, warc
+from aerolith.llm import (
+    decontaminate,
+    fingerprint,
+    htmltext,
+    langid,
+    linededup,
+    packing,
+    pieces,
+    pii,
+    quality,
+    simhash,
+    vectorcodes,
+    warc,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +86,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.vector_code_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -83,6 +109,9 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
+    "op11_pieces": op11_pieces,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_whitening": op13_whitening,
 }
 
 QUERIES = {name: importable(fn) for name, fn in QUERIES.items()}
@@ -90,6 +119,48 @@ QUERIES = {name: importable(fn) for name, fn in QUERIES.items()}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+def _nearest(book: str) -> str:
+    """Nearest entry of ``book`` and its squared distance, per row and part."""
+    return f"""
+SELECT r, part, arg_min(e, (d, e)) AS e, min(d) AS d
+FROM (SELECT r, part, e, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM cells JOIN {book} USING (part, dim) GROUP BY r, part, e)
+GROUP BY r, part"""
+
+
+def _moved(book: str, assigned: str) -> str:
+    """``book`` with its used entries at the floor of their parts' means."""
+    return f"""
+SELECT part, dim, e, CASE WHEN n IS NULL THEN c ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS c
+FROM {book} LEFT JOIN (SELECT part, dim, e, sum(x) AS s, count(*) AS n FROM cells JOIN {assigned} USING (r, part) GROUP BY part, dim, e)
+     USING (part, dim, e)"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+cells AS (
+    SELECT r, dim, CAST(dim * 16 // len(v) AS BIGINT) AS part, v[dim + 1] AS x
+    FROM (SELECT r, v, unnest(range(0, len(v))) AS dim FROM kept)
+),
+book0 AS (SELECT part, dim, r - 1 AS e, x AS c FROM cells WHERE r <= 64),
+near0 AS ({_nearest("book0")}),
+book1 AS ({_moved("book0", "near0")}),
+near1 AS ({_nearest("book1")}),
+book2 AS ({_moved("book1", "near1")}),
+near2 AS ({_nearest("book2")}),
+codes AS (
+    SELECT r, string_agg(printf('%02x', e), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near2 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, e, dim)) FROM book2) AS codebooks_sha256
+FROM kept JOIN codes USING (r)
+"""
+
 ORACLE: dict[str, str] = {
     "op4_warc": """
 SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
@@ -140,4 +211,5 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """,
+    "op12_vector_codes": VECTOR_CODES,
 }
