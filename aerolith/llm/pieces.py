@@ -17,10 +17,12 @@ result is found without replaying these merges over the text:
   positions. An end reached by compatible pieces has one encoding only, so a
   failed end never needs a second try and the work is linear.
 
-*What splits a text.* A character that no piece holds never merges; it becomes
-its UTF-8 bytes' pieces. If no piece holds the space mark after another
-character (checked when the model is loaded), words encode independently, and a
-bounded table remembers short ones.
+*What splits a text.* Characters that are neighbours in some piece belong to one
+group (letters of a script, punctuation marks); no merge crosses groups. So runs
+of one group, each with the space marks before it, encode independently, and a
+bounded table remembers short ones. (Where a piece holds the space mark after
+another character, the model has no such groups and the text stays whole.) A
+character that no piece holds becomes its UTF-8 bytes' pieces.
 
 *Normalization* is the model's own: a space mark before the text and for every
 space. Models with a character map, removed white space, space suffixes, or
@@ -37,6 +39,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import groupby
 
@@ -54,7 +57,7 @@ from aerolith.llm.arrow import add_columns
 
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
-REMEMBERED_CHARS, REMEMBERED_WORDS = 48, 1 << 17
+REMEMBERED_CHARS, REMEMBERED_WORDS, REMEMBERED_PAIRS = 48, 1 << 18, 1 << 18
 
 NORMAL, BYTE = 1, 6
 
@@ -78,15 +81,36 @@ class PieceTable:
         merged = sorted((p for p in pieces if len(p) > 1), key=lambda p: -score[p])
         self.dummy_prefix = model.normalizer_spec.add_dummy_prefix
         self.rank = {p: r for r, p in enumerate([*characters, *merged])}
-        self.singles = len(characters)
+        self.singles, self.known = len(characters), set(characters)
         self.score = [0.0] * len(characters) + [score[p] for p in merged]
         shared = Counter(self.score[self.singles :])
         self.tied = [False] * len(characters) + [shared[score[p]] > 1 for p in merged]
         self._build([*characters, *merged], merged, pieces)
-        words_apart = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
-        line = "" if "\n" in self.rank else "\n"
-        self.words = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}{line}]*|[^{SPACE_MARK}{line}]+" + (f"|{line}+" if line else "")).findall if words_apart else lambda text: [text]
-        self.remembered: dict[str, bytes] = {}
+        self.words = self._splitter(pieces)
+        self.remembered = _Remembered(self._word)
+
+    @staticmethod
+    def _splitter(pieces: dict[str, int]) -> Callable[[str], list[str]]:
+        """Cuts a text into runs that no merge joins."""
+        if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces):
+            return lambda text: [text]
+        group: dict[str, str] = {}
+
+        def head(c: str) -> str:
+            while group.setdefault(c, c) != c:
+                c = group[c]
+            return c
+
+        inside = [word for p in pieces if len(word := p.lstrip(SPACE_MARK)) > 1]
+        for word in inside:
+            for a, b in zip(word, word[1:]):
+                group[head(a)] = head(b)
+        uses = Counter(head(word[0]) for word in inside)
+        members: dict[str, list[str]] = {}
+        for c in group:
+            members.setdefault(head(c), []).append(c)
+        runs = [f"{SPACE_MARK}*[{re.escape(''.join(sorted(members[h])))}]+" for h, _ in uses.most_common()]
+        return re.compile("|".join([*runs, f"{SPACE_MARK}*[^{SPACE_MARK}]", f"{SPACE_MARK}+"]), re.DOTALL).findall
 
     @staticmethod
     def _refuse_others(model) -> None:
@@ -126,7 +150,7 @@ class PieceTable:
             self.search.add_word(texts[symbol][::-1], symbol)
         self.search.make_automaton()
         self.ids = [np.array([pieces[t]] if t in pieces else [self.byte_ids[b] for b in t.encode()], "<i4").tobytes() for t in texts]
-        self.compatible = lru_cache(maxsize=1 << 18)(self._compatible)
+        self.compatible = lru_cache(maxsize=REMEMBERED_PAIRS)(self._compatible)
 
     def _merge(self, parts: list[str], until: int = 1) -> list[str]:
         """Merge neighbours, best score first and leftmost among equals, until
@@ -170,37 +194,40 @@ class PieceTable:
     def _run(self, text: str) -> list[int]:
         """The symbols of a text all of whose characters are in pieces."""
         n, length, shorter, compatible = len(text), self.length, self.shorter, self.compatible
-        longest = [-1] * n
-        for end, symbol in self.search.iter(text[::-1]):
-            start = n - 1 - end
-            if longest[start] < 0:  # the longest match is the first reported
-                longest[start] = symbol
+        found = list(self.search.iter(text[::-1]))
+        found.reverse()
+        longest = dict(found)  # of the matches that end at a place, the longest is reported first
         failed = bytearray((n >> 3) + 1)
-        out: list[int] = []
-        at, symbol = 0, longest[0] if n else -1
+        symbol = longest[n - 1]
+        out, at, last = [symbol], length[symbol], symbol
         while at < n:
-            last = out[-1] if out else -1
-            while symbol >= 0:
-                end = at + length[symbol]
-                if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or compatible(last, symbol)):
+            symbol = longest[n - 1 - at]
+            while True:
+                while symbol >= 0:
+                    if compatible(last, symbol):
+                        end = at + length[symbol]
+                        if not failed[end >> 3] >> (end & 7) & 1:
+                            break
+                    symbol = shorter[symbol]
+                if symbol >= 0:
                     break
-                symbol = shorter[symbol]
-            if symbol >= 0:
-                out.append(symbol)
-                at = end
-                symbol = longest[at] if at < n else -1
-            else:
                 failed[at >> 3] |= 1 << (at & 7)
-                symbol = out.pop()
-                at -= length[symbol]
+                out.pop()
+                at -= length[last]
+                symbol, last = shorter[last], out[-1] if out else -1
+                if last < 0:  # back at the start, where any piece may stand
+                    while failed[length[symbol] >> 3] >> (length[symbol] & 7) & 1:
+                        symbol = shorter[symbol]
+                    break
+            out.append(symbol)
+            at, last = at + length[symbol], symbol
         return out
 
     def _word(self, word: str) -> bytes:
-        known = self.rank.get
-        if all(known(c, self.singles) < self.singles for c in word):
+        if self.known.issuperset(word):
             return b"".join([self.ids[s] for s in self._run(word)])
         out = []
-        for inside, run in groupby(word, key=lambda c: known(c, self.singles) < self.singles):
+        for inside, run in groupby(word, key=self.known.__contains__):
             run = "".join(run)
             out += [self.ids[s] for s in self._run(run)] if inside else [np.array([self.byte_ids[b] for b in run.encode()], "<i4").tobytes()]
         return b"".join(out)
@@ -210,17 +237,27 @@ class PieceTable:
         if not text:
             return b""
         marked = (SPACE_MARK if self.dummy_prefix else "") + text.replace(" ", SPACE_MARK)
-        remembered, out = self.remembered, []
-        for word in self.words(marked):
-            ids = remembered.get(word)
-            if ids is None:
-                ids = self._word(word)
-                if len(word) <= REMEMBERED_CHARS:
-                    if len(remembered) >= REMEMBERED_WORDS:
-                        remembered.clear()
-                    remembered[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.remembered.__getitem__, self.words(marked)))
+
+
+class _Remembered(dict):
+    """Ids of short words, in two generations: when the younger is full it
+    becomes the older, from which words that come again are taken over."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make = make
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self) >= REMEMBERED_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -237,18 +274,26 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
-def encode_documents(docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids", model_file: str | None = None) -> DataFrame:
-    """``docs`` with the ids of each whole text, an array of integers."""
+def encode_documents(
+    docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids", decoded_col: str | None = None, model_file: str | None = None
+) -> DataFrame:
+    """``docs`` with the ids of each whole text, an array of integers, and in
+    ``decoded_col``, if named, the text that the model's decoder makes of them."""
     path = model_file or model_path()
+    fields = [T.StructField(out_col, T.ArrayType(T.IntegerType()))]
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.StringType()))
 
     def make(texts: pa.Array) -> list[pa.Array]:
-        encode = piece_table(path).encode
-        found = [encode(t.as_py() or "") for t in texts]
-        ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int64)
-        values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
-        return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32), pa.int32()), values)]
+        encode, decode = piece_table(path).encode, _processor(path).decode
+        found = [np.frombuffer(encode(t.as_py() or ""), "<i4") for t in texts]
+        ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+        out = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found) if found else [], pa.int32()))]
+        if decoded_col:
+            out.append(pa.array([decode(ids.tolist()) if len(ids) else "" for ids in found], pa.string()))
+        return out
 
-    return add_columns(docs, F.col(text_col).cast("string"), [T.StructField(out_col, T.ArrayType(T.IntegerType()))], make)
+    return add_columns(docs, F.col(text_col).cast("string"), fields, make)
 
 
 def decode_documents(docs: DataFrame, ids_col: str = "piece_ids", out_col: str = "decoded_text", model_file: str | None = None) -> DataFrame:
@@ -265,7 +310,7 @@ def decode_documents(docs: DataFrame, ids_col: str = "piece_ids", out_col: str =
 
 def piece_report(docs: DataFrame) -> DataFrame:
     """Per document: how many ids, and digests of the ids and of the decoded text."""
-    coded = decode_documents(encode_documents(docs.select("doc_id", "text")).drop("text"))
+    coded = encode_documents(docs.select("doc_id", "text"), decoded_col="decoded_text")
     return coded.select(
         "doc_id",
         F.size("piece_ids").cast("long").alias("n_tokens"),
