@@ -31,6 +31,7 @@ BLANK_PATTERN = r"(?U)\A[\s\x1c-\x1f]*\z"
 # ISO-8601 in UTC (``Z`` or ``+00:00``), each accepted shape with its parser:
 # extended date-time (hour, optional minutes / seconds / fraction, ``T`` or
 # space), the same in basic form, and a date alone (midnight).
+COMMON_UTC_TIMESTAMP = r"\A(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|\+00:00)\z"
 UTC_TIMESTAMP_SHAPES = (
     (r"\d{4}-\d{2}-\d{2}[T ]\d{2}(?::\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?", "yyyy-MM-dd['T'][' ']HH[:mm[:ss[.SSSSSS]]]XXX"),
     (r"\d{8}[T ]\d{2}(?:\d{2}(?:\d{2}(?:\.\d{1,6})?)?)?", "yyyyMMdd['T'][' ']HH[mm[ss[.SSSSSS]]]XXX"),
@@ -94,14 +95,15 @@ class _Value:
 
 def parse_utc_timestamp(text: Column) -> Column:
     """Timestamp of an accepted UTC text; null when rejected or invalid
-    (e.g. month 13, 30 February, hour 24). An anchored regex decides the
-    shape and the shape's pattern parses it; the common shape comes first. Rule
+    (e.g. year 0, month 13, 30 February, hour 24). An anchored regex decides the
+    shape and the shape's pattern parses it; the common shape comes first and is
+    left to the cast, which reads it several times faster than a pattern. Rule
     and reader share this, so no accepted time is lost. ISO week dates are
     rejected, which a record's error says."""
-    out = None
+    out = F.when(text.rlike(COMMON_UTC_TIMESTAMP), text.try_cast("timestamp"))
     for shape, layout in UTC_TIMESTAMP_SHAPES:
-        matches, parsed = text.rlike(rf"\A(?:{shape})(?:Z|\+00:00)\z"), F.try_to_timestamp(text, F.lit(layout))
-        out = F.when(matches, parsed) if out is None else out.when(matches, parsed)
+        matches, parsed = text.rlike(rf"\A(?!0000)(?:{shape})(?:Z|\+00:00)\z"), F.try_to_timestamp(text, F.lit(layout))
+        out = out.when(matches, parsed)
     return out
 
 
@@ -241,6 +243,8 @@ def gate(validated: DataFrame, mode: str = "dataset") -> tuple[DataFrame, DataFr
     evaluated once and used as a constant in the filter, so nothing goes
     through the driver and no join is needed. ``mode="record"`` (X1):
     invalid records go to the quarantine side, valid ones are accepted.
+    Each side evaluates the rules again: where both are used, ``routing.route``
+    writes the judged records once.
     """
     has_errors = F.size("errors") > 0
     if mode == "record":

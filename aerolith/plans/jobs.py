@@ -5,9 +5,10 @@ Hadoop file system or object store. Each job takes an optional session and
 stops it only if it created it. Row counts come from ``Observation`` metrics
 on the write itself (S17), so no dataset is evaluated twice.
 
-Lineage: validated raw records are staged once as Parquet and the gate,
-summary, accepted, quarantine and error outputs read the staged table, so
-the JSON parse and rule evaluation run once per record. Gold rollups are
+Lineage: validated raw records are written once, a folder per verdict, and the
+accepted, quarantine and error outputs read that table; the gate and the summary
+take their counts from the write, so the JSON parse and rule evaluation run once
+per record. Gold rollups are
 computed from silver flights, not from the written enriched table.
 """
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from aerolith import contracts
 from aerolith.operators import gold as gold_ops
 from aerolith.operators import validation as V
+from aerolith.operators.routing import VERDICT, route
 from aerolith.operators.silver import clean_source
 from aerolith.session import build_session, ensure_utc
 from aerolith.sources import landed, synthetic
@@ -173,25 +175,21 @@ def ingest(
     ``output_dir/<source>``, rejected records under ``_quarantine`` (record
     mode), every message under ``_errors`` and the per-source summary under
     ``_validation_summary``. Every record with its ``errors`` is kept under
-    ``_validated`` (the one evaluation of the rules that all other outputs
-    read, and an audit trail). Returns the summary rows (one per source), which
+    ``_validated``, one folder per verdict (the one evaluation of the rules that
+    all other outputs read, and an audit trail). Returns the summary rows (one per source), which
     say where a synthetic source stood in for a missing landed one."""
     with _Session(spark) as s:
         fallbacks: dict[str, str] = {}
         recs = dict(records) if records is not None else source_records(s, fallbacks=fallbacks, **source_options)
         summaries = []
         for source, raw in recs.items():
-            staged_path = _join(output_dir, "_validated", source)
-            validated = V.validate(source, raw).drop(V.DOC)
-            validated.write.mode("overwrite").parquet(staged_path)
-            staged = s.read.parquet(staged_path)
-            accepted, rejected = V.gate(staged, mode)
+            routed = route(source, raw, _join(output_dir, "_validated", source))
+            accepted, rejected = routed.gate(mode)
             accepted.select("value").write.mode("overwrite").text(_join(output_dir, source))
             if mode == "record":
-                rejected.write.mode("overwrite").parquet(_join(output_dir, "_quarantine", source))
-            V.error_messages(source, staged).write.mode("overwrite").json(_join(output_dir, "_errors", source))
-            summary = V.validation_summary(source, staged, mode)
-            summaries.append(summary.withColumn("synthetic_fallback", F.lit(source in fallbacks)))
+                rejected.drop(VERDICT).write.mode("overwrite").parquet(_join(output_dir, "_quarantine", source))
+            routed.messages().write.mode("overwrite").json(_join(output_dir, "_errors", source))
+            summaries.append(routed.summary(mode).withColumn("synthetic_fallback", F.lit(source in fallbacks)))
         summary = summaries[0]
         for f in summaries[1:]:
             summary = summary.unionByName(f)

@@ -71,11 +71,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/aerolith-{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if its files make fewer partitions than there
+    are cores: a small table of few row groups under costly expressions. A large
+    scan stays as it is, and nothing is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` once as a Parquet table in the shared
     checkpoint folder and reading it back. Unlike ``Dataset.checkpoint``, the
     plan is evaluated once, and readers get column pruning and pushdown."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/aerolith-{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)

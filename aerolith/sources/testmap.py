@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from aerolith import contracts
 from aerolith.operators.silver import clean_flights, clean_source
+from aerolith.session import spread
 
 # Fixed values of the mapping (mirrored in the oracle SQL).
 EPOCH_2024 = 1704067200  # 2024-01-01T00:00:00Z in seconds
@@ -63,11 +64,15 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Flights in bronze shape; ``extra`` carries lineage columns along."""
+def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), spread_out: bool = False) -> DataFrame:
+    """Flights in bronze shape; ``extra`` carries lineage columns along.
+    ``spread_out`` deals a small lineitem over all cores, for costly expressions
+    that follow."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"
     )
+    if spread_out:
+        li = spread(li)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -100,8 +105,10 @@ def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()
     )
 
 
-def weather(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def weather(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), spread_out: bool = False) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
+    if spread_out:
+        ev = spread(ev)
     return ev.select(
         airport_code(F.col("user_id") % F.lit(WEATHER_AIRPORTS)).alias("airport_code"),
         F.col("ts").cast("timestamp").alias("observed_at_utc"),
@@ -112,8 +119,10 @@ def weather(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Da
     )
 
 
-def passenger_events(spark: SparkSession, sf_dir: str, extra: tuple[Column, ...] = ()) -> DataFrame:
+def passenger_events(spark: SparkSession, sf_dir: str, extra: tuple[Column, ...] = (), spread_out: bool = False) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
+    if spread_out:
+        ev = spread(ev)
     etype = F.col("event_type")
     mapped = None
     for raw, target in EVENT_TYPE_MAP:
@@ -187,7 +196,7 @@ def _raw(df: DataFrame, ref: Column, columns: dict[str, Column]) -> DataFrame:
 
 
 def _raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = bronze_flights(spark, sf_dir, extra=("o_orderstatus", "l_orderkey", "l_linenumber"))
+    f = bronze_flights(spark, sf_dir, extra=("o_orderstatus", "l_orderkey", "l_linenumber"), spread_out=True)
     key, n = F.col("l_orderkey") * 7 + F.col("l_linenumber"), FLIGHT_CASES
     departs = F.col("scheduled_departure_utc")
     return _raw(
@@ -239,7 +248,7 @@ def _raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = weather(spark, sf_dir, extra=("event_id",))
+    w = weather(spark, sf_dir, extra=("event_id",), spread_out=True)
     key, n = F.col("event_id"), WEATHER_CASES
     observed = _text(F.date_format("observed_at_utc", UTC_TEXT_MICROS))
     return _raw(
@@ -256,7 +265,7 @@ def _raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = passenger_events(spark, sf_dir, extra=(F.col("event_id").alias("key"),))
+    e = passenger_events(spark, sf_dir, extra=(F.col("event_id").alias("key"),), spread_out=True)
     key, n = F.col("key"), EVENT_CASES
     at = F.col("event_timestamp_utc")
     return _raw(

@@ -8,7 +8,7 @@ import re
 
 import pytest
 
-from aerolith.plans.registry import QUERIES
+from aerolith.plans.registry import QUERIES, STAGED
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas")
 
@@ -43,13 +43,14 @@ def test_queries_are_independent_of_the_callers_time_zone(spark):
 
 def test_building_a_query_starts_no_job(spark):
     """Only schemas are read: a query computes nothing before its result is
-    asked for."""
+    asked for, unless it says that it writes a table first."""
     sc = spark.sparkContext
     tracker = sc.statusTracker()
     sc.setJobGroup("building", "building registered queries")
     try:
-        for query in QUERIES.values():
-            query(spark, "/root/testdata/sf0.001")
+        for name, query in QUERIES.items():
+            if name not in STAGED:
+                query(spark, "/root/testdata/sf0.001")
         jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("building")]
         names = {tracker.getStageInfo(s).name.split(" at ")[0] for job in jobs for s in job.stageIds}
     finally:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from aerolith import contracts
 from aerolith.operators import validation as V
+from aerolith.operators.routing import ACCEPTED, VERDICT, route
 from aerolith.sources.raw import records_frame
 
 GONE = object()
@@ -115,6 +116,9 @@ TIMES = {
     "17:05:09Z": None,
     "yesterday": None,
     "2025-11-03T17:05:09Z\n": None,
+    "0000-11-03T17:05:09Z": None,
+    "2025-11-03T17:05:60Z": None,
+    "2025-11-03T17:05:09.1234567Z": None,
 }
 
 
@@ -198,3 +202,32 @@ def test_gate_summary_and_counts_agree(spark):
 def test_reference_defaults_to_the_business_key(spark):
     raw = spark.createDataFrame([('{"airport_code":"OSL"}',)], "value string")
     assert V.validate("airports", raw).first()["_record_ref"] == "OSL"
+
+
+def test_routed_records_give_what_the_gates_give(spark, scratch):
+    good, bad, worse = VALID["flights"], changed("flights", status="late"), {}
+    for i, records in enumerate(([good, bad, worse, good], [good, good], [bad], [])):
+        raw = records_frame(spark, records) if records else records_frame(spark, [good]).limit(0)
+        routed = route("flights", raw, f"{scratch}/{i}")
+        validated = V.validate("flights", raw).drop(V.DOC)
+        for mode in ("dataset", "record"):
+            sides = [sorted(map(tuple, side.drop(VERDICT).collect())) for side in routed.gate(mode)]
+            assert sides == [sorted(map(tuple, side.collect())) for side in V.gate(validated, mode)]
+            assert routed.summary(mode).collect() == V.validation_summary("flights", validated, mode).collect()
+        assert sorted(map(tuple, routed.messages().collect())) == sorted(map(tuple, V.error_messages("flights", validated).collect()))
+        clean = routed.only_accepted()
+        assert [side.count() for side in clean.gate()] == [sum(r is good for r in records), 0]
+    with pytest.raises(ValueError):
+        routed.gate("some")
+
+
+def test_routed_records_are_judged_once(spark, scratch):
+    judged = spark.sparkContext.accumulator(0)
+    raw = records_frame(spark, [VALID["weather"], {}] * 20)
+    counted = F.udf(lambda text: judged.add(1) or text)
+    routed = route("weather", raw.select(counted("value").alias("value"), "_record_ref"), f"{scratch}/once")
+    assert [side.count() for mode in ("record", "dataset") for side in routed.gate(mode)] == [20, 20, 0, 40]
+    assert routed.messages().count() == 20 and routed.summary().first().error_count == 20
+    assert judged.value == 40
+    plan = routed.of(ACCEPTED)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(verdict" in plan
