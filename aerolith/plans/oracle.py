@@ -850,3 +850,79 @@ SELECT count(*) AS total_flights,
 FROM t_sel
 """
 )
+
+# --- date dimension and totals ----------------------------------------------------
+
+_CALENDAR = """
+, t_calendar AS (
+    SELECT CAST(g AS DATE) AS date, CAST(year(g) AS INTEGER) AS year, CAST(quarter(g) AS INTEGER) AS quarter,
+           CAST(month(g) AS INTEGER) AS month, CAST(day(g) AS INTEGER) AS day, CAST(weekofyear(g) AS INTEGER) AS iso_week,
+           CAST(isodow(g) AS INTEGER) AS iso_weekday, isodow(g) IN (6, 7) AS is_weekend,
+           CAST(date_trunc('month', g) AS DATE) AS month_start
+    FROM (
+        SELECT unnest(generate_series(date_trunc('month', min(t)), CAST(last_day(max(t)) AS TIMESTAMP), INTERVAL 1 DAY)) AS g
+        FROM (SELECT scheduled_departure_utc AS t FROM t_bronze
+              UNION ALL SELECT observed_at_utc FROM t_weather_raw
+              UNION ALL SELECT event_timestamp_utc FROM t_events_raw)
+    )
+)
+"""
+_MEASURES = f"""
+       count(flight_id) AS total_flights,
+       count(*) FILTER (is_delayed) AS delayed_flights,
+       count(*) FILTER (is_cancelled) AS cancelled_flights,
+       {_minutes('departure_delay_minutes')} AS average_departure_delay_minutes,
+       CAST(count(*) FILTER (is_delayed) AS DOUBLE) / NULLIF(count(flight_id), 0) AS delay_rate
+"""
+_DAYS = "t_calendar LEFT JOIN t_flights ON CAST(scheduled_departure_utc AS DATE) = date"
+
+
+def _levels(keys: str, levels: str) -> tuple[str, str]:
+    """The name of a row's level by ``GROUPING``, and the grouping sets, of
+    levels written as ``a, b; a; `` (the last one is all rows)."""
+    names = [level.strip() for level in levels.split(";")]
+    order = keys.split(", ")
+    lacking = [sum(2 ** (len(order) - 1 - order.index(k)) for k in order if k not in name.split(", ")) for name in names]
+    named = " ".join(f"WHEN {n} THEN '{name or 'all'}'" for n, name in zip(lacking, names))
+    return f"CASE GROUPING({keys}) {named} END", ", ".join(f"({name})" for name in names)
+
+
+ORACLE["date_dimension"] = _q(_CALENDAR + "SELECT * FROM t_calendar")
+ORACLE["flights_by_day"] = _q(_CALENDAR + f"SELECT t_calendar.*, {_MEASURES} FROM {_DAYS} GROUP BY ALL")
+_LEVEL, _SETS = _levels("year, month, date", "year, month, date; year, month; year; ")
+ORACLE["calendar_rollup"] = _q(
+    _CALENDAR
+    + f"""
+SELECT {_LEVEL} AS level, year, month, date, count(DISTINCT t_calendar.date) AS days,
+       count(DISTINCT CASE WHEN flight_id IS NULL THEN t_calendar.date END) AS days_without_flights, {_MEASURES}
+FROM {_DAYS} GROUP BY GROUPING SETS ({_SETS})
+"""
+)
+_FLIGHT_KEYS = "flight_date, route, origin_airport, destination_airport, status"
+_LEVEL, _SETS = _levels(
+    _FLIGHT_KEYS,
+    f"{_FLIGHT_KEYS}; flight_date, route; flight_date, origin_airport; flight_date, destination_airport;"
+    " flight_date, status; flight_date; route; origin_airport; destination_airport; status; ",
+)
+ORACLE["flight_totals"] = _q(
+    f"""
+SELECT {_LEVEL} AS level, {_FLIGHT_KEYS}, {_MEASURES}
+FROM (SELECT *, CAST(scheduled_departure_utc AS DATE) AS flight_date FROM t_flights_r) GROUP BY GROUPING SETS ({_SETS})
+"""
+)
+_EVENT_KEYS = "event_date, event_type, channel, route"
+_LEVEL, _SETS = _levels(
+    _EVENT_KEYS,
+    "event_date, event_type, channel; event_date, event_type; event_date, channel; event_date, route; event_date;"
+    " event_type, channel; event_type; channel; route; ",
+)
+ORACLE["communication_totals"] = _q(
+    f"""
+SELECT {_LEVEL} AS level, {_EVENT_KEYS}, count(*) AS events,
+       count(*) FILTER (is_delayed) AS delayed_flight_events,
+       count(*) FILTER (is_cancelled) AS cancelled_flight_events
+FROM (SELECT e.*, CAST(event_timestamp_utc AS DATE) AS event_date, route, is_delayed, is_cancelled
+      FROM t_events e LEFT JOIN t_flights_r f ON e.flight_id = f.flight_id)
+GROUP BY GROUPING SETS ({_SETS})
+"""
+)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import contracts
-from aerolith.operators import gold, insights, quality
+from aerolith.operators import calendar, gold, insights, quality
 from aerolith.operators.asof import weather_asof
 from aerolith.operators import validation as V
 from aerolith.operators.dedupe import deduplicate, duplicates_for_review
@@ -212,6 +212,16 @@ def _dashboard_kpis(spark: SparkSession, sf: str) -> DataFrame:
     return views["kpis"]
 
 
+def _calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """Days of every month that a dated source reaches."""
+    return calendar.date_dimension(
+        tm.bronze_flights(spark, sf).select("scheduled_departure_utc"),
+        tm.weather(spark, sf).select("observed_at_utc"),
+        tm.passenger_events(spark, sf).select("event_timestamp_utc"),
+        whole_months=True,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "silver_dedupe_flights": _dedupe,
     "silver_duplicate_review": _duplicates,
@@ -272,6 +282,13 @@ QUERIES: dict[str, Query] = {
     "weather_delay_view_asof": _weather_view_asof,
     "notification_coverage": _coverage,
     "route_performance_daily": lambda spark, sf: gold.route_performance_daily(_flights(spark, sf)),
+    "date_dimension": _calendar,
+    "flights_by_day": lambda spark, sf: calendar.flights_by_day(_flights(spark, sf), _calendar(spark, sf)),
+    "calendar_rollup": lambda spark, sf: calendar.calendar_rollup(_flights(spark, sf), _calendar(spark, sf)),
+    "flight_totals": lambda spark, sf: calendar.flight_totals(_flights(spark, sf)),
+    "communication_totals": lambda spark, sf: calendar.communication_totals(
+        tm.silver_passenger_events(spark, sf), _flights(spark, sf)
+    ),
     "notebook_route_view": lambda spark, sf: insights.route_view(_route_perf(spark, sf)),
     "notebook_airport_view": lambda spark, sf: insights.airport_view(_airport_disruption(spark, sf)),
     "notebook_communication_view": lambda spark, sf: insights.communication_view(_communication(spark, sf)),
