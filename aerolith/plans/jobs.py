@@ -28,6 +28,7 @@ from aerolith.operators.silver import clean_source
 from aerolith.session import build_session, ensure_utc
 from aerolith.sources import landed, synthetic
 from aerolith.sources.raw import path_exists, read_json_array_file, read_json_lines, require_path
+from aerolith.sources.versioned import inventory, is_versioned, open_table, publish
 
 GOLD_TABLES = (
     "gold_flight_performance",
@@ -57,6 +58,19 @@ def write_observed(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return int(obs.get.get("rows", 0))
 
 
+def write_table(
+    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), versioned: bool = False, replace: str = "table"
+) -> int:
+    """Write a layer's table and return its row count: in place, or as the next
+    version of a versioned table (``sources.versioned``), whose older versions
+    stay readable whatever happens to the job."""
+    if versioned:
+        return publish(df, path, partition_by, replace).rows
+    if replace != "table":
+        raise ValueError("only versioned tables replace single partitions")
+    return write_observed(df, path, partition_by=partition_by)
+
+
 def with_flight_date(df: DataFrame) -> DataFrame:
     """UTC departure date, the partition column of date-partitioned flight
     tables (readers filtering on it skip whole directories)."""
@@ -219,7 +233,8 @@ def bronze_frame(spark: SparkSession, raw_dir: str, source: str) -> DataFrame:
     return typed.select(*contracts.field_names(source), F.current_timestamp().alias("_bronze_loaded_at_utc"), "_source_file")
 
 
-def build_bronze(raw_dir: str, output_dir: str, spark: SparkSession | None = None) -> list[dict]:
+def build_bronze(raw_dir: str, output_dir: str, spark: SparkSession | None = None, versioned: bool = False) -> list[dict]:
+    """K2. ``versioned`` (here and below): tables are written as new versions."""
     _distinct_paths(raw_dir, output_dir)
     with _Session(spark) as s:
         for source in contracts.SOURCES:
@@ -227,7 +242,7 @@ def build_bronze(raw_dir: str, output_dir: str, spark: SparkSession | None = Non
         rows = []
         for source in contracts.SOURCES:
             out = _join(output_dir, source)
-            n = write_observed(bronze_frame(s, raw_dir, source), out)
+            n = write_table(bronze_frame(s, raw_dir, source), out, versioned=versioned)
             rows.append(
                 {"source": source, "input_path": raw_source_path(s, raw_dir, source)[0], "output_path": out, "row_count": n}
             )
@@ -245,23 +260,27 @@ def build_silver(
     missing_delay: str = "zero",
     cancelled_delay: str = "keep",
     partition_by_date: bool = False,
+    versioned: bool = False,
+    replace: str = "table",
 ) -> list[dict]:
     """K3. ``partition_by_date`` writes flights partitioned by ``flight_date``
-    (an added column) for date-pruned reads of very large histories."""
+    (an added column) for date-pruned reads of very large histories;
+    ``replace="partitions"`` then rewrites only the dates of this build."""
     _distinct_paths(bronze_dir, output_dir)
     with _Session(spark) as s:
         for source in contracts.SOURCES:
             require_path(s, _join(bronze_dir, source), "bronze")
         rows = []
         for source in contracts.SOURCES:
-            frame = s.read.parquet(_join(bronze_dir, source))
+            frame = open_table(s, _join(bronze_dir, source))
             options = {"missing_delay": missing_delay, "cancelled_delay": cancelled_delay} if source == "flights" else {}
             cleaned = clean_source(source, frame, with_load_time=True, **options)
             out = _join(output_dir, source)
             parts: tuple[str, ...] = ()
             if partition_by_date and source == contracts.FLIGHTS:
                 cleaned, parts = with_flight_date(cleaned), ("flight_date",)
-            rows.append({"source": source, "output_path": out, "row_count": write_observed(cleaned, out, partition_by=parts)})
+            n = write_table(cleaned, out, parts, versioned, replace if parts else "table")
+            rows.append({"source": source, "output_path": out, "row_count": n})
         write_summary(s, rows, output_dir)
         return rows
 
@@ -275,6 +294,7 @@ def build_gold(
     spark: SparkSession | None = None,
     partition_by_date: bool = False,
     weather_mode: str = "first",
+    versioned: bool = False,
 ) -> list[dict]:
     """K4. ``partition_by_date`` writes gold_flight_performance partitioned by
     ``flight_date``; ``weather_mode="asof"`` enriches each flight with the
@@ -283,7 +303,7 @@ def build_gold(
     with _Session(spark) as s:
         for source in contracts.SOURCES:
             require_path(s, _join(silver_dir, source), "silver")
-        read = {src: s.read.parquet(_join(silver_dir, src)) for src in contracts.SOURCES}
+        read = {src: open_table(s, _join(silver_dir, src)) for src in contracts.SOURCES}
         # Flights and both airport roles keep their load columns in the enriched table.
         tables = gold_ops.build_gold_tables(
             read[contracts.FLIGHTS].drop("flight_date"),
@@ -299,7 +319,7 @@ def build_gold(
             frame, parts = tables[name], ()
             if partition_by_date and name == "gold_flight_performance":
                 frame, parts = with_flight_date(frame), ("flight_date",)
-            rows.append({"table": name, "output_path": out, "row_count": write_observed(frame, out, partition_by=parts)})
+            rows.append({"table": name, "output_path": out, "row_count": write_table(frame, out, parts, versioned)})
         write_summary(s, rows, output_dir)
         return rows
 
@@ -310,20 +330,29 @@ def build_gold(
 def build_profile(silver_dir: str, gold_dir: str, output_dir: str, spark: SparkSession | None = None) -> list[dict]:
     """Profile (A11) and inventory (A12) of the written silver and gold
     tables, written under ``output_dir/quality_profile`` and
-    ``output_dir/dataset_inventory``."""
+    ``output_dir/dataset_inventory``. The inventory of versioned tables comes
+    from their commit files."""
     from aerolith.operators import quality
-    from aerolith.sources.catalog import load_gold_tables
+    from aerolith.sources.catalog import GOLD_TABLE_NAMES, load_gold_tables
 
     with _Session(spark) as s:
         for source in contracts.SOURCES:
             require_path(s, _join(silver_dir, source), "silver")
         layers = {
-            "silver": {src: s.read.parquet(_join(silver_dir, src)) for src in contracts.SOURCES},
+            "silver": {src: open_table(s, _join(silver_dir, src)) for src in contracts.SOURCES},
             "gold": load_gold_tables(s, gold_dir),
         }
+        paths = {
+            "silver": {src: _join(silver_dir, src) for src in contracts.SOURCES},
+            "gold": {name: _join(gold_dir, table) for name, table in GOLD_TABLE_NAMES.items()},
+        }
+        if all(is_versioned(s, path) for tables in paths.values() for path in tables.values()):
+            counted = inventory(s, paths).select("layer", "dataset", "rows", "columns")
+        else:
+            counted = quality.inventory_layers(layers)
         profile = quality.profile_layers(layers)
         n = write_observed(profile.coalesce(1), _join(output_dir, "quality_profile"))
-        m = write_observed(quality.inventory_layers(layers).coalesce(1), _join(output_dir, "dataset_inventory"))
+        m = write_observed(counted.coalesce(1), _join(output_dir, "dataset_inventory"))
         return [
             {"table": "quality_profile", "row_count": n},
             {"table": "dataset_inventory", "row_count": m},
@@ -343,7 +372,7 @@ def build_report(gold_dir: str, name: str, output_dir: str, spark: SparkSession
     with _Session(spark) as s:
         path = _join(gold_dir, table)
         require_path(s, path, "gold")
-        result = run_report(name, s.read.parquet(path))
+        result = run_report(name, open_table(s, path))
         # A report is one row per route / airport / segment: small, so one
         # ordered file is written (coalesce keeps the sort order).
         n = write_observed(result.coalesce(1), _join(output_dir, name), fmt="json")
@@ -366,6 +395,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--airport-codes", nargs="+", help="ingest: only these airports of the CSV (default: all)")
     parser.add_argument("--max-weather-airports", type=int, help="ingest: only the first airports by code (default: all)")
     parser.add_argument("--allow-synthetic", action="store_true", help="ingest: synthetic data for a landed path that is missing")
+    parser.add_argument("--versioned", action="store_true", help="bronze/silver/gold: write new table versions")
     parser.add_argument("--landing", help="ingest: folder with one sub-folder of raw files per source")
     parser.add_argument("--format", default="jsonl", choices=["jsonl", "array"])
     args = parser.parse_args(argv)
@@ -389,10 +419,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.layer == "report":
         result = build_report(args.input, args.name, args.output)
     elif args.layer == "gold":
-        result = build_gold(args.input, args.output, weather_mode=args.weather_mode)
+        result = build_gold(args.input, args.output, weather_mode=args.weather_mode, versioned=args.versioned)
     else:
         job = {"bronze": build_bronze, "silver": build_silver}[args.layer]
-        result = job(args.input, args.output)
+        result = job(args.input, args.output, versioned=args.versioned)
     for row in result:
         print(row)
 

@@ -11,6 +11,7 @@ from aerolith.operators import validation as V
 from aerolith.operators.silver import clean_source
 from aerolith.sources import synthetic
 from aerolith.sources.raw import require_path
+from aerolith.sources.versioned import open_table
 
 # Dashboard table name → gold table name.
 GOLD_TABLE_NAMES = {
@@ -27,7 +28,7 @@ def load_gold_tables(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]
     for name, table in GOLD_TABLE_NAMES.items():
         path = f"{gold_dir.rstrip('/')}/{table}"
         require_path(spark, path, "gold")
-        tables[name] = spark.read.parquet(path)
+        tables[name] = open_table(spark, path)
     return tables
 
 

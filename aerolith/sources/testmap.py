@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith import contracts
+from aerolith.operators.dedupe import deduplicate
 from aerolith.operators.silver import clean_flights, clean_source
 from aerolith.session import spread
 
@@ -195,8 +196,10 @@ def _raw(df: DataFrame, ref: Column, columns: dict[str, Column]) -> DataFrame:
     return df.select(value.alias("value"), ref.cast("string").alias("_record_ref"))
 
 
-def _raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_flights(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFrame:
     f = bronze_flights(spark, sf_dir, extra=("o_orderstatus", "l_orderkey", "l_linenumber"), spread_out=True)
+    if distinct:
+        f = deduplicate(f, contracts.BUSINESS_KEYS[contracts.FLIGHTS])
     key, n = F.col("l_orderkey") * 7 + F.col("l_linenumber"), FLIGHT_CASES
     departs = F.col("scheduled_departure_utc")
     return _raw(
@@ -301,6 +304,13 @@ def raw_records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return build[source](spark, sf_dir)
 
 
+def landed_once(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Raw records of all sources, one per flight id: which of several a build
+    keeps would depend on the files they land in."""
+    records = {source: raw_records(spark, sf_dir, source) for source in contracts.SOURCES}
+    return records | {contracts.FLIGHTS: _raw_flights(spark, sf_dir, distinct=True)}
+
+
 # Landed public-source texts over the same tables.
 
 
