@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.session import materialize
+
 
 def _missing_flag(df: DataFrame, name: str) -> Column:
     """1 when the cell is null (or NaN for floating columns), else 0."""
@@ -22,27 +24,68 @@ def _missing_flag(df: DataFrame, name: str) -> Column:
     return missing.cast("int")
 
 
+def _row_digest(df: DataFrame) -> list[Column]:
+    """A row as two hashes. Both start with which columns are null, since the
+    hash passes nulls over; given that, the others stand in fixed places. Equal
+    rows have equal digests (-0.0 and 0.0, and all NaN, hash alike)."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    cells = [*[c.isNull() for c in columns], *columns]
+    return [F.xxhash64(*cells).alias("_high"), F.xxhash64(F.lit(1), *cells).alias("_low")]
+
+
 def quality_profile(df: DataFrame, layer: str, dataset: str) -> DataFrame:
     """Rows, duplicate rows (rows equal to an earlier row, nulls equal),
-    missing cells and the mean per-column missing rate.
-
-    The input is evaluated once. Rows are grouped by all their columns, so the
-    count is exact, and partially aggregated in each task, so copies of a hot
-    row collapse before the shuffle; each different row crosses it once a task.
-    A group's rows share their missing cells."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    nulls = sum((_missing_flag(df, c) for c in df.columns), F.lit(0))
-    groups = groups.select("_n", (nulls * F.col("_n")).alias("_nulls"))
-    totals = groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
-        F.coalesce(F.sum("_nulls"), F.lit(0)).cast("bigint").alias("missing_values"),
-    )
-    cells = (F.col("rows") * F.lit(len(df.columns))).cast("double")
-    rate = F.try_divide(F.col("missing_values").cast("double"), cells).alias("missing_value_rate")
-    return totals.select(
-        F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "rows", "duplicate_rows", "missing_values", rate
-    )
+    missing cells and the mean per-column missing rate."""
+    return profile_layers({layer: {dataset: df}})
+
+
+def profile_layers(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
+    """A11 of every dataset, in one pass over all of them.
+
+    Rows are counted by a 128-bit digest, partially in each task, so a few numbers
+    per row cross the shuffle instead of the row. Digests that occur more than
+    once are written; only datasets that have any are read again, and only the
+    rows they match are compared by all their columns, so the counts are exact
+    whatever collides."""
+    datasets = [(layer, name, df) for layer, tables in layers.items() for name, df in tables.items()]
+    digests = []
+    for i, (_, _, df) in enumerate(datasets):
+        nulls = sum((_missing_flag(df, c) for c in df.columns), F.lit(0))
+        digests.append(df.select(F.lit(i).alias("_set"), *_row_digest(df), nulls.alias("_nulls")))
+    counted = union_all(digests).groupBy("_set", "_high", "_low").agg(F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"))
+    seen, metrics = Observation(), []
+    for i in range(len(datasets)):
+        mine = F.col("_set") == i
+        metrics += [
+            F.coalesce(F.sum(F.when(mine, F.col("_n"))), F.lit(0)).alias(f"rows{i}"),
+            F.coalesce(F.sum(F.when(mine, F.col("_nulls"))), F.lit(0)).alias(f"nulls{i}"),
+            F.count_if(mine & (F.col("_n") > 1)).alias(f"suspects{i}"),
+        ]
+    suspects = counted.observe(seen, *metrics).where(F.col("_n") > 1).select("_set", "_high", "_low")
+    suspects = materialize(suspects, "suspect-rows")
+    found = {k: int(v or 0) for k, v in seen.get.items()}
+    profiles = []
+    for i, (layer, name, df) in enumerate(datasets):
+        if found[f"suspects{i}"]:
+            mine = suspects.where(F.col("_set") == i).drop("_set")
+            matched = df.select("*", *_row_digest(df)).join(mine, ["_high", "_low"], "left_semi").select(*df.columns)
+            groups = matched.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("_more"))
+            more = groups.agg(F.coalesce(F.sum("_more"), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+        else:
+            more = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("duplicate_rows"))
+        rows, missing = (F.lit(found[f"{k}{i}"]).cast("bigint") for k in ("rows", "nulls"))
+        rate = F.try_divide(missing.cast("double"), (rows * F.lit(len(df.columns))).cast("double"))
+        profiles.append(
+            more.select(
+                F.lit(layer).alias("layer"),
+                F.lit(name).alias("dataset"),
+                rows.alias("rows"),
+                "duplicate_rows",
+                missing.alias("missing_values"),
+                rate.alias("missing_value_rate"),
+            )
+        )
+    return union_all(profiles)
 
 
 def dataset_inventory(df: DataFrame, layer: str, dataset: str) -> DataFrame:
@@ -63,12 +106,6 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def profile_layers(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
-    return union_all(
-        [quality_profile(df, layer, name) for layer, tables in layers.items() for name, df in tables.items()]
-    )
-
-
 def inventory_layers(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     return union_all(
         [dataset_inventory(df, layer, name) for layer, tables in layers.items() for name, df in tables.items()]

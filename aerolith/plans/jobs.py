@@ -63,7 +63,11 @@ def write_table(
 ) -> int:
     """Write a layer's table and return its row count: in place, or as the next
     version of a versioned table (``sources.versioned``), whose older versions
-    stay readable whatever happens to the job."""
+    stay readable whatever happens to the job. Rows of a partitioned table are
+    rebalanced by partition first: a task writes few partitions, and AQE splits
+    the large ones."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if versioned:
         return publish(df, path, partition_by, replace).rows
     if replace != "table":

@@ -926,3 +926,71 @@ FROM (SELECT e.*, CAST(event_timestamp_utc AS DATE) AS event_date, route, is_del
 GROUP BY GROUPING SETS ({_SETS})
 """
 )
+
+# --- order, zones, limits, and the build over landed files -------------------------
+
+ORACLE["flights_in_departure_order"] = _q(
+    "SELECT flight_id, scheduled_departure_utc, origin_airport, destination_airport,"
+    " row_number() OVER (ORDER BY scheduled_departure_utc NULLS FIRST, flight_id NULLS FIRST) AS position FROM t_flights"
+)
+ORACLE["invalid_time_zones"] = f"""
+SELECT {_code('n_nationkey')} AS airport_code, CASE n_nationkey % 5 WHEN 2 THEN 'Mars/Olympus' ELSE 'europe/warsaw' END AS timezone
+FROM nation WHERE n_nationkey % 5 IN (2, 3)
+"""
+ORACLE["weather_airports_limited"] = (
+    f"SELECT * FROM (SELECT * FROM ({_CSV_AIRPORTS}) ORDER BY airport_code LIMIT 12) WHERE latitude_deg IS NOT NULL"
+)
+ORACLE["weather_delay_view_without_wind"] = ORACLE["weather_delay_view"].replace(
+    "WHERE flight_id IS NOT NULL", "WHERE false AND flight_id IS NOT NULL"
+)
+_BUILT = (
+    _RAW
+    + f"""
+, a_flights AS (
+    SELECT *, greatest(coalesce(round((epoch(t_actual) - epoch(t_scheduled)) / 60.0, 2), 0.0), 0.0) AS minutes
+    FROM (SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY {_FLIGHT_ORDER}) AS rn FROM r_flights)
+    WHERE rn = 1 AND {_error_count('flights')} = 0
+), a_airports AS (
+    SELECT * FROM r_airports WHERE {_error_count('airports')} = 0
+), a_weather AS (
+    SELECT * FROM r_weather WHERE {_error_count('weather')} = 0
+), a_events AS (
+    SELECT * FROM r_passenger_events WHERE {_error_count('passenger_events')} = 0
+)
+"""
+)
+ORACLE["built_route_performance"] = _q(
+    _BUILT
+    + """
+SELECT f_origin_airport || '-' || f_destination_airport AS route, count(*) AS total_flights,
+       count(*) FILTER (minutes > 15) AS delayed_flights, count(*) FILTER (f_status = 'cancelled') AS cancelled_flights,
+       CAST(sum(CAST(minutes AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS average_departure_delay_minutes,
+       CAST(count(*) FILTER (minutes > 15) AS DOUBLE) / count(*) AS delay_rate
+FROM a_flights GROUP BY 1
+"""
+)
+_LOADED = 3  # load columns of a silver table: bronze time, source file, silver time
+ORACLE["built_inventory"] = _q(
+    _BUILT
+    + f"""
+, counts AS (
+    SELECT 'flights' AS dataset, count(*) AS n, count(*) AS kept, 7 AS fields, 4 AS more,
+           count(DISTINCT CAST(t_scheduled AS DATE)) AS parts FROM a_flights
+    UNION ALL SELECT 'airports', count(*), count(DISTINCT f_airport_code), 7, 0, 0 FROM a_airports
+    UNION ALL SELECT 'weather', count(*), count(DISTINCT (f_airport_code, f_observed_at_utc)), 5, 0, 0 FROM a_weather
+    UNION ALL SELECT 'passenger_events', count(*), count(DISTINCT f_event_id), 5, 0, 0 FROM a_events
+)
+SELECT layer, dataset, CAST("rows" AS BIGINT) AS "rows", CAST(columns AS INTEGER) AS columns,
+       CAST(partitions AS INTEGER) AS partitions, CAST(1 AS BIGINT) AS version
+FROM (
+    SELECT 'bronze' AS layer, dataset, n AS "rows", fields + 2 AS columns, 0 AS partitions FROM counts
+    UNION ALL SELECT 'silver', dataset, kept, fields + more + {_LOADED}, parts FROM counts
+    UNION ALL SELECT 'gold', 'gold_flight_performance', count(*), 38, 0 FROM a_flights
+    UNION ALL SELECT 'gold', 'gold_route_performance', count(DISTINCT (f_origin_airport, f_destination_airport)), 7, 0 FROM a_flights
+    UNION ALL SELECT 'gold', 'gold_airport_disruption', count(DISTINCT f_origin_airport), 17, 0 FROM a_flights
+    UNION ALL SELECT 'gold', 'gold_passenger_communication', count(DISTINCT (f_event_type, f_channel,
+              coalesce(f_origin_airport || '-' || f_destination_airport, ''))), 7, 0
+              FROM a_events e LEFT JOIN a_flights f ON e.f_flight_id = f.flight_id
+)
+"""
+)

@@ -65,6 +65,19 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Time zones by remainder of the nation key; the third and fourth are no zone names.
+ZONES = ("Europe/Warsaw", "America/New_York", "Mars/Olympus", "europe/warsaw", None)
+
+
+def airports_with_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airports in zones that are valid, wrong, in wrong case or missing."""
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey")
+    listed = F.array(*[F.lit(z) for z in ZONES])
+    zone = F.element_at(listed, (F.col("n_nationkey") % len(ZONES) + 1).cast("int"))
+    keyed = nation.select(airport_code("n_nationkey").alias("airport_code"), zone.alias("timezone"))
+    return airports(spark, sf_dir).drop("timezone").join(keyed, "airport_code")
+
+
 def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), spread_out: bool = False) -> DataFrame:
     """Flights in bronze shape; ``extra`` carries lineage columns along.
     ``spread_out`` deals a small lineitem over all cores, for costly expressions

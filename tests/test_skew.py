@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aerolith.operators import gold
-from aerolith.operators.dedupe import deduplicate
+from aerolith.operators.dedupe import deduplicate, duplicates_for_review
 
 N = 90_000
 
@@ -23,6 +23,50 @@ def test_dedupe_with_hot_key(spark):
     assert "WindowGroupLimit" in plan  # partial top-1 per key before the shuffle
 
 
+def test_review_of_a_row_with_millions_of_copies(spark):
+    n = 10_000_000
+    df = spark.range(n).select(F.lit("HOT").alias("flight_id"), F.lit(7).alias("v"))
+    out = duplicates_for_review(df, ["flight_id"])
+    tasks = out.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    assert sum(r.rows for r in tasks) == n - 1 and len(tasks) >= 4
+    assert max(r.rows for r in tasks) < n / 2
+    ranks = out.agg(F.min("duplicate_rank"), F.max("duplicate_rank"), F.approx_count_distinct("duplicate_rank", 0.02)).first()
+    assert ranks[0] == 2 and ranks[1] == n and ranks[2] > 0.9 * n
+
+
+def test_review_of_a_key_with_many_different_rows(spark):
+    hot = spark.range(40_000).select(F.lit("HOT").alias("flight_id"), (F.col("id") * 7919 % 30_011).alias("v"))
+    rest = spark.createDataFrame([("a", 1), ("b", 2), ("b", None), (None, 3), (None, 3), ("c", 5)], "flight_id string, v long")
+    df = hot.unionByName(rest)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 11)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        got = sorted(map(tuple, duplicates_for_review(df, ["flight_id"], chunk=3).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    by_key = {}
+    for r in df.collect():
+        by_key.setdefault(r.flight_id, []).append(r.v)
+    wanted = []
+    for key, values in by_key.items():
+        values.sort(key=lambda v: (v is not None, v))
+        wanted += [(key, v, rank) for rank, v in enumerate(values, start=1) if rank > 1]
+    assert got == sorted(wanted, key=repr)
+    assert duplicates_for_review(df.limit(0), ["flight_id"]).count() == 0
+
+
+def test_positions_need_no_single_task(spark):
+    from aerolith.functions.ordering import with_position
+
+    df = spark.range(20_000).select((F.col("id") * 48_271 % 20_011).alias("k"), F.lit("x").alias("x"))
+    got = sorted((r.position, r.k) for r in with_position(df, [F.col("k").desc()]).collect())
+    values = sorted((i * 48_271 % 20_011 for i in range(20_000)), reverse=True)
+    assert got == list(enumerate(values, start=1))
+    assert with_position(df.limit(0), [F.col("k").asc()]).count() == 0
+
+
 def test_communication_rollup_with_hot_flight(spark):
     events = spark.range(N).select(
         F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"),
