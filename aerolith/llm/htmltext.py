@@ -6,24 +6,31 @@ the hashes of its children when it closes, so depth costs no recursion.
 
 1. *Templates.* The hashes of block elements are counted per host, once per
    distinct page (equal html counts once), pre-aggregated in each task. A
-   container found on at least ``min_pages`` pages and ``share`` of its host's
-   pages is a template and is deleted; a paragraph, heading, list item or other
-   text block must be on ``text_share`` of them. Inside ``article`` or ``main``
-   only containers can be templates, at ``inner_share``: passages that many
-   articles quote stay. Templates below ``text_share`` that together hold more
-   than half of a page's text are its content and stay.
+   container found on at least ``min_pages`` pages and a fifth (``share``) of its
+   host's pages is a template and is deleted; a paragraph, heading, list item or
+   other text block must be on half (``text_share``) of them. Inside ``article``
+   or ``main`` only containers can be templates, at ``inner_share``: passages that
+   many articles quote stay. Templates below ``text_share`` that together hold
+   more than half of a page's text are its content and stay. Hosts of fewer than
+   ``min_pages`` pages are judged by the rules alone.
 2. *Rules.* Menus, headers, footers, sidebars, notices, adverts, forms,
    scripts, styles, hidden parts and reader comments go by tag, role, class or
    id. A class or id counts whole or by its first part (``sidebar-left``, not
    ``has-sidebar``) and never removes what encloses an ``article`` or ``main``
-   or more than half of the page's text. Comments of the markup are no text.
+   or more than half of the page's text; headings and paragraphs inside them go
+   only as adverts, notices or comments. A form around more than half of the
+   page's text stays, and so does a ``header``, ``nav``, ``aside`` or ``footer``
+   around an ``article`` or ``main`` of that much. Comments of the markup are no
+   text.
 3. *Main part.* If the page has ``article`` elements, their text is the main
-   text; else that of ``main``; else that of the whole page.
+   text, unless ``main`` holds more than twice as much; else that of ``main``;
+   else that of the whole page.
 
 Character references are decoded, white space within a block becomes one
 space, blocks are trimmed and joined by a line break in page order; ``br``
 counts as white space. Null html is empty and gives an empty text. Pages
-without a host (null or relative url) are judged by the rules alone. Other columns are passed through by ``extract_main_text``.
+without a host (null or relative url) are judged by the rules alone. Other
+columns are passed through by ``extract_main_text``.
 
 At most ``elements per page / share`` templates exist per host, so the table
 joined to the pages stays small; it is written first, so Spark broadcasts it by
@@ -46,10 +53,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.llm.arrow import add_columns
 from aerolith.session import materialize
 
-MIN_PAGES = 3
-SHARE = 0.01
+MIN_PAGES = 10
+SHARE = 0.2
 INNER_SHARE = 0.2
 TEXT_SHARE = 0.5
 # How a template was found: key of a subtree hash inside an article or main, and at text_share.
@@ -74,6 +82,14 @@ DROPPED_NAMES = frozenset(
     "cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup login share sharing "
     "social related recommended recommendations pagination pager toolbar copyright skiplink".split()
 )
+# Dropped by tag unless they enclose the main part.
+WRAPPERS = frozenset("form header nav aside footer".split())
+# Text blocks of an article or main whose class or id counts only if it is one of these.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+NOT_PROSE = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored comment comments reply replies cookie cookies "
+    "consent gdpr notice notices".split()
+)
 # What makes an article element something other than the article.
 NOT_ARTICLE = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related recommended teaser".split())
 MAY_REPEAT = BLOCKS - {"html", "body", "head", "title", "article", "main"}
@@ -110,6 +126,7 @@ class Element:
     ruled: bool
     signature: str
     named: bool = False
+    wrapper: bool = False
     parts: list[str] = field(default_factory=list)
     end: int = -1
     digest: int = 0
@@ -139,11 +156,12 @@ def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
     return attributes.get("role", "").lower() in DROPPED_ROLES
 
 
-def is_named_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
+def is_named_boilerplate(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     """Whether an element's class or id speaks for removing it."""
     if tag in ("html", "body") or not ("class" in attributes or "id" in attributes):
         return False
-    return bool(_names(attributes) & (NOT_ARTICLE if tag in ("article", "main") else DROPPED_NAMES))
+    against = NOT_ARTICLE if tag in ("article", "main") else NOT_PROSE if inside and tag in PROSE else DROPPED_NAMES
+    return bool(_names(attributes) & against)
 
 
 def read_markup(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
@@ -212,16 +230,37 @@ class Page:
                 self._end(value)
         while self.open:
             self._pop()
+        self._spare_wrappers()
         self._rule_named()
 
+    def _shown(self, wanted: Callable[[Element], bool]) -> list[int]:
+        """Characters of text before each piece that no wanted element covers."""
+        gone = self._covered(wanted)
+        return list(accumulate((0 if g or not p else len(p.strip()) for p, g in zip(self.pieces, gone)), initial=0))
+
+    def _spare_wrappers(self) -> None:
+        """Keep forms around more than half of the page's text, and other
+        wrappers around an article or main of that much."""
+        wrappers = [e for e in self.elements if e.wrapper]
+        if not wrappers:
+            return
+        shown = self._shown(lambda e: e.ruled and not e.wrapper)
+
+        def most(e: Element) -> bool:
+            return 2 * (shown[e.end] - shown[e.start]) > shown[-1]
+
+        parts = [e for e in self.elements if e.tag in ("article", "main") and not (e.ruled or e.named) and most(e)]
+        for e in wrappers:
+            if e.tag == "form" and most(e) or any(e.start <= part.start and part.end <= e.end for part in parts):
+                e.ruled = False
+
     def _rule_named(self) -> None:
         """Remove what its class or id speaks against, unless it encloses an
         article or main of the page or most of the page's text."""
         named = [e for e in self.elements if e.named and not e.ruled]
         if not named:
             return
-        gone = self._covered(lambda e: e.ruled)
-        shown = list(accumulate((0 if g or not p else len(p.strip()) for p, g in zip(self.pieces, gone)), initial=0))
+        shown = self._shown(lambda e: e.ruled)
         parts = sorted(e.start for e in self.elements if e.tag in ("article", "main") and not (e.ruled or e.named))
         for e in named:
             if e.tag not in ("article", "main"):
@@ -266,8 +305,9 @@ class Page:
             self._close_up_to(*CLOSES[tag])
         signature = f"{tag}|{attributes.get('class', '')}|{attributes.get('id', '')}"
         element = Element(tag, len(self.pieces), is_boilerplate(tag, attributes), signature)
-        element.named = is_named_boilerplate(tag, attributes)
+        element.wrapper = element.ruled and tag in WRAPPERS and not is_boilerplate("div", attributes)
         element.inside = self.depth["article"] > 0 or self.depth["main"] > 0
+        element.named = is_named_boilerplate(tag, attributes, element.inside)
         self.open.append(element)
         self.depth[tag] += 1
 
@@ -308,11 +348,11 @@ class Page:
 
     def _kept(self, gone: list[bool]) -> list[bool]:
         """For each piece, whether the main part covers it."""
-        for tag in ("article", "main"):
-            inside = self._covered(lambda e: e.tag == tag and not e.ruled)
-            if any(k and not g for k, g in zip(inside, gone)):
-                return inside
-        return [True] * len(self.pieces)
+        article, main = (self._covered(lambda e, tag=tag: e.tag == tag and not e.ruled) for tag in ("article", "main"))
+        in_article, in_main = self._length(gone, article), self._length(gone, main)
+        if in_article and in_main <= 2 * in_article:
+            return article
+        return main if in_main else [True] * len(self.pieces)
 
     def _length(self, gone: list[bool], kept: list[bool]) -> int:
         return sum(len(p.strip()) for p, g, k in zip(self.pieces, gone, kept) if p and k and not g)
@@ -419,20 +459,14 @@ def extract_main_text(
     that name is replaced)."""
     templates = materialize(site_templates(pages, min_pages, share, inner_share, text_share), "site-templates")
     templates = templates.select(F.col("host").alias("__host"), F.col("templates").alias("__templates"))
-    pages = pages.drop("text")
     joined = pages.join(templates, _host() == F.col("__host"), "left").drop("__host")
-    names = [*pages.columns, "text"]
-    at = names.index("html")
-    schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType())])
+    both = F.struct(F.col("html").cast("string").alias("html"), F.col("__templates").alias("templates"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = batch.column(len(names) - 1)
-            texts = [Page(h.as_py() or "").main_text(set(t.as_py() or ())) for h, t in zip(batch.column(at), found)]
-            columns = [*batch.columns[:-1], pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    def make(column: pa.Array) -> list[pa.Array]:
+        found = zip(column.field("html"), column.field("templates"))
+        return [pa.array([Page(h.as_py() or "").main_text(set(t.as_py() or ())) for h, t in found], pa.string())]
 
-    return joined.mapInArrow(run, schema)
+    return add_columns(joined, both, [T.StructField("text", T.StringType())], make, without="__templates")
 
 
 def main_text_report(pages: DataFrame) -> DataFrame:

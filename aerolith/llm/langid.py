@@ -14,12 +14,13 @@ Only text and non-null ``lang`` of rows outside the held-out part are learnt
 from; lang, source and id are never inputs of a prediction. A null text or one
 without a letter is ``und`` with score 0; so is every text if nothing could be
 learnt. A text with letters always gets a learnt language and its probability;
-``rejected`` says whether to trust it. Null ids are held out.
+``rejected`` says whether to trust it. Null ids are held out. Of several rows of
+an id the text with the lowest hash is learnt from; all are predicted. Every
+language is learnt, however many there are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.llm.arrow import add_columns
 from aerolith.llm.sampling import Sparse, dense, id_remainder, sample_per_label, sampled_features
 
 BUCKETS = 8192
 DIMENSIONS = 16
 GRAMS = (3, 4)
 PER_LANGUAGE = 1000
-MOST_LANGUAGES = 64
+MOST_ROWS = 8000
 EPOCHS, BATCH, RATE = 8, 32, 2.0
 ACCEPTED = 0.995
 BLOCK = 256
@@ -147,41 +149,36 @@ def _calibrate(model: Model, rows: list[Sparse], target: np.ndarray) -> None:
     model.reject_below = float(np.quantile(right, 1 - ACCEPTED)) if len(right) else 0.0
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    """Fit on at most ``per_language`` documents of each language and
-    ``MOST_LANGUAGES`` times as many in all."""
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> Model | None:
+    """Fit on at most ``per_language`` documents of each language; with so many
+    languages that these exceed ``most_rows``, on an equal share of each, at
+    least one. Feature rows on the driver are bounded by that."""
     learnt = docs.where(F.col("lang").isNotNull() & (id_remainder(F.col("doc_id"), HELD_OUT_FOLDS) != HELD_OUT_FOLD))
-    sample = sample_per_label(learnt.select("doc_id", "lang"), "lang", per_language)
-    return fit(sampled_features(learnt, sample, subword_counts, per_language * MOST_LANGUAGES))
+    n_languages = learnt.select("lang").distinct().count()
+    quota = max(1, min(per_language, most_rows // max(n_languages, 1)))
+    sample = sample_per_label(learnt.select("doc_id", "lang"), "lang", quota)
+    return fit(sampled_features(learnt, sample, subword_counts, "lang"))
 
 
 def identify_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (columns of
     these names are replaced)."""
     added = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("rejected", T.BooleanType())]
-    docs = docs.drop(*(name for name, _ in added))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [*docs.columns, *(name for name, _ in added)]
-    at = names.index("text")
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(name, kind) for name, kind in added)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(column: pa.Array) -> list[pa.Array]:
         known = shared.value
-        for whole in batches:
-            for start in range(0, whole.num_rows, BLOCK):
-                batch = whole.slice(start, BLOCK)
-                texts = [t.as_py() for t in batch.column(at)]
-                told = np.array([known is not None and has_letter(t) for t in texts], bool)
-                langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-                if told.any():
-                    best, scores[told] = known.predict([subword_counts(t) for t, ok in zip(texts, told) if ok])
-                    for i, b in zip(np.flatnonzero(told), best):
-                        langs[i] = known.languages[b]
-                rejected = scores < (known.reject_below if known else 1.0)
-                extra = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected | ~told, pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=names)
-
-    return docs.mapInArrow(run, schema)
+        texts = column.to_pylist()
+        told = np.array([known is not None and has_letter(t) for t in texts], bool)
+        langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        if told.any():
+            best, scores[told] = known.predict([subword_counts(t) for t, ok in zip(texts, told) if ok])
+            for i, b in zip(np.flatnonzero(told), best):
+                langs[i] = known.languages[b]
+        rejected = scores < (known.reject_below if known else 1.0)
+        return [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected | ~told, pa.bool_())]
+
+    return add_columns(docs, F.col("text").cast("string"), [T.StructField(name, kind) for name, kind in added], make, BLOCK)
 
 
 def language_report(docs: DataFrame) -> DataFrame:

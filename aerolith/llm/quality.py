@@ -18,12 +18,13 @@ sampled evenly and a vote of 0.5 means both are as near.
 Labels are learnt only from rows outside the held-out part; labels, lang,
 source and id are never inputs of a score. Null text counts as empty; a text
 without features, and every text if there is no label to learn from, scores the
-share of label 1 in the sample (1.0 without any). Null ids are held out.
+share of label 1 in the sample (1.0 without any). Null ids are held out. Of
+several rows of an id the text with the lowest hash is learnt from; all are
+scored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolith.llm.arrow import add_columns
 from aerolith.llm.sampling import Sparse, dense, id_remainder, sample_per_label, sampled_features
 
 PER_LABEL = 2048
@@ -153,26 +155,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label:
     held-out part."""
     learnt = labels.where((id_remainder(F.col("doc_id"), HELD_OUT_FOLDS) != HELD_OUT_FOLD) & F.col(label).isin(0, 1))
     sample = sample_per_label(learnt.select("doc_id", label), label, per_label)
-    return fit(sampled_features(docs, sample, text_features, 2 * per_label))
+    return fit(sampled_features(docs, sample, text_features))
 
 
 def score_documents(docs: DataFrame, model: Model, out_col: str = "quality_score") -> DataFrame:
     """``docs`` with a score between 0 and 1 (a column of that name is replaced)."""
-    docs = docs.drop(out_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [*docs.columns, out_col]
-    at = names.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField(out_col, T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for whole in batches:
-            for start in range(0, whole.num_rows, BLOCK):
-                batch = whole.slice(start, BLOCK)
-                scores = known.scores([text_features(t.as_py() or "") for t in batch.column(at)])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=names)
-
-    return docs.mapInArrow(run, schema)
+
+    def make(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array(shared.value.scores([text_features(t.as_py() or "") for t in texts]), pa.float64())]
+
+    return add_columns(docs, F.col("text").cast("string"), [T.StructField(out_col, T.DoubleType())], make, BLOCK)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -19,21 +19,47 @@ def id_remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
+# Hash bits that a level of the search for a label's cut-off looks at.
+LEVEL_BITS, LEVELS = 10, 2
+
+
+def _up_to_cutoff(rows: DataFrame, most: int, level: int) -> DataFrame:
+    """``rows`` (``doc_id, label, hash``) up to the hash range in which a label
+    reaches ``most`` ids. Only counts of ranges are shuffled, ``2**LEVEL_BITS``
+    a label and task at most."""
+    ranged = rows.withColumn("range", F.shiftright("hash", 64 - LEVEL_BITS * level))
+    counts = ranged.groupBy("label", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < most)
+    last = needed.groupBy("label").agg(F.max("range").alias("last"))
+    return ranged.join(last, "label").where(F.col("range") <= F.col("last")).select("doc_id", "label", "hash")
+
+
 def sample_per_label(labelled: DataFrame, label: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` distinct ids of each label, in the order of a hash
-    of the id: ``doc_id, label``. Ranks are cut to ``per_label`` rows per label
-    in each task before any row is shuffled."""
+    """The ``per_label`` distinct ids of each label with the lowest hashes:
+    ``doc_id, label``. An id that has several labels counts for the largest.
+
+    How far the hashes of a label must reach is found by counting hash ranges,
+    then ranges inside the last one; what meets in one task to be ranked is
+    ``per_label`` ids of a label and about one in ``2**(LEVEL_BITS * LEVELS)`` of
+    the others."""
     rows = labelled.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).drop("place")
+    rows = rows.withColumn("hash", F.xxhash64("doc_id"))
+    for level in range(1, LEVELS + 1):
+        rows = _up_to_cutoff(rows, per_label, level)
+    order = Window.partitionBy("label").orderBy("hash", "doc_id")
+    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label")
 
 
 def sampled_features(
-    docs: DataFrame, sample: DataFrame, features: Callable[[str], Sparse], most: int
+    docs: DataFrame, sample: DataFrame, features: Callable[[str], Sparse], label: str | None = None
 ) -> list[tuple[object, Sparse]]:
-    """``(label, features of the whole text)`` of the sampled documents, at most
-    ``most`` rows in the order of their ids. The sample is broadcast: its size
-    is bounded by its own parameter. Features, not texts, reach the driver."""
+    """``(label, features of the whole text)`` of the sampled ids, one each, in
+    the order of their ids: of several rows of an id, the text with the lowest
+    hash (with ``label``, a column of ``docs``: of those with the sampled label).
+    The sample is broadcast: its size is bounded by its own parameter.
+    Rows of a repeated id collapse in each task. Features, not texts, reach the
+    driver, one row per sampled id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,11 +68,17 @@ def sampled_features(
             counts = pa.array([c.astype("<f4").tobytes() for _, c in found], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), places, counts], names=["doc_id", "label", "places", "counts"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    own = F.lit(None).cast("string") if label is None else F.col(label).cast("string")
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, own.alias("own"))
     chosen = sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("string").alias("label"))
-    joined = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    sent = joined.mapInArrow(run, "doc_id long, label string, places binary, counts binary").orderBy("doc_id", F.xxhash64("places")).limit(most)
-    return [(r["label"], (np.frombuffer(r["places"], "<u2"), np.frombuffer(r["counts"], "<f4"))) for r in sent.toLocalIterator()]
+    joined = rows.join(F.broadcast(chosen), "doc_id")
+    if label is not None:
+        joined = joined.where(F.col("own") == F.col("label"))
+    one = joined.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    sent = one.select("doc_id", "label", "first.text").mapInArrow(run, "doc_id long, label string, places binary, counts binary")
+    found = sorted(sent.toLocalIterator(), key=lambda r: r["doc_id"])
+    return [(r["label"], (np.frombuffer(r["places"], "<u2"), np.frombuffer(r["counts"], "<f4"))) for r in found]
 
 
 def dense(rows: list[Sparse], width: int) -> np.ndarray:

@@ -39,6 +39,12 @@ def test_supplied_pages_give_their_articles(table):
         ("<p>a < b <3 <", "a < b <3 <"),
         ("<P TITLE='a > b'>q</P><p title=\"x>y\">r", "q\nr"),
         ("<b><div>x</b>y</div>z", "xy\nz"),
+        ("<main><h1>Head</h1><p>A long paragraph of the page itself</p><article>teaser</article></main>", "Head\nA long paragraph of the page itself\nteaser"),
+        ("<main><p>intro</p><article><h1>Head</h1><p>Most of the text</p></article></main>", "Head\nMost of the text"),
+        ("<body><form action=x><div><h1>T</h1><p>All of the page</p></div><input></form></body>", "T\nAll of the page"),
+        ("<form><nav>menu</nav><article><p>story</p><form>small</form></article></form>", "story"),
+        ("<aside><article>teaser</article></aside><p>the story itself</p>", "the story itself"),
+        ("<main><h1 class='header'>Title</h1><p class='social'>one<p class='related'>two<p class=ad>buy<div class=share>s</div></main>", "Title\none\ntwo"),
         ("a<p>&#x41;&nbsp;&eacute;&#128512;", "a\nA é😀"),
     ],
 )
@@ -86,7 +92,20 @@ def test_copies_and_shared_passages_are_no_templates(spark):
     assert [got[i] for i in range(3)] == ["Title\nThe whole story\na point"] * 3
     assert [got[i] for i in (10, 11, 12)] == ["Own\nText"] * 3
     assert [got[i] for i in (100, 102)] == ["Nearly the same story on each\nseen 0", "Nearly the same story on each\nseen 2"]
-    assert got[200] == "Only 0 here\nQuote"
+    assert got[200] == "Only 0 here\nMenu of us\nQuote"  # three pages are not many
+
+
+def test_a_block_on_few_of_many_pages_is_no_template(spark):
+    rows = site("big.example", 200, "<div><p>page # only</p></div>")
+    for i in (5, 50, 150):
+        rows[i] = (i, rows[i][1], f"<div><p>A paragraph on three pages</p></div><p>own {i}</p>")
+    menu = "<div><a>Home</a><a>News</a></div>"
+    rows += [(1000 + i, u, menu + h) for i, u, h in site("menu.example", 12, "<p>story #</p>")]
+    rows += [(2000 + i, u, menu + h) for i, u, h in site("small.example", 4, "<p>story #</p>")]
+    pages = spark.createDataFrame(rows, PAGE_SCHEMA).withColumnRenamed("html", "HTML").withColumnRenamed("page_id", "id")
+    got = {r.id: r.text for r in h.extract_main_text(pages).collect()}
+    assert [got[i] for i in (5, 150)] == ["A paragraph on three pages\nown 5", "A paragraph on three pages\nown 150"]
+    assert got[1003] == "story 3" and got[2003] == "HomeNews\nstory 3"
 
 
 @pytest.mark.parametrize(
