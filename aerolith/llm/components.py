@@ -11,9 +11,10 @@ from aerolith.session import materialize
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """One star step. ``large``: every node links its larger neighbours to its
     smallest one; else its smaller neighbours, and itself. The smallest
-    neighbour is a pre-aggregated minimum, so a hub is never gathered; AQE
-    splits its rows in the join."""
+    neighbours are pre-aggregated minima, written before they are joined, so the
+    join has a shuffle on either side that AQE can split for a hub."""
     lowest = pairs.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
+    lowest = materialize(lowest, "lowest")
     spread = pairs.join(lowest, "u")
     if large:
         return spread.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("low").alias("v"))

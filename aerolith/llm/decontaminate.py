@@ -21,11 +21,14 @@ nothing is copied per word. Verified windows become intervals of word
 positions; their union per document is counted with a running maximum over a
 sort (spillable, no arrays of hits).
 
-The windows are broadcast behind a measured bound on the benchmark's text
-(``broadcast_text_bytes``). A larger benchmark is cut into blocks of about that
-size and the documents are scanned once per block: a stated query set against
-all rows, in blocks, whose memory is bounded and whose document words are never
-shuffled.
+Items of equal text are one *text*; its windows are cut once and the item ids
+are joined back to the hits. The windows are written, their size is measured,
+and they are broadcast in blocks of at most about ``broadcast_bytes``, dealt by a
+hash of the window, so neither a huge item nor many copies of one make a block
+larger. The documents are scanned once to count words and once per block: a
+stated query set against all rows, whose memory is bounded and whose document
+words are never shuffled. The benchmark's vocabulary is broadcast up to the same
+bound; a larger one is joined to the counts of all words.
 
 Documents are identified by ``(doc_id, hash of the text)``, so null ids and
 repeated rows need no special care: equal rows have equal results and each
@@ -45,9 +48,8 @@ from aerolith.session import materialize
 
 WINDOW_WORDS = 13
 MIN_HIT_SHARE = 0.05
-# The windows repeat each word up to window_words times: at 4 MB of item text
-# the broadcast stays near 100 MB.
-BROADCAST_TEXT_BYTES = 4 << 20
+# Of windows, as Spark holds their rows: some 4 MB of item text.
+BROADCAST_BYTES = 64 << 20
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 
@@ -74,83 +76,106 @@ def _doc_words(docs: DataFrame) -> DataFrame:
     return split.select("doc_id", "text_hash", "doc_words", F.posexplode_outer("doc_words").alias("at", "word"))
 
 
-def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """How often each word of ``vocabulary`` (one block, broadcast) occurs in
-    all documents."""
-    met = _doc_words(docs).select("word").join(F.broadcast(vocabulary), "word")
-    return met.groupBy("word").agg(F.count("*").alias("n_docs_words"))
+def _held_bytes(strings: Column) -> Column:
+    """What an array of strings takes in a row: words of 8 bytes, and 16 each
+    for the row and for every string's place and offset."""
+    return F.aggregate(strings, F.lit(64).cast("long"), lambda n, w: n + 16 + F.octet_length(w))
 
 
-def item_windows(items: DataFrame, counts: DataFrame, window_words: int) -> DataFrame:
-    """Windows of all items: ``item_id, window (array), size, prefix (its
-    rarest word), before (words of the window before the prefix word)``.
+def word_counts(docs: DataFrame, vocabulary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """How often each word of ``vocabulary`` (a written table) occurs in all
+    documents."""
+    size = vocabulary.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0)).alias("n")).first()["n"]
+    if size <= broadcast_bytes:
+        met = _doc_words(docs).select("word").join(F.broadcast(vocabulary), "word")
+        return met.groupBy("word").agg(F.count("*").alias("n_docs_words"))
+    counted = _doc_words(docs).groupBy("word").agg(F.count("*").alias("n_docs_words"))
+    return vocabulary.join(counted, "word")
+
+
+def distinct_texts(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``text_no, item_words`` of every different text that has words, and
+    ``text_no, item_id`` (ids as strings, distinct)."""
+    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").where(F.col("text").isNotNull())
+    numbered = rows.select("text").distinct().withColumn("text_no", F.monotonically_increasing_id())
+    texts = materialize(numbered, "item-texts")  # numbers hold once they are written
+    ids = rows.join(texts, "text").select("text_no", "item_id").distinct()
+    listed = texts.select("text_no", words(F.col("text")).alias("item_words")).where(F.size("item_words") > 0)
+    return listed, ids
+
+
+def item_windows(texts: DataFrame, docs: DataFrame, window_words: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Windows of all texts, written: ``text_no, window (array), size, prefix
+    (its rarest word), before (words of the window before the prefix word)``.
     Words that no document has are the rarest; their windows can't occur."""
-    listed = items.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), words(F.col("text")).alias("item_words")
-    ).where(F.size("item_words") > 0)
+    vocabulary = materialize(texts.select(F.explode("item_words").alias("word")).distinct(), "item-vocabulary")
+    counts = materialize(word_counts(docs, vocabulary, broadcast_bytes), "item-word-counts")
     starts = F.sequence(F.lit(0), F.greatest(F.size("item_words") - window_words, F.lit(0)))
-    windows = listed.select("item_id", "item_words", F.explode(starts).alias("start")).select(
-        "item_id", F.slice("item_words", F.col("start") + 1, window_words).alias("window")
+    windows = texts.select("text_no", "item_words", F.explode(starts).alias("start")).select(
+        "text_no", F.slice("item_words", F.col("start") + 1, window_words).alias("window")
     )
-    placed = windows.distinct().select("item_id", "window", F.posexplode("window").alias("before", "word"))
-    ranked = placed.join(counts, "word", "left").groupBy("item_id", "window")
+    placed = windows.distinct().select("text_no", "window", F.posexplode("window").alias("before", "word"))
+    ranked = placed.join(counts, "word", "left").groupBy("text_no", "window")
     rarest = F.min(F.struct(F.coalesce("n_docs_words", F.lit(0)).alias("n"), "word", "before"))
-    return ranked.agg(rarest.alias("rarest")).select(
-        "item_id",
+    table = ranked.agg(rarest.alias("rarest")).select(
+        "text_no",
         "window",
         F.size("window").alias("size"),
         F.col("rarest.word").alias("prefix"),
         F.col("rarest.before").alias("before"),
     )
+    return materialize(table, "item-windows")
+
+
+def window_blocks(windows: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
+    """The windows in blocks of at most about ``broadcast_bytes``, by a hash of
+    the row: one block, the table itself, while it is that small."""
+    size = windows.agg(F.coalesce(F.sum(_held_bytes(F.col("window"))), F.lit(0)).alias("n")).first()["n"]
+    n = max(1, -(-size // broadcast_bytes))
+    block = F.pmod(F.xxhash64("text_no", "window"), F.lit(n))
+    return [windows] if n == 1 else [windows.where(block == i) for i in range(n)]
 
 
 def _occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """Verified windows: ``doc_id, text_hash, item_id, first, last`` (word
+    """Verified windows: ``doc_id, text_hash, text_no, first, last`` (word
     positions, both inclusive)."""
     first = F.col("at") - F.col("before")
     room = (first >= 0) & (first + F.col("size") <= F.size("doc_words"))
     same = F.slice("doc_words", F.greatest(first, F.lit(0)) + 1, F.col("size")) == F.col("window")
     met = _doc_words(docs).join(F.broadcast(windows), (F.col("word") == F.col("prefix")) & room & same)
-    return met.select("doc_id", "text_hash", "item_id", first.alias("first"), (first + F.col("size") - 1).alias("last"))
-
-
-def _item_blocks(items: DataFrame, text_bytes: int) -> list[DataFrame]:
-    """The items in blocks of about ``text_bytes`` of text, by a hash of the
-    text: one block, the items themselves, while the benchmark is that small."""
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    n = 1 if size <= text_bytes else 2 * -(-size // text_bytes)
-    block = F.pmod(F.xxhash64("text"), F.lit(n))
-    return [items] if n == 1 else [items.where(block == i) for i in range(n)]
+    return met.select("doc_id", "text_hash", "text_no", first.alias("first"), (first + F.col("size") - 1).alias("last"))
 
 
 def find_hits(
     docs: DataFrame,
     items: DataFrame,
     window_words: int = WINDOW_WORDS,
-    broadcast_text_bytes: int = BROADCAST_TEXT_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Verified hits per document that has any: ``doc_id, text_hash, n_hit``
     (words inside any hit) and ``item_ids`` (sorted array of strings)."""
-    blocks = _item_blocks(items, broadcast_text_bytes)
+    texts, ids = distinct_texts(items)
     found = None
-    for block in blocks:
-        vocabulary = block.select(F.explode(words(F.col("text"))).alias("word")).distinct()
-        part = _occurrences(docs, item_windows(block, word_counts(docs, vocabulary), window_words))
+    for block in window_blocks(item_windows(texts, docs, window_words, broadcast_bytes), broadcast_bytes):
+        part = _occurrences(docs, block)
         found = part if found is None else found.unionByName(part)
     doc = ["doc_id", "text_hash"]
-    # Windows that start together (copies of an item) collapse before the shuffle.
-    starts = found.groupBy(*doc, "first").agg(F.max("last").alias("last"), F.collect_set("item_id").alias("items"))
+    # Windows that start together collapse before the shuffle.
+    starts = found.groupBy(*doc, "first").agg(F.max("last").alias("last"), F.collect_set("text_no").alias("texts"))
     in_order = Window.partitionBy(*doc).orderBy("first")
     covered = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.greatest(F.col("last") - F.greatest(F.coalesce(covered, F.lit(-1)), F.col("first") - 1), F.lit(0))
-    return (
-        starts.withColumn("fresh", fresh)
-        .groupBy(*doc)
-        .agg(
-            F.sum("fresh").cast("long").alias("n_hit"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),
-        )
+    per_doc = starts.withColumn("fresh", fresh).groupBy(*doc).agg(
+        F.sum("fresh").cast("long").alias("n_hit"), F.array_distinct(F.flatten(F.collect_set("texts"))).alias("texts")
+    )
+    # Written: it is read twice, and the joins are planned by its real size.
+    per_doc = materialize(per_doc, "hits")
+    listed = per_doc.select(*doc, F.explode("texts").alias("text_no")).join(ids, "text_no")
+    listed = listed.groupBy(*doc).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    named = per_doc.drop("texts").alias("p").join(
+        listed.alias("l"), F.col("p.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("p.text_hash") == F.col("l.text_hash"))
     )
+    return named.select("p.doc_id", "p.text_hash", "n_hit", "item_ids")
 
 
 def mark_contaminated(

@@ -345,8 +345,10 @@ def near_duplicate_components(
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first_doc", F.coalesce("root", "fp").alias("root")
     )
-    lowest = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
+    # Written before they are joined, so that AQE can split a root of many
+    # fingerprints and a fingerprint of many documents.
+    lowest = materialize(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "lowest-ids")
+    named = materialize(rooted.join(lowest, "root").select("fp", "component_id"), "named-fingerprints")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 

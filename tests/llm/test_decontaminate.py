@@ -55,12 +55,35 @@ def test_report_equals_brute_force(spark, docs_of, table, monkeypatch):
     wanted = brute_force([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
     assert rows_of(dc.decontamination_report(docs, items)) == wanted
     # A benchmark beyond the broadcast bound is taken in blocks, with the same result.
-    blocks = dc._item_blocks(items, 6000)
-    assert len(blocks) > 1 and sum(b.count() for b in blocks) == items.count()
-    monkeypatch.setattr(dc.find_hits, "__defaults__", (13, 6000))
+    monkeypatch.setattr(dc.find_hits, "__defaults__", (13, 200_000))
     assert rows_of(dc.decontamination_report(docs, items)) == wanted
 
 
+def test_blocks_hold_their_bound(spark, docs_of):
+    """A third of the items are copies of one text, and one item is huge."""
+    copies = [(i, "the same passage of " + " ".join(f"c{k}" for k in range(60))) for i in range(400)]
+    huge = [(1000, " ".join(f"h{k}" for k in range(30_000)))]
+    rest = [(2000 + i, " ".join(f"r{i}x{k}" for k in range(20))) for i in range(800)]
+    items = spark.createDataFrame(copies + huge + rest, "item_id long, text string")
+    docs = docs_of([(1, copies[0][1]), (2, " ".join(f"h{k}" for k in range(500, 900))), (3, rest[7][1] + " and more"), (4, "clean")])
+    texts, ids = dc.distinct_texts(items)
+    assert (texts.count(), ids.count()) == (802, 1201)
+    windows = dc.item_windows(texts, docs, 13, 1 << 20)
+    blocks = dc.window_blocks(windows, 1 << 20)
+    sizes = [b.agg(dc.F.sum(dc._held_bytes(dc.F.col("window")))).first()[0] for b in blocks]
+    assert len(blocks) > 5 and max(sizes) <= 1.2 * (1 << 20) and sum(b.count() for b in blocks) == windows.count()
+    wanted = brute_force([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
+    assert rows_of(dc.decontamination_report(docs, items)) == wanted
+    assert [r[3] for r in wanted] == [400, 1, 1, 0]
+
+
+def test_vocabulary_beyond_the_bound(spark, docs_of, table):
+    texts, _ = dc.distinct_texts(table("benchmark"))
+    vocabulary = texts.select(dc.F.explode("item_words").alias("word")).distinct()
+    counts = [sorted(map(tuple, dc.word_counts(table("documents"), vocabulary, bound).collect())) for bound in (1 << 30, 10)]
+    assert counts[0] == counts[1] and counts[0]
+
+
 def test_removal_keeps_columns_and_clean_rows(docs_of, spark):
     items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(20)))], "item_id long, text string")
     dirty = "x " + " ".join(f"w{i}" for i in range(15))

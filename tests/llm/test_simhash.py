@@ -131,3 +131,21 @@ def test_one_of_each_group_stays(docs_of):
     left = sh.keep_one_of_each(docs.withColumn("fp", sh.F.lit("mine")))
     assert sorted(r.doc_id for r in left.collect()) == [1, 1, 3] and "fp" in left.columns
     assert sh.simhash_report(docs_of([])).count() == 0
+
+
+def test_star_steps_shuffle_both_sides_of_their_join(spark):
+    """Only then can AQE split the rows of a hub."""
+    from aerolith.llm.components import _star, component_roots
+
+    pairs = spark.range(1, 3000).selectExpr("0L AS u", "id AS v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        step = _star(pairs.unionByName(pairs.selectExpr("v AS u", "u AS v")), large=True)
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        join = plan.index("SortMergeJoin")
+        assert plan[join:].count("Exchange hashpartitioning") == 2 and "HashAggregate" not in plan[join:]
+        assert sorted(map(tuple, step.collect())) == [(v, 0) for v in range(1, 3000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert component_roots(pairs).where("root <> 0").count() == 0
