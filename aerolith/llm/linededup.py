@@ -15,13 +15,15 @@ the largest ``doc_id`` that holds it.
    are counted in two steps (key and document, then key), so one key in a third
    of all rows is summed before it meets, and the largest ``doc_id`` is kept.
 
-``filter_bits`` bounds what is broadcast (one filter). Beyond its capacity more
-lines become suspects; the result never changes. Raise it with the corpus:
-about 16 bits a distinct line keep false suspects under 2 %.
+The filter is sized by a sketch of the number of distinct lines, some 16 bits
+each, which keeps false suspects under 2 %. It is broadcast, so it never exceeds
+``MOST_FILTER_BITS``; beyond that capacity more lines become suspects and are
+shuffled, and the result never changes.
 
 Null text counts as one empty line and stays null. Rows that share a ``doc_id``
 are one document. Rows without ``doc_id`` count for no key and lose every
-repeated line. Other columns are passed through.
+repeated line; each is taken by its own text, so they never meet. Other columns
+are passed through.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +43,8 @@ from aerolith.session import materialize
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-FILTER_BITS = 1 << 27
+BITS_A_LINE = 16
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 1 << 20, 1 << 29
 SEGMENT_BITS = 1 << 16
 WHITE = " \t\n\x0b\x0c\r"
 FIRST_BIT = np.array([128, 64, 32, 16, 8, 4, 2, 1], np.uint8)
@@ -111,7 +114,15 @@ def _merge_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_pydict({"segment": [segment], "twice": [zlib.compress(twice.tobytes(), 1)]})
 
 
-def repeat_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS) -> bytes:
+def filter_size(docs: DataFrame, min_chars: int = MIN_CHARS) -> int:
+    """Bits of a filter for the lines of ``docs``: a power of two, by a sketch
+    of how many different lines are long enough to count."""
+    lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line")).where(F.char_length("line") >= min_chars)
+    n = lines.agg(F.approx_count_distinct("line").alias("n")).first()["n"]
+    return min(max(1 << (n * BITS_A_LINE).bit_length(), LEAST_FILTER_BITS), MOST_FILTER_BITS)
+
+
+def repeat_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = LEAST_FILTER_BITS) -> bytes:
     """Bits of the merged *twice* filter over all of ``docs``: at most
     ``bits / 8`` bytes."""
     if bits % SEGMENT_BITS:
@@ -132,23 +143,30 @@ def _batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def suspected_keys(docs: DataFrame, twice: bytes, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS) -> DataFrame:
-    """``doc_id, key``: each document's distinct keys that may be repeated."""
+def _nameless() -> Column:
+    """What stands for a missing id: a hash of the row's text. Rows of equal
+    hashes lose the same keys, each of which any row without id would lose."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text").cast("string")))
+
+
+def suspected_keys(docs: DataFrame, twice: bytes, min_chars: int = MIN_CHARS, bits: int = LEAST_FILTER_BITS) -> DataFrame:
+    """``doc_id, nameless, key``: each document's distinct keys that may be
+    repeated."""
     shared = docs.sparkSession.sparkContext.broadcast(zlib.compress(twice, 1))
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("nameless", pa.int64()), ("key", pa.string())])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = BitFilter(bits, zlib.decompress(shared.value))
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, nameless, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 keys = list(keys_of(text.as_py(), min_chars))
                 if keys:
-                    rows.extend((doc_id, keys[i]) for i in np.flatnonzero(held.holds(bit_places(keys, bits))))
+                    rows.extend((doc_id, nameless, keys[i]) for i in np.flatnonzero(held.holds(bit_places(keys, bits))))
             yield _batch_of(rows, schema)
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(probe, "doc_id long, key string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _nameless().alias("nameless"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(probe, "doc_id long, nameless long, key string")
 
 
 def repeated_keys(suspects: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -167,25 +185,28 @@ def drop_lines(text: str | None, keys: set[str]) -> tuple[str | None, int, int]:
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, filter_bits: int = FILTER_BITS
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, filter_bits: int | None = None
 ) -> DataFrame:
     """``docs`` with the repeated lines gone from ``text`` and the columns
     ``n_lines`` (before) and ``n_dropped`` added (columns of these names are
-    replaced)."""
+    replaced). ``filter_bits`` overrides the filter's size."""
+    filter_bits = filter_bits or filter_size(docs, min_chars)
     twice = repeat_filter(docs, min_chars, filter_bits)
     suspects = materialize(suspected_keys(docs, twice, min_chars, filter_bits), "suspected-lines")
     # Written, so that it is broadcast by its real size or else shuffled by itself,
     # which lets Spark split the suspects of a hot key.
     repeated = materialize(repeated_keys(suspects, min_docs), "repeated-lines")
     lost = suspects.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    per_doc = lost.groupBy(F.col("doc_id").alias("__lost_doc")).agg(F.collect_set("key").alias("__lost_keys"))
+    owner = [F.col("doc_id").alias("__lost_doc"), F.col("nameless").alias("__lost_nameless")]
+    per_doc = lost.groupBy(*owner).agg(F.collect_set("key").alias("__lost_keys"))
     # Written first, so that the join with the texts is planned by its real size.
     per_doc = materialize(per_doc, "lost-lines")
     docs = docs.drop("n_lines", "n_dropped")
-    joined = docs.join(per_doc, F.col("doc_id").cast("long").eqNullSafe(F.col("__lost_doc")), "left").drop("__lost_doc")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__lost_doc")) & _nameless().eqNullSafe(F.col("__lost_nameless"))
+    joined = docs.join(per_doc, same, "left").drop("__lost_doc", "__lost_nameless")
 
     names = [*docs.columns, "n_lines", "n_dropped"]
-    at = names.index("text")
+    at = [n.lower() for n in names].index("text")
     added = [("n_lines", T.LongType()), ("n_dropped", T.LongType())]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(name, kind) for name, kind in added)])
 

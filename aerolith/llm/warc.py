@@ -14,6 +14,12 @@ arrive, the header block ends at the first empty line, the content is framed by
 ``WARC-Payload-Digest``. One record is in memory at a time. A broken frame or a
 wrong digest raises, naming the archive.
 
+Archives of others are read too: records of other types (``warcinfo``,
+``request``, ``metadata``) are framed and passed over, a payload without a digest
+or with one of an unknown kind is given as not verified, and its length is then
+counted. A revisit without a stated length has none. Content is taken as sent:
+transfer and content encodings are not undone.
+
 Null html is an empty payload and null urls are left out of the record. Null
 ids are never referred to; such a page revisits an equal one that has an id.
 Pages that share the largest id are all responses. Other columns are ignored.
@@ -47,8 +53,11 @@ HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 CRLF = b"\r\n"
 MANIFEST_SCHEMA = "path string, n_records long, n_bytes long"
 RECORD_SCHEMA = (
-    "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+    "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary,"
+    " record_id string, verified boolean"
 )
+# Records that stand for a page's content.
+KINDS = ("response", "revisit", "resource")
 
 
 def open_folder(location: str) -> tuple[fs.FileSystem, str]:
@@ -66,8 +75,9 @@ def _record_id(page_id: int | None) -> str:
 
 
 def _page_of(record_id: str | None) -> int | None:
-    name = (record_id or "<urn:page:none>")[len("<urn:page:") : -1]
-    return None if name == "none" else int(name)
+    """The page of a record id that ``_record_id`` made; others have none."""
+    found = re.fullmatch(r"<urn:page:(-?\d+)>", record_id or "")
+    return int(found[1]) if found else None
 
 
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str = DATE) -> bytes:
@@ -97,9 +107,11 @@ class Record:
     url: str | None
     record_type: str
     refers_to: int | None
-    payload_bytes: int
-    payload_digest: str
+    payload_bytes: int | None
+    payload_digest: str | None
     payload: bytes | None
+    record_id: str | None = None
+    verified: bool = False
 
 
 class _Member:
@@ -145,37 +157,66 @@ class _Member:
         return self.inflate.unused_data
 
 
-def read_records(stream) -> Iterator[Record]:
-    """Records of an archive, one after another."""
+def _fields(head: str) -> dict[str, str]:
+    """Header fields by lower-case name; a line that begins with white space
+    goes on with the one before."""
+    lines = re.sub(r"\r\n[ \t]+", " ", head).split("\r\n")
+    if not lines[0].startswith("WARC/"):
+        raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
+    return {name.strip().lower(): value.strip(" \t") for name, _, value in (line.partition(":") for line in lines[1:] if line)}
+
+
+def read_records(stream, kinds: tuple[str, ...] = KINDS) -> Iterator[Record]:
+    """Records of an archive, one after another; those of other kinds are
+    framed and passed over."""
     pending = stream.read(READ_BYTES)
     while pending:
         member = _Member(stream, pending)
-        lines = member.until(CRLF + CRLF).decode("utf-8", "surrogatepass").split("\r\n")
-        if not lines[0].startswith("WARC/1."):
-            raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
-        fields = {name.lower(): value for name, value in (line.split(": ", 1) for line in lines[1:] if line)}
+        fields = _fields(member.until(CRLF + CRLF).decode("utf-8", "surrogatepass").removesuffix("\r\n\r\n"))
         block = member.exactly(int(fields["content-length"]))
         if member.exactly(4) != CRLF + CRLF:
             raise ValueError("a record does not end where its Content-Length says")
         pending = member.close() or stream.read(READ_BYTES)
-        yield _record(fields, block)
+        if fields.get("warc-type") in kinds:
+            yield _record(fields, block)
+
+
+def _stated_digest(text: str | None) -> tuple[str, str] | None:
+    """``(algorithm, hex)`` of a digest field in base 32 or 16; None if there is
+    none or its algorithm is unknown."""
+    kind, _, value = (text or "").partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in ("sha1", "md5", "sha256", "sha512"):
+        return None
+    size = hashlib.new(kind).digest_size
+    if len(value) == 2 * size and re.fullmatch("[0-9A-Fa-f]+", value):
+        return kind, value.lower()
+    return kind, base64.b32decode(value.upper() + "=" * (-len(value) % 8)).hex()
 
 
 def _record(fields: dict[str, str], block: bytes) -> Record:
-    digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-    size, revisit = int(fields["x-payload-length"]), fields["warc-type"] == "revisit"
-    payload = None if revisit else block[block.index(CRLF + CRLF) + 4 :]
-    if payload is not None and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
-        raise ValueError(f"payload of {fields['warc-record-id']} does not match its digest")
+    kind, stated = fields["warc-type"], _stated_digest(fields.get("warc-payload-digest"))
+    size = int(fields["x-payload-length"]) if "x-payload-length" in fields else None
+    payload = None
+    if kind != "revisit":
+        http = kind == "response" and not fields.get("content-type", "application/http").startswith("text/")
+        payload = block[block.find(CRLF + CRLF) + 4 :] if http and CRLF + CRLF in block else block
+        wrong = stated and hashlib.new(stated[0], payload).hexdigest() != stated[1]
+        if wrong or size not in (None, len(payload)):
+            raise ValueError(f"payload of {fields.get('warc-record-id')} does not match its digest")
+        size = len(payload)
+    digest = stated[1] if stated else hashlib.sha1(payload).hexdigest() if payload is not None else None
     url = fields.get("warc-target-uri")
     return Record(
-        _page_of(fields["warc-record-id"]),
+        _page_of(fields.get("warc-record-id")),
         None if url is None else re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), url),
-        fields["warc-type"],
+        kind,
         _page_of(fields.get("warc-refers-to")),
         size,
         digest,
         payload,
+        fields.get("warc-record-id"),
+        bool(stated) and payload is not None,
     )
 
 
@@ -238,6 +279,7 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = True) -
     schema = pa.schema(
         [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
         + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
+        + [("record_id", pa.string()), ("verified", pa.bool_())]
     )
 
     def batch_of(rows: list[Record]) -> pa.RecordBatch:

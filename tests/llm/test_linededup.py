@@ -77,3 +77,24 @@ def test_columns_and_null_text_survive(docs_of):
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "n_lines", "n_dropped"]
     assert {(r.doc_id, r.text, r.n_lines) for r in out.collect()} == {(1, None, 1), (2, "a", 1)}
     assert ld.line_dedup_report(docs_of([])).count() == 0
+
+
+def test_the_filter_grows_with_the_lines(docs_of):
+    few = docs_of([(i, "the very same line of text\nx") for i in range(50)])
+    many = docs_of([(i, "\n".join(f"line {k} of document {i} only" for k in range(200))) for i in range(1000)])
+    assert ld.filter_size(few) == ld.LEAST_FILTER_BITS and ld.filter_size(docs_of([])) == ld.LEAST_FILTER_BITS
+    assert 16 * 180_000 <= ld.filter_size(many) <= 64 * 220_000
+
+
+def test_rows_without_id_do_not_meet(docs_of):
+    shared = [f"line {k} that three documents share" for k in range(40)]
+    rows = [(i, "\n".join(shared)) for i in (1, 2, 3)]
+    rows += [(None, f"{shared[k]}\nnameless row {k} of its own") for k in range(40)] + [(None, f"{shared[0]}\nagain")] * 3
+    docs = docs_of(rows).withColumnRenamed("text", "Text")
+    suspects = ld.suspected_keys(docs, ld.repeat_filter(docs))
+    nameless = suspects.where("doc_id IS NULL").groupBy("nameless").count().collect()
+    assert len(nameless) == 41 and max(r["count"] for r in nameless) <= 6
+    out = ld.dedup_lines(docs)
+    assert out.columns == [*docs.columns, "n_lines", "n_dropped"]
+    wanted = sorted((str(i), n, d) for i, n, d, _ in brute_force(rows))
+    assert sorted((str(r.doc_id), r.n_lines, r.n_dropped) for r in out.collect()) == wanted

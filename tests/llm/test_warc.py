@@ -99,3 +99,43 @@ def test_records_of_any_size_read_in_any_steps():
 def test_broken_archives_raise(broken):
     with pytest.raises((ValueError, zlib.error)):
         list(w.read_records(io.BytesIO(broken)))
+
+
+def foreign(kind, block, **fields):
+    lines = [f"WARC-Type: {kind}", "WARC-Record-ID:<urn:uuid:1234>", f"Content-Length:  {len(block)}"]
+    lines += [f"{name.replace('_', '-')}: {value}" for name, value in fields.items()]
+    return gzip.compress(("WARC/1.0\r\n" + "\r\n".join(lines) + "\r\n\r\n").encode() + block + b"\r\n\r\n")
+
+
+def test_archives_of_others(spark, scratch):
+    body = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nthe page"
+    sha256 = hashlib.sha256(b"the page").hexdigest()
+    records = [
+        foreign("warcinfo", b"software: other\r\n", Content_Type="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n"),
+        foreign("response", body, WARC_Target_URI="http://a/\r\n b"),
+        foreign("response", body, WARC_Payload_Digest=f"sha-256:{sha256}"),
+        foreign("response", body, WARC_Payload_Digest="crc32:00000000"),
+        foreign("response", b"no header at all"),
+        foreign("revisit", b"HTTP/1.1 304\r\n\r\n", WARC_Payload_Digest="sha1:" + "A" * 32),
+        foreign("metadata", b"via: http://b/"),
+        foreign("resource", b"just this", Content_Type="text/plain"),
+        w.record_bytes(7, "u", b"own", hashlib.sha1(b"own").hexdigest(), None),
+    ]
+    (path := os.path.join(scratch, "others.warc.gz")) and open(path, "wb").write(b"".join(records))
+    rows = w.read_archives(spark.createDataFrame([(path,)], "path string"), scratch).collect()
+    got = [(r.page_id, r.record_type, r.payload_bytes, r.payload and bytes(r.payload), r.verified) for r in rows]
+    assert got == [
+        (None, "response", 8, b"the page", False),
+        (None, "response", 8, b"the page", True),
+        (None, "response", 8, b"the page", False),
+        (None, "response", 16, b"no header at all", False),
+        (None, "revisit", None, None, False),
+        (None, "resource", 9, b"just this", False),
+        (7, "response", 3, b"own", True),
+    ]
+    assert rows[0].url == "http://a/ b" and rows[1].payload_digest == sha256 and rows[0].payload_digest == hashlib.sha1(b"the page").hexdigest()
+    assert rows[0].record_id == "<urn:uuid:1234>" and rows[4].payload_digest == "0" * 40
+    broken = foreign("response", body, WARC_Payload_Digest="md5:" + "0" * 32)
+    with pytest.raises(ValueError, match="digest"):
+        list(w.read_records(io.BytesIO(broken)))
