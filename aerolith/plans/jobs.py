@@ -27,7 +27,8 @@ from aerolith.operators.routing import VERDICT, route
 from aerolith.operators.silver import clean_source
 from aerolith.session import build_session, ensure_utc
 from aerolith.sources import landed, synthetic
-from aerolith.sources.raw import path_exists, read_json_array_file, read_json_lines, require_path
+from aerolith.sources.jsonarray import read_json_array
+from aerolith.sources.raw import path_exists, read_json_lines, require_path
 from aerolith.sources.versioned import inventory, is_versioned, open_table, publish
 
 GOLD_TABLES = (
@@ -178,7 +179,7 @@ def landed_records(spark: SparkSession, landing_dir: str, fmt: str = "jsonl") ->
     (``fmt="array"``, messages cite the record index)."""
     if fmt not in ("jsonl", "array"):
         raise ValueError(f"fmt must be 'jsonl' or 'array', got {fmt!r}")
-    reader = read_json_lines if fmt == "jsonl" else read_json_array_file
+    reader = read_json_lines if fmt == "jsonl" else read_json_array
     return {source: reader(spark, _join(landing_dir, source)) for source in contracts.SOURCES}
 
 
@@ -232,7 +233,7 @@ def raw_source_path(spark: SparkSession, raw_dir: str, source: str) -> tuple[str
 def bronze_frame(spark: SparkSession, raw_dir: str, source: str) -> DataFrame:
     """S1 + S3: contract-typed records with load time and source file."""
     path, is_array = raw_source_path(spark, raw_dir, source)
-    raw = read_json_array_file(spark, path) if is_array else read_json_lines(spark, path)
+    raw = read_json_array(spark, path) if is_array else read_json_lines(spark, path)
     typed = V.typed_records(source, V.parse_records(raw), keep=("_source_file",))
     return typed.select(*contracts.field_names(source), F.current_timestamp().alias("_bronze_loaded_at_utc"), "_source_file")
 

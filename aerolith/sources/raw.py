@@ -1,9 +1,8 @@
 """Raw record sources and sinks.
 
 Raw records are landed as JSON Lines, which Spark splits across tasks. A
-file holding one top-level JSON array (the reference's landing format) is
-read too, but such a file cannot be split: it is parsed by one task, so it
-is meant for small inputs only.
+file holding one top-level JSON array is read too: here by one task, which
+suits small files; ``sources.jsonarray`` cuts large ones into splits.
 """
 
 from __future__ import annotations
