@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from aerolith.session import materialize
+
 # Sparse non-negative counts: (places, counts).
 Sparse = tuple[np.ndarray, np.ndarray]
 
@@ -31,7 +33,9 @@ def _up_to_cutoff(rows: DataFrame, most: int, level: int) -> DataFrame:
     counts = ranged.groupBy("label", "range").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     needed = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < most)
-    last = needed.groupBy("label").agg(F.max("range").alias("last"))
+    # Written, so that few labels are broadcast by their file size: the rows of a
+    # label then stay where they are.
+    last = materialize(needed.groupBy("label").agg(F.max("range").alias("last")), "label-ranges")
     return ranged.join(last, "label").where(F.col("range") <= F.col("last")).select("doc_id", "label", "hash")
 
 
@@ -46,7 +50,7 @@ def sample_per_label(labelled: DataFrame, label: str, per_label: int) -> DataFra
     rows = labelled.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     rows = rows.withColumn("hash", F.xxhash64("doc_id"))
     for level in range(1, LEVELS + 1):
-        rows = _up_to_cutoff(rows, per_label, level)
+        rows = materialize(_up_to_cutoff(rows, per_label, level), "sampled-ids")
     order = Window.partitionBy("label").orderBy("hash", "doc_id")
     return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label")
 
