@@ -51,18 +51,23 @@ MIN_HIT_SHARE = 0.05
 # Of windows, as Spark holds their rows: some 4 MB of item text.
 BROADCAST_BYTES = 64 << 20
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
+NOT_CASED_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
+
+
+def _between(text: Column, separators: str) -> Column:
+    """What lies between the separators. A split, since extracting every match
+    of a pattern copies the text once a match."""
+    return F.array_remove(F.split(text, separators), "")
 
 
 def words(text: Column) -> Column:
     """Words of a text, A-Z lower-cased; null has none."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return _between(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD)
 
 
 def count_words(text: Column) -> Column:
     # Case does not change where words begin and end, once A-Z count as word characters.
-    cased = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
-    return F.coalesce(F.regexp_count(text, F.lit(cased)), F.lit(0)).cast("long")
+    return F.size(_between(F.coalesce(text, F.lit("")), NOT_CASED_WORD)).cast("long")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
