@@ -24,6 +24,7 @@ from aerolith.session import ensure_utc, stage_path
 from aerolith.sources import landed, versioned
 from aerolith.sources import testmap as tm
 from aerolith.sources.catalog import load_gold_tables
+from aerolith.sources.raw import write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -229,7 +230,7 @@ def _built(spark: SparkSession, sf: str) -> dict[str, str]:
     base = stage_path(spark, "build")
     at = {layer: f"{base}/{layer}" for layer in ("landing", "raw", *BUILT_LAYERS)}
     for source, records in tm.landed_once(spark, sf).items():
-        records.select("value").write.text(f"{at['landing']}/{source}")
+        write_lines(records.select("value"), f"{at['landing']}/{source}")
     jobs.ingest(at["raw"], records=jobs.landed_records(spark, at["landing"]), spark=spark, mode="record")
     jobs.build_bronze(at["raw"], at["bronze"], spark=spark, versioned=True)
     jobs.build_silver(at["bronze"], at["silver"], spark=spark, partition_by_date=True, versioned=True)

@@ -1,6 +1,7 @@
 """Raw record sources and sinks.
 
-Raw records are landed as JSON Lines, which Spark splits across tasks. A
+Raw records are landed as JSON Lines: plain files, which Spark splits across
+tasks, or gzip files of bounded length, as the jobs here write them. A
 file holding one top-level JSON array is read too: here by one task, which
 suits small files; ``sources.jsonarray`` cuts large ones into splits.
 """
@@ -15,6 +16,17 @@ from pyspark.sql import functions as F
 
 from aerolith.operators.validation import RECORD_REF
 
+# Records of a gzip file, which one task reads whole: some 100 MB of text.
+RECORDS_PER_FILE = 500_000
+
+
+def write_lines(df: DataFrame, path: str, fmt: str = "text") -> None:
+    """Overwrite ``path`` with ``df`` as lines of text or JSON (``fmt``). Raw
+    records repeat their keys and values, so gzip leaves a sixth to a twentieth
+    of them; a longer table makes more files, not longer ones."""
+    writer = df.write.mode("overwrite").format(fmt)
+    writer.option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).save(path)
+
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """One raw record per line: ``value`` (text) and ``_source_file``."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from aerolith import contracts
 from aerolith.plans import jobs
 from aerolith.plans.reports import REPORTS, run_report
-from aerolith.sources import catalog, landed, synthetic
+from aerolith.sources import catalog, landed, raw, synthetic
 from aerolith.sources.raw import read_json_array_file, records_frame
 
 CSV_HEADER = "iata_code,latitude_deg,name,longitude_deg,municipality,iso_country,scheduled_service"
@@ -175,6 +176,30 @@ def test_a_bad_record_empties_its_source_or_goes_to_quarantine(spark, scratch):
     assert flight.departure_delay_minutes == 31.5 and flight.is_delayed
 
 
+def test_records_are_written_small_and_in_files_of_bounded_length(spark, scratch, monkeypatch):
+    monkeypatch.setattr(raw, "RECORDS_PER_FILE", 300)
+    rows = [ROW["passenger_events"] | {"event_id": f"e{i}", "channel": "fax" if i % 4 == 0 else "sms"} for i in range(4000)]
+    lines = [json.dumps(r) for r in rows]
+    raw.write_lines(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(2), f"{scratch}/landing")
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    records = {"passenger_events": raw.read_json_lines(spark, f"{scratch}/landing")}
+    (summary,) = jobs.ingest(f"{scratch}/raw", records=records, spark=spark, mode="record")
+    assert (summary["accepted_records"], summary["rejected_records"], summary["error_count"]) == (3000, 1000, 1000)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
+    wanted = {"landing": 4000, "raw/passenger_events": 3000, "raw/_errors/passenger_events": 1000}
+    for folder, n in wanted.items():
+        files = [p for p in Path(scratch, folder).iterdir() if p.name.startswith("part-")]
+        held = [len(gzip.decompress(p.read_bytes()).splitlines()) for p in files]
+        assert sum(held) == n and max(held) <= 300 and len(held) >= n / 300
+    assert {r.value for r in spark.read.text(f"{scratch}/raw/passenger_events").collect()} == {x for x in lines if "fax" not in x}
+    assert spark.read.json(f"{scratch}/raw/_errors/passenger_events").where("rule = 'V3' AND field = 'channel'").count() == 1000
+    # Everything written together takes less room than the records' text.
+    assert sum(p.stat().st_size for p in Path(scratch).rglob("part-*")) < sum(map(len, lines))
+    for kept in ("_validated/passenger_events", "_quarantine/passenger_events"):
+        (file, *_) = Path(scratch, "raw", kept).rglob("part-*.parquet")
+        assert ".zstd." in file.name
+
+
 def test_landing_folder_of_array_files_and_bronze_of_them(spark, scratch):
     for source, record in ROW.items():
         write(scratch, f"landing/{source}/one.json", json.dumps([record, {}] if source == "weather" else [record]))
