@@ -78,45 +78,94 @@ def airports_with_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airports(spark, sf_dir).drop("timezone").join(keyed, "airport_code")
 
 
+def _scheduled_seconds() -> Column:
+    minutes = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 61) % F.lit(SCHEDULE_SPAN_MINUTES)
+    return F.lit(EPOCH_2024) + minutes * F.lit(60)
+
+
+def _actual_departure() -> Column:
+    actual_s = _scheduled_seconds() + (F.col("l_quantity").cast("bigint") - 20) * 60 + F.col("l_partkey") % 60
+    return F.when(F.col("l_tax") == F.lit(0.0), F.lit(None).cast("timestamp")).otherwise(F.timestamp_seconds(actual_s))
+
+
+def _status() -> Column:
+    return (
+        F.when(F.col("l_discount") >= F.lit(0.1), F.lit("CANCELLED"))
+        .when(F.col("l_tax") == F.lit(0.0), F.lit("scheduled"))
+        .when(F.col("l_quantity") > F.lit(35.0), F.lit("DELAYED"))
+        .otherwise(F.lit("departed"))
+    )
+
+
+def _flight_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The columns flights are made of: lineitem, orders, supplier, customer."""
+    return (
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"
+        ),
+        read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+        read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
+        read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
+    )
+
+
+def _bronze_shape(
+    joined: DataFrame, origin: Column, destination: Column, actual: Column, status: Column, extra: tuple[str, ...]
+) -> DataFrame:
+    return joined.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("flight_id"),
+        F.concat(F.lit("FL"), F.col("l_orderkey").cast("string")).alias("flight_number"),
+        origin.alias("origin_airport"),
+        destination.alias("destination_airport"),
+        F.timestamp_seconds(_scheduled_seconds()).alias("scheduled_departure_utc"),
+        actual.alias("actual_departure_utc"),
+        status.alias("status"),
+        *extra,
+    )
+
+
 def bronze_flights(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), spread_out: bool = False) -> DataFrame:
     """Flights in bronze shape; ``extra`` carries lineage columns along.
     ``spread_out`` deals a small lineitem over all cores, for costly expressions
     that follow."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"
-    )
+    li, orders, supplier, customer = _flight_sources(spark, sf_dir)
     if spread_out:
         li = spread(li)
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = (
         li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
     )
-    sched_s = F.lit(EPOCH_2024) + (
-        (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 61) % F.lit(SCHEDULE_SPAN_MINUTES)
-    ) * F.lit(60)
-    actual_s = sched_s + (F.col("l_quantity").cast("bigint") - 20) * 60 + F.col("l_partkey") % 60
-    status = (
-        F.when(F.col("l_discount") >= F.lit(0.1), F.lit("CANCELLED"))
-        .when(F.col("l_tax") == F.lit(0.0), F.lit("scheduled"))
-        .when(F.col("l_quantity") > F.lit(35.0), F.lit("DELAYED"))
-        .otherwise(F.lit("departed"))
-    )
-    return joined.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("flight_id"),
-        F.concat(F.lit("FL"), F.col("l_orderkey").cast("string")).alias("flight_number"),
+    origin, destination = airport_code("s_nationkey"), airport_code("c_nationkey")
+    return _bronze_shape(joined, origin, destination, _actual_departure(), _status(), extra)
+
+
+def bronze_flights_once(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """What ``deduplicate`` keeps of ``bronze_flights``, chosen before lines and
+    orders are joined, so that flights are shuffled as few narrow columns.
+
+    Every line of a flight id meets every order row of its key. Of the survivor
+    order's columns, number and schedule are the same for a flight id; origin,
+    actual time and status are the line's, destination and order status the
+    order's. The first of all pairs is therefore the first line with the first
+    order, each by its own columns in that order. Both choices forward one row
+    per key and map task; a hot order is left to the join, which AQE splits."""
+    li, orders, supplier, customer = _flight_sources(spark, sf_dir)
+    lines = li.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "l_orderkey",
+        "l_linenumber",
         airport_code("s_nationkey").alias("origin_airport"),
-        airport_code("c_nationkey").alias("destination_airport"),
-        F.timestamp_seconds(sched_s).alias("scheduled_departure_utc"),
-        F.when(F.col("l_tax") == F.lit(0.0), F.lit(None).cast("timestamp"))
-        .otherwise(F.timestamp_seconds(actual_s))
-        .alias("actual_departure_utc"),
-        status.alias("status"),
-        *extra,
+        _actual_departure().alias("actual_departure_utc"),
+        _status().alias("status"),
+    )
+    booked = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", airport_code("c_nationkey").alias("destination_airport"), "o_orderstatus"
+    )
+    joined = deduplicate(lines, ["l_orderkey", "l_linenumber"]).join(
+        deduplicate(booked, ["o_orderkey"]), F.col("l_orderkey") == F.col("o_orderkey")
     )
+    held = (F.col(c) for c in ("origin_airport", "destination_airport", "actual_departure_utc", "status"))
+    return _bronze_shape(joined, *held, extra)
 
 
 def weather(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (), spread_out: bool = False) -> DataFrame:
@@ -210,9 +259,11 @@ def _raw(df: DataFrame, ref: Column, columns: dict[str, Column]) -> DataFrame:
 
 
 def _raw_flights(spark: SparkSession, sf_dir: str, distinct: bool = False) -> DataFrame:
-    f = bronze_flights(spark, sf_dir, extra=("o_orderstatus", "l_orderkey", "l_linenumber"), spread_out=True)
+    extra = ("o_orderstatus", "l_orderkey", "l_linenumber")
     if distinct:
-        f = deduplicate(f, contracts.BUSINESS_KEYS[contracts.FLIGHTS])
+        f = bronze_flights_once(spark, sf_dir, extra)
+    else:
+        f = bronze_flights(spark, sf_dir, extra, spread_out=True)
     key, n = F.col("l_orderkey") * 7 + F.col("l_linenumber"), FLIGHT_CASES
     departs = F.col("scheduled_departure_utc")
     return _raw(

@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COMMITS, DATA, FOLDER = "_commits", "data", "part"
+# A fifth to a third smaller than with Spark's default, of every version kept.
+CODEC = "zstd"
 
 
 @dataclass(frozen=True)
@@ -147,7 +149,7 @@ def publish(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), replac
     folder = f"{FOLDER}={uuid.uuid4().hex}"
     at = f"{base}/{DATA}/{folder}"
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(at)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators import gold
 from aerolith.operators.dedupe import deduplicate, duplicates_for_review
+from aerolith.sources import testmap as tm
 
 N = 90_000
 
@@ -23,6 +24,49 @@ def test_dedupe_with_hot_key(spark):
     assert "WindowGroupLimit" in plan  # partial top-1 per key before the shuffle
 
 
+def test_flights_once_are_the_survivors_of_all_pairs(spark, scratch):
+    """Keys repeat in every table, are missing in some, and a third of all lines
+    are of one flight; lines and orders without partner come to nothing."""
+
+    def some(k, n):
+        return F.when(F.col("id") % n != 0, k)
+
+    i = F.col("id")
+    key = F.when(i % 3 == 0, F.lit(7)).otherwise(i * 31 % 401)
+    number = F.when(i % 3 == 0, F.lit(2)).otherwise(some((i * 17 % 5).cast("int"), 11))
+    tables = {
+        "lineitem": spark.range(6000).select(
+            some(key, 97).alias("l_orderkey"), number.alias("l_linenumber"), (i * 7919 % 997).alias("l_partkey"),
+            some(i * 13 % 23, 41).alias("l_suppkey"), (i * 29 % 50).cast("double").alias("l_quantity"),
+            (i * 5 % 7 / 100).alias("l_tax"), (i % 9 / 80).alias("l_discount"),
+        ),
+        "orders": spark.range(900).select(
+            some(i * 3 % 390, 53).alias("o_orderkey"), (i * 11 % 61).alias("o_custkey"),
+            some(F.element_at(F.array(*map(F.lit, "OFP")), (i * 7 % 3 + 1).cast("int")), 5).alias("o_orderstatus"),
+        ),
+        "supplier": spark.range(40).select((i % 20).alias("s_suppkey"), some((i * 7 % 25).cast("int"), 6).alias("s_nationkey")),
+        "customer": spark.range(80).select((i % 50).alias("c_custkey"), some((i * 9 % 25).cast("int"), 7).alias("c_nationkey")),
+    }
+    for name, df in tables.items():
+        df.repartition(3).write.parquet(f"{scratch}/{name}.parquet")
+    extra = ("o_orderstatus", "l_orderkey", "l_linenumber")
+    pairs = tm.bronze_flights(spark, scratch, extra)
+    wanted, got = deduplicate(pairs, ["flight_id"]), tm.bronze_flights_once(spark, scratch, extra)
+    assert got.schema == wanted.schema and 500 < got.count() == wanted.count() < pairs.count() / 4
+    assert got.exceptAll(wanted).count() == wanted.exceptAll(got).count() == 0
+    for side in ("origin_airport", "destination_airport", "o_orderstatus", "l_linenumber"):
+        assert 0 < got.where(F.col(side).isNull()).count() < got.count()
+
+
+def test_landed_flights_are_shuffled_before_their_texts_are_made(spark):
+    flights = tm.landed_once(spark, "/root/testdata/sf0.001")["flights"]
+    plan = flights._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(l_orderkey" in plan and "hashpartitioning(flight_id" not in plan
+    # One row per key and task, of lines and of orders, before either is shuffled.
+    assert plan.count("row_number(), 1, Partial") == 2
+    assert flights.count() == tm.bronze_flights(spark, "/root/testdata/sf0.001").select("flight_id").distinct().count()
+
+
 def test_review_of_a_row_with_millions_of_copies(spark):
     n = 10_000_000
     df = spark.range(n).select(F.lit("HOT").alias("flight_id"), F.lit(7).alias("v"))
